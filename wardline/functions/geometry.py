@@ -1,85 +1,88 @@
-"""Planar ring arithmetic and great-circle distance as built-in column expressions.
+"""Planar ring arithmetic and great-circle distance as built-in SQL expressions.
 
 A polygon column is ``ARRAY<ARRAY<ARRAY<STRUCT<x,y>>>>``: polygons, rings, points.
 Inside/outside is the even-odd rule over all ring edges, so holes and
 multi-polygons need no special case. Edges are half open: a point on a lower or
 left border is inside, one on an upper or right border is not.
+
+The functions take and return expression text, which may be nested.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Mean sphere radius in metres.
 EARTH_RADIUS_M = 6371009.0
 
 
-def point(lon: Column, lat: Column) -> Column:
-    return F.struct(lon.cast("double").alias("x"), lat.cast("double").alias("y"))
+def point(lon: str, lat: str) -> str:
+    return f"named_struct('x', CAST({lon} AS DOUBLE), 'y', CAST({lat} AS DOUBLE))"
 
 
-def box_rings(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
-    corners = F.array(point(x0, y0), point(x1, y0), point(x1, y1), point(x0, y1))
-    return F.array(F.array(corners))
+def box_rings(x0: str, y0: str, x1: str, y1: str) -> str:
+    corners = [point(x0, y0), point(x1, y0), point(x1, y1), point(x0, y1)]
+    return f"array(array(array({', '.join(corners)})))"
 
 
-def _ring_edges(ring: Column) -> Column:
-    n = F.size(ring)
-    return F.transform(
-        ring,
-        lambda p, i: F.struct(
-            p["x"].alias("x1"),
-            p["y"].alias("y1"),
-            F.element_at(ring, (i + 1) % n + 1)["x"].alias("x2"),
-            F.element_at(ring, (i + 1) % n + 1)["y"].alias("y2"),
-        ),
-    )
+def _ring_edges(ring: str) -> str:
+    after = f"{ring}[(i + 1) % size({ring})]"
+    return f"transform({ring}, (p, i) -> named_struct('x1', p.x, 'y1', p.y, 'x2', {after}.x, 'y2', {after}.y))"
 
 
-def edges(rings: Column) -> Column:
+def edges(rings: str) -> str:
     """All edges of all rings. A closing point that repeats the first adds a zero-length edge."""
-    return F.flatten(F.transform(F.flatten(rings), _ring_edges))
+    return f"flatten(transform(flatten({rings}), ring -> {_ring_edges('ring')}))"
+
 
+def inside(x: str, y: str, edge_list: str) -> str:
+    """Even-odd ray cast to the east. The division only runs where the edge spans the ray."""
+    cut = f"(e.x2 - e.x1) * ({y} - e.y1) / (e.y2 - e.y1) + e.x1"
+    return (
+        f"aggregate({edge_list}, false, (odd, e) -> CASE WHEN (e.y1 > {y}) <> (e.y2 > {y}) "
+        f"THEN odd <> ({x} < {cut}) ELSE odd END)"
+    )
 
-def inside(x: Column, y: Column, edge_list: Column) -> Column:
-    """Even-odd ray cast to the east."""
 
-    def flip(parity: Column, e: Column) -> Column:
-        spans = (e["y1"] > y) != (e["y2"] > y)
-        at = (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
-        # The division only runs where the edge spans the ray, so y1 != y2.
-        return F.when(spans, parity != (x < at)).otherwise(parity)
+def signed_area(edge_list: str) -> str:
+    return f"aggregate({edge_list}, 0D, (s, e) -> s + (e.x1 * e.y2 - e.x2 * e.y1) / 2)"
 
-    return F.aggregate(edge_list, F.lit(False), flip)
 
+def _swept(edge_list: str) -> str:
+    """Sphere area swept by a closed ring, without sign, on the unit sphere.
 
-def signed_area(edge_list: Column) -> Column:
-    return F.aggregate(
-        edge_list, F.lit(0.0), lambda s, e: s + (e["x1"] * e["y2"] - e["x2"] * e["y1"]) / 2.0
+    Integrates longitude over the sine of latitude along each edge, in closed form;
+    edges are straight in longitude and latitude. A level edge adds nothing.
+    """
+    return (
+        f"abs(aggregate({edge_list}, 0D, (s, e) -> s + CASE WHEN e.y1 = e.y2 THEN 0D ELSE "
+        "radians(e.x2) * sin(radians(e.y2)) - radians(e.x1) * sin(radians(e.y1)) + "
+        "(e.x2 - e.x1) / (e.y2 - e.y1) * (cos(radians(e.y2)) - cos(radians(e.y1))) END))"
     )
 
 
-def _moment(edge_list: Column, axis: str) -> Column:
-    return F.aggregate(
-        edge_list,
-        F.lit(0.0),
-        lambda s, e: s
-        + (e[f"{axis}1"] + e[f"{axis}2"]) * (e["x1"] * e["y2"] - e["x2"] * e["y1"]) / 6.0,
+def area_m2(rings: str) -> str:
+    """Area in square metres: outlines less holes, whichever way they are wound."""
+    sign = "CASE WHEN k = 0 THEN 1D ELSE -1D END"
+    parts = f"flatten(transform({rings}, poly -> transform(poly, (ring, k) -> {sign} * {_swept(_ring_edges('ring'))})))"
+    return f"(aggregate({parts}, 0D, (t, a) -> t + a) * {EARTH_RADIUS_M**2!r}D)"
+
+
+def _moment(edge_list: str, axis: str) -> str:
+    return (
+        f"aggregate({edge_list}, 0D, (s, e) -> s + (e.{axis}1 + e.{axis}2) * (e.x1 * e.y2 - e.x2 * e.y1) / 6)"
     )
 
 
-def centroid_x(edge_list: Column) -> Column:
-    return F.try_divide(_moment(edge_list, "x"), signed_area(edge_list))
+def centroid_x(edge_list: str) -> str:
+    return f"try_divide({_moment(edge_list, 'x')}, {signed_area(edge_list)})"
 
 
-def centroid_y(edge_list: Column) -> Column:
-    return F.try_divide(_moment(edge_list, "y"), signed_area(edge_list))
+def centroid_y(edge_list: str) -> str:
+    return f"try_divide({_moment(edge_list, 'y')}, {signed_area(edge_list)})"
 
 
-def haversine_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
-    dlat, dlon = F.radians(lat2 - lat1), F.radians(lon2 - lon1)
-    h = F.pow(F.sin(dlat / 2), F.lit(2.0)) + F.cos(F.radians(lat1)) * F.cos(
-        F.radians(lat2)
-    ) * F.pow(F.sin(dlon / 2), F.lit(2.0))
-    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+def haversine_m(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
+    half = (
+        f"pow(sin(radians({lat2} - {lat1}) / 2), 2) + "
+        f"cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2)"
+    )
+    return f"{2 * EARTH_RADIUS_M!r}D * asin(sqrt(least({half}, 1D)))"

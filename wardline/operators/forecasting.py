@@ -417,7 +417,7 @@ def recent_state(series: DataFrame, weeks: int = 4) -> DataFrame:
         *[mean(c) for c in ("cases", "case_rate", "positivity", "mobility_index", "y")],
         F.max_by("case_rate", "ds").alias("last_case_rate"),
         F.max_by("mobility_index", "ds").alias("last_mobility_index"),
-        F.try_divide(newest - oldest, F.count(F.lit(1)) - 1).alias("trend"),
+        F.try_divide(newest - oldest, F.count(F.lit(1)) - 1).alias("recent_step"),
     )
 
 
@@ -445,7 +445,7 @@ def covid_forecast(
     else:
         cases, positivity = F.col("mean_cases"), F.lit(None).cast("double")
         rate, mobility = F.col("mean_case_rate"), F.col("mean_mobility_index")
-    level = alert_level(F.col("score"), scale, F.col("trend"))
+    level = alert_level(F.col("score"), scale, F.col("recent_step"))
     return (
         base.withColumns(
             {"cases_": cases, "category": risk_category(F.col("score"), scale), "level": level}

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.config import Settings
 from wardline.functions.columns import (
+    dated,
     exact_mean,
     exact_sum,
     half_up,
@@ -19,6 +18,7 @@ from wardline.functions.columns import (
     tally,
 )
 from wardline.operators.quantiles import group_median
+from wardline.session import computed_once
 
 NEW_CONSTRUCTION = "NEW CONSTRUCTION"
 UNKNOWN = "Unknown"
@@ -45,7 +45,7 @@ def route_pairs(trips: DataFrame, limit: int = 10) -> DataFrame:
     Ranks come from the count of routes per distinct trip count. Only the highest
     ``limit`` distinct counts can reach the rank, so that is all that is ordered.
     """
-    routes = (
+    routes = computed_once(
         _routed(trips)
         .groupBy("pickup_zip", "dropoff_zip")
         .agg(
@@ -196,7 +196,7 @@ def permit_costs(permits: DataFrame) -> DataFrame:
     median is over distinct costs; both follow the published table.
     """
     new = F.upper("permit_type").contains(NEW_CONSTRUCTION) | F.upper("work_type").contains(NEW_CONSTRUCTION)
-    per_cost = (
+    per_cost = computed_once(
         permits.filter(F.col("zip_code").isNotNull() & (F.col("reported_cost") > 0))
         .groupBy("zip_code", "reported_cost")
         .agg(F.count(F.lit(1)).alias("n"), tally(new).alias("n_new"))
@@ -220,12 +220,13 @@ _LOAN_MEASURES = [
 def loan_frame(history: DataFrame, community_zip: DataFrame, health: DataFrame, permits: DataFrame) -> DataFrame:
     """One row per ZIP known to any source, with its measures and the bounds of each measure."""
     income, costs = zip_income(community_zip, health), permit_costs(permits)
-    edge = lambda m: [F.min(m).alias(f"lo_{m}"), F.max(m).alias(f"hi_{m}")]
-    bounds = income.agg(*edge(_LOAN_MEASURES[0])).crossJoin(
-        F.broadcast(costs.agg(*[e for m in _LOAN_MEASURES[1:] for e in edge(m)]))
+    merged = computed_once(
+        income.join(costs, "zip_code", "full").join(latest_population(history), "zip_code", "full")
     )
-    merged = income.join(costs, "zip_code", "full").join(latest_population(history), "zip_code", "full")
-    # ``bounds`` joins two global aggregates: one row.
+    # A ZIP without a measure has NULL there, which takes no part in the bounds.
+    edge = lambda m: [F.min(m).alias(f"lo_{m}"), F.max(m).alias(f"hi_{m}")]
+    bounds = merged.agg(*[e for m in _LOAN_MEASURES for e in edge(m)])
+    # ``bounds`` is a global aggregate: one row.
     return merged.crossJoin(F.broadcast(bounds))
 
 
@@ -331,12 +332,9 @@ def baseline_forecast(
 ) -> DataFrame:
     """Recent daily mean per pickup ZIP, carried forward with a small variation.
 
-    The latest date is taken from daily counts, so the trips are scanned once.
+    The latest date is taken from the daily counts, so the trips are scanned once.
     """
-    daily = (
-        trips.groupBy("pickup_zip", "trip_date")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    daily = computed_once(trips.groupBy("pickup_zip", "trip_date").agg(F.count(F.lit(1)).alias("n")))
     last = daily.agg(F.max("trip_date").alias("last_date"))
     # ``last`` is a global aggregate: one row.
     recent = (
@@ -373,43 +371,51 @@ def baseline_forecast(
 def daily_trip_metrics(raw: DataFrame, start, end) -> DataFrame:
     """Daily trips, revenue and payment mix, and the area most trips start and end in.
 
-    The most frequent area comes from counts per (day, area); ties go to the
-    smaller area number.
+    One scan counts rows per (day, taxi) and per (day, area); the second step sees
+    only those counts. Equally frequent areas go to the smaller number.
     """
-    days = raw.filter(
-        (F.col("trip_start_timestamp") >= F.lit(start))
-        & (F.col("trip_start_timestamp") < F.lit(end + timedelta(days=1)))
-    ).withColumn("date", F.to_date("trip_start_timestamp"))
-    pay = lambda kind: tally(F.col("payment_type") == kind)
-    totals = days.groupBy("date").agg(
-        F.count(F.lit(1)).alias("total_trips"),
-        exact_sum(F.col("trip_total")).alias("total_revenue"),
-        exact_mean(F.col("trip_miles")).alias("avg_trip_miles"),
-        exact_mean(F.col("fare")).alias("avg_fare"),
-        F.count_distinct("taxi_id").alias("unique_taxis"),
-        pay("Cash").alias("cash_trips"),
-        pay("Credit Card").alias("credit_trips"),
-        pay("Mobile").alias("mobile_trips"),
+    days = raw.filter(dated(F.col("trip_start_timestamp"), start, end)).withColumn(
+        "date", F.to_date("trip_start_timestamp")
     )
-    ends = F.array(
-        *[
-            F.struct(F.lit(end_).alias("end"), F.col(f"{end_}_community_area").alias("area"))
-            for end_ in ("pickup", "dropoff")
-        ]
+    # Each trip stands once for itself and once for each end.
+    part = lambda kind, area, taxi: F.struct(
+        F.lit(kind).alias("part"), area.alias("area"), taxi.alias("taxi")
+    )
+    none = F.lit(None).cast("string")
+    parts = F.array(
+        part("trip", none, F.col("taxi_id")),
+        *[part(end_, F.col(f"{end_}_community_area"), none) for end_ in ("pickup", "dropoff")],
+    )
+    is_trip = F.col("part") == "trip"
+    pays = {"cash_trips": "Cash", "credit_trips": "Credit Card", "mobile_trips": "Mobile"}
+    amounts = {"total": "trip_total", "miles": "trip_miles", "fare": "fare"}
+    per_taxi_or_area = (
+        days.select(
+            "date", "payment_type", *[hundredths(F.col(c)).alias(n) for n, c in amounts.items()], F.inline(parts)
+        )
+        .groupBy("date", "part", "area", "taxi")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.sum(F.when(is_trip, F.col(a))).alias(a) for a in amounts],
+            *[F.count(F.when(is_trip, F.col(a))).alias(f"n_{a}") for a in amounts],
+            *[tally(is_trip & (F.col("payment_type") == v)).alias(k) for k, v in pays.items()],
+        )
     )
-    counted = (
-        days.select("date", F.inline(ends))
-        .groupBy("date", "end", "area")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("weight", F.struct("n", (-F.coalesce(F.col("area").try_cast("long"), F.lit(10**6))).alias("o")))
+    whole = F.struct(
+        "n", (-F.coalesce(F.col("area").try_cast("long"), F.lit(10**6))).alias("smaller_first")
     )
-    top = counted.groupBy("date").agg(
-        *[
-            F.max_by("area", F.when(F.col("end") == end_, F.col("weight"))).alias(f"top_{end_}_area")
-            for end_ in ("pickup", "dropoff")
-        ]
+    top = lambda end_: F.max_by("area", F.when(F.col("part") == end_, whole)).alias(f"top_{end_}_area")
+    mean = lambda a: F.try_divide(F.sum(a), F.sum(f"n_{a}")) / 100.0
+    return per_taxi_or_area.groupBy("date").agg(
+        F.sum(F.when(is_trip, F.col("n"))).alias("total_trips"),
+        (F.sum("total") / 100.0).alias("total_revenue"),
+        mean("miles").alias("avg_trip_miles"),
+        mean("fare").alias("avg_fare"),
+        F.count("taxi").alias("unique_taxis"),
+        *[F.sum(k).alias(k) for k in pays],
+        top("pickup"),
+        top("dropoff"),
     )
-    return totals.join(top, "date")
 
 
 def permits_monthly_summary(clean: DataFrame, area: str = "community_area") -> DataFrame:

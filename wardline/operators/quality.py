@@ -253,13 +253,18 @@ def _unexpected(e: Expectation) -> Column:
 def expectations(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:
     """One row per rule: rows seen, rows that break it, verdict.
 
-    Row rules share one scan. A uniqueness rule counts the rows whose key occurs
+    Row and row-count rules share one scan. A uniqueness rule counts the rows whose key occurs
     more than once, from counts per key.
     """
-    on_rows = [e for e in rules if e.rule not in ("unique", "row_count")]
-    one = df.agg(rows().alias("_rows"), *[tally(_unexpected(e)).alias(e.name) for e in on_rows])
+    scanned = [e for e in rules if e.rule != "unique"]
+    broken = lambda e: (
+        F.when(rows().between(e.low, e.high), F.lit(0)).otherwise(F.lit(1)).cast("long")
+        if e.rule == "row_count"
+        else tally(_unexpected(e))
+    )
+    one = df.agg(rows().alias("_rows"), *[broken(e).alias(e.name) for e in scanned])
     parts = [
-        one.unpivot(["_rows"], [e.name for e in on_rows], "expectation", "unexpected_count").select(
+        one.unpivot(["_rows"], [e.name for e in scanned], "expectation", "unexpected_count").select(
             "expectation", "_rows", "unexpected_count", (F.col("unexpected_count") == 0).alias("success")
         )
     ]
@@ -274,14 +279,4 @@ def expectations(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:
                     F.coalesce(F.sum(F.when(repeated, F.col("n"))), F.lit(0)).alias("unexpected_count"),
                 ).withColumn("success", F.col("unexpected_count") == 0)
             )
-        elif e.rule == "row_count":
-            good = F.col("_rows").between(e.low, e.high)
-            parts.append(
-                df.agg(rows().alias("_rows")).select(
-                    F.lit(e.name).alias("expectation"),
-                    "_rows",
-                    F.when(good, F.lit(0)).otherwise(F.lit(1)).cast("long").alias("unexpected_count"),
-                    good.alias("success"),
-                )
-            )
     return reduce(DataFrame.unionByName, parts).withColumnRenamed("_rows", "element_count")

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 def group_median(df: DataFrame, keys: list[str], value: str, name: str, intervals: int = 64) -> DataFrame:
     """Median with linear interpolation of ``value`` over the rows of each group."""
     rows = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    cuts = F.array(*[F.lit(i / intervals) for i in range(1, intervals)])
+    cuts = ", ".join(f"{i / intervals!r}D" for i in range(1, intervals))
     per_group = rows.groupBy(*keys).agg(
-        F.percentile_approx(value, cuts, F.lit(1000)).alias("_cuts"), F.sum("_n").alias("_total")
+        F.expr(f"percentile_approx({value}, array({cuts}), 1000)").alias("_cuts"), F.sum("_n").alias("_total")
     )
     placed = rows.join(per_group.select(*keys, "_cuts"), keys).withColumn(
         "_part", F.size(F.filter("_cuts", lambda c: c < F.col(value)))

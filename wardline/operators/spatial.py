@@ -13,7 +13,6 @@ formed that does not share such a cell, and the area follows by summing strips.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -41,47 +40,35 @@ class Layer:
     small: bool
 
 
-def with_edges(boundaries: DataFrame, rings: str = "rings") -> DataFrame:
-    return boundaries.withColumn("edges", G.edges(F.col(rings)))
-
-
 def _cells(boundaries: DataFrame, attributes: tuple[str, ...], size: float, rings: str) -> DataFrame:
-    box = with_edges(boundaries, rings).filter(F.size("edges") > 0)
-    axis = lambda f, a: f(F.transform("edges", lambda e: e[a]))
-    cell_no = lambda c: F.floor(c / F.lit(size))
-    box = box.select(
-        *attributes,
-        "edges",
-        cell_no(axis(F.array_min, "x1")).alias("i0"),
-        cell_no(axis(F.array_max, "x1")).alias("i1"),
-        cell_no(axis(F.array_min, "y1")).alias("j0"),
-        cell_no(axis(F.array_max, "y1")).alias("j1"),
-    )
-    grid = box.withColumn("cell_i", F.explode(F.sequence("i0", "i1"))).withColumn(
-        "cell_j", F.explode(F.sequence("j0", "j1"))
+    limit = lambda f, axis: f"floor({f}(transform(edges, e -> e.{axis})) / {size!r}D)"
+    grid = (
+        boundaries.selectExpr(*attributes, f"{G.edges(rings)} AS edges")
+        .filter("size(edges) > 0")
+        .selectExpr(
+            *attributes,
+            "edges",
+            f"explode(sequence({limit('array_min', 'x1')}, {limit('array_max', 'x1')})) AS cell_i",
+        )
+        .selectExpr(
+            "*", f"explode(sequence({limit('array_min', 'y1')}, {limit('array_max', 'y1')})) AS cell_j"
+        )
     )
-    left, right = F.col("cell_i") * size - _SLACK, (F.col("cell_i") + 1) * size + _SLACK
-    low, high = F.col("cell_j") * size - _SLACK, (F.col("cell_j") + 1) * size + _SLACK
+    side = lambda cell, k, slack: f"({cell} + {k}) * {size!r}D + {slack!r}D"
+    left, right = side("cell_i", 0, -_SLACK), side("cell_i", 1, _SLACK)
+    low, high = side("cell_j", 0, -_SLACK), side("cell_j", 1, _SLACK)
     # Edges that a ray starting in the cell and going east can cross.
-    reach = F.filter(
-        "edges",
-        lambda e: (F.greatest(e["y1"], e["y2"]) >= low)
-        & (F.least(e["y1"], e["y2"]) <= high)
-        & (F.greatest(e["x1"], e["x2"]) >= left),
+    reach = (
+        f"filter(edges, e -> greatest(e.y1, e.y2) >= {low} AND least(e.y1, e.y2) <= {high} "
+        f"AND greatest(e.x1, e.x2) >= {left})"
     )
-    grid = grid.withColumn("reach", reach)
-    touched = F.exists("reach", lambda e: F.least(e["x1"], e["x2"]) <= right)
-    middle = G.inside((left + right) / 2, (low + high) / 2, F.col("reach"))
+    touched = f"exists(reach, e -> least(e.x1, e.x2) <= {right})"
+    middle = G.inside(f"(({left}) + ({right})) / 2", f"(({low}) + ({high})) / 2", "reach")
     return (
-        grid.withColumn("whole", ~touched)
-        .filter(~F.col("whole") | middle)
-        .select(
-            *attributes,
-            "cell_i",
-            "cell_j",
-            "whole",
-            F.when(~F.col("whole"), F.col("reach")).alias("reach"),
-        )
+        grid.selectExpr(*attributes, "cell_i", "cell_j", f"{reach} AS reach")
+        .selectExpr("*", f"NOT {touched} AS whole")
+        .filter(f"NOT whole OR {middle}")
+        .selectExpr(*attributes, "cell_i", "cell_j", "whole", "IF(whole, NULL, reach) AS reach")
     )
 
 
@@ -119,21 +106,17 @@ def locate(
     ``names`` maps layer attributes to output columns. A point in no polygon keeps
     one row with NULLs; a point in several polygons gets one row per polygon.
     """
-    renamed = where.cells.select(
-        F.col("cell_i").alias("_i"),
-        F.col("cell_j").alias("_j"),
-        F.col("whole").alias("_whole"),
-        F.col("reach").alias("_reach"),
-        *[F.col(a).alias(out) for a, out in names.items()],
+    cells = where.cells.selectExpr(
+        "cell_i AS _i",
+        "cell_j AS _j",
+        "whole AS _whole",
+        "reach AS _reach",
+        *[f"{a} AS {out}" for a, out in names.items()],
     )
-    renamed = F.broadcast(renamed) if where.small else renamed.hint("merge")
-    x, y = points[lon], points[lat]
-    hit = (
-        (F.floor(x / F.lit(where.cell_degrees)) == renamed["_i"])
-        & (F.floor(y / F.lit(where.cell_degrees)) == renamed["_j"])
-        & (renamed["_whole"] | G.inside(x, y, renamed["_reach"]))
-    )
-    return points.join(renamed, hit, "left").drop("_i", "_j", "_whole", "_reach")
+    cells = F.broadcast(cells) if where.small else cells.hint("merge")
+    size = f"{where.cell_degrees!r}D"
+    hit = f"_i = floor({lon} / {size}) AND _j = floor({lat} / {size}) AND (_whole OR {G.inside(lon, lat, '_reach')})"
+    return points.join(cells, F.expr(hit), "left").drop("_i", "_j", "_whole", "_reach")
 
 
 def located_points(points: DataFrame, lon: str, lat: str, layers: list[tuple[Layer, dict]]) -> DataFrame:
@@ -151,49 +134,37 @@ def spans(boundaries: DataFrame, keys: list[str], scan: float, rings: str = "rin
     column borders ``64 * scan`` wide, so a join on (row, column) only brings
     near neighbours together.
     """
-    column = scan * 64
-    lines = with_edges(boundaries, rings).select(*keys, F.explode("edges").alias("e"))
-    y1, y2, x1, x2 = (F.col(f"e.{c}") for c in ("y1", "y2", "x1", "x2"))
-    low, high = F.least(y1, y2), F.greatest(y1, y2)
-    # Scanlines whose middle lies in [low, high).
-    first, last = F.ceil(low / scan - 0.5), F.ceil(high / scan - 0.5) - 1
+    column = f"{scan * 64!r}D"
+    step = f"{scan!r}D"
+    # Scanlines whose middle lies in [low, high) of the edge.
+    first = f"ceil(least(e.y1, e.y2) / {step} - 0.5D)"
+    last = f"ceil(greatest(e.y1, e.y2) / {step} - 0.5D) - 1"
     crossings = (
-        lines.filter((y1 != y2) & (last >= first))
-        .withColumn("row", F.explode(F.sequence(first, last)))
-        .withColumn("x", x1 + (x2 - x1) * ((F.col("row") + 0.5) * scan - y1) / (y2 - y1))
+        boundaries.selectExpr(*keys, f"explode({G.edges(rings)}) AS e")
+        .filter(f"{last} >= {first}")
+        .selectExpr(*keys, "e", f"explode(sequence({first}, {last})) AS row")
+        .selectExpr(
+            *keys, "row", f"e.x1 + (e.x2 - e.x1) * ((row + 0.5D) * {step} - e.y1) / (e.y2 - e.y1) AS x"
+        )
         .groupBy(*keys, "row")
         .agg(F.sort_array(F.collect_list("x")).alias("xs"))
     )
-    pairs = F.transform(
-        F.sequence(F.lit(0), (F.size("xs") / 2).cast("int") - 1),
-        lambda k: F.struct(F.get("xs", k * 2).alias("x0"), F.get("xs", k * 2 + 1).alias("x1")),
-    )
-    pieces = crossings.filter(F.size("xs") >= 2).withColumn("p", F.explode(pairs))
-    a, b = F.col("p.x0"), F.col("p.x1")
+    pairs = "transform(sequence(0, CAST(size(xs) / 2 AS INT) - 1), k -> named_struct('a', xs[2 * k], 'b', xs[2 * k + 1]))"
     return (
-        pieces.withColumn("col", F.explode(F.sequence(F.floor(a / column), F.floor(b / column))))
-        .select(
-            *keys,
-            "row",
-            "col",
-            F.greatest(a, F.col("col") * column).alias("x0"),
-            F.least(b, (F.col("col") + 1) * column).alias("x1"),
+        crossings.filter("size(xs) >= 2")
+        .selectExpr(*keys, "row", f"inline({pairs})")
+        .selectExpr("*", f"explode(sequence(floor(a / {column}), floor(b / {column}))) AS col")
+        .selectExpr(
+            *keys, "row", "col", f"greatest(a, col * {column}) AS x0", f"least(b, (col + 1) * {column}) AS x1"
         )
         .filter("x1 > x0")
     )
 
 
-def _strip_area(scan: float, width: Column) -> Column:
+def _strip_area(scan: float, width: str) -> str:
     """Area on the sphere, in square metres, of a strip ``width`` degrees long at its row."""
-    rad = math.pi / 180.0
-    band = F.sin((F.col("row") + 1) * (scan * rad)) - F.sin(F.col("row") * (scan * rad))
-    return F.lit(G.EARTH_RADIUS_M**2) * width * rad * band
-
-
-def polygon_area(pieces: DataFrame, keys: list[str], scan: float, name: str) -> DataFrame:
-    return pieces.groupBy(*keys).agg(
-        F.sum(_strip_area(scan, F.col("x1") - F.col("x0"))).alias(name)
-    )
+    band = f"(sin(radians((row + 1) * {scan!r}D)) - sin(radians(row * {scan!r}D)))"
+    return f"{G.EARTH_RADIUS_M**2!r}D * radians({width}) * {band}"
 
 
 def overlap_area(layers: list[tuple[DataFrame, list[str]]], scan: float) -> DataFrame:
@@ -203,13 +174,22 @@ def overlap_area(layers: list[tuple[DataFrame, list[str]]], scan: float) -> Data
         other = pieces.withColumnsRenamed({"x0": "_x0", "x1": "_x1"})
         joined = (
             joined.join(other, ["row", "col"])
-            .withColumn("x0", F.greatest("x0", "_x0"))
-            .withColumn("x1", F.least("x1", "_x1"))
-            .drop("_x0", "_x1")
+            .selectExpr(*keys, *more, "row", "col", "greatest(x0, _x0) AS x0", "least(x1, _x1) AS x1")
             .filter("x1 > x0")
         )
         keys += more
-    return polygon_area(joined, keys, scan, "intersection_area")
+    return joined.groupBy(*keys).agg(
+        F.expr(f"sum({_strip_area(scan, 'x1 - x0')})").alias("intersection_area")
+    )
+
+
+def _sized(boundaries: DataFrame, name: str) -> DataFrame:
+    """Adds each polygon's own area, which then travels with its spans as part of the key."""
+    return boundaries.selectExpr("*", f"{G.area_m2('rings')} AS {name}")
+
+
+def _pct(whole: str) -> Column:
+    return half_up(F.col("intersection_area") / F.col(whole) * 100, 2)
 
 
 def pairwise_crosswalk(
@@ -228,20 +208,17 @@ def pairwise_crosswalk(
     ``primary`` is set when the overlap is more than half of the polygon on the
     ``primary_of`` side; the published tables do not all use the same side.
     """
-    a, b = spans(left, left_keys, scan), spans(right, right_keys, scan)
-    both = (
-        overlap_area([(a, left_keys), (b, right_keys)], scan)
-        .join(polygon_area(a, left_keys, scan, "_left"), left_keys)
-        .join(polygon_area(b, right_keys, scan, "_right"), right_keys)
+    a, b = [*left_keys, "_left"], [*right_keys, "_right"]
+    both = overlap_area(
+        [(spans(_sized(left, "_left"), a, scan), a), (spans(_sized(right, "_right"), b, scan), b)], scan
     )
-    whole = F.col("_left") if primary_of == "left" else F.col("_right")
     return both.select(
         *left_keys,
         *right_keys,
         "intersection_area",
-        half_up(F.col("intersection_area") / F.col("_left") * 100, 2).alias(left_pct),
-        half_up(F.col("intersection_area") / F.col("_right") * 100, 2).alias(right_pct),
-        (F.col("intersection_area") / whole > 0.5).alias(primary),
+        _pct("_left").alias(left_pct),
+        _pct("_right").alias(right_pct),
+        (F.col("intersection_area") / F.col(f"_{primary_of}") > 0.5).alias(primary),
     )
 
 
@@ -294,21 +271,17 @@ def three_way_crosswalk(
     areas: DataFrame, zips: DataFrame, hoods: DataFrame, scan: float, sliver_m2: float = 1000.0
 ) -> DataFrame:
     """Overlap of all three layers at once, without slivers of ``sliver_m2`` or less."""
-    parts = [(_areas(areas), _AREA), (_zips(zips), _ZIP), (_hoods(hoods), _HOOD)]
-    cut = [(spans(df, keys, scan), keys) for df, keys in parts]
+    parts = [(_areas(areas), _AREA, "_area"), (_zips(zips), _ZIP, "_zip"), (_hoods(hoods), _HOOD, "_hood")]
+    cut = [(spans(_sized(df, own), [*keys, own], scan), [*keys, own]) for df, keys, own in parts]
     out = overlap_area(cut, scan).filter(F.col("intersection_area") > sliver_m2)
-    wholes = ["_area", "_zip", "_hood"]
-    for (pieces, keys), name in zip(cut, wholes):
-        out = out.join(polygon_area(pieces, keys, scan, name), keys)
-    pct = lambda w: half_up(F.col("intersection_area") / F.col(w) * 100, 2)
     return out.select(
         *_AREA,
         *_ZIP,
         *_HOOD,
         "intersection_area",
-        pct("_area").alias("pct_of_community_area"),
-        pct("_zip").alias("pct_of_zip"),
-        pct("_hood").alias("pct_of_neighborhood"),
+        _pct("_area").alias("pct_of_community_area"),
+        _pct("_zip").alias("pct_of_zip"),
+        _pct("_hood").alias("pct_of_neighborhood"),
     )
 
 
@@ -339,9 +312,8 @@ def crosswalk_summary(community_zip: DataFrame) -> DataFrame:
 def centroids(boundaries: DataFrame) -> DataFrame:
     """Adds ``longitude`` and ``latitude`` of each polygon's centroid."""
     return (
-        with_edges(boundaries)
-        .withColumn("longitude", G.centroid_x(F.col("edges")))
-        .withColumn("latitude", G.centroid_y(F.col("edges")))
+        boundaries.selectExpr("*", f"{G.edges('rings')} AS edges")
+        .selectExpr("*", f"{G.centroid_x('edges')} AS longitude", f"{G.centroid_y('edges')} AS latitude")
         .drop("edges")
     )
 
@@ -349,17 +321,17 @@ def centroids(boundaries: DataFrame) -> DataFrame:
 def boundary_attributes(boundaries: DataFrame, key: str = "zip", name: str = "zip_code") -> DataFrame:
     """Key renamed, rough area (111 km per degree) and centroid."""
     km_per_degree = 111
-    e = F.col("edges")
-    return with_edges(boundaries).select(
-        F.col(key).cast("string").alias(name),
+    return boundaries.selectExpr(
+        f"CAST({key} AS STRING) AS {name}", "rings", f"{G.edges('rings')} AS edges"
+    ).selectExpr(
+        name,
         "rings",
-        (F.abs(G.signed_area(e)) * km_per_degree * km_per_degree).alias("area_sq_km"),
-        G.centroid_y(e).alias("centroid_lat"),
-        G.centroid_x(e).alias("centroid_lon"),
+        f"abs({G.signed_area('edges')}) * {km_per_degree} * {km_per_degree} AS area_sq_km",
+        f"{G.centroid_y('edges')} AS centroid_lat",
+        f"{G.centroid_x('edges')} AS centroid_lon",
     )
 
 
 def straight_line_m(df: DataFrame, frm: str, to: str, name: str) -> DataFrame:
-    lon = lambda s: F.col(f"{s}_centroid_longitude")
-    lat = lambda s: F.col(f"{s}_centroid_latitude")
-    return df.withColumn(name, G.haversine_m(lon(frm), lat(frm), lon(to), lat(to)))
+    ends = [f"{e}_centroid_{axis}" for e in (frm, to) for axis in ("longitude", "latitude")]
+    return df.selectExpr("*", f"{G.haversine_m(*ends)} AS {name}")

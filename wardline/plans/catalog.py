@@ -94,8 +94,6 @@ def _metrics(mode: str) -> Callable[[Lake], DataFrame]:
 def _traffic_model(lake: Lake, part: str) -> DataFrame:
     daily = lake.derived("daily_history").withColumnRenamed("zip_code", "pickup_zip")
     ys = forecasting.traffic_series(daily, HISTORY)
-    if part == "skipped":
-        return forecasting.skipped(ys, forecasting.TRAFFIC)
     fitted = forecasting.components(ys, forecasting.TRAFFIC)
     if part == "metrics":
         return forecasting.model_metrics(ys, fitted, forecasting.TRAFFIC, HISTORY, "90-day forecast")
@@ -325,7 +323,9 @@ ENTRIES: dict[str, Callable[[Lake], DataFrame]] = {
     "forecast_metrics_floored": _metrics("floored"),
     "traffic_model_forecast": lambda l: _traffic_model(l, "forecast"),
     "traffic_model_metrics": lambda l: _traffic_model(l, "metrics"),
-    "traffic_model_skipped": lambda l: _traffic_model(l, "skipped"),
+    "traffic_model_skipped": lambda l: forecasting.skipped(
+        forecasting.traffic_series(l.daily, TRIPS), forecasting.TRAFFIC
+    ),
     "traffic_model_neighborhoods": _neighborhood_model,
     "covid_model_simple": _risk_model(forecasting.COVID_SIMPLE, forecasting.SCALE_100),
     "covid_model_regressors": _risk_model(forecasting.COVID_REGRESSORS, forecasting.SCALE_100_TREND),

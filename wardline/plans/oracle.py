@@ -1027,8 +1027,8 @@ WHERE CAST(d AS DATE) NOT IN (SELECT partition_date FROM file_manifest WHERE dat
     "forecast_metrics_positive": _errors("avg(CASE WHEN actual > 0 THEN abs(actual - predicted) / actual END) * 100"),
     "forecast_metrics_floored": _errors("avg(abs(actual - predicted) / greatest(actual, 1e0)) * 100"),
     "traffic_model_skipped": """
-SELECT zip_code AS area, count(*) AS points, 365 AS needed FROM daily_history
-WHERE trip_date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31' GROUP BY 1 HAVING count(*) < 365""",
+SELECT pickup_zip AS area, count(DISTINCT trip_date) AS points, 365 AS needed FROM daily
+GROUP BY 1 HAVING count(DISTINCT trip_date) < 365""",
 }
 
 _NAME = re.compile("|".join(rf"\b{n}\b" for n in sorted(PARTS, key=len, reverse=True)))

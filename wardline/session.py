@@ -41,9 +41,15 @@ def shared_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="wardline-checkpoint-")
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Checkpoint a frame in the shared folder, so a lost executor costs no recompute chain."""
+def computed_once(df: DataFrame) -> DataFrame:
+    """An aggregate that several branches of a query read, written once to the shared folder.
+
+    Column pruning gives each branch its own version of a shared sub-plan, so the
+    engine would scan the big input once per branch. The checkpoint stops that,
+    and a lost executor does not repeat the scan either. Only for results that are
+    small beside their input.
+    """
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager)
+    return df.checkpoint()

@@ -147,5 +147,5 @@ def compare_names(left: DataFrame, right: DataFrame, left_name: str, right_name:
 
 def from_boxes(boxes: DataFrame) -> DataFrame:
     """Rectangles (x0, y0, x1, y1) as boundaries."""
-    corners = [F.col(c) for c in ("x0", "y0", "x1", "y1")]
-    return boxes.withColumn("rings", G.box_rings(*corners)).drop("x0", "y0", "x1", "y1")
+    corners = ("x0", "y0", "x1", "y1")
+    return boxes.selectExpr("*", f"{G.box_rings(*corners)} AS rings").drop(*corners)

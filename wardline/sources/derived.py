@@ -78,8 +78,8 @@ SELECT zip_code, CAST(w + 1 AS BIGINT) AS week_number,
   CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS cases_weekly,
   CAST(count(*) AS BIGINT) AS tests_weekly,
   CAST(sum(CASE WHEN event_type = 'purchase' AND value > 80 THEN 1 ELSE 0 END) AS BIGINT) AS deaths_weekly,
-  CAST(1000 + 137 * max(z) AS BIGINT) AS population,
-  sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) * 10000e0 / (1000 + 137 * max(z)) AS case_rate_weekly,
+  CAST(3000 + 737 * max(z) AS BIGINT) AS population,
+  sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) * 100000e0 / (3000 + 737 * max(z)) AS case_rate_weekly,
   5e0 AS percent_tested_positive_weekly,
   zip_code || '-' || CAST(w AS STRING) AS row_id
 FROM (SELECT CAST(60601 + user_id % 25 AS STRING) AS zip_code, CAST(floor(dayofyear(ts) / 7e0) AS INT) AS w,
@@ -96,8 +96,8 @@ FROM {nation}
 
 AREA_BOXES = """
 SELECT n_nationkey + 1 AS area_numbe, n_name AS community,
-  -87.905e0 + (n_nationkey % 5) * 0.09e0 AS x0, -87.905e0 + (n_nationkey % 5 + 1) * 0.09e0 AS x1,
-  41.65e0 + floor(n_nationkey / 5e0) * 0.1e0 AS y0, 41.65e0 + (floor(n_nationkey / 5e0) + 1) * 0.1e0 AS y1
+  -87.93e0 + (n_nationkey % 5) * 0.09e0 AS x0, -87.93e0 + (n_nationkey % 5 + 1) * 0.09e0 AS x1,
+  41.62e0 + floor(n_nationkey / 5e0) * 0.1e0 AS y0, 41.62e0 + (floor(n_nationkey / 5e0) + 1) * 0.1e0 AS y1
 FROM {nation}
 """
 
@@ -224,8 +224,22 @@ TEXTS = {
 }
 
 
+# Declared, so that opening a table runs no job to look at its footers.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def derive(spark: SparkSession, folder: str, name: str) -> DataFrame:
