@@ -167,13 +167,8 @@ def covid_hotspots(history: DataFrame, trips: DataFrame, ccvi: DataFrame, cfg: S
 
 
 def latest_population(history: DataFrame) -> DataFrame:
-    """Population of each ZIP's latest week, even when that is NULL.
-
-    The value is wrapped, because a bare NULL would be passed over.
-    """
-    return history.groupBy("zip_code").agg(
-        F.max_by(F.struct("population"), "week_start")["population"].alias("population")
-    )
+    """Population of each ZIP's latest week, even when that is NULL."""
+    return history.groupBy("zip_code").agg(F.max_by("population", "week_start").alias("population"))
 
 
 def zip_income(community_zip: DataFrame, health: DataFrame) -> DataFrame:
