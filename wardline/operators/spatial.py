@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import geometry as G
 from wardline.functions.columns import half_up
+from wardline.session import computed_once
 
 # Slack around a cell, so that float noise in the cell number never hides an edge.
 _SLACK = 1e-9
@@ -81,12 +82,13 @@ def layer(
 ) -> Layer:
     """Prepare a layer and measure it.
 
-    The measuring query is one aggregate over the layer's own rows. A layer above
-    the limit is never broadcast: its lookups become shuffle joins on the cell,
-    where adaptive execution splits cells that hold too many points.
+    The cells are written once, for all lookups, and their size is one aggregate
+    over them. A layer above the limit is never broadcast: its lookups become
+    shuffle joins on the cell, where adaptive execution splits cells that hold too
+    many points.
     """
     attributes = tuple(attributes)
-    cells = _cells(boundaries, attributes, cell_degrees, rings)
+    cells = computed_once(_cells(boundaries, attributes, cell_degrees, rings))
     bytes_per_edge, bytes_per_row = 48, 256
     measured = cells.agg(
         F.sum(F.lit(bytes_per_row) + F.coalesce(F.size("reach"), F.lit(0)) * bytes_per_edge)
