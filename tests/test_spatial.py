@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import Row
@@ -22,11 +23,21 @@ TRIANGLE = [[(0.0, 0.0), (1.0, 0.0), (0.5, 0.9)]]
 RING = [[(2, 0), (3, 0), (3, 1), (2, 1)], [(2.3, 0.3), (2.7, 0.3), (2.7, 0.7), (2.3, 0.7)]]
 TWO_A, TWO_B = [[(0.2, 0.1), (0.9, 0.1), (0.9, 0.4), (0.2, 0.4)]], [[(2.5, 0.5), (3.5, 0.5), (3.0, 1.4)]]
 CONCAVE = [[(0, 2), (2, 2), (2, 3), (1, 2.2), (0, 3)]]
+
+
+def star(n, cx, cy, r):
+    """A jagged outline with many small edges."""
+    rnd = random.Random(5)
+    reach = [(2 * math.pi * k / n, r * rnd.uniform(0.4, 1)) for k in range(n)]
+    return [(cx + d * math.cos(a), cy + d * math.sin(a)) for a, d in reach]
+
+
 SHAPES = {
     "triangle": shape(TRIANGLE),
     "ring": shape(RING),
     "two": shape(TWO_A, TWO_B),
     "concave": shape(CONCAVE),
+    "star": shape([star(60, 2.4, 2.2, 0.7)]),
 }
 
 
@@ -71,6 +82,14 @@ def test_lookup_is_the_ray_cast(spark, layer_df, points, cell, limit):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert ("SortMergeJoin" in plan) == (limit == 0)
+    # No expression of the lookup keeps the join out of generated code.
+    assert limit == 0 or re.search(r"\*\(\d+\) BroadcastHashJoin", codegen(found))
+
+
+def codegen(df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_points_on_borders_have_one_owner(spark):

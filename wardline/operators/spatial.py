@@ -1,10 +1,10 @@
 """Point-in-polygon lookup and polygon overlap as joins.
 
 Lookup. Each polygon is laid over a fixed grid once. A cell that no edge touches
-is wholly inside or wholly outside, so most points need no geometry test at all;
-a border cell keeps only the edges an eastward ray from it can meet. Points join
-the cells on the cell number, in one pass over the rows and without a shuffle
-while the layer is small.
+is wholly inside or wholly outside. A cell on the border is cut into pieces
+between two heights and two lines, so that being inside is four comparisons.
+Points join the pieces on the cell number: one pass over the rows, in generated
+code, and without a shuffle while the layer is small.
 
 Overlap. Each polygon is cut into horizontal spans, one scanline at a time, and
 spans of different layers meet on (scanline, column cell). No pair of polygons is
@@ -31,45 +31,109 @@ _SLACK = 1e-9
 class Layer:
     """A polygon layer prepared for lookups.
 
-    ``cells`` has one row per (grid cell, polygon) with the attributes of the
-    polygon; ``small`` says whether its measured size allows a broadcast.
+    ``pieces`` has one row per (grid cell, polygon, piece) with the attributes of
+    the polygon; ``small`` says whether its measured size allows a broadcast.
     """
 
-    cells: DataFrame
+    pieces: DataFrame
     attributes: tuple[str, ...]
     cell_degrees: float
     small: bool
 
 
-def _cells(boundaries: DataFrame, attributes: tuple[str, ...], size: float, rings: str) -> DataFrame:
+# A line x(y) = x + s * (y - y0), and the two lines no point is left or right of.
+_FAR = "1e300D"
+_LINE = "named_struct('at', {at}, 'x', {x}, 'y', {y}, 's', {s})"
+_WEST_END = _LINE.format(at="-" + _FAR, x="-" + _FAR, y="0D", s="0D")
+_EAST_END = _LINE.format(at=_FAR, x=_FAR, y="0D", s="0D")
+
+
+def _pieces(boundaries: DataFrame, attributes: tuple[str, ...], size: float, rings: str) -> DataFrame:
+    """Cells of every polygon, cut into pieces. Borders must not cross themselves.
+
+    Only heights at which an edge that touches the cell begins or ends can change
+    what is inside, so the cell is cut there. Edges that pass east of the cell only
+    decide whether the far side of it is inside.
+    """
     limit = lambda f, axis: f"floor({f}(transform(edges, e -> e.{axis})) / {size!r}D)"
+    # Edges run upwards, so that two polygons sharing one compute the same line.
+    upwards = (
+        f"transform({G.edges(rings)}, e -> IF(e.y1 <= e.y2, e, "
+        "named_struct('x1', e.x2, 'y1', e.y2, 'x2', e.x1, 'y2', e.y1)))"
+    )
+    side = lambda cell, k, slack: f"({cell} + {k}) * {size!r}D + {slack!r}D"
+    left, right = side("cell_i", 0, -_SLACK), side("cell_i", 1, _SLACK)
+    low, high = side("cell_j", 0, -_SLACK), side("cell_j", 1, _SLACK)
     grid = (
-        boundaries.selectExpr(*attributes, f"{G.edges(rings)} AS edges")
+        boundaries.selectExpr(*attributes, f"{upwards} AS edges")
         .filter("size(edges) > 0")
         .selectExpr(
             *attributes,
             "edges",
             f"explode(sequence({limit('array_min', 'x1')}, {limit('array_max', 'x1')})) AS cell_i",
+            f"{limit('array_min', 'y1')} AS j0",
+            f"{limit('array_max', 'y2')} AS j1",
+        )
+        .selectExpr(*attributes, "edges", "cell_i", "explode(sequence(j0, j1)) AS cell_j")
+        .selectExpr(
+            *attributes,
+            "cell_i",
+            "cell_j",
+            f"{low} AS low",
+            f"{high} AS high",
+            f"filter(edges, e -> e.y2 >= {low} AND e.y1 <= {high} AND greatest(e.x1, e.x2) >= {left}) AS reach",
+        )
+        .selectExpr(
+            *attributes,
+            "cell_i",
+            "cell_j",
+            "low",
+            "high",
+            f"filter(reach, e -> least(e.x1, e.x2) <= {right}) AS touching",
+            f"filter(reach, e -> least(e.x1, e.x2) > {right}) AS beyond",
         )
+    )
+    ends = "flatten(transform(touching, e -> array(e.y1, e.y2)))"
+    heights = f"concat(array(low), array_sort(array_distinct(filter({ends}, v -> v > low AND v < high))), array(high))"
+    slabs = (
+        grid.selectExpr("*", f"{heights} AS h")
+        .selectExpr("*", "explode(sequence(0, size(h) - 2)) AS k")
         .selectExpr(
-            "*", f"explode(sequence({limit('array_min', 'y1')}, {limit('array_max', 'y1')})) AS cell_j"
+            *attributes,
+            "cell_i",
+            "cell_j",
+            "touching",
+            "beyond",
+            # The outermost pieces have no limit: the cell number has settled it.
+            f"IF(k = 0, -{_FAR}, h[k]) AS y0",
+            f"IF(k = size(h) - 2, {_FAR}, h[k + 1]) AS y1",
+            "(h[k] + h[k + 1]) / 2 AS mid",
         )
     )
-    side = lambda cell, k, slack: f"({cell} + {k}) * {size!r}D + {slack!r}D"
-    left, right = side("cell_i", 0, -_SLACK), side("cell_i", 1, _SLACK)
-    low, high = side("cell_j", 0, -_SLACK), side("cell_j", 1, _SLACK)
-    # Edges that a ray starting in the cell and going east can cross.
-    reach = (
-        f"filter(edges, e -> greatest(e.y1, e.y2) >= {low} AND least(e.y1, e.y2) <= {high} "
-        f"AND greatest(e.x1, e.x2) >= {left})"
+    slope = "(e.x2 - e.x1) / (e.y2 - e.y1)"
+    line = _LINE.format(at=f"e.x1 + {slope} * (mid - e.y1)", x="e.x1", y="e.y1", s=slope)
+    spans_mid = "e -> e.y1 <= mid AND e.y2 > mid"
+    closed = (
+        f"concat(IF((size(lines) + east) % 2 = 1, array({_WEST_END}), array()), lines, "
+        f"IF(east = 1, array({_EAST_END}), array()))"
     )
-    touched = f"exists(reach, e -> least(e.x1, e.x2) <= {right})"
-    middle = G.inside(f"(({left}) + ({right})) / 2", f"(({low}) + ({high})) / 2", "reach")
+    pairs = "transform(sequence(0, CAST(size(b) / 2 AS INT) - 1), k -> named_struct('l', b[2 * k], 'r', b[2 * k + 1]))"
     return (
-        grid.selectExpr(*attributes, "cell_i", "cell_j", f"{reach} AS reach")
-        .selectExpr("*", f"NOT {touched} AS whole")
-        .filter(f"NOT whole OR {middle}")
-        .selectExpr(*attributes, "cell_i", "cell_j", "whole", "IF(whole, NULL, reach) AS reach")
+        slabs.selectExpr(
+            *attributes,
+            "cell_i",
+            "cell_j",
+            "y0",
+            "y1",
+            f"array_sort(transform(filter(touching, {spans_mid}), e -> {line})) AS lines",
+            f"size(filter(beyond, {spans_mid})) % 2 AS east",
+        )
+        .selectExpr(*attributes, "cell_i", "cell_j", "y0", "y1", f"{closed} AS b")
+        .filter("size(b) > 1")
+        .selectExpr(*attributes, "cell_i", "cell_j", "y0", "y1", f"inline({pairs})")
+        .selectExpr(
+            *attributes, "cell_i", "cell_j", "y0", "y1", *[f"{e}.{c} AS {e}{c}" for e in "lr" for c in "xys"]
+        )
     )
 
 
@@ -82,18 +146,15 @@ def layer(
 ) -> Layer:
     """Prepare a layer and measure it.
 
-    The cells are written once, for all lookups, and their size is one aggregate
-    over them. A layer above the limit is never broadcast: its lookups become
+    The pieces are written once, for all lookups, and counted. A layer above the limit is never broadcast: its lookups become
     shuffle joins on the cell, where adaptive execution splits cells that hold too
     many points.
     """
     attributes = tuple(attributes)
-    cells = computed_once(_cells(boundaries, attributes, cell_degrees, rings))
-    bytes_per_edge, bytes_per_row = 48, 256
-    measured = cells.agg(
-        F.sum(F.lit(bytes_per_row) + F.coalesce(F.size("reach"), F.lit(0)) * bytes_per_edge)
-    ).first()[0]
-    return Layer(cells, attributes, cell_degrees, (measured or 0) <= broadcast_bytes)
+    pieces = computed_once(_pieces(boundaries, attributes, cell_degrees, rings))
+    bytes_per_piece = 256
+    small = pieces.count() * bytes_per_piece <= broadcast_bytes
+    return Layer(pieces, attributes, cell_degrees, small)
 
 
 def locate(
@@ -108,17 +169,20 @@ def locate(
     ``names`` maps layer attributes to output columns. A point in no polygon keeps
     one row with NULLs; a point in several polygons gets one row per polygon.
     """
-    cells = where.cells.selectExpr(
+    limits = ["y0", "y1", *[f"{e}{c}" for e in "lr" for c in "xys"]]
+    pieces = where.pieces.selectExpr(
         "cell_i AS _i",
         "cell_j AS _j",
-        "whole AS _whole",
-        "reach AS _reach",
+        *[f"{c} AS _{c}" for c in limits],
         *[f"{a} AS {out}" for a, out in names.items()],
     )
-    cells = F.broadcast(cells) if where.small else cells.hint("merge")
+    pieces = F.broadcast(pieces) if where.small else pieces.hint("merge")
     size = f"{where.cell_degrees!r}D"
-    hit = f"_i = floor({lon} / {size}) AND _j = floor({lat} / {size}) AND (_whole OR {G.inside(lon, lat, '_reach')})"
-    return points.join(cells, F.expr(hit), "left").drop("_i", "_j", "_whole", "_reach")
+    hit = (
+        f"_i = floor({lon} / {size}) AND _j = floor({lat} / {size}) AND {lat} >= _y0 AND {lat} < _y1 "
+        f"AND {lon} >= _lx + _ls * ({lat} - _ly) AND {lon} < _rx + _rs * ({lat} - _ry)"
+    )
+    return points.join(pieces, F.expr(hit), "left").drop("_i", "_j", *[f"_{c}" for c in limits])
 
 
 def located_points(points: DataFrame, lon: str, lat: str, layers: list[tuple[Layer, dict]]) -> DataFrame:
