@@ -50,9 +50,8 @@ _KIND = {
 }
 
 
-def compare(spark, con, name: str, fn, sql: str, folder: str) -> str | None:
+def compare(con, df, sql: str) -> str | None:
     """None when both sides agree, otherwise what differs."""
-    df = fn(spark, folder)
     got = df.collect()
     cur = con.execute(sql)
     wanted, desc = cur.fetchall(), cur.description
@@ -91,7 +90,7 @@ def main() -> int:
         start = time.time()
         try:
             if name in sqls:
-                problem = compare(spark, con, name, fn, sqls[name], folder)
+                problem = compare(con, fn(spark, folder), sqls[name])
             else:
                 n = fn(spark, folder).count()
                 problem = None if n else "no rows"

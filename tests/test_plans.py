@@ -2,12 +2,8 @@
 
 import re
 
-import pytest
-from pyspark.sql import functions as F
-
 from wardline.operators import bronze
-from wardline.plans import catalog
-from wardline.plans.lake import PERMITS, TRIPS, Lake
+from wardline.plans.lake import TRIPS, Lake
 
 
 def plan(df):
@@ -18,19 +14,6 @@ def formatted(df):
     return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
 
 
-def one_row_cross_joins(text):
-    """Nested-loop joins whose broadcast side is a global aggregate."""
-    return len(re.findall(r"BroadcastNestedLoopJoin BuildRight, (Cross|Inner)", text))
-
-
-@pytest.mark.parametrize("name", sorted(catalog.ENTRIES))
-def test_no_query_pairs_rows_without_a_key(spark, small, name):
-    text = plan(catalog.queries()[name](spark, small))
-    assert "CartesianProduct" not in text
-    assert text.count("BroadcastNestedLoopJoin") == one_row_cross_joins(text)
-    assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
-
-
 def test_date_and_bound_filters_reach_the_scan(spark, small, tmp_path):
     path = str(tmp_path / "raw")
     Lake(spark, small).raw_trips.write.parquet(path)

@@ -33,15 +33,6 @@ def edges(rings: str) -> str:
     return f"flatten(transform(flatten({rings}), ring -> {_ring_edges('ring')}))"
 
 
-def inside(x: str, y: str, edge_list: str) -> str:
-    """Even-odd ray cast to the east. The division only runs where the edge spans the ray."""
-    cut = f"(e.x2 - e.x1) * ({y} - e.y1) / (e.y2 - e.y1) + e.x1"
-    return (
-        f"aggregate({edge_list}, false, (odd, e) -> CASE WHEN (e.y1 > {y}) <> (e.y2 > {y}) "
-        f"THEN odd <> ({x} < {cut}) ELSE odd END)"
-    )
-
-
 def signed_area(edge_list: str) -> str:
     return f"aggregate({edge_list}, 0D, (s, e) -> s + (e.x1 * e.y2 - e.x2 * e.y1) / 2)"
 

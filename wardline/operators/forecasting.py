@@ -203,10 +203,14 @@ def _one_area(spec: ModelSpec):
 def components(series: DataFrame, spec: ModelSpec) -> DataFrame:
     """Holdout and future predictions of every area with enough points.
 
-    ``series`` has ``area, ds, y`` and the regressor columns, one row per (area, ds).
+    ``series`` has ``area, ds, y`` and the regressor columns. Rows of the same area
+    and date are averaged before they are grouped, so a group is never longer than
+    the calendar; too short ones are dropped before any row goes to Python.
     """
-    enough = series.groupBy("area").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= spec.min_points)
-    wanted = series.join(enough.select("area"), "area", "left_semi")
+    values = ["y", *spec.regressor_scales]
+    points = series.groupBy("area", "ds").agg(*[F.avg(v).alias(v) for v in values])
+    enough = points.groupBy("area").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= spec.min_points)
+    wanted = points.join(enough.select("area"), "area", "left_semi")
     return wanted.groupBy("area").applyInPandas(_one_area(spec), COMPONENTS)
 
 

@@ -65,8 +65,12 @@ def apply_upsert(
     Touched days are those of the source and those that matched rows are in now,
     because an update can move a row to another day.
     """
-    spark = source.sparkSession
-    fresh = tables.staged(latest_per_key(source, keys, version))
+    with tables.staged(latest_per_key(source, keys, version)) as fresh:
+        return _merge(fresh, path, keys, partition)
+
+
+def _merge(fresh: DataFrame, path: str, keys: list[str], partition: str) -> Applied:
+    spark = fresh.sparkSession
     if not tables.exists(spark, path):
         tables.overwrite_days(fresh, path, partition)
         return Applied(tables.days_in(fresh, partition), [])
@@ -75,10 +79,10 @@ def apply_upsert(
     touched = sorted({*moved, *tables.days_in(fresh, partition)})
     # The list of days goes into the filter as literals: only these folders are read.
     kept = target.filter(F.col(partition).isin(touched)).join(fresh.select(*keys), keys, "left_anti")
-    merged = tables.staged(kept.unionByName(fresh.select(*kept.columns)))
-    written = tables.days_in(merged, partition)
-    if written:
-        tables.overwrite_days(merged, path, partition)
+    with tables.staged(kept.unionByName(fresh.select(*kept.columns))) as merged:
+        written = tables.days_in(merged, partition)
+        if written:
+            tables.overwrite_days(merged, path, partition)
     emptied = [d for d in touched if d not in set(written)]
     tables.drop_days(spark, path, partition, emptied)
     return Applied(written, emptied)

@@ -134,12 +134,12 @@ def run_traffic_forecast(spark: SparkSession, daily: DataFrame, root: str, cfg:
 
     The metrics table is shared by all models: only this model's rows are replaced.
     """
-    at = Folders(root)
-    series = tables.staged(forecasting.traffic_series(daily, cfg))
-    fitted = tables.staged(forecasting.components(series, forecasting.TRAFFIC))
-    tables.write(forecasting.traffic_forecast(series, fitted, cfg), at.traffic_forecasts, "forecast_date")
-    metrics = forecasting.model_metrics(series, fitted, forecasting.TRAFFIC, cfg, "90-day forecast")
-    _replace_metrics(spark, metrics, at.forecast_metrics, forecasting.TRAFFIC)
+    at, spec = Folders(root), forecasting.TRAFFIC
+    with tables.staged(forecasting.traffic_series(daily, cfg)) as series:
+        with tables.staged(forecasting.components(series, spec)) as fitted:
+            tables.write(forecasting.traffic_forecast(series, fitted, cfg), at.traffic_forecasts, "forecast_date")
+            metrics = forecasting.model_metrics(series, fitted, spec, cfg, f"{spec.horizon}-day forecast")
+            _replace_metrics(spark, metrics, at.forecast_metrics, spec)
 
 
 def run_covid_forecast(
@@ -154,13 +154,16 @@ def run_covid_forecast(
 ) -> None:
     """COVID risk forecasts of one model; forecasts are replaced, metrics kept per model."""
     at = Folders(root)
-    series = tables.staged(forecasting.covid_series(hotspots, start, end, bool(spec.regressor_scales)))
-    fitted = tables.staged(forecasting.components(series, spec))
-    tables.write(forecasting.covid_forecast(series, fitted, cfg, spec, scale), at.covid_forecasts, "forecast_date")
-    _replace_metrics(spark, forecasting.model_metrics(series, fitted, spec, cfg), at.forecast_metrics, spec)
+    with tables.staged(forecasting.covid_series(hotspots, start, end, bool(spec.regressor_scales))) as series:
+        with tables.staged(forecasting.components(series, spec)) as fitted:
+            forecasts = forecasting.covid_forecast(series, fitted, cfg, spec, scale)
+            tables.write(forecasts, at.covid_forecasts, "forecast_date")
+            metrics = forecasting.model_metrics(series, fitted, spec, cfg)
+            _replace_metrics(spark, metrics, at.forecast_metrics, spec)
 
 
 def _replace_metrics(spark: SparkSession, metrics: DataFrame, path: str, spec: forecasting.ModelSpec) -> None:
     ours = F.col("model_name") == F.concat(F.lit(spec.name + "_"), F.col("zip_code"))
     others = tables.read_or_empty(spark, path, metrics).filter(~ours)
-    tables.write(tables.staged(others.unionByName(metrics)), path)
+    with tables.staged(others.unionByName(metrics)) as ready:
+        tables.write(ready, path)

@@ -9,6 +9,8 @@ and the target is only touched by a plain copy of finished rows.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,12 +54,17 @@ def read_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     return spark.createDataFrame([], like.schema)
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """A written copy of ``df`` in the shared folder; stands for the rows from here on."""
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """A written copy of ``df`` in the shared folder, there for the length of the block."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
 
 
 def overwrite_days(df: DataFrame, path: str, partition: str) -> None:
@@ -91,13 +98,13 @@ def replace_range(spark: SparkSession, df: DataFrame, path: str, partition: str,
     Days of the range that ``df`` has no rows for are removed.
     """
     inside = F.col(partition).between(F.lit(start), F.lit(end))
-    ready = staged(df.filter(inside))
-    new_days = days_in(ready, partition)
-    old_days: list[date] = []
-    if exists(spark, path):
-        old_days = days_in(spark.read.parquet(path).filter(inside), partition)
-    if new_days:
-        overwrite_days(ready, path, partition)
+    with staged(df.filter(inside)) as ready:
+        new_days = days_in(ready, partition)
+        old_days: list[date] = []
+        if exists(spark, path):
+            old_days = days_in(spark.read.parquet(path).filter(inside), partition)
+        if new_days:
+            overwrite_days(ready, path, partition)
     drop_days(spark, path, partition, [d for d in old_days if d not in set(new_days)])
 
 

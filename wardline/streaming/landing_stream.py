@@ -43,8 +43,8 @@ def load_new(
             apply_upsert(rows, path, list(dataset.key), "load_day")
             return
         target = tables.read_or_empty(spark, path, rows)
-        fresh = tables.staged(new_rows(target, rows, dataset.key))
-        fresh.write.mode("append").partitionBy("load_day").parquet(path)
+        with tables.staged(new_rows(target, rows, dataset.key)) as fresh:
+            fresh.write.mode("append").partitionBy("load_day").parquet(path)
 
     return (
         stream(spark, folder, dataset)
