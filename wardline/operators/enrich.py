@@ -25,13 +25,11 @@ class Geography:
 
     @staticmethod
     def prepare(cfg: Settings, zips: DataFrame, hoods: DataFrame, areas: DataFrame | None = None):
-        build = lambda df, cols: spatial.layer(df, cols, cfg.cell_degrees, cfg.broadcast_bytes)
         zip_text = zips.withColumn("zip", F.col("zip").cast("string"))
-        return Geography(
-            build(zip_text, ["zip"]),
-            build(hoods, ["pri_neigh", "sec_neigh"]),
-            build(areas, ["area_numbe", "community"]) if areas is not None else None,
-        )
+        parts = [(zip_text, ["zip"]), (hoods, ["pri_neigh", "sec_neigh"])]
+        if areas is not None:
+            parts.append((areas, ["area_numbe", "community"]))
+        return Geography(*spatial.layers(parts, cfg.cell_degrees, cfg.broadcast_bytes))
 
 
 def combine_trips(taxi: DataFrame, tnp: DataFrame, cfg: Settings) -> DataFrame:

@@ -50,16 +50,18 @@ def split_quarantine(landed: DataFrame, files: DataFrame) -> tuple[DataFrame, Da
 
 
 def freshness(files: DataFrame, now: datetime) -> DataFrame:
-    """Latest date, whole hours since the last load, files and rows per data set."""
-    gone = F.floor(
-        (F.lit(int(now.timestamp())) - F.unix_timestamp(F.max("created_at").cast("timestamp"))) / 3600
-    )
+    """Latest date, whole hours since the last load, files and rows per data set.
+
+    ``now`` is a wall time in the zone of the session.
+    """
+    until = F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
+    gone = F.timestamp_diff("SECOND", F.max("created_at").cast("timestamp_ntz"), until) / 3600
     return (
         files.filter("loaded_to_bronze")
         .groupBy("dataset")
         .agg(
             F.max("partition_date").alias("latest_data_date"),
-            gone.cast("long").alias("hours_since_last_load"),
+            F.floor(gone).alias("hours_since_last_load"),
             F.count(F.lit(1)).alias("total_files"),
             F.sum("row_count").alias("total_rows"),
         )

@@ -137,24 +137,39 @@ def _pieces(boundaries: DataFrame, attributes: tuple[str, ...], size: float, rin
     )
 
 
-def layer(
-    boundaries: DataFrame,
-    attributes: list[str] | tuple[str, ...],
-    cell_degrees: float,
-    broadcast_bytes: int,
-    rings: str = "rings",
-) -> Layer:
-    """Prepare a layer and measure it.
-
-    The pieces are written once, for all lookups, and counted. A layer above the limit is never broadcast: its lookups become
-    shuffle joins on the cell, where adaptive execution splits cells that hold too
-    many points.
+def layers(
+    parts: list[tuple[DataFrame, list[str]]], cell_degrees: float, broadcast_bytes: int, rings: str = "rings"
+) -> list[Layer]:
+    """Prepare several layers, each given with the attributes to keep, and measure them.
+
+    The pieces of all layers are written in one job, for all lookups, and counted in
+    another. A layer above the limit is never broadcast: its lookups become shuffle
+    joins on the cell, where adaptive execution splits cells that hold too many
+    points.
     """
-    attributes = tuple(attributes)
-    pieces = computed_once(_pieces(boundaries, attributes, cell_degrees, rings))
+    cut = [
+        _pieces(df, tuple(attributes), cell_degrees, rings).withColumn("layer", F.lit(i))
+        for i, (df, attributes) in enumerate(parts)
+    ]
+    written = computed_once(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), cut))
+    # One row per layer.
+    counts = {r["layer"]: r["count"] for r in written.groupBy("layer").count().collect()}
     bytes_per_piece = 256
-    small = pieces.count() * bytes_per_piece <= broadcast_bytes
-    return Layer(pieces, attributes, cell_degrees, small)
+    return [
+        Layer(
+            written.filter(F.col("layer") == i),
+            tuple(attributes),
+            cell_degrees,
+            counts.get(i, 0) * bytes_per_piece <= broadcast_bytes,
+        )
+        for i, (_, attributes) in enumerate(parts)
+    ]
+
+
+def layer(
+    boundaries: DataFrame, attributes: list[str], cell_degrees: float, broadcast_bytes: int, rings: str = "rings"
+) -> Layer:
+    return layers([(boundaries, attributes)], cell_degrees, broadcast_bytes, rings)[0]
 
 
 def locate(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import date, datetime, timedelta, timezone
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +34,7 @@ from wardline.sources import boundaries, landing
 SCAN = TRIPS.scan_degrees
 YEARS = (2001, 2000, 1999, 1998, 1997, 1996)
 REPLACED = (date(2024, 1, 10), date(2024, 1, 20))
-NOW = datetime(2024, 2, 1, tzinfo=timezone.utc)
+NOW = datetime(2024, 2, 1)
 
 
 def _square_metres(df: DataFrame) -> DataFrame:
