@@ -19,20 +19,18 @@ def group_median(df: DataFrame, keys: list[str], value: str, name: str, interval
     per_group = rows.groupBy(*keys).agg(
         F.expr(f"percentile_approx({value}, array({cuts}), 1000)").alias("_cuts"), F.sum("_n").alias("_total")
     )
-    placed = rows.join(per_group.select(*keys, "_cuts"), keys).withColumn(
-        "_part", F.size(F.filter("_cuts", lambda c: c < F.col(value)))
+    placed = rows.join(per_group, keys).select(
+        *keys, value, "_n", "_total", F.size(F.filter("_cuts", lambda c: c < F.col(value))).alias("_part")
     )
     # At most ``intervals`` rows per group from here to the choice of interval.
-    counted = placed.groupBy(*keys, "_part").agg(F.sum("_n").alias("_in"))
+    counted = placed.groupBy(*keys, "_total", "_part").agg(F.sum("_n").alias("_in"))
     along = Window.partitionBy(*keys).orderBy("_part")
     low, high = F.floor((F.col("_total") - 1) / 2), F.ceil((F.col("_total") - 1) / 2)
-    wanted = (
-        counted.withColumn("_before", F.sum("_in").over(along) - F.col("_in"))
-        .join(per_group.select(*keys, "_total"), keys)
-        .filter((low < F.col("_before") + F.col("_in")) & (high >= F.col("_before")))
+    wanted = counted.withColumn("_before", F.sum("_in").over(along) - F.col("_in")).filter(
+        (low < F.col("_before") + F.col("_in")) & (high >= F.col("_before"))
     )
     inner = Window.partitionBy(*keys, "_part").orderBy(value)
-    ranked = placed.join(wanted.select(*keys, "_part", "_before", "_total"), [*keys, "_part"]).withColumn(
+    ranked = placed.join(wanted.select(*keys, "_part", "_before"), [*keys, "_part"]).withColumn(
         "_last", F.col("_before") + F.sum("_n").over(inner)
     )
     first = F.col("_last") - F.col("_n")

@@ -212,10 +212,10 @@ def spans(boundaries: DataFrame, keys: list[str], scan: float, rings: str = "rin
     """Horizontal pieces of each polygon: (keys, row, column, x0, x1).
 
     One scanline per ``scan`` degrees, taken at its middle. Pieces are cut at
-    column borders ``64 * scan`` wide, so a join on (row, column) only brings
+    column borders ``512 * scan`` wide, so a join on (row, column) only brings
     near neighbours together.
     """
-    column = f"{scan * 64!r}D"
+    column = f"{scan * 512!r}D"
     step = f"{scan!r}D"
     # Scanlines whose middle lies in [low, high) of the edge.
     first = f"ceil(least(e.y1, e.y2) / {step} - 0.5D)"
