@@ -88,3 +88,57 @@ def test_forecast_jobs_share_the_metrics_table(spark, lake, tmp_path):
         "covid_risk_forecast_zip_60601", "covid_risk_forecast_zip_60602", "traffic_forecast_zip_60601", "traffic_forecast_zip_60602",
     ]
     assert spark.read.parquet(f"{root}/traffic_forecasts").count() == 180
+
+
+def test_health_tables_and_stored_risk(spark, lake, tmp_path):
+    root = str(tmp_path)
+    jobs.run_trips(spark, lake.raw("taxi"), lake.raw("tnp"), lake.places, root, TRIPS)
+    jobs.run_health(spark, lake.raw_covid, lake.derived("raw_ccvi"), lake.derived("raw_health"), root, TRIPS)
+    read = lambda t: spark.read.parquet(f"{root}/{t}")
+    assert rows(read("covid_hotspots")) == rows(lake.hotspots)
+    assert rows(read("covid_latest")) == rows(lake.covid_latest)
+    assert rows(read("ccvi_high_risk")) == rows(lake.ccvi)
+    narrow = replace(TRIPS, bounds=replace(TRIPS.bounds, lat_max=41.8))
+    before = read("bronze_tnp").count()
+    jobs.refilter_trips(spark, root, "tnp", narrow)
+    after = read("bronze_tnp")
+    assert 0 < after.count() < before and after.agg(F.max("pickup_centroid_latitude")).first()[0] <= 41.8
+
+
+def test_crosswalk_and_boundary_tables(spark, lake, tmp_path):
+    root = str(tmp_path)
+    jobs.build_crosswalks(lake.areas, lake.zips, lake.hoods, root, TRIPS)
+    assert spark.read.parquet(f"{root}/crosswalk_community_zip").count() == lake.community_zip.count()
+    assert spark.read.parquet(f"{root}/crosswalk_complete").filter("intersection_area <= 1000").count() == 0
+    geo = '{"type":"FeatureCollection","features":[{"type":"Feature","properties":{"zip":"60601"},"geometry":{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]}}]}'
+    (tmp_path / "z.geojson").write_text(geo)
+    for _ in range(2):
+        jobs.load_boundaries(spark, {"zip_code_boundaries": (str(tmp_path / "z.geojson"), {"zip": "int"})}, root)
+    assert [r["zip"] for r in spark.read.parquet(f"{root}/zip_code_boundaries").collect()] == [60601]
+
+
+def test_clean_views_are_stored(spark, lake, tmp_path):
+    root = str(tmp_path)
+    cfg = replace(TRIPS, as_of=date(2024, 1, 20), min_date=date(1996, 1, 1))
+    jobs.materialise_clean_views(lake.raw_permits, lake.raw_covid, lake.raw("taxi"), root, cfg)
+    taxi = spark.read.parquet(f"{root}/taxi_clean_recent_month")
+    assert taxi.count() > 0 and taxi.agg(F.min("trip_date")).first()[0] >= date(2023, 12, 21)
+    kept = spark.read.parquet(f"{root}/permits_clean_materialized").count()
+    # Permits are only created when missing.
+    jobs.materialise_clean_views(lake.raw_permits.limit(3), lake.raw_covid, lake.raw("taxi"), root, cfg)
+    assert spark.read.parquet(f"{root}/permits_clean_materialized").count() == kept > 3
+
+
+def test_dashboard_views_answer_sql(spark, lake):
+    from wardline.plans import views
+
+    made = views.dashboard_views(
+        trips=lake.silver_trips, hourly=lake.hourly, hotspots=lake.hotspots, ccvi=lake.ccvi, permits=lake.silver_permits,
+        loans=lake.loans(1), areas=lake.areas, zips=lake.zips, cfg=PERMITS,
+    )
+    names = views.register(made)
+    assert len(names) == 15
+    for name in names:
+        assert spark.sql(f"SELECT * FROM {name} LIMIT 1").columns == made[name].columns
+    got = spark.sql("SELECT airport_destination, count(*) AS n FROM v_airport_trips GROUP BY 1")
+    assert sum(r["n"] for r in got.collect()) == lake.airport.count()

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.config import Settings
-from wardline.operators import bronze, enrich, forecasting, gold, incremental, reports
-from wardline.sources import tables
+from wardline.operators import bronze, clean, enrich, forecasting, gold, incremental, reports, spatial
+from wardline.sources import boundaries, tables
 
 
 @dataclass(frozen=True)
@@ -129,6 +129,74 @@ def replace_trip_range(
         tables.replace_range(spark, rows, path, "trip_date", start, end)
 
 
+def refilter_trips(spark: SparkSession, root: str, kind: str, cfg: Settings) -> None:
+    """Narrow a stored bronze trip table to the coordinate window."""
+    path = f"{root}/bronze_{kind}"
+    with tables.staged(bronze.refilter_trips(spark.read.parquet(path), cfg)) as ready:
+        tables.write(ready, path, "trip_date", ("pickup_community_area", "dropoff_community_area"))
+
+
+def load_boundaries(spark: SparkSession, sources: dict[str, tuple[str, dict[str, str]]], root: str) -> None:
+    """Boundary files to tables, replacing what is there.
+
+    ``sources`` maps a table name to its file and the attributes to keep.
+    """
+    for name, (path, attributes) in sources.items():
+        tables.write(boundaries.read(spark, path, attributes), f"{root}/{name}")
+
+
+def build_crosswalks(areas: DataFrame, zips: DataFrame, hoods: DataFrame, root: str, cfg: Settings) -> None:
+    at, scan = Folders(root), cfg.scan_degrees
+    tables.write(spatial.community_zip_crosswalk(areas, zips, scan), at.crosswalk_community_zip)
+    tables.write(spatial.community_neighborhood_crosswalk(areas, hoods, scan), at.crosswalk_community_neighborhood)
+    tables.write(spatial.zip_neighborhood_crosswalk(zips, hoods, scan), at.crosswalk_zip_neighborhood)
+    tables.write(spatial.three_way_crosswalk(areas, zips, hoods, scan), at.crosswalk_complete)
+
+
+def run_health(
+    spark: SparkSession, raw_covid: DataFrame, raw_ccvi: DataFrame, raw_health: DataFrame, root: str, cfg: Settings
+) -> None:
+    """Weekly health tables, vulnerability and income, and the weekly risk over the stored trips."""
+    at = Folders(root)
+    tables.write(bronze.covid_cases(raw_covid, cfg), at.bronze_covid, "week_start", ("zip_code",))
+    tables.write(bronze.ccvi(raw_ccvi), at.bronze_ccvi)
+    tables.write(bronze.public_health(raw_health), at.public_health)
+    weekly = spark.read.parquet(at.bronze_covid)
+    tables.write(enrich.covid_latest(weekly, cfg), at.covid_latest)
+    tables.write(enrich.covid_history(weekly, cfg), at.covid_history, "week_start", ("zip_code", "risk_category"))
+    tables.write(enrich.ccvi_high_risk(spark.read.parquet(at.bronze_ccvi)), at.ccvi_high_risk)
+    if tables.exists(spark, at.silver_trips):
+        hotspots = gold.covid_hotspots(
+            spark.read.parquet(at.covid_history),
+            spark.read.parquet(at.silver_trips),
+            spark.read.parquet(at.ccvi_high_risk),
+            cfg,
+        )
+        tables.write(hotspots, at.covid_hotspots, "week_start", ("zip_code", "risk_category"))
+
+
+def materialise_clean_views(
+    raw_permits: DataFrame, raw_covid: DataFrame, raw_taxi: DataFrame, root: str, cfg: Settings
+) -> None:
+    """Stored copies of the cleaned views.
+
+    Permits and health weeks are created when missing; the recent taxi month is replaced.
+    """
+    at = Folders(root)
+    tables.write(
+        clean.permits(raw_permits, cfg),
+        at.permits_clean_materialized,
+        "issue_date_only",
+        ("community_area", "permit_type_category"),
+        mode="ignore",
+    )
+    tables.write(
+        clean.covid(raw_covid, cfg), at.covid_clean_materialized, "week_start_date", ("zip_code",), mode="ignore"
+    )
+    month = clean.recent(clean.taxi(raw_taxi, cfg), "trip_date", cfg)
+    tables.write(month, at.taxi_clean_recent_month, "trip_date", ("pickup_community_area", "time_category"))
+
+
 def run_traffic_forecast(spark: SparkSession, daily: DataFrame, root: str, cfg: Settings) -> None:
     """Traffic forecasts and their metrics.
 
