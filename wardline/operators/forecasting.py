@@ -211,7 +211,10 @@ def components(series: DataFrame, spec: ModelSpec) -> DataFrame:
     points = series.groupBy("area", "ds").agg(*[F.avg(v).alias(v) for v in values])
     enough = points.groupBy("area").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= spec.min_points)
     wanted = points.join(enough.select("area"), "area", "left_semi")
-    return wanted.groupBy("area").applyInPandas(_one_area(spec), COMPONENTS)
+    # The series are small and the fits are not: a fixed number of partitions keeps
+    # adaptive execution from gathering all areas in one task.
+    tasks = 2 * series.sparkSession.sparkContext.defaultParallelism
+    return wanted.repartition(tasks, "area").groupBy("area").applyInPandas(_one_area(spec), COMPONENTS)
 
 
 def skipped(series: DataFrame, spec: ModelSpec) -> DataFrame:

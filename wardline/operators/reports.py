@@ -339,10 +339,11 @@ def zips_of_neighborhood(zip_hood: DataFrame, name: str) -> DataFrame:
 
 
 def distribute(per_zip: DataFrame, community_zip: DataFrame, metric: str, name: str = "distributed_metric") -> DataFrame:
-    """A ZIP-level metric spread over community areas by area share."""
-    part = F.col(metric) * F.round(F.col("pct_of_zip") * 100).cast("long")
+    """A ZIP-level metric spread over community areas by area share; summed per ZIP before it is spread."""
+    total = per_zip.groupBy("zip_code").agg(F.sum(metric).alias("_total"))
+    part = F.col("_total") * F.round(F.col("pct_of_zip") * 100).cast("long")
     return (
-        per_zip.join(community_zip, "zip_code")
+        total.join(community_zip, "zip_code")
         .groupBy("community_area_number", "community_area_name")
         .agg((F.sum(part) / 10000.0).alias(name))
     )

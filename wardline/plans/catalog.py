@@ -29,6 +29,7 @@ from wardline.operators import (
     vulnerability_views,
 )
 from wardline.plans.lake import FORECASTS, HISTORY, PERMITS, TRIPS, Lake
+from wardline.session import computed_once
 from wardline.sources import boundaries, landing
 
 SCAN = TRIPS.scan_degrees
@@ -93,7 +94,7 @@ def _metrics(mode: str) -> Callable[[Lake], DataFrame]:
 
 def _traffic_model(lake: Lake, part: str) -> DataFrame:
     daily = lake.derived("daily_history").withColumnRenamed("zip_code", "pickup_zip")
-    ys = forecasting.traffic_series(daily, HISTORY)
+    ys = computed_once(forecasting.traffic_series(daily, HISTORY))
     fitted = forecasting.components(ys, forecasting.TRAFFIC)
     if part == "metrics":
         return forecasting.model_metrics(ys, fitted, forecasting.TRAFFIC, HISTORY, "90-day forecast")
@@ -105,7 +106,7 @@ def _neighborhood_model(lake: Lake) -> DataFrame:
     daily = lake.derived("daily_history").withColumn(
         "neighborhood", F.concat(F.lit("SIDE "), (F.col("zip_code").cast("int") % 5).cast("string"))
     )
-    ys = forecasting.traffic_series(daily, HISTORY, "neighborhood")
+    ys = computed_once(forecasting.traffic_series(daily, HISTORY, "neighborhood"))
     fitted = forecasting.components(ys, forecasting.TRAFFIC)
     return forecasting.neighborhood_forecast(
         forecasting.traffic_forecast(ys, fitted, HISTORY, area="neighborhood")
@@ -115,7 +116,9 @@ def _neighborhood_model(lake: Lake) -> DataFrame:
 def _risk_model(spec: forecasting.ModelSpec, scale: forecasting.RiskScale) -> Callable[[Lake], DataFrame]:
     def run(lake: Lake) -> DataFrame:
         weekly = lake.derived("weekly_history")
-        ys = forecasting.covid_series(weekly, HISTORY.min_date, HISTORY.as_of, bool(spec.regressor_scales))
+        ys = computed_once(
+            forecasting.covid_series(weekly, HISTORY.min_date, HISTORY.as_of, bool(spec.regressor_scales))
+        )
         return forecasting.covid_forecast(ys, forecasting.components(ys, spec), HISTORY, spec, scale)
 
     return run
