@@ -1,9 +1,10 @@
 """Exact order statistics per group without collecting a group.
 
-A mergeable sketch picks split points per group, rows are counted per (group,
-interval) with map-side combine, and only the interval that holds the wanted rank
-is ordered. The sketch decides where the work happens; the counts decide the
-answer, so the result is exact whatever the sketch error is.
+A mergeable sketch picks two values just below and above the wanted rank, rows are
+counted per (group, side) with map-side combine, and only the side that holds the
+rank, as a rule the narrow middle, is ordered. The sketch decides where the work
+happens; the counts decide the answer, so the result is exact whatever the sketch
+error is.
 """
 
 from __future__ import annotations
@@ -12,17 +13,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def group_median(df: DataFrame, keys: list[str], value: str, name: str, intervals: int = 64) -> DataFrame:
-    """Median with linear interpolation of ``value`` over the rows of each group."""
+def group_median(df: DataFrame, keys: list[str], value: str, name: str, spread: float = 0.005) -> DataFrame:
+    """Median with linear interpolation of ``value`` over the rows of each group.
+
+    ``spread`` is the share of rows the middle reaches to either side of the median.
+    """
     rows = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    cuts = ", ".join(f"{i / intervals!r}D" for i in range(1, intervals))
+    cuts = f"array({0.5 - spread!r}D, {0.5 + spread!r}D)"
     per_group = rows.groupBy(*keys).agg(
-        F.expr(f"percentile_approx({value}, array({cuts}), 1000)").alias("_cuts"), F.sum("_n").alias("_total")
-    )
-    placed = rows.join(per_group, keys).select(
-        *keys, value, "_n", "_total", F.size(F.filter("_cuts", lambda c: c < F.col(value))).alias("_part")
+        F.expr(f"percentile_approx({value}, {cuts}, 10000)").alias("_cuts"), F.sum("_n").alias("_total")
     )
-    # At most ``intervals`` rows per group from here to the choice of interval.
+    above = lambda i: (F.col(value) > F.get("_cuts", F.lit(i))).cast("int")
+    placed = rows.join(per_group, keys).select(*keys, value, "_n", "_total", (above(0) + above(1)).alias("_part"))
+    # At most three rows per group from here to the choice of side.
     counted = placed.groupBy(*keys, "_total", "_part").agg(F.sum("_n").alias("_in"))
     along = Window.partitionBy(*keys).orderBy("_part")
     low, high = F.floor((F.col("_total") - 1) / 2), F.ceil((F.col("_total") - 1) / 2)
