@@ -56,3 +56,14 @@ def test_checkpoints_go_where_the_session_says():
 
     named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: {"spark.checkpoint.dir": "hdfs:///shared"}[key]))
     assert shared_dir(named) == "hdfs:///shared"
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    import pytest
+    from wardline.session import shared_dir
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=context))

@@ -28,17 +28,18 @@ def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8)
 def shared_dir(spark: SparkSession) -> str:
     """Folder that outlives an executor, as named by ``spark.checkpoint.dir``.
 
-    Only a session that names none (a test or a laptop) gets a temporary one.
+    A local session that names none gets a temporary one. On a cluster that would
+    be a folder of one machine, so there the setting is required.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    return tempfile.mkdtemp(prefix="wardline-checkpoint-")
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a shared folder")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="wardline-checkpoint-"))
+    return sc.getCheckpointDir()
 
 
 def computed_once(df: DataFrame) -> DataFrame:
@@ -49,7 +50,8 @@ def computed_once(df: DataFrame) -> DataFrame:
     and a lost executor does not repeat the scan either. Only for results that are
     small beside their input.
     """
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
+    spark = df.sparkSession
+    folder = shared_dir(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
