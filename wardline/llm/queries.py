@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import bpe_codec, secret_scan, token_counts
+from wardline.llm import bpe_codec, chat_format, fingerprints, packing, quality_rules, secret_scan, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,16 +22,38 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(_table(spark, folder, "documents"))
+
+
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality(_table(spark, folder, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one more whose texts look like another template's marks."""
+    more = spark.sql(
+        "SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text "
+        "FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(turn, role)"
+    )
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat_format.read_back(chat_format.windows(turns))
+
+
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secrets(_table(spark, folder, "documents")).drop("masked")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op6_token_counts, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_fingerprints, op4_packing, op5_quality_rules, op6_token_counts, op7_chat_format, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

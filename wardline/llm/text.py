@@ -18,7 +18,7 @@ SLICE_BYTES = 4 << 20
 #: A run of plain white space and the word after it. Cuts fall only before white space.
 _PIECES = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
 #: White space of any other kind, by any library's notion of it.
-_ODD_SPACE = re.compile(
+ODD_SPACE = re.compile(
     "["
     + "".join(
         map(
@@ -70,7 +70,7 @@ def pieces(text: str, long: int = 20_000) -> list[str]:
     A text with white space beyond space, tab and line ends is cut only between an ASCII letter or digit and a
     space, into parts of ``long`` characters or more. Joined together, the pieces are the text.
     """
-    if not _ODD_SPACE.search(text):
+    if not ODD_SPACE.search(text):
         return _PIECES.findall(text)
     out, start = [], 0
     while start < len(text):
