@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import bpe_codec, chat_format, fingerprints, packing, quality_rules, secret_scan, token_counts
+from wardline.llm import bpe_codec, chat_format, fingerprints, packing, quality_rules, secret_scan, token_counts, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(_table(spark, folder, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -53,7 +57,7 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_fingerprints, op4_packing, op5_quality_rules, op6_token_counts, op7_chat_format, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_fingerprints, op3_toxicity, op4_packing, op5_quality_rules, op6_token_counts, op7_chat_format, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
