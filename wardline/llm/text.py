@@ -9,9 +9,12 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from wardline.session import shared_dir
 
+#: Bits of the id filter that travels to the tasks.
+FILTER_BITS = 1 << 23
 #: Text bytes an operator works on at once inside a task.
 SLICE_BYTES = 4 << 20
 
@@ -50,6 +53,24 @@ def tasks_of(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def flagged(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Adds ``_maybe``: false where the long ``column`` is surely not among ``ids`` (one column).
+
+    The filter is at most FILTER_BITS / 64 rows of 64 bits, whatever the number of ids, so it may be broadcast. More
+    ids only let more rows pass.
+    """
+    (name,) = ids.columns
+
+    def slot(c: str) -> str:
+        return f"pmod(xxhash64({c}), {FILTER_BITS}L)"
+
+    bits = ids.selectExpr(f"{slot(name)} div 64 AS _word", f"shiftleft(1L, int({slot(name)} % 64)) AS _bit")
+    bits = staged(bits.groupBy("_word").agg(F.bit_or("_bit").alias("_bits")))
+    joined = rows.withColumn("_word", F.expr(f"{slot(column)} div 64")).join(F.broadcast(bits), "_word", "left")
+    hit = F.expr(f"(shiftrightunsigned(_bits, int({slot(column)} % 64)) & 1L) = 1L")
+    return joined.withColumn("_maybe", F.coalesce(hit, F.lit(False))).drop("_word", "_bits")
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that each holds about ``most`` text bytes, one row at least."""
     for batch in batches:
