@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.llm.hashing import run_hashes
 from wardline.llm.text import flagged, slices, staged
 
 #: Lines whose hashes make one fingerprint, and fingerprints of which a window keeps the least. Every repeated run
@@ -21,38 +20,6 @@ REACH = (GRAM + WINDOW + 1) * LONGEST
 #: Words of a document that one row of matches covers at most, without its reach.
 STRETCH = 4096
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-
-
-@lru_cache(maxsize=1)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2 to the 64."""
-    out = []
-    for b in (_BASE, _BACK):
-        p = np.full(size, b, np.uint64)
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return x ^ (x >> np.uint64(32))
-
-
-def _run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each run values[start:end], the same wherever the run stands."""
-    size = 1 << 16
-    while size < len(values) + 1:
-        size *= 2
-    up, down = _powers(size)
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values.astype(np.uint64) * up[: len(values)], out=sums[1:])
-    return _mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-
-
 def words_of(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words, runs of bytes above the space, and for each word whether a line end follows."""
     b = np.frombuffer(raw, np.uint8)
@@ -69,7 +36,7 @@ def lines_of(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(1, np.int64)
     b = np.frombuffer(raw, np.uint8)
-    hashes = _run_hashes(b, starts, ends)
+    hashes = run_hashes(b, starts, ends)
     last = b[ends - 1]
     closes = newline | (last == 46) | (last == 33) | (last == 63) | (hashes % np.uint64(BREAK) == 0)
     closes[-1] = True
@@ -87,8 +54,8 @@ def winnowed(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     n = len(at) - GRAM
     if n < 1:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    line = _run_hashes(hashes, at[:-1], at[1:])
-    grams = _run_hashes(line, np.arange(n), np.arange(n) + GRAM)
+    line = run_hashes(hashes, at[:-1], at[1:])
+    grams = run_hashes(line, np.arange(n), np.arange(n) + GRAM)
     if n <= WINDOW:
         kept = np.array([np.argmin(grams)])
     else:

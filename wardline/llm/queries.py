@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import bpe_codec, chat_format, fingerprints, packing, quality_rules, secret_scan, token_counts, toxicity
+from wardline.llm import (
+    bpe_codec,
+    chat_format,
+    fingerprints,
+    jaccard_join,
+    line_dedup,
+    packing,
+    quality_rules,
+    secret_scan,
+    token_counts,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -52,12 +63,36 @@ def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.read_back(chat_format.windows(turns))
 
 
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts without later repeated runs, and what was taken out."""
+    done = line_dedup.deduped(_table(spark, folder, "documents"))
+    return done.select("doc_id", "text", "n_chars", "removed_words", "removed_spans")
+
+
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.linked(_table(spark, folder, "documents"), size=4, percent=85)
+
+
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secrets(_table(spark, folder, "documents")).drop("masked")
 
 
+QUERIES = (
+    op1_byte_bpe,
+    op2_fingerprints,
+    op3_toxicity,
+    op4_packing,
+    op5_quality_rules,
+    op6_token_counts,
+    op7_chat_format,
+    op8_line_dedup,
+    op9_jaccard_join,
+    op10_secret_scan,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_fingerprints, op3_toxicity, op4_packing, op5_quality_rules, op6_token_counts, op7_chat_format, op10_secret_scan)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
