@@ -71,8 +71,18 @@ def half_up(value: Column, digits: int) -> Column:
     return F.round(value.cast("decimal(38,12)"), digits).cast("double")
 
 
+def uncut(value: Column) -> Column:
+    """Any quantity as a decimal of twelve places, so that sums do not depend on row order."""
+    return value.cast("decimal(38,12)")
+
+
+def uncut_mean(value: Column) -> Column:
+    """Mean of a quantity that is not money, such as forecasts, scores and miles."""
+    return F.try_divide(F.sum(uncut(value)).cast("double"), F.count(value))
+
+
 def hundredths(value: Column) -> Column:
-    """Money (or miles) as whole hundredths, so that sums do not depend on row order."""
+    """Money as whole hundredths, so that sums do not depend on row order. Not for other quantities: it cuts."""
     return F.round(value * F.lit(100.0)).cast("long")
 
 

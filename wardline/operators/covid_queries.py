@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.config import Settings
-from wardline.functions.columns import exact_mean, first_match, half_up, ratio, tally
+from wardline.functions.columns import first_match, half_up, ratio, tally, uncut_mean
 from wardline.operators.series import previous_value, top_per_group
 
 # Alert levels from most to least severe, mobility bands, city messages.
@@ -96,7 +96,7 @@ def alert_distribution(forecasts: DataFrame, top: int = 5) -> DataFrame:
     keys = ["forecast_date", "alert_level"]
     totals = forecasts.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("zip_count"),
-        half_up(exact_mean(F.col("predicted_risk_score")), 2).alias("avg_risk_score"),
+        half_up(uncut_mean(F.col("predicted_risk_score")), 2).alias("avg_risk_score"),
         half_up(F.avg("predicted_cases_weekly"), 0).alias("avg_cases_per_zip"),
     )
     first = top_per_group(
@@ -138,7 +138,7 @@ def top_risk_zips(forecasts: DataFrame, limit: int = 10) -> DataFrame:
     return (
         forecasts.groupBy("zip_code")
         .agg(
-            half_up(exact_mean(F.col("predicted_risk_score")), 2).alias("avg_12week_risk"),
+            half_up(uncut_mean(F.col("predicted_risk_score")), 2).alias("avg_12week_risk"),
             half_up(F.max("predicted_risk_score"), 2).alias("peak_risk"),
             tally(F.col("alert_level").isin("WARNING", "CRITICAL")).alias("high_alert_weeks"),
             half_up(F.avg("predicted_cases_weekly"), 0).alias("avg_weekly_cases"),
@@ -210,7 +210,7 @@ def weekly_briefing(forecasts: DataFrame) -> DataFrame:
     summary = forecasts.groupBy("forecast_date").agg(
         F.count(F.lit(1)).alias("total_zips"),
         *[tally(level == v).alias(f"{k}_zips") for k, v in named.items()],
-        half_up(exact_mean(F.col("predicted_risk_score")), 2).alias("city_avg_risk"),
+        half_up(uncut_mean(F.col("predicted_risk_score")), 2).alias("city_avg_risk"),
         F.sum("predicted_cases_weekly").alias("total_predicted_cases"),
     )
     return summary.withColumn("week_of", long_date(F.col("forecast_date"))).withColumn(

@@ -17,6 +17,7 @@ from wardline.functions.columns import (
     hundredths,
     month_of,
     tally,
+    uncut,
 )
 from wardline.operators.gold import UNKNOWN
 from wardline.operators.series import running_total
@@ -195,7 +196,8 @@ def cumulative_permits(monthly: DataFrame) -> DataFrame:
 
 def uncertainty_percent(forecasts: DataFrame) -> DataFrame:
     """Mean uncertainty range over mean prediction per ZIP, in percent (a ratio of means)."""
-    width = hundredths(F.col("yhat_upper") - F.col("yhat_lower"))
+    total = lambda c: F.sum(uncut(c)).cast("double")
+    width = total(F.col("yhat_upper") - F.col("yhat_lower"))
     return forecasts.groupBy("zip_code").agg(
-        half_up(F.try_divide(F.sum(width), F.sum(hundredths(F.col("yhat")))) * 100, 2).alias("uncertainty_percent")
+        half_up(F.try_divide(width, total(F.col("yhat"))) * 100, 2).alias("uncertainty_percent")
     )

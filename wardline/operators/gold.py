@@ -16,6 +16,7 @@ from wardline.functions.columns import (
     min_max,
     sunday_week,
     tally,
+    uncut,
 )
 from wardline.operators.quantiles import group_median
 from wardline.session import computed_once
@@ -383,10 +384,10 @@ def daily_trip_metrics(raw: DataFrame, start, end) -> DataFrame:
     )
     is_trip = F.col("part") == "trip"
     pays = {"cash_trips": "Cash", "credit_trips": "Credit Card", "mobile_trips": "Mobile"}
-    amounts = {"total": "trip_total", "miles": "trip_miles", "fare": "fare"}
+    amounts = {"total": hundredths(F.col("trip_total")), "miles": uncut(F.col("trip_miles")), "fare": hundredths(F.col("fare"))}
     per_taxi_or_area = (
         days.select(
-            "date", "payment_type", *[hundredths(F.col(c)).alias(n) for n, c in amounts.items()], F.inline(parts)
+            "date", "payment_type", *[c.alias(n) for n, c in amounts.items()], F.inline(parts)
         )
         .groupBy("date", "part", "area", "taxi")
         .agg(
@@ -400,12 +401,12 @@ def daily_trip_metrics(raw: DataFrame, start, end) -> DataFrame:
         "n", (-F.coalesce(F.col("area").try_cast("long"), F.lit(10**6))).alias("smaller_first")
     )
     top = lambda end_: F.max_by("area", F.when(F.col("part") == end_, whole)).alias(f"top_{end_}_area")
-    mean = lambda a: F.try_divide(F.sum(a), F.sum(f"n_{a}")) / 100.0
+    mean = lambda a: F.try_divide(F.sum(a).cast("double"), F.sum(f"n_{a}"))
     return per_taxi_or_area.groupBy("date").agg(
         F.sum(F.when(is_trip, F.col("n"))).alias("total_trips"),
         (F.sum("total") / 100.0).alias("total_revenue"),
         mean("miles").alias("avg_trip_miles"),
-        mean("fare").alias("avg_fare"),
+        (mean("fare") / 100.0).alias("avg_fare"),
         F.count("taxi").alias("unique_taxis"),
         *[F.sum(k).alias(k) for k in pays],
         top("pickup"),

@@ -51,10 +51,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], version: str |
 
 @dataclass(frozen=True)
 class Applied:
-    """Days a table change wrote and days it emptied."""
+    """Days a table change wrote and days it emptied; None stands for rows without a day."""
 
-    written: list[date]
-    emptied: list[date]
+    written: list[date | None]
+    emptied: list[date | None]
 
 
 def apply_upsert(
@@ -63,7 +63,8 @@ def apply_upsert(
     """Upsert into a partitioned table, rewriting only the days it touches.
 
     Touched days are those of the source and those that matched rows are in now,
-    because an update can move a row to another day.
+    because an update can move a row to another day. Rows without a day have a
+    folder of their own and are merged like any other day's.
     """
     with tables.staged(latest_per_key(source, keys, version)) as fresh:
         return _merge(fresh, path, keys, partition)
@@ -76,9 +77,9 @@ def _merge(fresh: DataFrame, path: str, keys: list[str], partition: str) -> Appl
         return Applied(tables.days_in(fresh, partition), [])
     target = tables.read_or_empty(spark, path, fresh)
     moved = tables.days_in(target.select(*keys, partition).join(fresh.select(*keys), keys, "left_semi"), partition)
-    touched = sorted({*moved, *tables.days_in(fresh, partition)})
+    touched = tables.in_order([*moved, *tables.days_in(fresh, partition)])
     # The list of days goes into the filter as literals: only these folders are read.
-    kept = target.filter(F.col(partition).isin(touched)).join(fresh.select(*keys), keys, "left_anti")
+    kept = target.filter(tables.on_days(partition, touched)).join(fresh.select(*keys), keys, "left_anti")
     with tables.staged(kept.unionByName(fresh.select(*kept.columns))) as merged:
         written = tables.days_in(merged, partition)
         if written:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.config import Bounds, Settings
-from wardline.functions.columns import all_of, exact_mean, half_up, percent, ratio, tally, within
+from wardline.functions.columns import all_of, exact_mean, half_up, percent, ratio, tally, uncut_mean, within
 
 
 def rows() -> Column:
@@ -69,7 +69,7 @@ def taxi_report(recent: DataFrame) -> DataFrame:
     valid = ratio(tally(F.col("data_quality_flag") == "valid"), rows(), 100.0)
     figures = {
         "Total Records (Last 30 Days)": F.format_number(rows(), 0),
-        "Average Trip Miles": two(exact_mean(F.col("trip_miles"))),
+        "Average Trip Miles": two(uncut_mean(F.col("trip_miles"))),
         "Average Fare": F.concat(F.lit("$"), two(exact_mean(F.col("trip_total")))),
         "Valid Data %": F.concat(half_up(valid, 1).cast("decimal(38,1)").cast("string"), F.lit("%")),
     }

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.config import Settings
-from wardline.functions.columns import half_up, hundredths, monday_week, month_of
+from wardline.functions.columns import half_up, monday_week, month_of, uncut, uncut_mean
 
 # The ZIPs the downtown and airport reports are about.
 DOWNTOWN_ZIPS = ("60601", "60611", "60616")
@@ -25,12 +25,11 @@ def _whole(c: str, name: str) -> Column:
 
 
 def _sum(c: str, name: str) -> Column:
-    return half_up(F.sum(hundredths(F.col(c))) / 100.0, 0).alias(name)
+    return half_up(F.sum(uncut(F.col(c))), 0).alias(name)
 
 
 def _mean(c: str, name: str, digits: int = 0) -> Column:
-    value = F.try_divide(F.sum(hundredths(F.col(c))), F.count(c)) / 100.0
-    return half_up(value, digits).alias(name)
+    return half_up(uncut_mean(F.col(c)), digits).alias(name)
 
 
 _RANGE = [("yhat", "predicted_trips"), ("yhat_lower", "lower_bound"), ("yhat_upper", "upper_bound")]
@@ -137,9 +136,7 @@ def uncertainty(forecasts: DataFrame, cfg: Settings, limit: int = 20) -> DataFra
         .groupBy("zip_code")
         .agg(
             _mean("yhat", "avg_prediction"),
-            half_up(F.try_divide(F.sum(hundredths(width)), F.count("yhat")) / 100.0, 0).alias(
-                "avg_uncertainty_range"
-            ),
+            half_up(uncut_mean(width), 0).alias("avg_uncertainty_range"),
             half_up(F.avg(F.try_divide(width, F.col("yhat")) * 100), 1).alias("uncertainty_pct"),
         )
         .filter(F.col("avg_prediction") > 0)
@@ -161,7 +158,7 @@ def day_of_week(forecasts: DataFrame, cfg: Settings, zip_code: str = PATTERN_ZIP
 def month_over_month(forecasts: DataFrame) -> DataFrame:
     """Growth over the calendar month before. A month whose predecessor is missing is not reported."""
     months = forecasts.groupBy("zip_code", month_of(F.col("forecast_date")).alias("forecast_month")).agg(
-        F.sum(hundredths(F.col("yhat"))).alias("trips")
+        F.sum(uncut(F.col("yhat"))).cast("double").alias("trips")
     )
     before = months.select(
         "zip_code",
@@ -175,8 +172,8 @@ def month_over_month(forecasts: DataFrame) -> DataFrame:
         .select(
             "zip_code",
             "forecast_month",
-            half_up(now / 100.0, 0).alias("current_month_trips"),
-            half_up(prev / 100.0, 0).alias("previous_month_trips"),
+            half_up(now, 0).alias("current_month_trips"),
+            half_up(prev, 0).alias("previous_month_trips"),
             half_up(F.try_divide(now - prev, prev) * 100, 1).alias("mom_growth_pct"),
         )
     )

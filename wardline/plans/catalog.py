@@ -48,20 +48,17 @@ def _degrees(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def _box_of(df: DataFrame) -> DataFrame:
-    """Geometry as its west and south limits, to compare with plain numbers."""
+    """Geometry as its four limits, to compare with plain numbers."""
     points = F.flatten(F.flatten("geometry"))
-    return df.withColumns(
-        {
-            "west": half_up(F.array_min(F.transform(points, lambda p: p["x"])), 6),
-            "south": half_up(F.array_min(F.transform(points, lambda p: p["y"])), 6),
-        }
-    ).drop("geometry")
+    x, y = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
+    limits = {"west": F.array_min(x), "south": F.array_min(y), "east": F.array_max(x), "north": F.array_max(y)}
+    return df.withColumns({n: half_up(c, 6) for n, c in limits.items()}).drop("geometry")
 
 
 def _upserted(lake: Lake) -> DataFrame:
-    """Bronze permits up to a month ago, then the increment of the last 30 days with changed fees."""
-    earlier = PERMITS.as_of - timedelta(days=45)
-    target = lake.bronze_permits.filter(F.col("issue_date") <= F.lit(earlier))
+    """Bronze permits up to 30 days ago, then the increment of the last 30 days with changed fees."""
+    first_new = PERMITS.as_of - timedelta(days=PERMITS.increment_days)
+    target = lake.bronze_permits.filter(F.col("issue_date") < F.lit(first_new))
     source = incremental.increment(lake.bronze_permits, target, "issue_date", PERMITS)
     repeated = target.filter(F.col("processing_time") == 7).withColumns(
         {"issue_date": F.lit(PERMITS.as_of), "total_fee": F.lit(1.0)}
@@ -134,7 +131,10 @@ ENTRIES: dict[str, Callable[[Lake], DataFrame]] = {
     ),
     "boundary_validation": lambda l: boundaries.validate_rings(l.areas, "community"),
     "boundary_name_comparison": lambda l: boundaries.compare_names(
-        l.areas, l.derived("raw_health").filter("per_capita_income > 26000"), "community", "community_area_name"
+        l.areas,
+        l.derived("raw_health").select("community_area_name").union(l.derived("hood_boxes").select("pri_neigh")),
+        "community",
+        "community_area_name",
     ),
     # bronze
     "bronze_taxi_trips": lambda l: l.bronze_taxi,
@@ -155,9 +155,7 @@ ENTRIES: dict[str, Callable[[Lake], DataFrame]] = {
     .groupBy("data_quality_flag")
     .agg(F.count(F.lit(1)).alias("trips")),
     "taxi_clean": lambda l: clean.taxi(l.raw("taxi"), TRIPS),
-    "taxi_clean_recent_month": lambda l: clean.recent(clean.taxi(l.raw("taxi"), TRIPS), "trip_date", FORECASTS, 5)
-    .groupBy("trip_date", "time_category")
-    .agg(F.count(F.lit(1)).alias("trips")),
+    "taxi_clean_recent_month": lambda l: clean.recent(clean.taxi(l.raw("taxi"), TRIPS), "trip_date", TRIPS),
     "permits_quality_report": lambda l: quality.permits_report(l.permits_clean, PERMITS),
     "covid_quality_report": lambda l: quality.covid_report(clean.covid(l.raw_covid, TRIPS)),
     "taxi_quality_report": lambda l: quality.taxi_report(
@@ -208,7 +206,9 @@ ENTRIES: dict[str, Callable[[Lake], DataFrame]] = {
     "gold_loan_targets_v1": lambda l: l.loans(1),
     "gold_loan_targets_v2": lambda l: l.loans(2),
     "gold_forecasts": lambda l: gold.baseline_forecast(l.silver_trips),
-    "daily_trip_metrics": lambda l: gold.daily_trip_metrics(l.raw("taxi"), date(2024, 1, 1), date(2024, 1, 31)),
+    "daily_trip_metrics": lambda l: _degrees(
+        gold.daily_trip_metrics(l.raw("taxi"), date(2024, 1, 1), date(2024, 1, 31)), "avg_trip_miles"
+    ),
     "permits_monthly_summary": lambda l: gold.permits_monthly_summary(l.permits_clean),
     "hourly_profile": lambda l: reports.hourly_or_daily_profile(l.hourly),
     "daily_profile": lambda l: reports.hourly_or_daily_profile(l.daily),

@@ -33,6 +33,14 @@ def mean(x: str) -> str:
     return f"CAST(sum({cents(x)}) AS DOUBLE) / count({x}) / 100e0"
 
 
+def uncut(x: str) -> str:
+    return f"sum(CAST({x} AS DECIMAL(38,12)))"
+
+
+def uncut_mean(x: str) -> str:
+    return f"CAST({uncut(x)} AS DOUBLE) / count({x})"
+
+
 def mean2(x: str) -> str:
     return f"round(CAST(sum({cents(x)}) AS DOUBLE) / count({x})) / 100e0"
 
@@ -465,15 +473,15 @@ _AHEAD = f"forecast_date BETWEEN {FORECAST_DAY} AND {FORECAST_DAY}"
 _PLACES = "zip_code, forecast_date"
 _NEXT = f"forecast_date = (SELECT min(forecast_date) FROM covid_forecasts WHERE forecast_date >= {FORECAST_DAY})"
 _SHAPE = "CASE WHEN z.x0 IS NOT NULL THEN {} END"
-_WEST = f"{rnd('z.x0', 6)} AS west, {rnd('z.y0', 6)} AS south"
+_LIMITS = ", ".join(f"{rnd(f'z.{c}', 6)} AS {n}" for c, n in (("x0", "west"), ("y0", "south"), ("x1", "east"), ("y1", "north")))
 
 
 def _avg0(x: str) -> str:
-    return rnd(mean(x), 0)
+    return rnd(uncut_mean(x), 0)
 
 
 def _sum0(x: str) -> str:
-    return rnd(total(x), 0)
+    return rnd(uncut(x), 0)
 
 
 def _w0(x: str) -> str:
@@ -542,7 +550,8 @@ SELECT CAST(zip AS VARCHAR) AS zip_code, {rnd('(x1 - x0) * (y1 - y0) * 111 * 111
     "boundary_name_comparison": """
 SELECT name, CASE WHEN max(l) + max(r) = 2 THEN 'both' WHEN max(l) = 1 THEN 'left only' ELSE 'right only' END AS found_in
 FROM (SELECT upper(community) AS name, 1 AS l, 0 AS r FROM area_boxes
-  UNION ALL SELECT upper(community_area_name), 0, 1 FROM raw_health WHERE per_capita_income > 26000) GROUP BY name""",
+  UNION ALL SELECT upper(community_area_name), 0, 1 FROM raw_health
+  UNION ALL SELECT upper(pri_neigh), 0, 1 FROM hood_boxes) GROUP BY name""",
     "bronze_taxi_trips": "SELECT * FROM bronze_taxi",
     "bronze_tnp_trips": "SELECT * FROM bronze_tnp",
     "bronze_trips_refiltered": """
@@ -560,7 +569,7 @@ SELECT geography_type, community_area_or_zip, round(ccvi_score, 3) AS ccvi_score
     "taxi_quality_flags": "SELECT data_quality_flag, count(*) AS trips FROM taxi_flags GROUP BY 1",
     "taxi_clean": "SELECT * FROM taxi_clean",
     "taxi_clean_recent_month": f"""
-SELECT trip_date, time_category, count(*) AS trips FROM taxi_clean WHERE trip_date >= {FORECAST_DAY} - 5 GROUP BY 1, 2""",
+SELECT * FROM taxi_clean WHERE trip_date >= {AS_OF} - 30""",
     "permits_quality_report": f"""
 SELECT 'Total Records' AS metric, CAST(count(*) AS VARCHAR) AS value, CAST(NULL AS DOUBLE) AS percentage FROM permits_clean
 UNION ALL SELECT 'Records by Quality Flag', data_quality_flag, {pct('count(*)', '(SELECT count(*) FROM permits_clean)')}
@@ -573,7 +582,7 @@ UNPIVOT (SELECT CAST(count(*) AS VARCHAR) AS "Total Records", CAST(count(DISTINC
 ON COLUMNS(*) INTO NAME metric VALUE value""",
     "taxi_quality_report": f"""
 UNPIVOT (SELECT format('{{:,}}', count(*)) AS "Total Records (Last 30 Days)",
-  CAST(CAST({mean('trip_miles')} AS DECIMAL(38,2)) AS VARCHAR) AS "Average Trip Miles",
+  CAST(CAST({uncut_mean('trip_miles')} AS DECIMAL(38,2)) AS VARCHAR) AS "Average Trip Miles",
   '$' || CAST(CAST({mean('trip_total')} AS DECIMAL(38,2)) AS VARCHAR) AS "Average Fare",
   CAST(CAST(100e0 * count(*) FILTER (WHERE data_quality_flag = 'valid') / count(*) AS DECIMAL(38,1)) AS VARCHAR) || '%' AS "Valid Data %"
   FROM taxi_clean WHERE trip_date >= {AS_OF} - 30) ON COLUMNS(*) INTO NAME metric VALUE value""",
@@ -639,7 +648,7 @@ SELECT count(*) AS total_relationships, count(DISTINCT community_area_number) AS
   (SELECT count(*) FROM (SELECT 1 FROM community_zip GROUP BY zip_code HAVING count(DISTINCT community_area_number) > 1)) AS zips_spanning_multiple_areas
 FROM community_zip""",
     "permits_upsert": f"""
-WITH old AS (SELECT * FROM bronze_permits WHERE issue_date <= {P_AS_OF} - 45),
+WITH old AS (SELECT * FROM bronze_permits WHERE issue_date < {P_AS_OF} - 30),
 changed AS (SELECT * REPLACE ({P_AS_OF} AS issue_date, 1e0 AS total_fee) FROM old WHERE processing_time = 7),
 fresh AS (SELECT * FROM bronze_permits WHERE issue_date >= {P_AS_OF} - 30 UNION ALL SELECT * FROM changed)
 SELECT * FROM fresh UNION ALL SELECT * FROM old WHERE id NOT IN (SELECT id FROM fresh)""",
@@ -676,7 +685,7 @@ WITH t AS (SELECT *, CAST(trip_start_timestamp AS DATE) AS d FROM raw_trips WHER
 ends AS (SELECT d, 'p' AS e, pickup_community_area AS area FROM t UNION ALL SELECT d, 'd', dropoff_community_area FROM t),
 ranked AS (SELECT d, e, area, row_number() OVER (PARTITION BY d, e ORDER BY count(*) DESC,
   coalesce(try_cast(area AS BIGINT), 1000000)) AS r FROM ends GROUP BY d, e, area)
-SELECT t.d AS date, count(*) AS total_trips, {total('trip_total')} AS total_revenue, {mean('trip_miles')} AS avg_trip_miles,
+SELECT t.d AS date, count(*) AS total_trips, {total('trip_total')} AS total_revenue, {rnd(uncut_mean('trip_miles'), 6)} AS avg_trip_miles,
   {mean('fare')} AS avg_fare, count(DISTINCT taxi_id) AS unique_taxis,
   count(*) FILTER (WHERE payment_type = 'Cash') AS cash_trips,
   count(*) FILTER (WHERE payment_type = 'Credit Card') AS credit_trips,
@@ -832,7 +841,7 @@ SELECT 'v_fee_analysis' AS view_name, count(*) AS total_zips, {big('sum(permit_c
 SELECT month_start, CAST(sum(permit_count) AS BIGINT) AS permit_count,
   CAST(sum(sum(permit_count)) OVER (ORDER BY month_start) AS BIGINT) AS cumulative_permits FROM monthly GROUP BY month_start""",
     "uncertainty_percent": f"""
-SELECT zip_code, {pct(f"sum({cents('(yhat_upper - yhat_lower)')})", f"sum({cents('yhat')})")} AS uncertainty_percent
+SELECT zip_code, {pct(uncut('(yhat_upper - yhat_lower)'), f"CAST({uncut('yhat')} AS DOUBLE)")} AS uncertainty_percent
 FROM traffic_forecasts GROUP BY 1""",
     "traffic_next_week": f"""
 SELECT zip_code, forecast_date, {_w0('yhat')} AS predicted_trips, {_w0('yhat_lower')} AS lower_bound,
@@ -864,7 +873,7 @@ SELECT model_name, model_version, trained_date, count(*) AS zip_codes_modeled, {
 FROM forecast_metrics WHERE starts_with(model_name, 'traffic_forecast') GROUP BY 1, 2, 3""",
     "traffic_uncertainty": f"""
 SELECT zip_code, {_avg0('yhat')} AS avg_prediction,
-  {rnd(f"CAST(sum({cents('(yhat_upper - yhat_lower)')}) AS DOUBLE) / count(yhat) / 100e0", 0)} AS avg_uncertainty_range,
+  {rnd(uncut_mean('(yhat_upper - yhat_lower)'), 0)} AS avg_uncertainty_range,
   {rnd('avg((yhat_upper - yhat_lower) / nullif(yhat, 0) * 100)', 1)} AS uncertainty_pct
 FROM traffic_forecasts WHERE {_AHEAD} + 30 GROUP BY 1 HAVING {_avg0('yhat')} > 0 ORDER BY 4 DESC, 1 LIMIT 20""",
     "traffic_day_of_week": f"""
@@ -872,10 +881,10 @@ SELECT zip_code, {num('dayofweek(forecast_date) + 1')} AS day_of_week, dayname(f
   {_avg0('yhat')} AS avg_predicted_trips, count(*) AS forecast_days
 FROM traffic_forecasts WHERE {_AHEAD} + 28 AND zip_code = '60601' GROUP BY 1, 2, 3""",
     "traffic_month_over_month": f"""
-WITH m AS (SELECT zip_code, {month('forecast_date')} AS mon, {big(f"sum({cents('yhat')})")} AS s FROM traffic_forecasts GROUP BY 1, 2),
+WITH m AS (SELECT zip_code, {month('forecast_date')} AS mon, CAST({uncut('yhat')} AS DOUBLE) AS s FROM traffic_forecasts GROUP BY 1, 2),
 p AS (SELECT zip_code, mon, s, lag(s) OVER w AS prev, lag(mon) OVER w AS prev_mon FROM m WINDOW w AS (PARTITION BY zip_code ORDER BY mon))
-SELECT zip_code, mon AS forecast_month, {rnd('s / 100e0', 0)} AS current_month_trips, {rnd('prev / 100e0', 0)} AS previous_month_trips,
-  {rnd('CAST(s - prev AS DOUBLE) / prev * 100', 1)} AS mom_growth_pct
+SELECT zip_code, mon AS forecast_month, {rnd('s', 0)} AS current_month_trips, {rnd('prev', 0)} AS previous_month_trips,
+  {rnd('(s - prev) / prev * 100', 1)} AS mom_growth_pct
 FROM p WHERE date_diff('month', prev_mon, mon) = 1""",
     "traffic_airport": f"""
 SELECT zip_code, forecast_date, {_w0('yhat')} AS predicted_trips, {_w0('yhat_lower')} AS lower_bound, {_w0('yhat_upper')} AS upper_bound
@@ -902,7 +911,7 @@ SELECT zip_code, forecast_date, predicted_risk_score, predicted_risk_category, r
 FROM covid_forecasts WINDOW w AS (PARTITION BY zip_code ORDER BY forecast_date)""",
     "covid_alert_distribution": f"""
 WITH r AS (SELECT *, row_number() OVER (PARTITION BY forecast_date, alert_level ORDER BY predicted_risk_score DESC, zip_code) AS k FROM covid_forecasts)
-SELECT forecast_date, alert_level, count(*) AS zip_count, {rnd(mean('predicted_risk_score'), 2)} AS avg_risk_score,
+SELECT forecast_date, alert_level, count(*) AS zip_count, {rnd(uncut_mean('predicted_risk_score'), 2)} AS avg_risk_score,
   {rnd('avg(predicted_cases_weekly)', 0)} AS avg_cases_per_zip,
   string_agg(zip_code, ', ' ORDER BY k) FILTER (WHERE k <= 5) AS top_5_zips FROM r GROUP BY 1, 2""",
     "covid_history_and_forecast": f"""
@@ -910,7 +919,7 @@ SELECT zip_code, week_start AS date, adjusted_risk_score AS actual_risk, 'Histor
 WHERE week_start >= {FORECAST_DAY} - 84
 UNION ALL SELECT zip_code, forecast_date, predicted_risk_score, 'Forecast' FROM covid_forecasts WHERE forecast_date >= {FORECAST_DAY}""",
     "covid_top_risk_zips": f"""
-SELECT zip_code, {rnd(mean('predicted_risk_score'), 2)} AS avg_12week_risk, max(predicted_risk_score) AS peak_risk,
+SELECT zip_code, {rnd(uncut_mean('predicted_risk_score'), 2)} AS avg_12week_risk, {rnd('max(predicted_risk_score)', 2)} AS peak_risk,
   count(*) FILTER (WHERE alert_level IN ('CRITICAL', 'WARNING')) AS high_alert_weeks,
   {rnd('avg(predicted_cases_weekly)', 0)} AS avg_weekly_cases,
   string_agg(DISTINCT predicted_risk_category, ',' ORDER BY predicted_risk_category) AS risk_categories,
@@ -938,17 +947,17 @@ FROM (SELECT forecast_date, strftime(forecast_date, '%A, %B ') || lpad(CAST(day(
     || strftime(forecast_date, ', %Y') AS week_of, count(*) AS total_zips,
   count(*) FILTER (WHERE alert_level = 'CRITICAL') AS critical_zips, count(*) FILTER (WHERE alert_level = 'WARNING') AS warning_zips,
   count(*) FILTER (WHERE alert_level = 'CAUTION') AS caution_zips, count(*) FILTER (WHERE alert_level = 'NONE') AS safe_zips,
-  {rnd(mean('predicted_risk_score'), 2)} AS city_avg_risk, {big('sum(predicted_cases_weekly)')} AS total_predicted_cases
+  {rnd(uncut_mean('predicted_risk_score'), 2)} AS city_avg_risk, {big('sum(predicted_cases_weekly)')} AS total_predicted_cases
   FROM covid_forecasts GROUP BY forecast_date)""",
     "covid_risk_with_geometry": f"""
-SELECT zip_code, forecast_date, predicted_risk_score, predicted_risk_category, alert_level, predicted_cases_weekly, {_WEST}
+SELECT zip_code, forecast_date, predicted_risk_score, predicted_risk_category, alert_level, predicted_cases_weekly, {_LIMITS}
 FROM covid_forecasts LEFT JOIN zip_boxes z ON zip_code = CAST(z.zip AS VARCHAR) WHERE {_NEXT}""",
     "covid_export": "SELECT * FROM covid_forecasts",
     "covid_high_risk_ahead": f"""
 SELECT zip_code, forecast_date, predicted_risk_category, alert_level, alert_message FROM covid_forecasts
 WHERE predicted_risk_category = 'High' AND forecast_date >= {FORECAST_DAY}""",
     "covid_last_alert_map": f"""
-SELECT zip_code, predicted_risk_category, alert_level, alert_message, {_WEST}
+SELECT zip_code, predicted_risk_category, alert_level, alert_message, {_LIMITS}
 FROM covid_forecasts JOIN zip_boxes z ON zip_code = CAST(z.zip AS VARCHAR)
 WHERE forecast_date = (SELECT max(forecast_date) FROM covid_forecasts)""",
     "airport_share_by_source": f"""

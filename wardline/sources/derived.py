@@ -2,7 +2,7 @@
 
 Every text below is plain SQL over ``{events}``, ``{orders}`` and so on. Spark binds
 the names to DataFrames; the checking engine binds them to its own views.
-Values carry at most two decimals where money is meant, and points stay off
+Money has at most two decimals, miles, forecasts and scores have five, and points stay off
 polygon borders, so that results are comparable to the last digit.
 """
 
@@ -22,7 +22,8 @@ SELECT 't' || CAST(event_id AS STRING) AS trip_id,
   CASE WHEN event_id % 107 = 0 THEN 0 WHEN event_id % 109 = 0 THEN 120000
     ELSE 30 + (event_id * 37) % 4000 END AS trip_seconds,
   CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 101 = 0 THEN -1e0
-    WHEN event_id % 103 = 0 THEN 600e0 ELSE floor(value * 10e0) / 100e0 END AS trip_miles,
+    WHEN event_id % 103 = 0 THEN 600e0
+    ELSE (floor(value * 10e0) * 1000e0 + (event_id * 7919) % 499) / 100000e0 END AS trip_miles,
   CASE WHEN event_id % 89 = 0 THEN NULL WHEN event_id % 83 = 0 THEN 1500e0
     WHEN event_id % 79 = 0 THEN -5e0 ELSE 3e0 + floor(value * 25e0) / 100e0 END AS fare,
   CASE WHEN event_id % 73 = 0 THEN -1e0 ELSE 4e0 + floor(value * 33e0) / 100e0 END AS trip_total,
@@ -128,8 +129,9 @@ FROM {nation}
 """
 
 TRAFFIC_FORECASTS = """
-SELECT zip_code, forecast_date, 'daily' AS forecast_type, n * 1e0 AS yhat, n * 8 / 10e0 AS yhat_lower,
-  n * 12 / 10e0 AS yhat_upper, 10e0 + n % 4 AS trend, n % 7 / 10e0 AS yearly, n % 5 / 10e0 AS weekly,
+SELECT zip_code, forecast_date, 'daily' AS forecast_type, (n * 100000 + n * 7919 % 100000) / 100000e0 AS yhat,
+  (n * 80000 + n * 6131 % 10000) / 100000e0 AS yhat_lower, (n * 120000 + n * 3571 % 100000) / 100000e0 AS yhat_upper,
+  10e0 + n % 4 AS trend, n % 7 / 10e0 AS yearly, n % 5 / 10e0 AS weekly,
   DATE '2024-01-09' AS model_trained_date, CAST(400 + n AS BIGINT) AS training_days, 'v1' AS model_version
 FROM (SELECT CAST(CASE user_id % 25 WHEN 22 THEN 60666 WHEN 24 THEN 60018 ELSE 60601 + user_id % 25 END AS STRING) AS zip_code,
         CAST(CAST(ts AS DATE) + INTERVAL '1' DAY * CAST(30 * (event_id % 4) AS INT) AS DATE) AS forecast_date,
@@ -147,7 +149,7 @@ SELECT zip_code, forecast_date, risk AS predicted_risk_score,
     ELSE 'NONE' END AS alert_level,
   'ZIP ' || zip_code AS alert_message, DATE '2024-01-09' AS model_trained_date,
   CAST(60 + n AS BIGINT) AS training_weeks, 'v1' AS model_version
-FROM (SELECT zip_code, forecast_date, n, cases, (n * 7) % 31 / 10e0 AS risk FROM (
+FROM (SELECT zip_code, forecast_date, n, cases, ((n * 7) % 31 * 10000 + (n * 7919) % 10000) / 100000e0 AS risk FROM (
         SELECT CAST(60601 + user_id % 25 AS STRING) AS zip_code,
           CAST(DATE '2024-01-01' + INTERVAL '1' DAY * CAST(7 * (event_id % 12) AS INT) AS DATE) AS forecast_date,
           CAST(count(*) AS BIGINT) AS n,

@@ -9,15 +9,18 @@ and the target is only touched by a plain copy of finished rows.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.session import shared_dir
 
+#: The folder name of rows whose partition value is NULL.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
 
 def write(
     df: DataFrame, path: str, partition: str | None = None, sort: tuple[str, ...] = (), mode: str = "overwrite"
@@ -79,15 +82,26 @@ def overwrite_days(df: DataFrame, path: str, partition: str) -> None:
     )
 
 
-def days_in(df: DataFrame, partition: str) -> list[date]:
-    """Distinct days of a table; as many as the calendar has."""
-    return sorted(r[0] for r in df.select(partition).distinct().collect() if r[0] is not None)
+def days_in(df: DataFrame, partition: str) -> list[date | None]:
+    """Distinct days of a table, as many as the calendar has; None, last, for rows without a day."""
+    return in_order(r[0] for r in df.select(partition).distinct().collect())
+
+
+def in_order(days: Iterable[date | None]) -> list[date | None]:
+    """Distinct days in order, None last."""
+    return sorted(set(days), key=lambda d: (d is None, d or date.min))
+
+
+def on_days(partition: str, days: list[date | None]) -> Column:
+    """True for rows of the given days, None standing for rows without a day. Prunes folders."""
+    dated = F.col(partition).isin([d for d in days if d is not None])
+    return dated | F.col(partition).isNull() if None in days else dated
 
 
-def drop_days(spark: SparkSession, path: str, partition: str, days: list[date]) -> None:
-    """Remove the folders of the given days."""
+def drop_days(spark: SparkSession, path: str, partition: str, days: list[date | None]) -> None:
+    """Remove the folders of the given days; None is the folder of rows without a day."""
     for day in days:
-        fs, p = _fs(spark, f"{path}/{partition}={day.isoformat()}")
+        fs, p = _fs(spark, f"{path}/{partition}={day.isoformat() if day else NO_DAY}")
         if fs.exists(p):
             fs.delete(p, True)
 

@@ -26,7 +26,8 @@ def stream(spark: SparkSession, folder: str, dataset: Dataset, files_per_batch:
 
 
 def _with_day(batch: DataFrame, dataset: Dataset) -> DataFrame:
-    return batch.withColumn("load_day", F.to_date(dataset.day)).filter(F.col("load_day").isNotNull())
+    """Rows whose date does not parse are kept, in the folder of rows without a day."""
+    return batch.withColumn("load_day", F.to_date(dataset.day))
 
 
 def load_new(
