@@ -30,7 +30,8 @@ class ModelSpec:
     """What to fit and how far ahead.
 
     ``growth`` is linear, or logistic between ``floor`` and ``cap``. The penalty of
-    a coefficient is the inverse square of its prior scale.
+    a coefficient is the inverse square of its prior scale. ``suffix`` ends a model's name behind the area.
+    ``changepoints`` are spread over the first four fifths of a series; a shorter one has as many as it can.
     """
 
     name: str
@@ -50,6 +51,8 @@ class ModelSpec:
     start: date | None = None
     train_share: float = 0.8
     mape_mode: str = "positive"
+    suffix: str = ""
+    changepoints: int = 25
 
     @property
     def seasonality_mode(self) -> str:
@@ -74,8 +77,8 @@ COVID_REGRESSORS = ModelSpec(
     mape_mode="floored",
 )
 COVID_RETROSPECTIVE = ModelSpec(
-    "covid_risk_forecast_zip_retrospective",
-    "ridge-logistic-v1",
+    "covid_risk_forecast_zip",
+    "ridge-logistic-v2",
     40,
     156,
     7,
@@ -85,6 +88,7 @@ COVID_RETROSPECTIVE = ModelSpec(
     seasonality_scale=3.0,
     refit_on_all=False,
     start=date(2021, 6, 7),
+    suffix="_retrospective",
 )
 
 COMPONENTS = (
@@ -106,6 +110,29 @@ def _design(days: np.ndarray, origin: float, span: float, knots: np.ndarray, spe
     return cols, slice(0, a), slice(a, b), slice(b, c), slice(c, cols.shape[1])
 
 
+def _curve(v: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(v, -40, 40)))
+
+
+def _bounded_fit(x: np.ndarray, target: np.ndarray, penalty: np.ndarray, solve, steps: int = 30) -> np.ndarray:
+    """Coefficients whose logistic curve is nearest to the target, by damped Gauss-Newton steps.
+
+    The values themselves are fitted, limits included; none is moved to make its log-odds finite.
+    """
+    cost = lambda b: np.sum((target - _curve(x @ b)) ** 2) + penalty @ b**2
+    beta = np.zeros(x.shape[1])
+    for _ in range(steps):
+        at = _curve(x @ beta)
+        slope = x * (at * (1 - at))[:, None]
+        step = solve(slope, target - at + slope @ beta) - beta
+        while np.abs(step).max() > 1e-9 and cost(beta + step) >= cost(beta):
+            step = step / 2
+        beta = beta + step
+        if np.abs(step).max() < 1e-7:
+            break
+    return beta
+
+
 def fit_series(train: pd.DataFrame, future: pd.DataFrame, spec: ModelSpec) -> pd.DataFrame:
     """Penalised least squares of trend bends, seasons and regressors; predicts ``future``."""
     days = lambda s: pd.to_datetime(s).to_numpy().astype("datetime64[D]").astype("float64")
@@ -113,14 +140,11 @@ def fit_series(train: pd.DataFrame, future: pd.DataFrame, spec: ModelSpec) -> pd
     regs = lambda df: df[names].to_numpy("float64") if names else np.zeros((len(df), 0))
     d, df_ = days(train["ds"]), days(future["ds"])
     y = train["y"].to_numpy("float64")
-    if spec.growth == "logistic":
-        share = np.clip((y - spec.floor) / (spec.cap - spec.floor), 0.01, 0.99)
-        target, scale = np.log(share / (1 - share)), 1.0
-    else:
-        scale = float(np.abs(y).max()) or 1.0
-        target = y / scale
+    bounded = spec.growth == "logistic"
+    low, scale = (spec.floor, spec.cap - spec.floor) if bounded else (0.0, float(np.abs(y).max()) or 1.0)
+    target = (y - low) / scale
     origin, span = d.min(), max(d.max() - d.min(), 1.0)
-    knots = np.linspace(0, 0.8, 27)[1:-1] if len(d) > 30 else np.array([])
+    knots = np.linspace(0, 0.8, min(spec.changepoints, max(0, int(0.8 * len(d)) - 1)) + 2)[1:-1]
     x, tr, ye, we, re = _design(d, origin, span, knots, spec, regs(train))
     xf = _design(df_, origin, span, knots, spec, regs(future))[0]
 
@@ -130,10 +154,10 @@ def fit_series(train: pd.DataFrame, future: pd.DataFrame, spec: ModelSpec) -> pd
     penalty[re] = [s**-2 for s in spec.regressor_scales.values()]
     noise = 0.05**2
 
-    def solve(m: np.ndarray) -> np.ndarray:
-        return np.linalg.solve(m.T @ m + noise * np.diag(penalty), m.T @ target)
+    def solve(m: np.ndarray, goal: np.ndarray = target) -> np.ndarray:
+        return np.linalg.solve(m.T @ m + noise * np.diag(penalty), m.T @ goal)
 
-    beta = solve(x)
+    beta = _bounded_fit(x, target, noise * penalty, solve) if bounded else solve(x)
     if spec.multiplicative:
         # Seasons act on the trend: refit with season columns scaled by the trend.
         for _ in range(3):
@@ -149,21 +173,20 @@ def fit_series(train: pd.DataFrame, future: pd.DataFrame, spec: ModelSpec) -> pd
         fitted, raw = trend_d * (1 + season_d) + other_d, trend_f * (1 + yearly + weekly) + other
     else:
         fitted, raw = trend_d + season_d + other_d, trend_f + yearly + weekly + other
-    spread = np.sqrt(np.mean((target - fitted) ** 2)) * Z80
+    shown = _curve if bounded else (lambda v: v)
+    spread = np.sqrt(np.mean((target - shown(fitted)) ** 2)) * Z80
     ahead = np.maximum(df_ - d.max(), 0.0) / span
-    width = spread + np.abs(beta[tr][2:]).mean() * ahead * Z80 if len(knots) else spread + 0 * ahead
-    if spec.growth == "logistic":
-        back = lambda v: spec.floor + (spec.cap - spec.floor) / (1 + np.exp(-v))
-        unit = 1.0
-    else:
-        back, unit = (lambda v: v * scale), scale
-    season_unit = 1.0 if spec.multiplicative else unit
+    drift = np.abs(beta[tr][2:]).mean() * ahead * Z80 if len(knots) else 0 * ahead
+    # A bounded curve and its interval stay between the limits.
+    limit = (lambda v: np.clip(v, 0.0, 1.0)) if bounded else (lambda v: v)
+    back = lambda v, more=0.0: low + scale * limit(shown(v) + more)
+    season_unit = 1.0 if spec.multiplicative or bounded else scale
     return pd.DataFrame(
         {
             "ds": future["ds"].to_numpy(),
             "yhat": back(raw),
-            "yhat_lower": back(raw - width),
-            "yhat_upper": back(raw + width),
+            "yhat_lower": back(raw - drift, -spread),
+            "yhat_upper": back(raw + drift, spread),
             "trend": back(trend_f),
             "yearly": yearly * season_unit,
             "weekly": weekly * season_unit,
@@ -213,15 +236,15 @@ def components(series: DataFrame, spec: ModelSpec) -> DataFrame:
     wanted = points.join(enough.select("area"), "area", "left_semi")
     # The series are small and the fits are not: a fixed number of partitions keeps
     # adaptive execution from gathering all areas in one task.
-    tasks = 2 * series.sparkSession.sparkContext.defaultParallelism
+    tasks = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return wanted.repartition(tasks, "area").groupBy("area").applyInPandas(_one_area(spec), COMPONENTS)
 
 
 def skipped(series: DataFrame, spec: ModelSpec) -> DataFrame:
-    """Areas with too few points to model."""
+    """Areas with too few points to model. Rows of the same date are one point."""
     return (
         series.groupBy("area")
-        .agg(F.count(F.lit(1)).alias("points"))
+        .agg(F.count_distinct("ds").alias("points"))
         .filter(F.col("points") < spec.min_points)
         .withColumn("needed", F.lit(spec.min_points))
     )
@@ -231,7 +254,7 @@ def span_of(series: DataFrame) -> DataFrame:
     return series.groupBy("area").agg(
         F.min("ds").alias("train_start_date"),
         F.max("ds").alias("train_end_date"),
-        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("ds").alias("n"),
     )
 
 
@@ -247,7 +270,7 @@ def model_metrics(series: DataFrame, fitted: DataFrame, spec: ModelSpec, cfg: Se
     )
     records = F.col("n") if spec.refit_on_all else _trained(spec)
     return scored.join(span_of(series), "area").select(
-        F.concat(F.lit(spec.name + "_"), "area").alias("model_name"),
+        F.concat(F.lit(spec.name + "_"), "area", F.lit(spec.suffix)).alias("model_name"),
         F.lit(spec.version).alias("model_version"),
         F.lit(cfg.as_of).alias("trained_date"),
         "train_start_date",

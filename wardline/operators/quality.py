@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.config import Bounds, Settings
-from wardline.functions.columns import all_of, exact_mean, half_up, percent, ratio, tally, uncut_mean, within
+from wardline.functions.columns import all_of, dated, exact_mean, half_up, percent, ratio, tally, uncut_mean, within
 
 
 def rows() -> Column:
@@ -110,12 +110,18 @@ def permit_checks(b: Bounds, max_fee: float) -> list[Check]:
     ]
 
 
-def check_table(df: DataFrame, checks: Sequence[Check], dataset: str, check_date: date) -> DataFrame:
+def check_table(
+    df: DataFrame, checks: Sequence[Check], dataset: str, check_date: date, day: str | None = None
+) -> DataFrame:
     """One row per check with expected and actual percentage, verdict and failed rows.
 
+    With ``day``, only rows of the day before ``check_date`` are checked; without, the whole table.
     Plain checks share one scan. A uniqueness check counts rows per key first, so
     a key that many rows share is combined before the shuffle.
     """
+    if day:
+        before = check_date - timedelta(days=1)
+        df = df.filter(dated(F.col(day), before, before))
     plain = [c for c in checks if c.unique_key is None]
     unique = [c for c in checks if c.unique_key is not None]
     counted = df.agg(

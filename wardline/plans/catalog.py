@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,17 @@ REPLACED = (date(2024, 1, 10), date(2024, 1, 20))
 NOW = datetime(2024, 2, 1)
 
 
+def _daily_checks(lake: Lake, days_ago: int) -> DataFrame:
+    """The checks of one check date, over the day before it."""
+    return quality.check_table(
+        lake.raw_permits,
+        quality.permit_checks(PERMITS.bounds, PERMITS.max_fee),
+        "raw_building_permits",
+        PERMITS.as_of - timedelta(days=days_ago),
+        "issue_date",
+    )
+
+
 def _square_metres(df: DataFrame) -> DataFrame:
     """Areas to whole square metres: the last digits depend on the order of summation."""
     return df.withColumn("intersection_area", half_up(F.col("intersection_area"), 0))
@@ -305,14 +317,9 @@ ENTRIES: dict[str, Callable[[Lake], DataFrame]] = {
     "quality_check_table": lambda l: quality.check_table(
         l.raw_permits, quality.permit_checks(PERMITS.bounds, PERMITS.max_fee), "raw_building_permits", PERMITS.as_of
     ),
+    "quality_check_previous_day": lambda l: _daily_checks(l, 0),
     "quality_check_report": lambda l: quality.check_report(
-        quality.check_table(
-            l.raw_permits,
-            quality.permit_checks(PERMITS.bounds, PERMITS.max_fee),
-            "raw_building_permits",
-            PERMITS.as_of,
-        ),
-        PERMITS,
+        reduce(DataFrame.unionByName, [_daily_checks(l, n) for n in (0, 3, 7, 8, 30)]), PERMITS
     ),
     "quality_load_gates": lambda l: quality.gates(l.raw_permits, PERMITS),
     "quality_expectations": lambda l: quality.expectations(l.raw("taxi"), quality.TAXI_EXPECTATIONS),

@@ -200,14 +200,15 @@ def materialise_clean_views(
 def run_traffic_forecast(spark: SparkSession, daily: DataFrame, root: str, cfg: Settings) -> None:
     """Traffic forecasts and their metrics.
 
-    The metrics table is shared by all models: only this model's rows are replaced.
+    The metrics table is shared by all models and keeps their history: a run replaces only the rows of
+    the same model, version and date.
     """
     at, spec = Folders(root), forecasting.TRAFFIC
     with tables.staged(forecasting.traffic_series(daily, cfg)) as series:
         with tables.staged(forecasting.components(series, spec)) as fitted:
             tables.write(forecasting.traffic_forecast(series, fitted, cfg), at.traffic_forecasts, "forecast_date")
             metrics = forecasting.model_metrics(series, fitted, spec, cfg, f"{spec.horizon}-day forecast")
-            _replace_metrics(spark, metrics, at.forecast_metrics, spec)
+            _replace_metrics(spark, metrics, at.forecast_metrics, spec, cfg.as_of)
 
 
 def run_covid_forecast(
@@ -220,18 +221,22 @@ def run_covid_forecast(
     spec: forecasting.ModelSpec = forecasting.COVID_RETROSPECTIVE,
     scale: forecasting.RiskScale = forecasting.SCALE_3,
 ) -> None:
-    """COVID risk forecasts of one model; forecasts are replaced, metrics kept per model."""
+    """COVID risk forecasts of one model; forecasts are replaced, metrics kept per model, version and date."""
     at = Folders(root)
     with tables.staged(forecasting.covid_series(hotspots, start, end, bool(spec.regressor_scales))) as series:
         with tables.staged(forecasting.components(series, spec)) as fitted:
             forecasts = forecasting.covid_forecast(series, fitted, cfg, spec, scale)
             tables.write(forecasts, at.covid_forecasts, "forecast_date")
             metrics = forecasting.model_metrics(series, fitted, spec, cfg)
-            _replace_metrics(spark, metrics, at.forecast_metrics, spec)
+            _replace_metrics(spark, metrics, at.forecast_metrics, spec, cfg.as_of)
 
 
-def _replace_metrics(spark: SparkSession, metrics: DataFrame, path: str, spec: forecasting.ModelSpec) -> None:
-    ours = F.col("model_name") == F.concat(F.lit(spec.name + "_"), F.col("zip_code"))
+def _replace_metrics(spark: SparkSession, metrics: DataFrame, path: str, spec: forecasting.ModelSpec, trained: date) -> None:
+    ours = (
+        (F.col("model_name") == F.concat(F.lit(spec.name + "_"), F.col("zip_code"), F.lit(spec.suffix)))
+        & (F.col("model_version") == spec.version)
+        & (F.col("trained_date") == F.lit(trained))
+    )
     others = tables.read_or_empty(spark, path, metrics).filter(~ours)
     with tables.staged(others.unionByName(metrics)) as ready:
         tables.write(ready, path)

@@ -77,6 +77,27 @@ def month(x: str) -> str:
     return f"CAST(date_trunc('month', {x}) AS DATE)"
 
 
+def _checks(check_date: str, rows: str) -> str:
+    return f"""
+SELECT {check_date} AS check_date, 'raw_building_permits' AS dataset_name, check_name, check_type, expected_value,
+  {pct('good', 'seen')} AS actual_value, CAST(good AS DOUBLE) / seen >= bar AS passed, seen AS row_count,
+  seen - good AS failed_row_count
+FROM (SELECT 'permit_number_not_null' AS check_name, 'completeness' AS check_type, 100e0 AS expected_value,
+    0.95e0 AS bar, count(permit_) AS good, count(*) AS seen FROM {rows}
+  UNION ALL SELECT 'coordinates_present', 'completeness', 90e0, 0.8e0,
+    count(*) FILTER (WHERE latitude IS NOT NULL AND longitude IS NOT NULL), count(*) FROM {rows}
+  UNION ALL SELECT 'coordinates_valid_range', 'validity', 95e0, 0.95e0,
+    count(*) FILTER (WHERE {box('latitude', 'longitude')}), count(latitude) FROM {rows}
+  UNION ALL SELECT 'total_fee_reasonable', 'validity', 98e0, 0.95e0,
+    count(*) FILTER (WHERE total_fee BETWEEN 0 AND 1e7), count(total_fee) FROM {rows}
+  UNION ALL SELECT 'permit_number_unique', 'uniqueness', 100e0, 1e0, count(DISTINCT permit_), count(*) FROM {rows})"""
+
+
+def _checks_before(days_ago: int) -> str:
+    day = f"{P_AS_OF} - {days_ago}"
+    return _checks(f"CAST({day} AS DATE)", f"(SELECT * FROM raw_permits WHERE CAST(issue_date AS DATE) = CAST({day} - 1 AS DATE)) AS d")
+
+
 def _bronze_trips(kind: str) -> str:
     share = (
         "CAST(NULL AS BOOLEAN) AS shared_trip_authorized, CAST(0 AS BIGINT) AS trips_pooled"
@@ -454,19 +475,7 @@ SELECT zip_code, count(*) AS permit_count, {total('total_fee')} AS total_fees_co
   avg(processing_time) AS avg_processing_days,
   {', '.join(f"count(*) FILTER (WHERE permit_year = {y}) AS permits_{y}" for y in (2001, 2000, 1999, 1998, 1997, 1996))}
 FROM timeline WHERE zip_code IS NOT NULL GROUP BY zip_code""",
-    "checks": f"""
-SELECT {P_AS_OF} AS check_date, 'raw_building_permits' AS dataset_name, check_name, check_type, expected_value,
-  {pct('good', 'seen')} AS actual_value, CAST(good AS DOUBLE) / seen >= bar AS passed, seen AS row_count,
-  seen - good AS failed_row_count
-FROM (SELECT 'permit_number_not_null' AS check_name, 'completeness' AS check_type, 100e0 AS expected_value,
-    0.95e0 AS bar, count(permit_) AS good, count(*) AS seen FROM raw_permits
-  UNION ALL SELECT 'coordinates_present', 'completeness', 90e0, 0.8e0,
-    count(*) FILTER (WHERE latitude IS NOT NULL AND longitude IS NOT NULL), count(*) FROM raw_permits
-  UNION ALL SELECT 'coordinates_valid_range', 'validity', 95e0, 0.95e0,
-    count(*) FILTER (WHERE {box('latitude', 'longitude')}), count(latitude) FROM raw_permits
-  UNION ALL SELECT 'total_fee_reasonable', 'validity', 98e0, 0.95e0,
-    count(*) FILTER (WHERE total_fee BETWEEN 0 AND 1e7), count(total_fee) FROM raw_permits
-  UNION ALL SELECT 'permit_number_unique', 'uniqueness', 100e0, 1e0, count(DISTINCT permit_), count(*) FROM raw_permits)""",
+    "checks": _checks(P_AS_OF, "raw_permits"),
 }
 
 _AHEAD = f"forecast_date BETWEEN {FORECAST_DAY} AND {FORECAST_DAY}"
@@ -1002,7 +1011,10 @@ SELECT community_area_name, unemployment, below_poverty_level AS poverty_rate, p
 FROM raw_health h LEFT JOIN silver_permits p ON p.community_area = h.community_area
 GROUP BY 1, 2, 3, 4 ORDER BY 2 DESC, 3 DESC, 1 LIMIT 5""",
     "quality_check_table": "SELECT * FROM checks",
-    "quality_check_report": "SELECT *, CASE WHEN passed THEN '✅ PASS' ELSE '❌ FAIL' END AS status FROM checks",
+    "quality_check_previous_day": _checks_before(0),
+    "quality_check_report": "SELECT *, CASE WHEN passed THEN '✅ PASS' ELSE '❌ FAIL' END AS status FROM ("
+    + " UNION ALL ".join(_checks_before(n) for n in (0, 3, 7))
+    + ")",
     "quality_load_gates": f"""
 SELECT name, severity, threshold, {rnd('v', 6)} AS actual_value, CASE WHEN name = 'non_zero_record_count' THEN v >= threshold ELSE v <= threshold END AS passed
 FROM (SELECT 'non_zero_record_count' AS name, 'CRITICAL' AS severity, 1e0 AS threshold, CAST(count(*) AS DOUBLE) AS v FROM raw_permits
