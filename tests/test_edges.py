@@ -313,3 +313,14 @@ def test_investment_areas_keep_areas_without_permits(spark):
     health = spark.createDataFrame([(1, "ONE", 9.0, 5.0, 1.0), (2, "TWO", 8.0, 5.0, 1.0), (3, "NO", None, 5.0, 1.0)], "community_area long, community_area_name string, unemployment double, below_poverty_level double, per_capita_income double")
     out = reports.investment_areas(health, permit(spark, {"community_area": 2, "total_fee": 7.5})).collect()
     assert [(r["community_area_name"], r["total_permits"], r["total_fees_charged"]) for r in out] == [("ONE", 0, None), ("TWO", 1, 7.5)]
+
+
+def test_forecast_sums_keep_all_digits(spark):
+    from datetime import date, timedelta
+
+    from wardline.operators import traffic_queries
+
+    rows = [("60601", date(2024, 4, 1) + timedelta(days=i), 100.0, 90.1234, 120.1488, 10.0) for i in range(30)]
+    frame = spark.createDataFrame(rows, "zip_code string, forecast_date date, yhat double, yhat_lower double, yhat_upper double, trend double")
+    row = traffic_queries.monthly(frame).first()
+    assert row["monthly_upper_bound"] == 3604.0 and row["monthly_lower_bound"] == 2704.0

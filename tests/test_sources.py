@@ -200,3 +200,31 @@ def test_stream_loads_each_file_once(spark, tmp_path, update):
     assert load() == [("t1", 12.5)]
     dump(tmp_path / "in" / "2024-01-06" / "b.json", [{**TRIP, "fare": "20"}, {**TRIP, "trip_id": "t2", "trip_start_timestamp": "2024-01-06T01:00:00"}])
     assert load() == [("t1", 20.0 if update else 12.5), ("t2", 12.5)]
+
+
+def test_undated_rows_are_merged_like_a_day_of_their_own(spark, tmp_path):
+    path = str(tmp_path / "t")
+    incremental.apply_upsert(table(spark, [("a", D1, 1), ("b", None, 1), ("c", None, 1)]), path, ["id"], "day")
+    assert content_of(spark, path) == {"a": (D1, 1), "b": (None, 1), "c": (None, 1)}
+    # A new undated row, one that gets a day and one that loses it.
+    done = incremental.apply_upsert(table(spark, [("d", None, 2), ("b", D2, 2), ("a", None, 2)]), path, ["id"], "day")
+    assert content_of(spark, path) == {"a": (None, 2), "b": (D2, 2), "c": (None, 1), "d": (None, 2)}
+    assert done.written == [D2, None] and done.emptied == [D1]
+    done = incremental.apply_upsert(table(spark, [(k, D3, 3) for k in "abcd"]), path, ["id"], "day")
+    assert content_of(spark, path) == {k: (D3, 3) for k in "abcd"} and done.emptied == [D2, None]
+
+
+def content_of(spark, path):
+    """Rows by key; each key once."""
+    rows = spark.read.schema("id string, v int, day date").parquet(path).collect()
+    assert len({r["id"] for r in rows}) == len(rows)
+    return {r["id"]: (r["day"], r["v"]) for r in rows}
+
+
+@pytest.mark.parametrize("update", [False, True])
+def test_stream_keeps_undated_rows(spark, tmp_path, update):
+    folder, path, seen = (str(tmp_path / n) for n in ("in", "out", "seen"))
+    dump(tmp_path / "in" / "a.json", [TRIP, {**TRIP, "trip_id": "t2", "trip_start_timestamp": "not a date"}])
+    landing_stream.load_new(spark, folder, landing.TAXI, path, seen, update).awaitTermination()
+    rows = spark.read.parquet(path).collect()
+    assert sorted((r["trip_id"], r["load_day"] is None) for r in rows) == [("t1", False), ("t2", True)]
