@@ -16,6 +16,7 @@ from wardline.llm import (
     packing,
     quality_rules,
     secret_scan,
+    sql,
     token_counts,
     toxicity,
 )
@@ -96,4 +97,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(sql.TEXTS)
