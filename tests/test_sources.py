@@ -1,7 +1,7 @@
 """Landing files, boundaries and partitioned tables on disk."""
 
 import json
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -228,3 +228,25 @@ def test_stream_keeps_undated_rows(spark, tmp_path, update):
     landing_stream.load_new(spark, folder, landing.TAXI, path, seen, update).awaitTermination()
     rows = spark.read.parquet(path).collect()
     assert sorted((r["trip_id"], r["load_day"] is None) for r in rows) == [("t1", False), ("t2", True)]
+
+
+def test_manifest_feeds_the_reports_about_it(spark, tmp_path):
+    import hashlib
+
+    dump(tmp_path / "d" / "good.json", [TRIP])
+    dump(tmp_path / "d" / "bad.json", [{**TRIP, "trip_id": None, "fare": None}, TRIP])
+    raw = spark.read.schema(landing.TAXI.read_schema).json(str(tmp_path / "d"))
+    uris = {r[0].rsplit("/", 1)[1]: r[0] for r in raw.select("_metadata.file_path").distinct().collect()}
+    loads = spark.createDataFrame([(uris["good.json"], "raw_taxi", 1)], "file_uri string, bronze_table string, bronze_rows_loaded long")
+    sums = lineage.checksums(spark.read.format("binaryFile").load(str(tmp_path / "d")))
+    rules = {"id_missing": F.col("trip_id").isNull(), "fare_missing": F.col("fare").isNull(), "day_missing": F.col("trip_start_timestamp").isNull()}
+    files = lineage.manifest(raw, "taxi", "trip_start_timestamp", rules, datetime(2024, 2, 1), "v1", checks=sums, loads=loads)
+    assert files.columns == list(lineage.MANIFEST)
+    got = {r["file_uri"].rsplit("/", 1)[1]: r for r in files.collect()}
+    good, bad = got["good.json"], got["bad.json"]
+    assert good["loaded_to_bronze"] and good["processing_stage"] == "bronze" and good["validation_checks_passed"] == 3
+    assert bad["quarantine_reason"] == "id_missing: 1 rows, fare_missing: 1 rows" and not bad["loaded_to_bronze"]
+    assert {n: r["sha256_checksum"] for n, r in got.items()} == {n: hashlib.sha256((tmp_path / "d" / n).read_bytes()).hexdigest() for n in got}
+    assert lineage.freshness(files, datetime(2030, 1, 1)).first()["total_files"] == 1
+    missing = lineage.missing_dates(files, "taxi", date(2024, 1, 4), date(2024, 1, 6))
+    assert sorted(r[0] for r in missing.collect()) == [date(2024, 1, 4), date(2024, 1, 6)]
