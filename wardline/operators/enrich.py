@@ -180,6 +180,15 @@ def ccvi_high_risk(bronze: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- enriched raw data sets
 
 
+def wards_and_tracts(
+    wards: DataFrame, tracts: DataFrame, cfg: Settings
+) -> list[tuple[spatial.Layer, dict[str, str]]]:
+    """Ward and census tract layers with the columns they add to a point."""
+    parts = [(wards, ["ward", "alderman"]), (tracts, ["tractce10"])]
+    ward, tract = spatial.layers(parts, cfg.cell_degrees, cfg.broadcast_bytes)
+    return [(ward, {"ward": "ward_number", "alderman": "alderman_name"}), (tract, {"tractce10": "census_tract"})]
+
+
 def permits_verified(
     raw: DataFrame,
     geo: Geography,
@@ -188,7 +197,7 @@ def permits_verified(
 ) -> DataFrame:
     """Raw permits with the places their coordinates fall in, and whether the reported area agrees.
 
-    ``more`` takes further layers, such as wards or census tracts, with the columns to add.
+    ``more`` takes further layers with the columns to add, such as those of ``wards_and_tracts``.
     """
     kept = raw.filter(within(F.col("latitude"), F.col("longitude"), cfg.bounds))
     layers = [

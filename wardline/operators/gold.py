@@ -40,6 +40,15 @@ def trips_by_zip(trips: DataFrame, grain: str, require_zips: bool = True) -> Dat
     )
 
 
+def trips_by_neighborhood(trips: DataFrame) -> DataFrame:
+    """Trips per pickup neighborhood and day, which the neighborhood forecast starts from."""
+    return (
+        trips.filter(F.col("pickup_neighborhood").isNotNull())
+        .groupBy(F.col("pickup_neighborhood").alias("neighborhood"), "trip_date")
+        .agg(F.count(F.lit(1)).alias("trip_count"))
+    )
+
+
 def route_pairs(trips: DataFrame, limit: int = 10) -> DataFrame:
     """Routes of rank ``limit`` or better by trip count, ties kept.
 

@@ -188,6 +188,9 @@ ENTRIES: dict[str, Callable[[Lake], DataFrame]] = {
         "zip_code_verified",
         "neighborhood_name",
         "secondary_neighborhood",
+        "ward_number",
+        "alderman_name",
+        "census_tract",
     ),
     "covid_enriched": lambda l: l.covid_enriched,
     "taxi_trips_with_geography": lambda l: _metres(enrich.trips_with_geography(l.raw("taxi"), l.all_places, TRIPS)),
@@ -211,6 +214,7 @@ ENTRIES: dict[str, Callable[[Lake], DataFrame]] = {
     # gold
     "gold_taxi_hourly_by_zip": lambda l: l.hourly,
     "gold_taxi_daily_by_zip": lambda l: l.daily,
+    "gold_taxi_daily_by_neighborhood": lambda l: l.daily_by_neighborhood,
     "gold_route_pairs": lambda l: gold.route_pairs(l.silver_trips),
     "gold_permits_roi": lambda l: l.permits_roi,
     "gold_weekly_mobility": lambda l: gold.weekly_mobility(l.silver_trips),

@@ -89,6 +89,10 @@ class Lake:
     def daily(self) -> DataFrame:
         return gold.trips_by_zip(self.silver_trips, "day")
 
+    @cached_property
+    def daily_by_neighborhood(self) -> DataFrame:
+        return gold.trips_by_neighborhood(self.silver_trips)
+
     @cached_property
     def airport(self) -> DataFrame:
         return mobility_views.airport_trips(self.silver_trips)
@@ -117,7 +121,9 @@ class Lake:
 
     @cached_property
     def permits_verified(self) -> DataFrame:
-        return enrich.permits_verified(self.raw_permits, self.all_places, PERMITS)
+        wards, tracts = (boundaries.from_boxes(self.derived(n)) for n in ("ward_boxes", "tract_boxes"))
+        more = enrich.wards_and_tracts(wards, tracts, PERMITS)
+        return enrich.permits_verified(self.raw_permits, self.all_places, PERMITS, more)
 
     @cached_property
     def permits_roi(self) -> DataFrame:

@@ -316,8 +316,10 @@ LEFT JOIN (SELECT * FROM zip_hood WHERE is_primary_neighborhood) h USING (zip_co
     "verified": f"""
 SELECT p.*, a.area_numbe AS verified_community_area, a.community AS community_area_name_verified,
   coalesce(p.community_area = a.area_numbe, FALSE) AS community_area_matches, CAST(z.zip AS VARCHAR) AS zip_code_verified,
-  h.pri_neigh AS neighborhood_name, h.sec_neigh AS secondary_neighborhood
+  h.pri_neigh AS neighborhood_name, h.sec_neigh AS secondary_neighborhood, w.ward AS ward_number,
+  w.alderman AS alderman_name, t.tractce10 AS census_tract
 FROM raw_permits p LEFT JOIN area_boxes a ON {inside('a', 'longitude', 'latitude')}
+LEFT JOIN ward_boxes w ON {inside('w', 'longitude', 'latitude')} LEFT JOIN tract_boxes t ON {inside('t', 'longitude', 'latitude')}
 LEFT JOIN zip_boxes z ON {inside('z', 'longitude', 'latitude')}
 LEFT JOIN hood_boxes h ON {inside('h', 'longitude', 'latitude')} WHERE {box('latitude', 'longitude')}""",
     "mobility": f"""
@@ -602,7 +604,7 @@ UNPIVOT (SELECT format('{{:,}}', count(*)) AS "Total Records (Last 30 Days)",
     "silver_ccvi_high_risk": "SELECT * FROM ccvi",
     "permits_enriched": """
 SELECT id, community_area, verified_community_area, community_area_name_verified, community_area_matches,
-  zip_code_verified, neighborhood_name, secondary_neighborhood FROM verified""",
+  zip_code_verified, neighborhood_name, secondary_neighborhood, ward_number, alderman_name, census_tract FROM verified""",
     "covid_enriched": "SELECT * FROM covid_enriched",
     "taxi_trips_with_geography": f"""
 SELECT trip_id, trip_start_timestamp, trip_end_timestamp, trip_miles, trip_total, a.community AS pickup_community_area,
@@ -1011,6 +1013,9 @@ SELECT community_area_name, unemployment, below_poverty_level AS poverty_rate, p
 FROM raw_health h LEFT JOIN silver_permits p ON p.community_area = h.community_area
 GROUP BY 1, 2, 3, 4 ORDER BY 2 DESC, 3 DESC, 1 LIMIT 5""",
     "quality_check_table": "SELECT * FROM checks",
+    "gold_taxi_daily_by_neighborhood": """
+SELECT pickup_neighborhood AS neighborhood, trip_date, count(*) AS trip_count FROM silver_trips
+WHERE pickup_neighborhood IS NOT NULL GROUP BY 1, 2""",
     "quality_check_previous_day": _checks_before(0),
     "quality_check_report": "SELECT *, CASE WHEN passed THEN '✅ PASS' ELSE '❌ FAIL' END AS status FROM ("
     + " UNION ALL ".join(_checks_before(n) for n in (0, 3, 7))

@@ -109,6 +109,20 @@ SELECT r_name AS pri_neigh, r_name || ' SIDE' AS sec_neigh,
 FROM {region}
 """
 
+WARD_BOXES = """
+SELECT n_nationkey + 1 AS ward, 'Member for ' || n_name AS alderman,
+  -87.96e0 + (n_nationkey % 5) * 0.09e0 AS x0, -87.96e0 + (n_nationkey % 5 + 1) * 0.09e0 AS x1,
+  41.58e0 + floor(n_nationkey / 5e0) * 0.11e0 AS y0, 41.58e0 + (floor(n_nationkey / 5e0) + 1) * 0.11e0 AS y1
+FROM {nation}
+"""
+
+TRACT_BOXES = """
+SELECT CAST(10000 + n_nationkey * 100 AS STRING) AS tractce10,
+  -87.94e0 + (n_nationkey % 5) * 0.08e0 AS x0, -87.94e0 + (n_nationkey % 5 + 1) * 0.08e0 AS x1,
+  41.63e0 + floor(n_nationkey / 5e0) * 0.09e0 AS y0, 41.63e0 + (floor(n_nationkey / 5e0) + 1) * 0.09e0 AS y1
+FROM {nation}
+"""
+
 RAW_CCVI = """
 SELECT kind AS geography_type, place AS community_area_or_zip, max(score) AS ccvi_score,
   CASE WHEN max(score) >= 30e0 THEN 'HIGH' WHEN max(score) >= 15e0 THEN 'MEDIUM' ELSE 'LOW' END AS ccvi_category,
@@ -214,6 +228,8 @@ TEXTS = {
     "zip_boxes": ZIP_BOXES,
     "area_boxes": AREA_BOXES,
     "hood_boxes": HOOD_BOXES,
+    "ward_boxes": WARD_BOXES,
+    "tract_boxes": TRACT_BOXES,
     "raw_ccvi": RAW_CCVI,
     "raw_health": RAW_HEALTH,
     "traffic_forecasts": TRAFFIC_FORECASTS,
