@@ -88,11 +88,28 @@ def covid_cases(raw: DataFrame, cfg: Settings) -> DataFrame:
     )
 
 
+# Output columns in their order.
 PERMIT_COLUMNS = (
-    "id permit_ permit_status permit_type application_start_date issue_date processing_time street_number "
-    "street_direction street_name work_type work_description permit_condition total_fee reported_cost pin_list "
-    "community_area latitude longitude"
-).split()
+    "id",
+    "permit_",
+    "permit_status",
+    "permit_type",
+    "application_start_date",
+    "issue_date",
+    "processing_time",
+    "street_number",
+    "street_direction",
+    "street_name",
+    "work_type",
+    "work_description",
+    "permit_condition",
+    "total_fee",
+    "reported_cost",
+    "pin_list",
+    "community_area",
+    "latitude",
+    "longitude",
+)
 
 
 def building_permits(raw: DataFrame, cfg: Settings) -> DataFrame:

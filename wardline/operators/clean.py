@@ -44,32 +44,144 @@ FARE_BANDS = [(10, "$0-10"), (20, "$10-20"), (30, "$20-30"), (50, "$30-50")]
 FARE_ABOVE = "$50+"
 VALID = "valid"
 
+# Output columns in their order.
 _PERMIT_OUTPUT = (
-    "permit_ id row_id issue_date issue_date_only issue_year issue_month issue_quarter issue_day_of_week "
-    "issue_month_name application_start_date processing_days permit_type permit_type_category review_type "
-    "permit_status permit_milestone work_type work_description permit_condition street_number street_direction "
-    "street_name latitude longitude community_area census_tract ward xcoordinate ycoordinate zip_code total_fee "
-    "fee_category building_fee_paid building_fee_unpaid building_fee_waived building_fee_subtotal zoning_fee_paid "
-    "zoning_fee_unpaid zoning_fee_waived zoning_fee_subtotal other_fee_paid other_fee_unpaid other_fee_waived "
-    "other_fee_subtotal subtotal_paid subtotal_unpaid subtotal_waived reported_cost pin_list contact_1_type "
-    "contact_1_name contact_1_city contact_1_state contact_1_zipcode contact_2_type contact_2_name contact_2_city "
-    "contact_2_state contact_2_zipcode data_quality_flag"
-).split()
+    "permit_",
+    "id",
+    "row_id",
+    "issue_date",
+    "issue_date_only",
+    "issue_year",
+    "issue_month",
+    "issue_quarter",
+    "issue_day_of_week",
+    "issue_month_name",
+    "application_start_date",
+    "processing_days",
+    "permit_type",
+    "permit_type_category",
+    "review_type",
+    "permit_status",
+    "permit_milestone",
+    "work_type",
+    "work_description",
+    "permit_condition",
+    "street_number",
+    "street_direction",
+    "street_name",
+    "latitude",
+    "longitude",
+    "community_area",
+    "census_tract",
+    "ward",
+    "xcoordinate",
+    "ycoordinate",
+    "zip_code",
+    "total_fee",
+    "fee_category",
+    "building_fee_paid",
+    "building_fee_unpaid",
+    "building_fee_waived",
+    "building_fee_subtotal",
+    "zoning_fee_paid",
+    "zoning_fee_unpaid",
+    "zoning_fee_waived",
+    "zoning_fee_subtotal",
+    "other_fee_paid",
+    "other_fee_unpaid",
+    "other_fee_waived",
+    "other_fee_subtotal",
+    "subtotal_paid",
+    "subtotal_unpaid",
+    "subtotal_waived",
+    "reported_cost",
+    "pin_list",
+    "contact_1_type",
+    "contact_1_name",
+    "contact_1_city",
+    "contact_1_state",
+    "contact_1_zipcode",
+    "contact_2_type",
+    "contact_2_name",
+    "contact_2_city",
+    "contact_2_state",
+    "contact_2_zipcode",
+    "data_quality_flag",
+)
+# Output columns in their order.
 _COVID_OUTPUT = (
-    "row_id zip_code community_area week_start week_end week_start_date week_end_date year month week_number "
-    "week_number_in_year cases_weekly deaths_weekly tests_weekly cases_cumulative deaths_cumulative "
-    "tests_cumulative case_rate_weekly case_rate_cumulative death_rate_weekly death_rate_cumulative "
-    "test_rate_weekly test_rate_cumulative cases_per_100k deaths_per_100k tests_per_100k "
-    "percent_tested_positive_weekly percent_tested_positive_cumulative test_positivity_rate_calculated "
-    "case_fatality_rate_pct population data_quality_flag privacy_flag"
-).split()
+    "row_id",
+    "zip_code",
+    "community_area",
+    "week_start",
+    "week_end",
+    "week_start_date",
+    "week_end_date",
+    "year",
+    "month",
+    "week_number",
+    "week_number_in_year",
+    "cases_weekly",
+    "deaths_weekly",
+    "tests_weekly",
+    "cases_cumulative",
+    "deaths_cumulative",
+    "tests_cumulative",
+    "case_rate_weekly",
+    "case_rate_cumulative",
+    "death_rate_weekly",
+    "death_rate_cumulative",
+    "test_rate_weekly",
+    "test_rate_cumulative",
+    "cases_per_100k",
+    "deaths_per_100k",
+    "tests_per_100k",
+    "percent_tested_positive_weekly",
+    "percent_tested_positive_cumulative",
+    "test_positivity_rate_calculated",
+    "case_fatality_rate_pct",
+    "population",
+    "data_quality_flag",
+    "privacy_flag",
+)
+# Output columns in their order.
 _TAXI_OUTPUT = (
-    "trip_id taxi_id trip_start_timestamp trip_end_timestamp trip_date trip_year trip_month trip_day trip_hour "
-    "trip_day_of_week trip_day_name time_category is_weekend trip_seconds trip_miles avg_speed_mph "
-    "distance_category pickup_census_tract dropoff_census_tract pickup_community_area dropoff_community_area "
-    "pickup_centroid_latitude pickup_centroid_longitude dropoff_centroid_latitude dropoff_centroid_longitude "
-    "fare tips tolls extras trip_total fare_per_mile fare_category payment_type company data_quality_flag"
-).split()
+    "trip_id",
+    "taxi_id",
+    "trip_start_timestamp",
+    "trip_end_timestamp",
+    "trip_date",
+    "trip_year",
+    "trip_month",
+    "trip_day",
+    "trip_hour",
+    "trip_day_of_week",
+    "trip_day_name",
+    "time_category",
+    "is_weekend",
+    "trip_seconds",
+    "trip_miles",
+    "avg_speed_mph",
+    "distance_category",
+    "pickup_census_tract",
+    "dropoff_census_tract",
+    "pickup_community_area",
+    "dropoff_community_area",
+    "pickup_centroid_latitude",
+    "pickup_centroid_longitude",
+    "dropoff_centroid_latitude",
+    "dropoff_centroid_longitude",
+    "fare",
+    "tips",
+    "tolls",
+    "extras",
+    "trip_total",
+    "fare_per_mile",
+    "fare_category",
+    "payment_type",
+    "company",
+    "data_quality_flag",
+)
 
 
 def _outside(c: str, low: float, high: float) -> Column:
@@ -88,7 +200,7 @@ def fee_category(fee: Column) -> Column:
 def permit_kind(text: Column) -> Column:
     """First kind one of whose words occurs in the type; order matters ("design" holds "sign")."""
     lowered = F.lower(text)
-    hit = lambda words: F.lit(False) if not words else _any(lowered.contains(w) for w in words)
+    hit = lambda words: _any(lowered.contains(w) for w in words)
     return first_match([(hit(words), kind) for kind, words in PERMIT_KINDS], "Other")
 
 

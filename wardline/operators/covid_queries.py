@@ -12,7 +12,8 @@ from wardline.functions.columns import first_match, half_up, ratio, tally, uncut
 from wardline.operators.series import previous_value, top_per_group
 
 # Alert levels from most to least severe, mobility bands, city messages.
-ALERTS = ["CRITICAL", "WARNING", "CAUTION"]
+# Alert levels by severity; any other level has 1.
+SEVERITY = {"CRITICAL": 4, "WARNING": 3, "CAUTION": 2}
 MOBILITY_BANDS = [(10000, "Very High Mobility"), (5000, "High Mobility"), (1000, "Medium Mobility")]
 MOBILITY_BELOW = "Low Mobility"
 CITY_CRITICAL = "CITY ALERT: Critical risk areas identified"
@@ -20,15 +21,29 @@ CITY_WARNING = "CITY CAUTION: Multiple warning zones"
 CITY_CAUTION = "CITY NOTICE: Elevated risk in some areas"
 CITY_NORMAL = "CITY NORMAL: Low risk across Chicago"
 
+# Output columns in their order.
 _EXPORT = (
-    "zip_code forecast_date predicted_risk_score predicted_risk_category predicted_case_rate "
-    "predicted_positivity_rate risk_score_lower risk_score_upper predicted_mobility_index predicted_cases_weekly "
-    "predicted_tests_weekly alert_level alert_message model_trained_date training_weeks model_version"
-).split()
+    "zip_code",
+    "forecast_date",
+    "predicted_risk_score",
+    "predicted_risk_category",
+    "predicted_case_rate",
+    "predicted_positivity_rate",
+    "risk_score_lower",
+    "risk_score_upper",
+    "predicted_mobility_index",
+    "predicted_cases_weekly",
+    "predicted_tests_weekly",
+    "alert_level",
+    "alert_message",
+    "model_trained_date",
+    "training_weeks",
+    "model_version",
+)
 
 
 def _severity(level) -> F.Column:
-    return first_match([(level == a, i) for i, a in zip((4, 3, 2), ALERTS)], 1)
+    return first_match([(level == a, i) for a, i in SEVERITY.items()], 1)
 
 
 def _on_next_date(forecasts: DataFrame, cfg: Settings) -> DataFrame:

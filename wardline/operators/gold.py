@@ -225,9 +225,8 @@ _LOAN_MEASURES = [
 def loan_frame(history: DataFrame, community_zip: DataFrame, health: DataFrame, permits: DataFrame) -> DataFrame:
     """One row per ZIP known to any source, with its measures and the bounds of each measure."""
     income, costs = zip_income(community_zip, health), permit_costs(permits)
-    merged = computed_once(
-        income.join(costs, "zip_code", "full").join(latest_population(history), "zip_code", "full")
-    )
+    # One row per ZIP from stored and small inputs: cheaper to read twice than to store.
+    merged = income.join(costs, "zip_code", "full").join(latest_population(history), "zip_code", "full")
     # A ZIP without a measure has NULL there, which takes no part in the bounds.
     edge = lambda m: [F.min(m).alias(f"lo_{m}"), F.max(m).alias(f"hi_{m}")]
     bounds = merged.agg(*[e for m in _LOAN_MEASURES for e in edge(m)])
@@ -325,7 +324,7 @@ def default_jitter(zip_code: Column, day: Column) -> Column:
     other engine reproduces. Any column with the same range can be passed instead.
     """
     digits = F.coalesce(zip_code.try_cast("long"), F.lit(0))
-    return (digits * 31 + F.datediff(day, F.lit("2000-01-01").cast("date")) * 17) % 41 - 20
+    return F.pmod(digits * 31 + F.datediff(day, F.lit("2000-01-01").cast("date")) * 17, F.lit(41)) - 20
 
 
 def baseline_forecast(

@@ -30,23 +30,17 @@ def permits_report(clean: DataFrame, cfg: Settings) -> DataFrame:
     per_flag = clean.groupBy("data_quality_flag").agg(
         rows().alias("everything"), tally(F.col("issue_date") >= F.lit(cfg.min_date)).alias("n")
     )
-    # One row per flag of a fixed set; the total is a global aggregate over them.
-    total = per_flag.agg(F.sum("everything").alias("t"), F.sum("n").alias("tn"))
-    head = total.select(
-        F.lit("Total Records").alias("metric"),
-        F.coalesce("tn", F.lit(0)).cast("string").alias("value"),
-        F.lit(None).cast("double").alias("percentage"),
+    # One row per flag of a fixed set, gathered in one row with their totals.
+    flag = F.struct(F.col("data_quality_flag").alias("value"), "n")
+    whole = per_flag.agg(
+        F.sum("everything").alias("t"), F.sum("n").alias("tn"), F.collect_list(F.when(F.col("n") > 0, flag)).alias("flags")
     )
-    shares = (
-        per_flag.filter(F.col("n") > 0)
-        .crossJoin(F.broadcast(total))
-        .select(
-            F.lit("Records by Quality Flag").alias("metric"),
-            F.col("data_quality_flag").alias("value"),
-            percent(F.col("n"), F.col("t")).alias("percentage"),
-        )
+    line = lambda metric, value, percentage: F.struct(
+        F.lit(metric).alias("metric"), value.alias("value"), percentage.alias("percentage")
     )
-    return head.unionByName(shares)
+    head = line("Total Records", F.coalesce("tn", F.lit(0)).cast("string"), F.lit(None).cast("double"))
+    shares = F.transform("flags", lambda f: line("Records by Quality Flag", f["value"], percent(f["n"], F.col("t"))))
+    return whole.select(F.inline(F.concat(F.array(head), shares)))
 
 
 def _as_rows(one_row: DataFrame) -> DataFrame:

@@ -389,8 +389,3 @@ def investment_areas(health: DataFrame, permits: DataFrame, limit: int = 5) -> D
         .orderBy(F.desc("unemployment"), F.desc("poverty_rate"), "community_area_name")
         .limit(limit)
     )
-
-
-def risk_first(column: Column) -> Column:
-    """Sort order of risk bands."""
-    return first_match([(column == "High", 1), (column == "Medium", 2)], 3)

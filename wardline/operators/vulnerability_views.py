@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.functions.columns import from_, half_up, hundredths, month_of, ratio, sunday_week, tally
+from wardline.functions.columns import first_match, from_, half_up, hundredths, month_of, ratio, sunday_week, tally
 
 # Score bands of the map and of the burden view.
 MAP_LEVELS = [(60, "Very High"), (55, "High"), (50, "Moderate-High")]
@@ -132,9 +132,9 @@ def ccvi_double_burden(ccvi: DataFrame, hotspots: DataFrame) -> DataFrame:
         F.sum("total_trips_to_zip").alias("total_trips_to"),
     )
     score, risk = F.col("ccvi_score"), F.col("avg_risk_score")
-    category = F.lit("Elevated")
-    for low_score, low_risk, label in reversed(BURDEN):
-        category = F.when((score >= low_score) & (risk >= low_risk), label).otherwise(category)
+    category = first_match(
+        [((score >= low_score) & (risk >= low_risk), label) for low_score, low_risk, label in BURDEN], "Elevated"
+    )
     return (
         _zips(ccvi)
         .join(summary, "zip_code")

@@ -80,7 +80,7 @@ def month(x: str) -> str:
 def _checks(check_date: str, rows: str) -> str:
     return f"""
 SELECT {check_date} AS check_date, 'raw_building_permits' AS dataset_name, check_name, check_type, expected_value,
-  {pct('good', 'seen')} AS actual_value, CAST(good AS DOUBLE) / seen >= bar AS passed, seen AS row_count,
+  {pct('good', 'nullif(seen, 0)')} AS actual_value, CAST(good AS DOUBLE) / nullif(seen, 0) >= bar AS passed, seen AS row_count,
   seen - good AS failed_row_count
 FROM (SELECT 'permit_number_not_null' AS check_name, 'completeness' AS check_type, 100e0 AS expected_value,
     0.95e0 AS bar, count(permit_) AS good, count(*) AS seen FROM {rows}
