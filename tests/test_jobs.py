@@ -142,3 +142,15 @@ def test_dashboard_views_answer_sql(spark, lake):
         assert spark.sql(f"SELECT * FROM {name} LIMIT 1").columns == made[name].columns
     got = spark.sql("SELECT airport_destination, count(*) AS n FROM v_airport_trips GROUP BY 1")
     assert sum(r["n"] for r in got.collect()) == lake.airport.count()
+
+
+def test_neighborhood_forecasts_start_from_trips(spark, lake, tmp_path):
+    root = str(tmp_path)
+    trips = lake.derived("daily_history").filter("zip_code = '60601'").selectExpr(
+        "'LOOP' AS pickup_neighborhood", "trip_date", "explode(sequence(1L, trip_count)) AS n"
+    )
+    jobs.run_neighborhood_forecast(spark, trips, root, HISTORY)
+    rows = spark.read.parquet(f"{root}/traffic_forecasts_by_neighborhood").collect()
+    assert len(rows) == 90 and {r["neighborhood"] for r in rows} == {"LOOP"}
+    daily = spark.read.parquet(f"{root}/gold_taxi_daily_by_neighborhood")
+    assert daily.agg({"trip_count": "sum"}).first()[0] == trips.count()

@@ -5,8 +5,9 @@ import re
 import __spark_entry__ as entry
 import pytest
 from oracle_check import compare, connect
+from wardline.plans import catalog, oracle
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracle.texts()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def engine(small):
 
 def test_every_text_has_a_query():
     assert not set(SQL) - set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def no_pairing_without_a_key(df):

@@ -211,6 +211,19 @@ def run_traffic_forecast(spark: SparkSession, daily: DataFrame, root: str, cfg:
             _replace_metrics(spark, metrics, at.forecast_metrics, spec, cfg.as_of)
 
 
+def run_neighborhood_forecast(spark: SparkSession, trips: DataFrame, root: str, cfg: Settings) -> None:
+    """Daily trips per neighborhood from silver trips, and their forecasts with construction advice."""
+    at, spec = Folders(root), forecasting.TRAFFIC
+    with tables.staged(gold.trips_by_neighborhood(trips)) as daily:
+        tables.write(daily, at.gold_taxi_daily_by_neighborhood, "trip_date", ("neighborhood",))
+        with tables.staged(forecasting.traffic_series(daily, cfg, "neighborhood")) as series:
+            with tables.staged(forecasting.components(series, spec)) as fitted:
+                forecasts = forecasting.traffic_forecast(series, fitted, cfg, area="neighborhood")
+                tables.write(
+                    forecasting.neighborhood_forecast(forecasts), at.traffic_forecasts_by_neighborhood, "forecast_date"
+                )
+
+
 def run_covid_forecast(
     spark: SparkSession,
     hotspots: DataFrame,
