@@ -76,3 +76,12 @@ def test_no_rows(spark):
 def test_main_path_has_no_python(spark, words):
     plan = chat.read_back(chat.windows(spark.sql("SELECT 1L conv_id, 0L turn, 'user' role, 'hi' text")))
     assert not any(w in plan._jdf.queryExecution().toString() for w in ("Python", "Arrow", "Pandas"))
+
+
+def test_the_query_agrees_with_its_sql(spark, small):
+    from oracle_check import compare, connect
+
+    from wardline.llm import queries
+
+    sql = queries.oracle_sql()["op7_chat_format"]
+    assert compare(connect(small), queries.op7_chat_format(spark, small), sql) is None
