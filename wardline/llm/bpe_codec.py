@@ -83,6 +83,7 @@ class Codec:
         spelled = self.model.encode([mapped(t) for t in tokens], num_threads=1)
         self.whole = {mapped(t): [i] for i, (t, ids) in enumerate(zip(tokens, spelled)) if ids != [i]}
         self.memo = Memo(self._encode)
+        self.trips = Memo(self._trip)
 
     def _encode(self, parts: list[str]) -> list[tuple[int, ...]]:
         cut = [[mapped(m.encode()) for m in self.pattern.findall(p)] for p in parts]
@@ -91,10 +92,14 @@ class Codec:
         ids.update((k, v) for k, v in self.whole.items() if k in ids)
         return [tuple(chain.from_iterable(ids[m] for m in c)) for c in cut]
 
+    def _trip(self, parts: list[str]) -> list[tuple[int, str, bytes]]:
+        """Per piece the number of its ids, the ids in decimal, and what they decode to."""
+        return [(len(ids), ",".join(map(self.digits.__getitem__, ids)), self.decode(ids)) for ids in self._encode(parts)]
+
     def ids(self, parts: list[str]) -> list[int]:
         return list(chain.from_iterable(map(self.memo.__getitem__, parts)))
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids) -> bytes:
         return b"".join(map(self.table.__getitem__, ids))
 
 
@@ -146,7 +151,8 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
 def round_trip(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text: str = "text", step: int = 50_000) -> DataFrame:
     """Encodes every text, decodes the ids again and returns digests of both.
 
-    Digests grow ``step`` pieces at a time, so a very long text never stands as one list of ids. Nulls, repeated
+    A piece that a slice has often is encoded and decoded once. Digests grow ``step`` pieces at a time, so a very
+    long text never stands as one list of ids. Nulls, repeated
     rows and other columns as in ``encode``; a null text has the digests of nothing.
     """
     with open(ranks, "rb") as f:
@@ -156,15 +162,15 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", t
         own = codec(data, pattern)
         for batch in slices(batches):
             cut = [pieces(t or "") for t in batch.column("text").to_pylist()]
-            own.memo.learn(set().union(*cut))
+            own.trips.learn(set().union(*cut))
             found = []
             for parts in cut:
                 n, spelled, decoded = 0, hashlib.sha256(), hashlib.sha256()
                 for start in range(0, len(parts), step):
-                    ids = own.ids(parts[start : start + step])
-                    spelled.update(("," if n else "").encode() + ",".join(map(own.digits.__getitem__, ids)).encode())
-                    decoded.update(own.decode(ids))
-                    n += len(ids)
+                    tokens, digits, raw = zip(*map(own.trips.__getitem__, parts[start : start + step]))
+                    spelled.update(("," if n else "").encode() + ",".join(digits).encode())
+                    decoded.update(b"".join(raw))
+                    n += sum(tokens)
                 found.append((n, spelled.hexdigest(), decoded.hexdigest()))
             n, spelled, decoded = zip(*found)
             yield pa.RecordBatch.from_arrays(
