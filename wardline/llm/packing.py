@@ -32,7 +32,27 @@ def _ids(spec: str) -> Memo:
     def encode(batch: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
 
-    return Memo(encode)
+    stems = Memo(encode)
+
+    def by_stem(batch: list[str]) -> list[bytes]:
+        cut = [_stem_and_tail(p) for p in batch]
+        stems.learn({x for pair in cut for x in pair if x})
+        return [(stems[a] if a else b"") + (stems[b] if b else b"") for a, b in cut]
+
+    return Memo(by_stem)
+
+
+def _stem_and_tail(piece: str) -> tuple[str, str]:
+    """A piece without its white space, which the tokenizer drops, cut before closing marks.
+
+    Behind a Latin letter such marks always begin a new token. Other letters may end in a combining mark once they
+    are normalised or lowered, and stay with their marks. Plain words are lowered, as the tokenizer does.
+    """
+    core = piece.strip(" \n\t\r")
+    stem = core.rstrip(".,!?")
+    if not stem or not stem[-1].isalpha() or stem[-1] > "\u024f" or stem[-1] == "\u0130":
+        return core, ""
+    return (stem.lower() if stem.isascii() and stem.isalpha() else stem), core[len(stem) :]
 
 
 def token_pieces(
