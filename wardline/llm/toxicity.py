@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.text import Memo, slices, staged
+from wardline.llm.text import Memo, flagged, slices, staged
 
 #: Characters a gram has at most, the predicted one included.
 ORDER = 6
@@ -52,7 +52,9 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
     marks = labels.select(F.col(key).cast("long").alias("doc_id"), F.col(label).cast("int").alias("toxic"))
     marks = marks.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return rows.where(F.col("doc_id").isNotNull() & ~held_out("doc_id")).join(marks, "doc_id")
+    # Texts that surely have no label don't enter the join's exchange.
+    wanted = flagged(rows.where(F.col("doc_id").isNotNull() & ~held_out("doc_id")), "doc_id", marks.select("doc_id"))
+    return wanted.where("_maybe").select("doc_id", "text").join(marks, "doc_id")
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
