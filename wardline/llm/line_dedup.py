@@ -161,9 +161,13 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", leas
     )
     place = F.struct("doc_id", "u", "p")
     firsts = prints.groupBy("print").agg(F.min(place).alias("first"), F.max(F.struct("doc_id", "u")).alias("last"))
-    firsts = firsts.where(F.col("first.u") != F.col("last.u")).select(
-        "print", F.col("first.u").alias("a"), F.col("first.p").alias("q")
+    firsts = staged(
+        firsts.where(F.col("first.u") != F.col("last.u")).select(
+            "print", F.col("first.u").alias("a"), F.col("first.p").alias("q")
+        )
     )
+    # Most fingerprints stand in one text; they don't enter the join's exchange.
+    prints = flagged(prints, "print", firsts.select("print")).where("_maybe").drop("_maybe")
     links = prints.join(firsts, "print").where(F.col("u") != F.col("a"))
     matches = staged(
         links.groupBy("u", "a", (F.col("p") - F.col("q")).alias("apart"), F.floor(F.col("p") / STRETCH).alias("stretch"))
