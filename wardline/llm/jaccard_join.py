@@ -21,6 +21,9 @@ CHUNK, SIZES = 4096, 64
 #: Cost of one entry of an inverted list against that of one subset key.
 LIST_COST = 4
 
+#: Bits by which two sets are held against each other before they are compared.
+PARITY = 1024
+
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -87,6 +90,15 @@ def list_entries(grams: np.ndarray, percent: int, counts: np.ndarray) -> tuple[n
     return grams[order[:kept]], n - np.arange(kept)
 
 
+def parity_bits(grams: np.ndarray) -> np.ndarray:
+    """For each of PARITY hash slots whether an odd number of grams falls there, as 64-bit numbers.
+
+    Two sets differ in at least as many grams as their bits differ in places.
+    """
+    odd = np.bincount((mixed(grams) >> np.uint64(54)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _counted(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """How many sets have a gram of each counter, and how many sets have each small size, over all texts.
 
@@ -131,7 +143,7 @@ def _counted(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sets(rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per row the size of its set, two hashes of the set, and its keys with the most that a set behind each shares."""
+    """Per row its set's size, two hashes and parity bits, and its keys with the most that a set behind each shares."""
     counts, sizes = _counted(rows, size)
     small = boundary(sizes, percent)
     low = least_common(small + 1, percent)
@@ -152,19 +164,21 @@ def _sets(rows: DataFrame, size: int, percent: int) -> DataFrame:
                 rest = np.concatenate([p[1] for p in parts]) if parts else grams
                 one = mixed(grams).sum(dtype=np.uint64)
                 two = mixed(mixed(grams) ^ np.uint64(n)).sum(dtype=np.uint64)
-                out.append((n, int(one.astype(np.int64)), int(two.astype(np.int64)), keys.view(np.int64), rest.astype(np.int32)))
-            n, one, two, keys, rest = zip(*out)
+                numbers = n, int(one.astype(np.int64)), int(two.astype(np.int64))
+                out.append((*numbers, keys.view(np.int64), rest.astype(np.int32), parity_bits(grams)))
+            n, one, two, keys, rest, bits = zip(*out)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     *(pa.array(x, pa.int64()) for x in (n, one, two)),
                     pa.array(keys, pa.list_(pa.int64())),
                     pa.array(rest, pa.list_(pa.int32())),
+                    pa.array(bits, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n", "one", "two", "keys", "rest"],
+                ["doc_id", "n", "one", "two", "keys", "rest", "bits"],
             )
 
-    return rows.mapInArrow(run, "doc_id long, n long, one long, two long, keys array<long>, rest array<int>")
+    return rows.mapInArrow(run, "doc_id long, n long, one long, two long, keys array<long>, rest array<int>, bits array<long>")
 
 
 def _may_link(percent: int, n: Column, rest: Column, other_n: Column, other_rest: Column) -> Column:
@@ -172,6 +186,12 @@ def _may_link(percent: int, n: Column, rest: Column, other_n: Column, other_rest
     return F.least(rest, other_rest) * (100 + percent) >= percent * (n + other_n)
 
 
+def _bits_allow(percent: int) -> Column:
+    """Whether the parity bits of ``l`` and ``r`` differ in no more places than grams of two linked sets may."""
+    apart = " + ".join(f"bit_count(l.bits[{i}] ^ r.bits[{i}])" for i in range(PARITY // 64))
+    return F.expr(f"({apart}) * {100 + percent} <= (l.n + r.n) * {100 - percent}")
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose whole sets are alike enough."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
@@ -211,8 +231,8 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id
 
     On each key, every set is compared with the smallest set there. Under a subset key that finds all components. In
     a list, sets that stay in different components are then compared with each other where the grams left behind the
-    key allow a link; so a group of near copies costs one comparison a member, and no link between components is
-    lost. Candidates are verified on their whole sets.
+    key and the sets' parity bits allow a link; so a group of near copies costs one comparison a member, and no link
+    between components is lost. Candidates are verified on their whole sets.
 
     A null text has no words. A text without words links with nothing. Rows that share a key are one document,
     linked through any of its texts; rows without a key link with nothing and have no component. Other columns are
@@ -241,13 +261,16 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id
     more = shared.where(F.col("members") > 2).select("k", "doc", "n", "rest")
     more = more.join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("c", F.coalesce("component", "doc"))
     mixed_keys = more.groupBy("k").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("k")
-    more = staged(more.join(mixed_keys, "k").select("k", "doc", "n", "rest", "c"))
+    bits = known.groupBy("one", "two", "n").agg(F.min("doc_id").alias("doc"), F.first("bits").alias("bits"))
+    more = more.join(mixed_keys, "k").select("k", "doc", "n", "rest", "c")
+    more = staged(more.join(bits.select("doc", "n", "bits"), ["doc", "n"]))
     left, right = more.alias("l"), more.alias("r")
     across = left.join(
         right,
         (F.col("l.k") == F.col("r.k"))
         & (F.col("l.c") < F.col("r.c"))
-        & _may_link(percent, F.col("l.n"), F.col("l.rest"), F.col("r.n"), F.col("r.rest")),
+        & _may_link(percent, F.col("l.n"), F.col("l.rest"), F.col("r.n"), F.col("r.rest"))
+        & _bits_allow(percent),
     ).select(F.col("l.doc").alias("a"), F.col("r.doc").alias("b"))
     across = across.distinct()
     tried = star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
