@@ -5,14 +5,13 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
-from functools import lru_cache
 from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.text import Memo, pieces, slices
+from wardline.llm.text import Memo, held, pieces, slices
 
 #: Byte b stands as the character U+0100 + b inside pieces: one character a byte, none of them white space.
 _TO_CHARS = {b: 0x100 + b for b in range(256)}
@@ -103,10 +102,9 @@ class Codec:
         return b"".join(map(self.table.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
 def codec(ranks: bytes, pattern: str) -> Codec:
     """One codec per worker process."""
-    return Codec(ranks, pattern)
+    return held(("codec", ranks, pattern), lambda: Codec(ranks, pattern))
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import os
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.text import Memo, pieces, slices, staged, tasks_of
+from wardline.llm.text import Memo, held, pieces, slices, staged, tasks_of
 
 #: Tokens of a sequence.
 SIZE = 2048
@@ -19,9 +18,8 @@ SIZE = 2048
 GRAIN = 8
 
 
-@lru_cache(maxsize=4)
 def _ids(spec: str) -> Memo:
-    """Little-endian 32-bit ids of pieces, one memo per worker process."""
+    """Little-endian 32-bit ids of pieces."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -78,7 +76,7 @@ def token_pieces(
     last = np.array([end], "<u4").tobytes()
 
     def run(batches):
-        memo = _ids(spec)
+        memo = held(("ids", spec), lambda: _ids(spec))
         for batch in slices(batches):
             cut = [pieces(t or "") for t in batch.column("text").to_pylist()]
             memo.learn(set().union(*cut))

@@ -102,10 +102,24 @@ def pieces(text: str, long: int = 20_000) -> list[str]:
     return out
 
 
+_HELD: dict = {}
+
+
+def held(key, build):
+    """What ``build`` makes for ``key``, once per worker process, which holds one such thing at a time.
+
+    Workers serve one operator after the other; what the last one needed goes when the next one asks for its own.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
 class Memo(dict):
     """Results by piece. Starts anew when full, so a worker's memory stays bounded."""
 
-    def __init__(self, compute, most: int = 300_000):
+    def __init__(self, compute, most: int = 200_000):
         super().__init__()
         self.compute, self.most = compute, most
 

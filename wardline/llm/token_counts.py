@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 import os
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.text import Memo, pieces, slices
+from wardline.llm.text import Memo, held, pieces, slices
 
 
-@lru_cache(maxsize=4)
 def _lengths(spec: str) -> Memo:
-    """Token counts of pieces under the tokenizer whose JSON is ``spec``, one per worker process."""
+    """Token counts of pieces under the tokenizer whose JSON is ``spec``."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -30,7 +28,7 @@ def _lengths(spec: str) -> Memo:
 
 def counter(spec: str, limit: int):
     def run(batches):
-        lengths = _lengths(spec)
+        lengths = held(("lengths", spec), lambda: _lengths(spec))
         for batch in slices(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             cut = [pieces(t) for t in texts]

@@ -8,14 +8,13 @@ import zlib
 from array import array
 from collections import Counter
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.text import Memo, flagged, slices, staged
+from wardline.llm.text import Memo, flagged, held, slices, staged
 
 #: Characters a gram has at most, the predicted one included.
 ORDER = 6
@@ -182,9 +181,8 @@ class Model:
     level: float = 0.0
 
 
-@lru_cache(maxsize=2)
 def _ratios(model: Model) -> Memo:
-    """Log ratios of words, one memo per worker process."""
+    """Log ratios of words."""
     seen, contexts, order = array("f", model.grams), array("f", model.contexts), model.order
     slots = len(seen)
 
@@ -199,7 +197,7 @@ def _ratios(model: Model) -> Memo:
                 total += x
         return total
 
-    return Memo(lambda words: [one(w) for w in words], most=500_000)
+    return Memo(lambda words: [one(w) for w in words], most=300_000)
 
 
 def evidence(texts: list[str | None], model: Model, margin: float = MARGIN) -> list[float]:
@@ -209,7 +207,7 @@ def evidence(texts: list[str | None], model: Model, margin: float = MARGIN) -> l
     every word. What words have beyond ``margin`` is summed and divided by the square root of their number, with
     which the sum of chance deviations grows.
     """
-    ratios = _ratios(model)
+    ratios = held(("ratios", model.grams, model.contexts, model.order), lambda: _ratios(model))
     cut = [words_of(t or "") for t in texts]
     ratios.learn(set().union(*cut))
     out = []
