@@ -62,3 +62,33 @@ def test_probabilities_of_a_context_sum_to_one(spark):
     for context in {g[:-1] for g in shared if len(g) == 2}:
         own = sum(shared.get(context + x, 0) for x in letters)
         assert own <= 1 + 1e-9
+
+
+def test_a_rare_gram_keeps_its_own_ratio(spark, words):
+    """Every gram of a rare toxic word shares its hash modulo 2^20 with a gram of frequent ordinary words."""
+    rare, r = "wjkqvy", random.Random(3)
+    whole = "\x02" + rare + "\x03"
+    slots = {zlib.crc32(whole[max(0, i - 6) : i].encode()) % (1 << 20) for i in range(2, len(whole) + 1)}
+    twins = []
+    while slots:
+        twin = "".join(r.choices("abcdefghilmnoprstu", k=6))
+        if (slot := zlib.crc32(twin.encode()) % (1 << 20)) in slots:
+            slots.remove(slot)
+            twins.append(twin)
+    rows = [(i, " ".join([words(i, 60), *([rare] if i % 6 == 0 else twins * 4)])) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(600)], "doc_id long, toxic int")
+    found = [r for r in toxicity.toxicity(docs, labels).collect() if r.held_out]
+    assert sum(r.predicted == (r.doc_id % 6 == 0) for r in found) / len(found) > 0.97
+
+
+def test_a_word_has_the_sum_of_its_grams(spark):
+    seen = {"\x02b": 0.5, "\x02ba": -1.0, "ban": 2.0, "ana": 0.25}
+    contexts = {"na": 3.0, "an": -7.5}
+    tables = (spark.createDataFrame(list(x.items()), "text string, ratio double") for x in (seen, contexts))
+    got = toxicity.word_ratios(spark.createDataFrame([("banana",), ("q",)], "word string"), *tables, order=3).collect()
+    # Neither nan nor na with the end mark is seen: both fall back on na.
+    assert {r.word_key: r.ratio for r in got} == {
+        toxicity.key_of("banana"): 0.5 - 1.0 + 2.0 + 0.25 + 3.0 + 0.25 + 3.0,
+        toxicity.key_of("q"): 0.0,
+    }

@@ -2,29 +2,25 @@
 
 from __future__ import annotations
 
-import math
 import re
-import zlib
-from array import array
 from collections import Counter
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.text import Memo, flagged, held, slices, staged
+from wardline.llm.text import FILTER_BITS, Memo, flagged, held, slices, staged
 
 #: Characters a gram has at most, the predicted one included.
 ORDER = 6
 #: What each seen gram gives up for unseen ones.
 DISCOUNT = 0.75
-#: Slots of the score tables that travel to the tasks: their size is fixed, however large the corpus.
-SLOTS = 1 << 20
 #: Labelled rows at most that the final curve is fitted on.
 CURVE_ROWS = 20_000
-#: Log ratio over a text's median from which a word counts as evidence: e to this power times likelier.
+#: Log ratio over the median word of ordinary texts from which a word counts as evidence: e to this power times likelier.
 MARGIN = 3.0
 #: Marks of a word's two ends.
 BEGIN, END = "\x02", "\x03"
@@ -45,12 +41,17 @@ def _for_curve(key: str) -> Column:
     return F.crc32(F.concat(F.lit("curve "), F.col(key).cast("string"))) % 8 == 0
 
 
-def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> DataFrame:
-    """Texts with a label that may be learned from: ``doc_id, text, toxic``. A key labelled twice is toxic if any is."""
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+def marked(labels: DataFrame, key: str, label: str) -> DataFrame:
+    """Labels that may be learned from: ``doc_id, toxic``. A key labelled twice is toxic if any is."""
     marks = labels.select(F.col(key).cast("long").alias("doc_id"), F.col(label).cast("int").alias("toxic"))
     marks = marks.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
-    marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> DataFrame:
+    """Texts with a label whose words are counted: ``doc_id, text, toxic``."""
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    marks = marked(labels, key, label).where(~_for_curve("doc_id"))
     # Texts that surely have no label don't enter the join's exchange.
     wanted = flagged(rows.where(F.col("doc_id").isNotNull() & ~held_out("doc_id")), "doc_id", marks.select("doc_id"))
     return wanted.where("_maybe").select("doc_id", "text").join(marks, "doc_id")
@@ -159,66 +160,115 @@ def log_ratios(top: DataFrame, shared: DataFrame, discount: float = DISCOUNT) ->
     return of_grams, of_contexts
 
 
-def _slotted(ratios: DataFrame, slots: int) -> bytes:
-    """The ratios as a table of ``slots`` floats, by hash of the text; texts that share a slot are averaged by weight."""
-    rows = ratios.groupBy((F.crc32("text") % slots).alias("slot")).agg(
-        (F.sum(F.col("ratio") * F.col("weight")) / F.sum("weight")).cast("float").alias("ratio")
-    )
-    found = rows.toArrow()
-    table = np.full(slots, np.nan, np.float32)
-    table[found.column("slot").to_numpy()] = found.column("ratio").to_numpy()
-    return table.tobytes()
+def vocabulary(texts: DataFrame) -> DataFrame:
+    """The distinct words of all texts: ``word``."""
 
+    def run(batches):
+        for batch in slices(batches):
+            found = set().union(*(words_of(t or "") for t in batch.column("text").to_pylist()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], ["word"])
 
-@dataclass(frozen=True)
-class Model:
-    """Tables of log ratios of fixed size, and the curve from a text's evidence to its score."""
-
-    grams: bytes
-    contexts: bytes
-    order: int
-    slope: float = 0.0
-    level: float = 0.0
-
-
-def _ratios(model: Model) -> Memo:
-    """Log ratios of words."""
-    seen, contexts, order = array("f", model.grams), array("f", model.contexts), model.order
-    slots = len(seen)
-
-    def one(word: str) -> float:
-        whole, total = BEGIN + word + END, 0.0
-        for i in range(2, len(whole) + 1):
-            gram = whole[max(0, i - order) : i]
-            x = seen[zlib.crc32(gram.encode()) % slots]
-            if x != x:
-                x = contexts[zlib.crc32(gram[:-1].encode()) % slots]
-            if x == x:
-                total += x
-        return total
+    return texts.select("text").mapInArrow(run, "word string").distinct()
+
+
+def key_of(word: str) -> int:
+    """64 bits that stand for a word in joins."""
+    return int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def word_ratios(words: DataFrame, seen: DataFrame, contexts: DataFrame, order: int = ORDER) -> DataFrame:
+    """Log of toxic over ordinary probability of every word, the sum over its grams: ``word_key, ratio``.
+
+    A gram that was not seen takes the ratio of its context, 0 if that was not seen either.
+    """
+
+    def run(batches):
+        for batch in slices(batches, "word"):
+            keys, found = [], []
+            for word in batch.column("word").to_pylist():
+                whole, key = BEGIN + word + END, key_of(word)
+                found += [whole[max(0, i - order) : i] for i in range(2, len(whole) + 1)]
+                keys += [key] * (len(whole) - 1)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.string())], ["word_key", "gram"])
+
+    places = staged(words.mapInArrow(run, "word_key long, gram string").groupBy("word_key", "gram").agg(F.count("*").alias("n")))
+    needed = places.select("gram").distinct().withColumn("context", _context("gram"))
+    found = needed.join(seen.select(F.col("text").alias("gram"), "ratio"), "gram", "left")
+    found = found.join(contexts.select(F.col("text").alias("context"), F.col("ratio").alias("backoff")), "context", "left")
+    found = found.select("gram", F.coalesce("ratio", "backoff", F.lit(0.0)).alias("ratio"))
+    return places.join(found, "gram").groupBy("word_key").agg(F.sum(F.col("n") * F.col("ratio")).alias("ratio"))
+
+
+def ordinary_level(ratios: DataFrame, counts: DataFrame) -> float:
+    """The median log ratio, to a hundredth, over all words of the ordinary training texts; 0 if there are none."""
+
+    def run(batches):
+        for batch in batches:
+            keys = [key_of(w) for w in batch.column("word").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column("ordinary")], ["word_key", "ordinary"])
+
+    used = counts.where("ordinary > 0").select("word", "ordinary").mapInArrow(run, "word_key long, ordinary long")
+    # At most 20,001 steps, whatever the number of words.
+    step = F.round(F.greatest(F.least("ratio", F.lit(100.0)), F.lit(-100.0)) * 100).cast("int")
+    found = ratios.join(used, "word_key").groupBy(step.alias("step")).agg(F.sum("ordinary").alias("n")).toArrow().to_pylist()
+    half, total = sum(r["n"] for r in found) / 2, 0
+    for r in sorted(found, key=lambda r: r["step"]):
+        total += r["n"]
+        if total >= half:
+            return r["step"] / 100
+    return 0.0
+
+
+def _filter_of(keys: DataFrame) -> bytes:
+    """A filter of FILTER_BITS bits, one byte for each eight, that knows all keys; more keys only let more words pass."""
+    (name,) = keys.columns
+    slot = f"pmod({name}, {FILTER_BITS}L)"
+    rows = keys.selectExpr(f"{slot} div 64 AS at", f"shiftleft(1L, int({slot} % 64)) AS bit").groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    table[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
+    return table.astype("<i8").tobytes()
+
+
+def _maybe_keys(bits: bytes) -> Memo:
+    """Keys of words that may be in the filter, None for all others."""
+
+    def one(word: str) -> int | None:
+        key = key_of(word)
+        at = key % FILTER_BITS
+        return key if bits[at >> 3] >> (at & 7) & 1 else None
 
     return Memo(lambda words: [one(w) for w in words], most=300_000)
 
 
-def evidence(texts: list[str | None], model: Model, margin: float = MARGIN) -> list[float]:
-    """How far each text's words are likelier as toxic than as ordinary, normalised by the text's length.
+def evidence(texts: DataFrame, excess: DataFrame) -> DataFrame:
+    """How far each text's words are likelier as toxic than as ordinary, by length: ``u, x``; texts at 0 are left out.
 
-    A word's log ratio is taken against the text's own median, which cancels what its language or topic adds to
-    every word. What words have beyond ``margin`` is summed and divided by the square root of their number, with
-    which the sum of chance deviations grows.
+    ``excess`` has what words have beyond the level of ordinary texts and the margin. It is summed over a text's words
+    and divided by the square root of their number, with which the sum of chance deviations grows. Only words that
+    may be in ``excess`` leave a text, counted, and meet it in a join.
     """
-    ratios = held(("ratios", model.grams, model.contexts, model.order), lambda: _ratios(model))
-    cut = [words_of(t or "") for t in texts]
-    ratios.learn(set().union(*cut))
-    out = []
-    for words in cut:
-        v = np.fromiter(map(ratios.__getitem__, words), float, len(words))
-        out.append(float(np.maximum(v - np.median(v) - margin, 0).sum() / math.sqrt(len(v))) if len(v) else 0.0)
-    return out
+    bits = _filter_of(excess.select("word_key"))
+
+    def run(batches):
+        for batch in slices(batches):
+            maybe = held(("maybe", bits), lambda: _maybe_keys(bits))
+            cut = [words_of(t or "") for t in batch.column("text").to_pylist()]
+            maybe.learn(set().union(*cut))
+            out = []
+            for u, words in zip(batch.column("u").to_pylist(), cut):
+                counts = Counter(k for k in map(maybe.__getitem__, words) if k is not None)
+                out += [(u, k, n, len(words)) for k, n in counts.items()]
+            columns = list(zip(*out)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["u", "word_key", "n", "length"])
+
+    pairs = texts.select("u", "text").mapInArrow(run, "u long, word_key long, n long, length long")
+    found = pairs.join(excess, "word_key").dropDuplicates(["u", "word_key"])
+    return found.groupBy("u").agg((F.sum(F.col("n") * F.col("excess")) / F.sqrt(F.max("length"))).alias("x"))
 
 
-def _score(x: float, model: Model) -> float:
-    return 1.0 / (1.0 + math.exp(-max(-50.0, min(50.0, model.slope * x + model.level))))
+def _version(key: str, text: str) -> Column:
+    """Tells rows apart by key and text; rows equal in both have the same score."""
+    return F.xxhash64(F.col(key).cast("long"), F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int = 100) -> tuple[float, float]:
@@ -242,52 +292,50 @@ def fit_curve(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int =
     return float(w[0] / scale), float(w[1])
 
 
-def train(
+@dataclass(frozen=True)
+class Scores:
+    """Evidence by text, ``u, x``, and the curve from it to the score."""
+
+    evidence: DataFrame
+    slope: float
+    level: float
+
+    def of(self, x: Column) -> Column:
+        return 1.0 / (1.0 + F.exp(-F.greatest(F.lit(-50.0), F.least(F.lit(50.0), self.slope * x + self.level))))
+
+
+def learned(
     docs: DataFrame,
     labels: DataFrame,
     key: str = "doc_id",
     text: str = "text",
     label: str = "toxic",
     order: int = ORDER,
-    slots: int = SLOTS,
+    margin: float = MARGIN,
     curve_rows: int = CURVE_ROWS,
-) -> Model:
-    """Learns both class models from all labelled texts that are not held out.
+) -> Scores:
+    """Learns both class models from all labelled texts that are not held out, and weighs all texts by them.
 
     Seven eighths of them are counted, word by word and gram by gram, in distributed aggregates over all such
-    texts. The finished log ratios are folded into two tables of ``slots`` floats. On the other eighth, at most
-    ``curve_rows`` texts chosen by hash, a logistic curve is fitted. Without labels of both classes every text gets
-    the same score. Null labels and null keys are not learned from.
+    texts. The log ratios stay a distributed table; every distinct word of the texts gets the sum of its own grams'
+    ratios in a join. A word's ratio is taken against the median word of the ordinary training texts. On the other
+    eighth, evidence and label of at most ``curve_rows`` texts chosen by hash, a logistic curve is fitted. Without
+    labels of both classes every text gets the same score. Null labels and null keys are not learned from.
     """
-    rows = labelled(docs, labels, key, text, label)
-    top = staged(grams(word_counts(rows.where(~_for_curve("doc_id"))), order))
+    counts = staged(word_counts(labelled(docs, labels, key, text, label)))
+    top = staged(grams(counts, order))
     seen, contexts = log_ratios(top, shared_backoff(top, order))
-    model = Model(_slotted(seen, slots), _slotted(contexts, slots), order)
-    curve = rows.where(_for_curve("doc_id")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(curve_rows)
-
-    def run(batches):
-        for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(evidence(batch.column("text").to_pylist(), model)), batch.column("toxic")], ["x", "toxic"]
-            )
-
-    found = curve.mapInArrow(run, "x double, toxic int").toArrow()
-    x, y = found.column("x").to_numpy(), (found.column("toxic").to_numpy() > 0).astype(float)
+    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), _version(key, text).alias("u"))
+    ratios = staged(word_ratios(vocabulary(texts), seen, contexts, order))
+    least = ordinary_level(ratios, counts) + margin
+    excess = staged(ratios.where(F.col("ratio") > least).select("word_key", (F.col("ratio") - least).alias("excess")))
+    found = staged(evidence(texts, excess))
+    marks = marked(labels, key, label).where(_for_curve("doc_id"))
+    curve = texts.select("doc_id", "u").join(marks, "doc_id").join(found, "u", "left")
+    curve = curve.orderBy(F.xxhash64("doc_id"), "doc_id", "u").select(F.coalesce("x", F.lit(0.0)).alias("x"), "toxic").limit(curve_rows).toArrow()
+    x, y = curve.column("x").to_numpy(), (curve.column("toxic").to_numpy() > 0).astype(float)
     slope, level = fit_curve(x, y)
-    return Model(model.grams, model.contexts, order, max(slope, 0.0), level)
-
-
-def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The documents as ``row`` (a struct of all their columns) with ``score``, 0 to 1. Scores read the text alone."""
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"))
-
-    def run(batches):
-        for batch in slices(batches):
-            scores = [_score(x, model) for x in evidence(batch.column("text").to_pylist(), model)]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores, pa.float64())], ["row", "score"])
-
-    kept = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {kept}, score double")
+    return Scores(found, max(slope, 0.0), level)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.7) -> DataFrame:
@@ -297,9 +345,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     both the same shared probability. A null or empty text has the score of no evidence. Null keys count as 0 for
     ``held_out``; repeated rows are scored each; other columns are ignored; an empty table gives no rows.
     """
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    model = train(docs, labels, key, text)
-    found = scored(rows, model).select(F.col("row.doc_id").alias("doc_id"), "score")
+    scores = learned(docs, labels, key, text)
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), _version(key, text).alias("u"))
+    found = rows.join(scores.evidence, "u", "left").select("doc_id", scores.of(F.coalesce("x", F.lit(0.0))).alias("score"))
     return found.select(
         "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
@@ -307,5 +355,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 
 def without_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.7) -> DataFrame:
     """The documents, all their columns, whose score lies below the threshold."""
-    found = scored(docs, train(docs, labels, key, text), text).where(F.col("score") < threshold)
-    return found.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
+    scores = learned(docs, labels, key, text)
+    toxic = staged(scores.evidence.where(scores.of(F.col("x")) >= threshold).select("u"))
+    # The score never falls with the evidence: what holds for a text without any holds for all if it is toxic.
+    rows = docs.select(F.struct("*").alias("row"), _version(key, text).alias("u")).where(scores.of(F.lit(0.0)) < threshold)
+    rows = flagged(rows, "u", toxic)
+    # Texts that surely are not toxic don't enter the join's exchange.
+    kept = rows.where("_maybe").join(toxic, "u", "left_anti").select("row").unionByName(rows.where(~F.col("_maybe")).select("row"))
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
