@@ -148,3 +148,37 @@ def test_long_chains_are_one_component(spark):
     links = [(i, i + 1) for i in range(300)] + [(1000, 1001), (1001, 1000), (2000, 2000)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(301)}, 1000: 1000, 1001: 1000}
+
+
+def _left(rows, least=50):
+    """Words of each text that lie in no run that an earlier text, or an earlier part of it, has: all windows compared."""
+    seen, out = {}, {}
+    for k, t in rows:
+        words = t.split()
+        gone = set()
+        for i in range(len(words) - least + 1):
+            if seen.setdefault(tuple(words[i : i + least]), (k, i)) != (k, i):
+                gone.update(range(i, i + least))
+        out[k] = [w for i, w in enumerate(words) if i not in gone]
+    return out
+
+
+def _same_as_all_windows(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.text.split() for r in line_dedup.deduped(docs).collect()}
+    wanted = _left(rows)
+    assert [k for k in wanted if got[k] != wanted[k]] == []
+
+
+def test_every_passage_of_fifty_words_goes(spark, words):
+    """Passages of 49 to 52 words, with and without sentence ends, within and at the ends of texts."""
+    r, rows = random.Random(8), []
+    for i in range(300):
+        passage = words(5000 + i, 49 + i % 4)
+        passage = passage.replace(".", "").replace("\n", " ") if i % 2 else passage
+        for k in (2 * i, 2 * i + 1):
+            parts = words(20_000 + k, r.choice([0, 1, 30, 200])).split(" ")
+            parts.insert(r.randint(0, len(parts)), passage)
+            rows.append((k, " ".join(parts).strip()))
+    rows += [(1000, "again " * 300), (1001, "again " * 120 + words(1, 60)), (1002, "a b c " * 90 + "again " * 50)]
+    _same_as_all_windows(spark, rows)

@@ -1,4 +1,4 @@
-"""Line dedup: winnowed fingerprints of short lines meet in a join, matches are extended, later runs are deleted."""
+"""Line dedup: winnowed fingerprints of words find shared parts, windows around them their first place, later runs go."""
 
 from __future__ import annotations
 
@@ -7,94 +7,90 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.hashing import run_hashes
+from wardline.llm.hashing import mixed, run_hashes
 from wardline.llm.text import flagged, slices, staged
 
-#: Lines whose hashes make one fingerprint, and fingerprints of which a window keeps the least. Every repeated run
-#: of GRAM + WINDOW - 1 lines shares a kept fingerprint.
-GRAM, WINDOW = 3, 6
-#: A line ends with a text line, with a sentence, after a word whose hash divides by this, and after LONGEST words.
-BREAK, LONGEST = 4, 32
-#: Words by which a match is extended beyond its outermost fingerprints: more than lie between two of them.
-REACH = (GRAM + WINDOW + 1) * LONGEST
-#: Words of a document that one row of matches covers at most, without its reach.
-STRETCH = 4096
-
-def words_of(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words, runs of bytes above the space, and for each word whether a line end follows."""
+
+def words_of(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words, runs of bytes above the space."""
     b = np.frombuffer(raw, np.uint8)
     edge = np.diff(np.concatenate([[0], (b > 32).astype(np.int8), [0]]))
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    lines = np.concatenate([[0], np.cumsum(b == 10)])
-    following = np.append(starts[1:], len(b))
-    return starts, ends, lines[following] > lines[ends]
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def lines_of(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words, and the word at which each line starts, with the number of words at the end."""
-    starts, ends, newline = words_of(raw)
-    if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
-    b = np.frombuffer(raw, np.uint8)
-    hashes = run_hashes(b, starts, ends)
-    last = b[ends - 1]
-    closes = newline | (last == 46) | (last == 33) | (last == 63) | (hashes % np.uint64(BREAK) == 0)
-    closes[-1] = True
-    at = np.concatenate([[0], np.flatnonzero(closes) + 1])
-    lengths = np.diff(at)
-    if lengths.max() > LONGEST:
-        parts = -(-lengths // LONGEST)
-        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        at = np.append(np.repeat(at[:-1], parts) + nth * LONGEST, at[-1])
-    return hashes, at
-
-
-def winnowed(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Kept fingerprints and the word at which each starts, in order."""
-    n = len(at) - GRAM
-    if n < 1:
+def hashes_of(text: str | None) -> np.ndarray:
+    """Hashes of the words, 32 bits each."""
+    raw = (text or "").encode()
+    return run_hashes(np.frombuffer(raw, np.uint8), *words_of(raw)).astype(np.uint32)
+
+
+def gram_of(least: int) -> int:
+    """Words of a fingerprint: two fifths of the shortest run, so that a run holds some that can be left out."""
+    return max(1, least * 2 // 5)
+
+
+def _over(x: np.ndarray, width: int, f: np.ufunc) -> np.ndarray:
+    """f over each ``width`` neighbours, in steps that double."""
+    step = 1
+    while step < width:
+        more = min(step, width - step)
+        x = f(x[: len(x) - more], x[more:])
+        step += more
+    return x
+
+
+def winnowed(hashes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Kept fingerprints and the word at which each starts, in order.
+
+    A fingerprint is kept if it is the least, or as little as the least, of all that lie in some run of ``least``
+    words. So equal runs of that length keep the same ones, whatever stands around them, one at least.
+    """
+    size = gram_of(least)
+    width = least - size + 1
+    if len(hashes) < least:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    line = run_hashes(hashes, at[:-1], at[1:])
-    grams = run_hashes(line, np.arange(n), np.arange(n) + GRAM)
-    if n <= WINDOW:
-        kept = np.array([np.argmin(grams)])
-    else:
-        kept = np.unique(np.lib.stride_tricks.sliding_window_view(grams, WINDOW).argmin(axis=1) + np.arange(n - WINDOW + 1))
-    return grams[kept], at[:-1][kept]
+    at = np.arange(len(hashes) - size + 1)
+    grams = run_hashes(hashes, at, at + size)
+    none = np.zeros(width - 1, np.uint64)
+    kept = np.flatnonzero(_over(np.concatenate([none, _over(grams, width, np.minimum), none]), width, np.maximum) == grams)
+    return grams[kept], kept
+
+
+def contexts(hashes: np.ndarray, places: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of all words that lie in a run of ``least`` words with the fingerprint at each place.
+
+    Equal hashes mean the same runs around the fingerprint.
+    """
+    starts = np.maximum(places + gram_of(least) - least, 0)
+    ends = np.minimum(places + least, len(hashes))
+    return starts, ends, mixed(run_hashes(hashes, starts, ends) + (places - starts).astype(np.uint64))
 
 
-def _equal_length(a: np.ndarray, b: np.ndarray) -> int:
-    """How many leading elements are equal."""
-    n, done, step = min(len(a), len(b)), 0, 64
-    while done < n:
-        m = min(step, n - done)
-        odd = a[done : done + m] != b[done : done + m]
-        if odd.any():
-            return done + int(odd.argmax())
-        done, step = done + m, step * 2
-    return done
+def windows(size: int, places: np.ndarray, least: int) -> np.ndarray:
+    """Starts of all runs of ``least`` words that hold the fingerprint at one of the places, in order."""
+    edge = np.zeros(max(size - least, 0) + 2, np.int64)
+    np.add.at(edge, np.maximum(places + gram_of(least) - least, 0), 1)
+    np.add.at(edge, np.minimum(places, size - least) + 1, -1)
+    return np.flatnonzero(np.cumsum(edge) > 0)
 
 
-def extended(c: np.ndarray, a: np.ndarray, p: int, q: int) -> tuple[int, int]:
-    """The run of c around p, start and end, that equals a around q."""
-    back = _equal_length(c[:p][::-1], a[:q][::-1])
-    return p - back, p + _equal_length(c[p:], a[q:])
+def joined_runs(starts: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Windows that begin at ``starts`` (in order) as runs that neither touch nor overlap."""
+    if not len(starts):
+        return []
+    cut = np.flatnonzero(np.diff(starts) > least)
+    return list(zip(starts[np.append(0, cut + 1)].tolist(), (starts[np.append(cut, len(starts) - 1)] + least).tolist()))
 
 
 def own_repeats(hashes: np.ndarray, prints: np.ndarray, places: np.ndarray, least: int) -> list[tuple[int, int]]:
     """Runs of at least ``least`` words of a text that repeat an earlier part of it."""
-    order = np.lexsort((places, prints))
-    same = np.flatnonzero(prints[order][1:] == prints[order][:-1])
-    pairs = sorted((int(places[order[i + 1]] - places[order[i]]), int(places[order[i + 1]])) for i in same)
-    out, covered = [], (0, -1)
-    for apart, p in pairs:
-        if covered[0] == apart and p < covered[1]:
-            continue
-        start, end = extended(hashes, hashes, p, p - apart)
-        covered = apart, end
-        if end - start >= least:
-            out.append((start, end))
-    return out
+    _, which, n = np.unique(prints, return_inverse=True, return_counts=True)
+    twice = places[n[which] > 1]
+    if not len(twice):
+        return []
+    at = windows(len(hashes), twice, least)
+    _, first, which = np.unique(run_hashes(hashes, at, at + least), return_index=True, return_inverse=True)
+    return joined_runs(at[first[which] != np.arange(len(at))], least)
 
 
 def _version(key: str, text: str) -> Column:
@@ -103,52 +99,54 @@ def _version(key: str, text: str) -> Column:
 
 
 def _prints(docs: DataFrame, least: int) -> DataFrame:
-    """Per text its distinct kept fingerprints with their first places, and its repeats of itself."""
+    """Per text its kept fingerprints, each context of one once, and its repeats of itself."""
 
     def run(batches):
         for batch in slices(batches):
-            prints, places, own, sizes = [], [], [], []
+            out = [[] for _ in range(5)]
             for text in batch.column("text").to_pylist():
-                hashes, at = lines_of((text or "").encode())
-                fp, place = winnowed(hashes, at)
-                own.append([x for r in own_repeats(hashes, fp, place, least) for x in r])
-                distinct, first = np.unique(fp, return_index=True)
-                prints.append(distinct.view(np.int64))
-                places.append(place[first].astype(np.int32))
-                sizes.append(len(hashes))
+                hashes = hashes_of(text)
+                fp, place = winnowed(hashes, least)
+                around = contexts(hashes, place, least)[2]
+                _, first = np.unique(around, return_index=True)
+                first.sort()
+                own = [x for r in own_repeats(hashes, fp, place, least) for x in r]
+                for column, x in zip(out, (len(hashes), fp[first].view(np.int64), around[first].view(np.int64), place[first].astype(np.int32), own)):
+                    column.append(x)
+            kinds = pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("u"),
-                    batch.column("doc_id"),
-                    pa.array(sizes, pa.int32()),
-                    pa.array(prints, pa.list_(pa.int64())),
-                    pa.array(places, pa.list_(pa.int32())),
-                    pa.array(own, pa.list_(pa.int32())),
-                ],
-                ["u", "doc_id", "n", "prints", "places", "own"],
+                [batch.column("u"), batch.column("doc_id"), *(pa.array(x, t) for x, t in zip(out, kinds))],
+                ["u", "doc_id", "n", "prints", "contexts", "places", "own"],
             )
 
-    return docs.mapInArrow(run, "u long, doc_id long, n int, prints array<long>, places array<int>, own array<int>")
+    return docs.mapInArrow(run, "u long, doc_id long, n int, prints array<long>, contexts array<long>, places array<int>, own array<int>")
 
 
 def _word_hashes(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in slices(batches):
-            words = [lines_of((t or "").encode())[0].astype("<u4").tobytes() for t in batch.column("text").to_pylist()]
+            words = [hashes_of(t).astype("<u4").tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("u"), pa.array(words, pa.binary())], ["u", "words"])
 
     return docs.mapInArrow(run, "u long, words binary")
 
 
+def _first_places(rows: DataFrame, by: str) -> DataFrame:
+    """For each value of ``by`` that several texts have the earliest of these: ``by, a``."""
+    text = F.struct("doc_id", "u")
+    found = rows.groupBy(by).agg(F.min(text).alias("first"), F.max(text).alias("last"))
+    return found.where(F.col("first.u") != F.col("last.u")).select(by, F.col("first.u").alias("a"))
+
+
 def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 50) -> DataFrame:
     """Runs of words that repeat an earlier text: ``u, doc_id, runs``, each run as start and end word.
 
-    A text comes earlier with a lower key; null keys come first. Texts are laid out in short lines whose ends depend
-    on their words alone, so that a passage falls into the same lines wherever it stands. Fingerprints of three
-    lines are winnowed. Each fingerprint points to its first place among all texts, found by an aggregate, so a
-    passage of many texts makes one link a text and never a pair of every two. Links of one text to another at one
-    distance are gathered, both texts' words around them joined, and the match is extended word by word both ways.
-    Runs of ``least`` words or more are returned, as are repeats within one text.
+    A text comes earlier with a lower key; null keys come first. A run of ``least`` words goes if an earlier text has
+    it, or an earlier part of the text. Any two equal ones keep the same fingerprint, so only the runs around
+    fingerprints of several texts are looked at. Their contexts, all words in a run with the fingerprint, are keyed
+    first: a text whose context an earlier one has repeats all of it. Where a fingerprint has several contexts, the
+    runs in the first text of each are keyed by their hashes. Either way a key points to its first text, found by an
+    aggregate, so a passage of many texts makes one row a text and never a pair of every two.
     """
     rows = docs.select(
         _version(key, text).alias("u"),
@@ -156,62 +154,47 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", leas
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
     found = staged(_prints(rows, least))
-    prints = found.select("u", "doc_id", "n", F.explode(F.arrays_zip("prints", "places")).alias("x")).select(
-        "u", "doc_id", "n", F.col("x.prints").alias("print"), F.col("x.places").alias("p")
+    prints = found.select("u", "doc_id", "n", F.explode(F.arrays_zip("prints", "contexts", "places")).alias("x")).select(
+        "u", "doc_id", "n", F.col("x.prints").alias("print"), F.col("x.contexts").alias("context"), F.col("x.places").alias("p")
     )
-    place = F.struct("doc_id", "u", "p")
-    firsts = prints.groupBy("print").agg(F.min(place).alias("first"), F.max(F.struct("doc_id", "u")).alias("last"))
-    firsts = staged(
-        firsts.where(F.col("first.u") != F.col("last.u")).select(
-            "print", F.col("first.u").alias("a"), F.col("first.p").alias("q")
-        )
+    shared = prints.groupBy("print").agg(
+        F.min("u").alias("u0"), F.max("u").alias("u1"), F.min("context").alias("c0"), F.max("context").alias("c1")
     )
+    shared = staged(shared.where("u0 != u1").select("print", F.expr("c0 != c1").alias("several")))
     # Most fingerprints stand in one text; they don't enter the join's exchange.
-    prints = flagged(prints, "print", firsts.select("print")).where("_maybe").drop("_maybe")
-    links = prints.join(firsts, "print").where(F.col("u") != F.col("a"))
-    matches = staged(
-        links.groupBy("u", "a", (F.col("p") - F.col("q")).alias("apart"), F.floor(F.col("p") / STRETCH).alias("stretch"))
-        .agg(F.first("doc_id").alias("doc_id"), F.first("n").alias("n"), F.array_sort(F.collect_list("p")).alias("places"))
-        .drop("stretch")
-    )
-    ids = matches.select(F.explode(F.array("u", "a")).alias("id"))
-    words = _word_hashes(flagged(rows, "u", ids).where("_maybe").select("u", "text")).dropDuplicates(["u"])
-    begin = F.greatest(F.element_at("places", 1) - REACH, F.lit(0), F.col("apart"))
-    stop = F.least(F.element_at("places", -1) + REACH, F.col("n"))
-    spans = matches.withColumn("begin", begin).withColumn("stop", stop)
-
-    def cut(start: Column) -> Column:
-        return F.substring(F.col("words"), start * 4 + 1, (F.col("stop") - F.col("begin")) * 4)
-
-    earlier = words.select(F.col("u").alias("a"), "words")
-    spans = spans.join(earlier, "a").withColumn("theirs", cut(F.col("begin") - F.col("apart"))).drop("words", "a", "apart")
-    spans = spans.join(words, "u").withColumn("ours", cut(F.col("begin"))).drop("words")
+    maybe = flagged(prints, "print", shared.select("print")).where("_maybe").drop("_maybe")
+    prints = staged(maybe.join(shared, "print").drop("print"))
+    firsts = _first_places(prints, "context")
+    linked = staged(prints.join(firsts, "context", "left").drop("context"))
+    wholly = linked.where("a != u")
+    start = F.greatest(F.col("p") + gram_of(least) - least, F.lit(0))
+    wholly = wholly.select("u", "doc_id", start.alias("start"), F.least(F.col("p") + least, F.col("n")).alias("end"))
+
+    # The first text of a context speaks for all that have it.
+    places = linked.where("several AND (a IS NULL OR a = u)")
+    places = staged(places.groupBy("u").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_set("p")).alias("places")))
+    words = _word_hashes(flagged(rows, "u", places.select("u")).where("_maybe").select("u", "text")).dropDuplicates(["u"])
 
     def run(batches):
-        for batch in batches:
-            out = []
+        for batch in slices(batches, "words"):
+            columns = [[], [], [], []]
             for r in batch.to_pylist():
-                ours, theirs = np.frombuffer(r["ours"], "<u4"), np.frombuffer(r["theirs"], "<u4")
-                end = -1
-                for p in r["places"]:
-                    if p - r["begin"] < end:
-                        continue
-                    start, end = extended(ours, theirs, p - r["begin"], p - r["begin"])
-                    if end - start >= least:
-                        out.append((r["u"], r["doc_id"], r["begin"] + start, r["begin"] + end))
-            columns = list(zip(*out)) or [()] * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 2 + [pa.int32()] * 2)], ["u", "doc_id", "start", "end"]
-            )
-
-    theirs = spans.select("u", "doc_id", "begin", "places", "ours", "theirs").mapInArrow(
-        run, "u long, doc_id long, start int, end int"
-    )
+                hashes = np.frombuffer(r["words"], "<u4")
+                at = windows(len(hashes), np.array(r["places"], np.int64), least)
+                for column, x in zip(columns, (np.full(len(at), r["u"], np.int64), [r["doc_id"]] * len(at), run_hashes(hashes, at, at + least).view(np.int64), at)):
+                    column.extend(x)
+            kinds = pa.int64(), pa.int64(), pa.int64(), pa.int32()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["u", "doc_id", "window", "p"])
+
+    runs = staged(places.join(words, "u").mapInArrow(run, "u long, doc_id long, window long, p int"))
+    firsts = staged(_first_places(runs, "window"))
+    runs = flagged(runs, "window", firsts.select("window")).where("_maybe").drop("_maybe")
+    partly = runs.join(firsts, "window").where("a != u").select("u", "doc_id", F.col("p").alias("start"), (F.col("p") + least).alias("end"))
     own = found.where(F.size("own") > 0).select(
         "u", "doc_id", F.explode(F.expr("transform(sequence(0, size(own) - 2, 2), i -> struct(own[i] as start, own[i + 1] as end))")).alias("r")
     )
     own = own.select("u", "doc_id", F.col("r.start").alias("start"), F.col("r.end").alias("end"))
-    return theirs.unionByName(own).groupBy("u").agg(
+    return wholly.unionByName(partly).unionByName(own).groupBy("u").agg(
         F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_set(F.struct("start", "end"))).alias("runs")
     )
 
@@ -219,7 +202,7 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", leas
 def without_words(text: str, runs: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]], int]:
     """The text without the runs, the code points they took (start, end), and the number of words removed."""
     raw = text.encode()
-    starts, _, _ = words_of(raw)
+    starts, _ = words_of(raw)
     starts = np.append(starts, len(raw)).tolist()
     kept, spans, at, removed, chars = [], [], 0, 0, 0
     merged: list[list[int]] = []
