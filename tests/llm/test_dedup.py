@@ -182,3 +182,16 @@ def test_every_passage_of_fifty_words_goes(spark, words):
             rows.append((k, " ".join(parts).strip()))
     rows += [(1000, "again " * 300), (1001, "again " * 120 + words(1, 60)), (1002, "a b c " * 90 + "again " * 50)]
     _same_as_all_windows(spark, rows)
+
+
+def test_partial_quotes_hide_no_repeat(spark, words):
+    """Two early texts have the two ends of a passage that later ones have whole, or changed in one word."""
+    r, rows = random.Random(9), []
+    for i in range(60):
+        p = words(7000 + i, 70).split()
+        changed = list(p)
+        changed[r.randrange(70)] = "changed"
+        for j, part in enumerate((p[:45], p[-45:], p, p, changed, p + p, changed)):
+            k = 10 * i + j
+            rows.append((k, " ".join([words(30_000 + k, 30), *part, words(40_000 + k, 30)])))
+    _same_as_all_windows(spark, rows)
