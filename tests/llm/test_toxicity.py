@@ -92,3 +92,11 @@ def test_a_word_has_the_sum_of_its_grams(spark):
         toxicity.key_of("banana"): 0.5 - 1.0 + 2.0 + 0.25 + 3.0 + 0.25 + 3.0,
         toxicity.key_of("q"): 0.0,
     }
+
+
+def test_wholly_toxic_texts_are_found(spark, corpus):
+    docs, labels = corpus
+    texts = ["grimwort", "vexling " * 30, "grimwort vexura", " ".join(BAD * 4)]
+    more = spark.createDataFrame([(5000 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = toxicity.toxicity(docs.unionByName(more), labels).where("doc_id >= 5000").collect()
+    assert len(found) == len(texts) and all(r.predicted for r in found)
