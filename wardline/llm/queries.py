@@ -14,6 +14,7 @@ from wardline.llm import (
     jaccard_join,
     line_dedup,
     packing,
+    periodic_runs,
     quality_rules,
     secret_scan,
     sql,
@@ -78,6 +79,10 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secrets(_table(spark, folder, "documents")).drop("masked")
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.planted(_table(spark, folder, "documents"))))
+
+
 QUERIES = (
     op1_byte_bpe,
     op2_fingerprints,
@@ -89,6 +94,7 @@ QUERIES = (
     op8_line_dedup,
     op9_jaccard_join,
     op10_secret_scan,
+    op11_periodic_runs,
 )
 
 
