@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wardline.llm import (
     bpe_codec,
     chat_format,
+    collocations,
     fingerprints,
     jaccard_join,
     line_dedup,
@@ -83,6 +84,10 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.planted(_table(spark, folder, "documents"))))
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
 QUERIES = (
     op1_byte_bpe,
     op2_fingerprints,
@@ -95,6 +100,7 @@ QUERIES = (
     op9_jaccard_join,
     op10_secret_scan,
     op11_periodic_runs,
+    op12_collocations,
 )
 
 

@@ -37,4 +37,26 @@ SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_cha
   (SELECT CAST(sum(chars) AS BIGINT) FROM parts p WHERE p.conv_id = read.conv_id) AS formatted_chars
 FROM read"""
 
-TEXTS = {"op7_chat_format": CHAT_FORMAT}
+#: Words by piece, all their runs of up to four, and for each frequent run its lowest cut and the runs around it.
+COLLOCATIONS = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+runs AS (SELECT lang, unnest(list_transform(range(i, least(i + 4, len(w) + 1)), lambda j: w[i:j])) AS w FROM placed),
+f AS (SELECT lang, w, count(*) AS f FROM runs GROUP BY ALL),
+said AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY 1),
+cand AS (SELECT lang, w, f AS a FROM f WHERE len(w) > 1 AND f >= 30),
+cuts AS (SELECT *, unnest(range(1, len(w))) AS k FROM cand),
+scored AS (SELECT c.lang, c.w, c.a, c.k, x.f AS l, y.f AS r, CAST(2000000 * CAST(c.a AS HUGEINT) // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.w = c.w[1:c.k] JOIN f y ON y.lang = c.lang AND y.w = c.w[c.k + 1:len(c.w)]),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1),
+inner_ AS (SELECT lang, w, a, unnest(range(1, len(w))) AS i FROM cand WHERE len(w) > 2),
+inside AS (SELECT lang, unnest(list_transform(range(i + 1, len(w) + 1), lambda j: w[i:j])) AS s, w, a FROM inner_),
+around AS (SELECT lang, s, max(a) AS a FROM inside WHERE len(s) < len(w) GROUP BY ALL),
+kept AS (SELECT l.*, array_to_string(l.w, ' ') AS phrase FROM lowest l LEFT JOIN around o ON o.lang = l.lang AND o.s = l.w
+  WHERE o.a IS NULL OR 100 * CAST(o.a AS HUGEINT) < 80 * CAST(l.a AS HUGEINT)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN said USING (lang) WHERE rank <= 2000"""
+
+TEXTS = {"op7_chat_format": CHAT_FORMAT, "op12_collocations": COLLOCATIONS}
