@@ -16,6 +16,7 @@ from wardline.llm import (
     line_dedup,
     packing,
     periodic_runs,
+    pivot_join,
     quality_rules,
     secret_scan,
     sql,
@@ -88,6 +89,10 @@ def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(_table(spark, folder, "documents"))
 
 
+def op13_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return pivot_join.nearest(_table(spark, folder, "embeddings"))
+
+
 QUERIES = (
     op1_byte_bpe,
     op2_fingerprints,
@@ -101,6 +106,7 @@ QUERIES = (
     op10_secret_scan,
     op11_periodic_runs,
     op12_collocations,
+    op13_nearest_vectors,
 )
 
 

@@ -59,4 +59,13 @@ kept AS (SELECT l.*, array_to_string(l.w, ' ') AS phrase FROM lowest l LEFT JOIN
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN said USING (lang) WHERE rank <= 2000"""
 
-TEXTS = {"op7_chat_format": CHAT_FORMAT, "op12_collocations": COLLOCATIONS}
+#: Every query against every row; the sums are whole numbers that doubles hold.
+NEAREST_VECTORS = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)),
+pairs AS (SELECT q.vec_id AS query_id, s.vec_id, CAST(list_inner_product(q.x, s.x) AS BIGINT) AS score
+  FROM v q JOIN v s ON q.vec_id % 100 = 0 AND q.vec_id <> s.vec_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
+
+TEXTS = {"op7_chat_format": CHAT_FORMAT, "op12_collocations": COLLOCATIONS, "op13_nearest_vectors": NEAREST_VECTORS}
