@@ -12,6 +12,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -48,7 +49,7 @@ def words_of(texts: list[str], block: int = SLICE_BYTES) -> Iterator[list[bytes]
 class Automaton:
     """A weighted acyclic automaton of word runs, level by level, each level in the order of its runs.
 
-    ``words`` is the sorted alphabet, whose first entry, the empty word, ends a run. ``labels[d]`` are the words on
+    ``words`` is the alphabet, in whose order runs are sorted; its first entry, the empty word, ends a run. ``labels[d]`` are the words on
     the arcs into depth d + 1, ``fans[d]`` the numbers of arcs that leave each state of depth d + 1, ``weights`` those
     of the last level. The weight of any other state is the sum below it.
     """
@@ -111,6 +112,15 @@ class Automaton:
     def _kinds(n: int) -> list[str]:
         return ["<u4"] * (n - 1) + ["<u8"]
 
+    @classmethod
+    def spelled(cls, words: list[bytes], runs: np.ndarray, counts: np.ndarray) -> Automaton:
+        """As ``built``, with only those words in the alphabet that the runs use."""
+        used = np.zeros(len(words), bool)
+        used[0] = True
+        used[runs] = True
+        number = np.cumsum(used) - 1
+        return cls.built([words[i] for i in np.flatnonzero(used).tolist()], number[runs], counts)
+
     def relabelled(self, place: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
         """Its runs in the numbers of a larger alphabet, and their weights."""
         number = np.fromiter(map(place.__getitem__, self.words), np.int64, len(self.words))
@@ -132,7 +142,7 @@ def _summed(runs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def united(parts: list[Automaton]) -> Automaton:
     """The automaton whose weights are the sums of the parts'."""
-    words = sorted(set().union(*(p.words for p in parts)))
+    words = list(dict.fromkeys(chain.from_iterable(p.words for p in parts)))
     place = {w: i for i, w in enumerate(words)}
     runs, counts = zip(*(p.relabelled(place) for p in parts))
     return Automaton.built(words, *_summed(np.concatenate(runs), np.concatenate(counts)))
@@ -149,8 +159,7 @@ def pruned(a: Automaton, least: int) -> Automaton:
     weight = a.levels()[-2]
     kept = np.repeat(weight >= least, a.fans[-1])
     runs, counts = a.runs(len(a.labels))[kept], a.weights[kept]
-    used = np.unique(np.r_[0, runs.ravel()])
-    return Automaton.built([a.words[i] for i in used.tolist()], np.searchsorted(used, runs), counts)
+    return Automaton.spelled(a.words, runs, counts)
 
 
 def listed(a: Automaton) -> list[tuple[str, int, int]]:
@@ -212,11 +221,8 @@ class Shard:
 
     def cut(self, ranges: int) -> Iterator[tuple[int, int, bytes, int]]:
         """(depth, range, automaton, words said), once for each depth and range that has runs."""
-        words = sorted(self.numbers)
-        rank = np.zeros(len(words), np.int64)
-        rank[[self.numbers[w] for w in words]] = np.arange(len(words))
-        end = words.index(_END)
-        x = np.concatenate([rank[p] for p in self.parts])
+        words, end = list(self.numbers), self.numbers[_END]
+        x = np.concatenate(self.parts)
         hashes = _hashes(words)
         for depth, lead in KINDS:
             runs = np.zeros((len(x), depth), np.int64)
@@ -231,8 +237,7 @@ class Shard:
             for own in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
                 if not len(own):
                     continue
-                used = np.unique(np.r_[0, runs[own].ravel()])
-                a = Automaton.built([words[i] for i in used.tolist()], np.searchsorted(used, runs[own]), counts[own])
+                a = Automaton.spelled(words, runs[own], counts[own])
                 yield depth, int(at[own[0]]), a.packed(), int(counts[own].sum())
 
 
