@@ -101,6 +101,56 @@ def test_points_on_borders_have_one_owner(spark):
     assert got == {(1.0, 0.5): "b", (0.0, 0.0): "a", (1.0, 0.0): "b", (2.0, 0.5): None, (0.5, 1.0): None}
 
 
+def grid_star(rnd):
+    """A simple outline around a grid point, all its corners on the grid."""
+    steps = {(dx, dy) for dx in range(-3, 4) for dy in range(-3, 4) if math.gcd(dx, dy) == 1}
+    around = sorted(rnd.sample(sorted(steps), rnd.randrange(5, 20)), key=lambda d: math.atan2(d[1], d[0]))
+    reach = [rnd.randrange(1, 4) for _ in around]
+    return [(d[0] * r * 0.25, d[1] * r * 0.25) for d, r in zip(around, reach)]
+
+
+def test_corners_and_edges_on_the_grid(spark):
+    rnd = random.Random(11)
+    shapes = [(f"s{i}", shape([grid_star(rnd)])) for i in range(40)]
+    shapes += [(f"t{i}", shape([[(rnd.randrange(-8, 9) / 4, rnd.randrange(-8, 9) / 4) for _ in range(3)]])) for i in range(40)]
+    stairs = [(x / 4, y / 4) for i in range(8) for y in [rnd.randrange(1, 9)] for x in (i, i + 1)]
+    shapes += [("stairs", shape([[(0.0, 0.0), *stairs, (2.0, 0.0)]])), ("twice", shape(TRIANGLE)), ("twice", shape(TRIANGLE))]
+    df = spark.createDataFrame(shapes, SCHEMA)
+    pts = [(rnd.uniform(-2.6, 2.6), rnd.uniform(-2.6, 2.6)) for _ in range(400)]
+    pts += [(rnd.randrange(-9, 10) / 4 + 1e-6, rnd.randrange(-9, 10) / 4 + 1e-6) for _ in range(200)]
+    points = spark.createDataFrame([(i, *p) for i, p in enumerate(pts)], "n long, lon double, lat double")
+    want = sorted((i, k) for i, p in enumerate(pts) for k, v in shapes if holds(v, *p))
+    for cell in (0.25, 0.4, 3.0):
+        found = spatial.locate(points, "lon", "lat", spatial.layer(df, ["id"], cell, 1 << 30), {"id": "place"})
+        assert sorted((r["n"], r["place"]) for r in found.collect() if r["place"]) == want
+
+
+def test_work_grows_with_edges_and_cells(spark):
+    """A border of 100,000 edges over 10,000 cells: rows per edge and cell, not their product, over many tasks."""
+    n = 100_000
+    turn = [2 * math.pi * k / n for k in range(n)]
+    wave = [(1 + 0.1 * math.sin(50 * a)) * 0.45 for a in turn]
+    outline = [(0.5 + r * math.cos(a), 0.5 + r * math.sin(a)) for a, r in zip(turn, wave)]
+    df = spark.createDataFrame([("wave", shape([outline]))], SCHEMA)
+    prepared = spatial.layer(df, ["id"], 0.01, 1 << 30)
+    pieces = prepared.pieces
+    assert pieces.count() < 4 * n and pieces.select("cell_i", "cell_j").distinct().count() > 5000
+    rnd = random.Random(3)
+    pts = [(rnd.random(), rnd.random()) for _ in range(5000)]
+    points = spark.createDataFrame([(i, *p) for i, p in enumerate(pts)], "n long, lon double, lat double")
+    got = {r["n"] for r in spatial.locate(points, "lon", "lat", prepared, {"id": "id"}).collect() if r["id"]}
+    far = [(i, math.hypot(x - 0.5, y - 0.5), math.atan2(y - 0.5, x - 0.5)) for i, (x, y) in enumerate(pts)]
+    assert got == {i for i, d, a in far if d < (1 + 0.1 * math.sin(50 * a)) * 0.45}
+    plan = spatial._pieces(df, ("id",), 0.01, "rings")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_id" in plan and plan.count("REPARTITION_BY_COL") == 1
+
+
+def test_size_counts_attributes(spark):
+    boxes = spark.createDataFrame([("x" * 5000, 0.0, 0.0, 1.0, 1.0)], "id string, x0 double, y0 double, x1 double, y1 double")
+    df = boundaries.from_boxes(boxes)
+    assert not spatial.layer(df, ["id"], 0.25, 30_000).small and spatial.layer(df, ["id"], 0.25, 1 << 20).small
+
+
 def test_degenerate_polygons_hold_nothing(spark):
     df = spark.createDataFrame([("empty", []), ("none", None), ("line", shape([[(0, 0), (1, 1)]]))], SCHEMA)
     prepared = spatial.layer(df, ["id"], 0.5, 1 << 20)

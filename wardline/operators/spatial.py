@@ -16,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.functions import geometry as G
@@ -48,92 +48,141 @@ _WEST_END = _LINE.format(at="-" + _FAR, x="-" + _FAR, y="0D", s="0D")
 _EAST_END = _LINE.format(at=_FAR, x=_FAR, y="0D", s="0D")
 
 
+def _clipped(x1: str, y1: str, x2: str, y2: str) -> str:
+    """West and east ends ``w`` and ``e`` of an edge within the grid row from ``low`` to ``high``.
+
+    An end of the edge that lies in the row is taken as it is, so that edges that share a corner both reach it.
+    """
+
+    def at(y: str) -> str:
+        return f"{x1} + ({x2} - {x1}) / ({y2} - {y1}) * ({y} - {y1})"
+
+    down = f"IF({y1} >= low OR {y1} = {y2}, {x1}, {at('low')})"
+    up = f"IF({y2} <= high OR {y1} = {y2}, {x2}, {at('high')})"
+    return f"named_struct('w', least({down}, {up}), 'e', greatest({down}, {up}))"
+
+
+def _upwards(rings: str) -> str:
+    """Edges run upwards, so that two polygons sharing one compute the same line.
+
+    Each knows the far ends of its neighbours in the ring: (lx, ly) below, (hx, hy) above.
+    """
+    point = "ring[(i + {k} + size(ring)) % size(ring)]"
+    p, q, before, after = (point.format(k=k) for k in (0, 1, -1, 2))
+
+    def fields(low, high, under, over):
+        named = (("1", low), ("2", high), ("l", under), ("h", over))
+        # Adding zero turns -0.0 into 0.0, which compare as different in arrays.
+        parts = [f"'{axis}{n}', {v}.{axis} + 0D" if n.isdigit() else f"'{n}{axis}', {v}.{axis} + 0D" for n, v in named for axis in "xy"]
+        return f"named_struct({', '.join(parts)})"
+
+    edge = f"IF({p}.y <= {q}.y, {fields(p, q, before, after)}, {fields(q, p, after, before)})"
+    return f"flatten(transform(flatten({rings}), ring -> transform(ring, (p, i) -> {edge})))"
+
+
 def _pieces(boundaries: DataFrame, attributes: tuple[str, ...], size: float, rings: str) -> DataFrame:
     """Cells of every polygon, cut into pieces. Borders must not cross themselves.
 
-    Only heights at which an edge that touches the cell begins or ends can change
-    what is inside, so the cell is cut there. Edges that pass east of the cell only
-    decide whether the far side of it is inside.
+    Every edge goes to the cells it crosses, row by row of the grid, so the work grows with edges and cells; rows of
+    the grid are dealt to the tasks, those of one polygon too. In a row, an edge holds the cells from its west end to
+    its east end and lies east of the cells before them.
+
+    Only heights at which an edge that touches the cell begins or ends can change what is inside, so a touched cell
+    is cut there into slabs. Whether the far side of it is inside follows from the edges east of it. How many of them
+    cross the foot of the row is a running count over the row's touched cells. Above the foot the count can turn only
+    where an edge of the cell meets an edge east of it: all other corners join two edges that both count or do not.
+    Untouched cells between touched ones are wholly inside or outside, as the running count says.
     """
-    limit = lambda f, axis: f"floor({f}(transform(edges, e -> e.{axis})) / {size!r}D)"
-    # Edges run upwards, so that two polygons sharing one compute the same line.
-    upwards = (
-        f"transform({G.edges(rings)}, e -> IF(e.y1 <= e.y2, e, "
-        "named_struct('x1', e.x2, 'y1', e.y2, 'x2', e.x1, 'y2', e.y1)))"
+    size_, slack = f"{size!r}D", f"{_SLACK!r}D"
+    cell = lambda x, sign: f"floor(({x} {sign} {slack}) / {size_})"
+    copies = Window.partitionBy("_id").orderBy("_id")
+    # Equal rows are different polygons, which nothing but their number tells apart.
+    polygons = (
+        boundaries.selectExpr(f"named_struct({', '.join(f'{a!r}, {a}' for a in attributes)}) AS _of", f"{rings} AS _rings")
+        .selectExpr("_of", "_rings", "xxhash64(_of, _rings) AS _id")
+        .withColumn("_copy", F.row_number().over(copies))
     )
-    side = lambda cell, k, slack: f"({cell} + {k}) * {size!r}D + {slack!r}D"
-    left, right = side("cell_i", 0, -_SLACK), side("cell_i", 1, _SLACK)
-    low, high = side("cell_j", 0, -_SLACK), side("cell_j", 1, _SLACK)
-    grid = (
-        boundaries.selectExpr(*attributes, f"{upwards} AS edges")
-        .filter("size(edges) > 0")
-        .selectExpr(
-            *attributes,
-            "edges",
-            f"explode(sequence({limit('array_min', 'x1')}, {limit('array_max', 'x1')})) AS cell_i",
-            f"{limit('array_min', 'y1')} AS j0",
-            f"{limit('array_max', 'y2')} AS j1",
+    own = ["_id", "_copy", "j"]
+    rows = (
+        polygons.selectExpr("_id", "_copy", "_of", f"inline({_upwards('_rings')})")
+        .selectExpr("*", f"explode(sequence({cell('y1', '-')}, {cell('y2', '+')})) AS j")
+        .selectExpr("*", f"j * {size_} - {slack} AS low", f"(j + 1) * {size_} + {slack} AS high")
+    )
+    # The first cell of the neighbour at each end, where that end lies in the row; it is drawn upwards as well.
+    upward = lambda v, o: [f"IF({v[1]} <= {o[1]}, {a}, {b})" for a, b in (*zip(v, o), *zip(o, v))]
+    met = lambda v, o: f"IF({v[1]} > low AND {v[1]} < high, {cell(_clipped(*upward(v, o)) + '.w', '-')}, NULL)"
+    edges = (
+        rows.selectExpr(
+            *own, "_of", "low", "high", "x1", "y1", "x2", "y2",
+            f"{_clipped('x1', 'y1', 'x2', 'y2')} AS reach",
+            f"{met(('x1', 'y1'), ('lx', 'ly'))} AS n1",
+            f"{met(('x2', 'y2'), ('hx', 'hy'))} AS n2",
         )
-        .selectExpr(*attributes, "edges", "cell_i", "explode(sequence(j0, j1)) AS cell_j")
-        .selectExpr(
-            *attributes,
-            "cell_i",
-            "cell_j",
-            f"{low} AS low",
-            f"{high} AS high",
-            f"filter(edges, e -> e.y2 >= {low} AND e.y1 <= {high} AND greatest(e.x1, e.x2) >= {left}) AS reach",
-        )
-        .selectExpr(
-            *attributes,
-            "cell_i",
-            "cell_j",
-            "low",
-            "high",
-            f"filter(reach, e -> least(e.x1, e.x2) <= {right}) AS touching",
-            f"filter(reach, e -> least(e.x1, e.x2) > {right}) AS beyond",
+        .selectExpr("*", f"{cell('reach.w', '-')} AS first", f"{cell('reach.e', '+')} AS last")
+        .selectExpr("*", "explode(sequence(first, last)) AS i")
+        .repartition(*own)
+    )
+    along = Window.partitionBy(*own).orderBy(F.desc("i"))
+    cells = (
+        edges.groupBy(*own, "i")
+        .agg(
+            F.first("_of").alias("_of"),
+            F.first("low").alias("low"),
+            F.first("high").alias("high"),
+            F.expr("collect_list(named_struct('x1', x1, 'y1', y1, 'x2', x2, 'y2', y2, 'n1', n1, 'n2', n2))").alias("touching"),
+            F.expr("sum(IF(first = i AND y1 <= low AND y2 > low, 1, 0))").alias("foot"),
         )
+        .withColumn("foot", F.coalesce(F.sum("foot").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2)
+        .withColumn("next", F.lag("i").over(along))
     )
     ends = "flatten(transform(touching, e -> array(e.y1, e.y2)))"
-    heights = f"concat(array(low), array_sort(array_distinct(filter({ends}, v -> v > low AND v < high))), array(high))"
-    slabs = (
-        grid.selectExpr("*", f"{heights} AS h")
-        .selectExpr("*", "explode(sequence(0, size(h) - 2)) AS k")
-        .selectExpr(
-            *attributes,
-            "cell_i",
-            "cell_j",
-            "touching",
-            "beyond",
-            # The outermost pieces have no limit: the cell number has settled it.
-            f"IF(k = 0, -{_FAR}, h[k]) AS y0",
-            f"IF(k = size(h) - 2, {_FAR}, h[k + 1]) AS y1",
-            "(h[k] + h[k + 1]) / 2 AS mid",
-        )
-    )
+    turns = "flatten(transform(touching, e -> array(IF(e.n1 > i, e.y1, NULL), IF(e.n2 > i, e.y2, NULL))))"
+    slabs = "sequence(0, size(h) - 2)"
+    mid = "(h[k] + h[k + 1]) / 2"
+    at = lambda v: f"int(array_position(h, {v}) - 1)"
     slope = "(e.x2 - e.x1) / (e.y2 - e.y1)"
-    line = _LINE.format(at=f"e.x1 + {slope} * (mid - e.y1)", x="e.x1", y="e.y1", s=slope)
-    spans_mid = "e -> e.y1 <= mid AND e.y2 > mid"
+    line = _LINE.format(at=f"e.x1 + {slope} * ({mid} - e.y1)", x="e.x1", y="e.y1", s=slope)
+    none = "CAST(NULL AS STRUCT<at: DOUBLE, x: DOUBLE, y: DOUBLE, s: DOUBLE>)"
+    # The outermost pieces have no limit: the cell number has settled it.
+    marks = (
+        f"transform({slabs}, k -> named_struct('c', i, 'k', k, 'y0', IF(k = 0, -{_FAR}, h[k]), 'y1', IF(k = size(h) - 2, {_FAR}, h[k + 1]), "
+        f"'east', int((foot + size(filter(turns, v -> v <= {mid}))) % 2), 'line', {none}))"
+    )
+    # An edge goes to the slabs it spans and to no other.
+    spanned = (
+        "flatten(transform(spans, s -> transform(sequence(s.f, s.t - 1), k -> named_struct('c', i, 'k', k, 'y0', CAST(NULL AS DOUBLE), "
+        f"'y1', CAST(NULL AS DOUBLE), 'east', CAST(NULL AS INT), 'line', {line.replace('e.', 's.e.')}))))"
+    )
+    between = (
+        f"IF(foot = 1 AND next > i + 1, transform(sequence(i + 1, next - 1), c -> named_struct('c', c, 'k', 0, 'y0', -{_FAR}, "
+        f"'y1', {_FAR}, 'east', 1, 'line', {none})), array())"
+    )
     closed = (
         f"concat(IF((size(lines) + east) % 2 = 1, array({_WEST_END}), array()), lines, "
         f"IF(east = 1, array({_EAST_END}), array()))"
     )
-    pairs = "transform(sequence(0, CAST(size(b) / 2 AS INT) - 1), k -> named_struct('l', b[2 * k], 'r', b[2 * k + 1]))"
-    return (
-        slabs.selectExpr(
-            *attributes,
-            "cell_i",
-            "cell_j",
-            "y0",
-            "y1",
-            f"array_sort(transform(filter(touching, {spans_mid}), e -> {line})) AS lines",
-            f"size(filter(beyond, {spans_mid})) % 2 AS east",
-        )
-        .selectExpr(*attributes, "cell_i", "cell_j", "y0", "y1", f"{closed} AS b")
-        .filter("size(b) > 1")
-        .selectExpr(*attributes, "cell_i", "cell_j", "y0", "y1", f"inline({pairs})")
+    cut = (
+        cells.selectExpr("*", f"concat(array(low), array_sort(array_distinct(filter({ends}, v -> v > low AND v < high))), array(high)) AS h")
         .selectExpr(
-            *attributes, "cell_i", "cell_j", "y0", "y1", *[f"{e}.{c} AS {e}{c}" for e in "lr" for c in "xys"]
+            "*",
+            f"filter({turns}, v -> v IS NOT NULL) AS turns",
+            f"filter(transform(touching, e -> named_struct('e', e, 'f', {at('greatest(e.y1, low)')}, "
+            f"'t', {at('least(e.y2, high)')})), s -> s.t > s.f) AS spans",
+        )
+        .selectExpr(*own, "_of", f"inline(concat({marks}, {spanned}, {between}))")
+        .groupBy(*own, "c", "k")
+        .agg(
+            F.first("_of").alias("_of"),
+            *(F.max(c).alias(c) for c in ("y0", "y1", "east")),
+            F.sort_array(F.collect_list("line")).alias("lines"),
         )
+        .selectExpr("_of", "c", "j", "y0", "y1", f"{closed} AS b")
+        .filter("size(b) > 1")
+    )
+    pairs = "transform(sequence(0, CAST(size(b) / 2 AS INT) - 1), k -> named_struct('l', b[2 * k], 'r', b[2 * k + 1]))"
+    return (
+        cut.selectExpr("_of", "c AS cell_i", "j AS cell_j", "y0", "y1", f"inline({pairs})")
+        .selectExpr("_of.*", "cell_i", "cell_j", "y0", "y1", *[f"{e}.{c} AS {e}{c}" for e in "lr" for c in "xys"])
     )
 
 
@@ -152,15 +201,16 @@ def layers(
         for i, (df, attributes) in enumerate(parts)
     ]
     written = computed_once(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), cut))
-    # One row per layer.
-    counts = {r["layer"]: r["count"] for r in written.groupBy("layer").count().collect()}
-    bytes_per_piece = 256
+    # One row per layer: what its pieces take, twelve numbers and the attributes as text each.
+    names = dict.fromkeys(a for _, attributes in parts for a in attributes)
+    text = " + ".join(["96L", *(f"coalesce(octet_length(CAST(`{a}` AS STRING)), 0) + 8" for a in names)])
+    taken = {r["layer"]: r["bytes"] for r in written.groupBy("layer").agg(F.expr(f"sum({text})").alias("bytes")).collect()}
     return [
         Layer(
             written.filter(F.col("layer") == i),
             tuple(attributes),
             cell_degrees,
-            counts.get(i, 0) * bytes_per_piece <= broadcast_bytes,
+            taken.get(i, 0) <= broadcast_bytes,
         )
         for i, (_, attributes) in enumerate(parts)
     ]
