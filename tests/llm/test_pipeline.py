@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from wardline.llm import queries, toxicity
-from wardline.llm.text import staged
+from wardline.llm.text import made, staged
 
 
 @pytest.fixture(scope="module")
@@ -44,7 +44,23 @@ def test_run_is_the_stages_in_turn(spark, small, stages):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, stages[5].collect()))
 
 
+def test_a_stage_removes_what_the_last_one_made(spark, small, tmp_path):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    before = set(made())
+    (_, first), (_, second) = corpus_pipeline.STAGES[:2]
+    lazy = first(spark, docs, small)
+    assert set(made()) - before
+    chained = second(spark, lazy, small)  # its documents still read the first stage's tables
+    assert chained.count() == lazy.count()
+    lazy.write.parquet(f"{tmp_path}/stored")
+    second(spark, spark.read.parquet(f"{tmp_path}/stored"), small).write.parquet(f"{tmp_path}/again")
+    own = set(corpus_pipeline._LAST)
+    assert own
+    corpus_pipeline.STAGES[3][1](spark, spark.read.parquet(f"{tmp_path}/again"), small)
+    assert not set(made()) & own and spark.read.parquet(f"{tmp_path}/again").count() == lazy.count()
+
+
 def test_every_operator_is_registered_once():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(queries.oracle_sql()) <= set(names)

@@ -2,8 +2,9 @@
 
 import base64
 import hashlib
+import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -134,3 +135,42 @@ def test_a_length_that_most_pieces_share_is_ranked_without_gaps(spark):
     for r in rows:
         used[r.sequence_id] += r.length
     assert max(used.values()) <= 2048 and sum(used.values()) / 2048 / len(used) > 0.98
+
+
+def test_plain_tokens_have_the_librarys_ids():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        memo = packing._ids(f.read())
+    r = random.Random(1)
+    odd = [chr(c) for c in (0x85, 0xA0, 0xAD, 0x2003, 0x200B, 0x300, 0x301, 0x1E9E, 0x130, 0x131, 0x17F, 0x212A, 0x3A3, 0x3C2, 0x6771, 0x661, 0xBD)]
+    chars = [chr(c) for c in range(0x20, 0x250)] + list("'''sstrevemlld  \n\t\r..,!?<|>") + odd + [chr(c) for c in range(0x2010, 0x2060)]
+    plain = [c for c in chars if not packing._NOT_PLAIN.search(c)]
+    texts = ["".join(r.choice(kind) for _ in range(r.randrange(1, 60))) for kind in (chars, plain, "' srtevmlldSTREVMLLD.a1") for _ in range(3000)]
+    texts += ["it's <|endoftext|> a|", "<|startoftext|>", "", " "]
+    cut = [packing.plain_tokens(t) for t in texts]
+    memo.learn(set().union(*cut))
+    for t, parts in zip(texts, cut):
+        got = np.frombuffer(b"".join(map(memo.__getitem__, parts)), "<u4").tolist()
+        assert got == library.encode(t, add_special_tokens=False).ids, t
+
+
+def test_memo_stays_within_its_bytes():
+    """50,000 distinct texts that are one long piece each leave nothing behind; short ones come back."""
+    asked = Counter()
+
+    def compute(batch):
+        asked.update(batch)
+        return [p.upper() for p in batch]
+
+    memo = text.Memo(compute, most=1 << 20)
+    for i in range(50_000):
+        p = f"{i} no-break\u00a0space " + "x" * 80
+        memo.learn({p, "often", f"w{i % 700}"})
+        assert memo[p] == p.upper() and memo["often"] == "OFTEN"
+        assert len(memo) + len(memo.older) < 4000 and len(memo.once) <= 1
+    assert asked["often"] == 1 and asked["w5"] <= 2
+    for i in range(20_000):
+        memo.learn({f"short{i}", "often"})
+        assert memo.held < 1 << 20 and memo["often"] == "OFTEN"
+    assert asked["often"] == 1

@@ -3,20 +3,27 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.text import Memo, held, pieces, slices, staged, tasks_of
+from wardline.llm.text import Memo, held, slices, staged, tasks_of, words
 
 #: Tokens of a sequence.
 SIZE = 2048
 #: Lengths are rounded up to multiples of this for the patterns, so the linear program has SIZE / GRAIN rows.
 GRAIN = 8
 
+_NOT_PLAIN = re.compile("[^ -~\n\t\r\xa1-\xac\xae-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e\u20ac]")
+# The tokenizer's own pattern, its classes spelled out for these characters.
+_LETTERS, _NUMBERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe"
+_PLAIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
+
 
 def _ids(spec: str) -> Memo:
     """Little-endian 32-bit ids of pieces."""
@@ -28,29 +35,20 @@ def _ids(spec: str) -> Memo:
     tokenizer.no_truncation()
 
     def encode(batch: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
-
-    stems = Memo(encode)
-
-    def by_stem(batch: list[str]) -> list[bytes]:
-        cut = [_stem_and_tail(p) for p in batch]
-        stems.learn({x for pair in cut for x in pair if x})
-        return [(stems[a] if a else b"") + (stems[b] if b else b"") for a, b in cut]
+        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
 
-    return Memo(by_stem)
+    return Memo(encode)
 
 
-def _stem_and_tail(piece: str) -> tuple[str, str]:
-    """A piece without its white space, which the tokenizer drops, cut before closing marks.
+def plain_tokens(text: str) -> list[str]:
+    """Parts of a text whose ids one after the other are the text's, for the word tokenizer.
 
-    Behind a Latin letter such marks always begin a new token. Other letters may end in a combining mark once they
-    are normalised or lowered, and stay with their marks. Plain words are lowered, as the tokenizer does.
+    In plain Latin text these are what its pattern finds once letters are lowered: few distinct ones. Composed letters
+    up to U+017F are as the tokenizer normalises them, but for U+0130. Any other text is cut at white space only.
     """
-    core = piece.strip(" \n\t\r")
-    stem = core.rstrip(".,!?")
-    if not stem or not stem[-1].isalpha() or stem[-1] > "\u024f" or stem[-1] == "\u0130":
-        return core, ""
-    return (stem.lower() if stem.isascii() and stem.isalpha() else stem), core[len(stem) :]
+    if _NOT_PLAIN.search(text) or "<|" in text:
+        return words(text)
+    return _PLAIN.findall(text.lower())
 
 
 def token_pieces(
@@ -78,7 +76,7 @@ def token_pieces(
     def run(batches):
         memo = held(("ids", spec), lambda: _ids(spec))
         for batch in slices(batches):
-            cut = [pieces(t or "") for t in batch.column("text").to_pylist()]
+            cut = [plain_tokens(t or "") for t in batch.column("text").to_pylist()]
             memo.learn(set().union(*cut))
             out = []
             for doc, parts in zip(batch.column("doc_id").to_pylist(), cut):

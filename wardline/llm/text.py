@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.session import shared_dir
@@ -38,16 +38,41 @@ ODD_SPACE = re.compile(
 _SURE_CUT = re.compile(r"(?<=[A-Za-z0-9]) ")
 
 
+#: Written tables that are still there, in the order in which they were made.
+_STAGED: list[str] = []
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
 def staged(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder and read back; removed when the session's engine stops."""
+    """``df`` written once to the shared folder and read back; removed by ``dropped`` or when the engine stops."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    store, folder = _folder(spark, path)
+    store.deleteOnExit(folder)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def made() -> list[str]:
+    """The staged tables that are still there."""
+    return list(_STAGED)
+
+
+def dropped(spark: SparkSession, tables: list[str], kept: DataFrame) -> None:
+    """Removes staged tables whose readers are done, but for those that ``kept`` reads."""
+    read = {part for f in kept.inputFiles() for part in f.split("/") if part.startswith("llm-")}
+    for path in tables:
+        if path in _STAGED and path.rsplit("/", 1)[1] not in read:
+            store, folder = _folder(spark, path)
+            store.delete(folder, True)
+            _STAGED.remove(path)
+
+
 def tasks_of(df: DataFrame) -> int:
     """The number of parts a keyed exchange uses."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -102,6 +127,11 @@ def pieces(text: str, long: int = 20_000) -> list[str]:
     return out
 
 
+def words(text: str) -> list[str]:
+    """The text without white space, cut at it; a text with unusual white space is cut into ``pieces``."""
+    return pieces(text) if ODD_SPACE.search(text) else text.split()
+
+
 _HELD: dict = {}
 
 
@@ -117,18 +147,36 @@ def held(key, build):
 
 
 class Memo(dict):
-    """Results by piece. Starts anew when full, so a worker's memory stays bounded."""
+    """Results by piece, in bounded memory: an estimate of the bytes held stays below ``most`` and one slice's pieces.
 
-    def __init__(self, compute, most: int = 200_000):
+    Half of them are for pieces asked for lately. When these fill their half, they become the older half, from which
+    what is asked for again comes back, and the rest goes. Pieces over LONG characters hardly ever repeat: they are
+    held until the next ``learn`` only.
+    """
+
+    LONG = 64
+
+    def __init__(self, compute, most: int = 128 << 20):
         super().__init__()
         self.compute, self.most = compute, most
+        self.older, self.once, self.held = {}, {}, 0
+
+    def __missing__(self, piece: str):
+        return self.once[piece]
 
     def learn(self, wanted: set[str]) -> None:
-        missing = list(wanted.difference(self))
-        if not missing:
-            return
-        if len(self) + len(missing) > self.most:
-            keep = {k: self[k] for k in wanted if k in self}
+        """Makes the results of all ``wanted`` pieces available, until the next call at least."""
+        if self.held > self.most // 2:
+            self.older = dict(self)
             self.clear()
-            self.update(keep)
-        self.update(zip(missing, self.compute(missing)))
+            self.held = 0
+        self.once = {}
+        new = wanted.difference(self)
+        known = {p: self.older[p] for p in new.intersection(self.older)} if self.older else {}
+        missing = list(new.difference(known))
+        known.update(zip(missing, self.compute(missing) if missing else ()))
+        long = [p for p in known if len(p) > self.LONG]
+        self.once = {p: known.pop(p) for p in long}
+        self.update(known)
+        # A text object, its place in the table, and results of a few bytes for each character, on the high side.
+        self.held += 250 * len(known) + 16 * sum(map(len, known))

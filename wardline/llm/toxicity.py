@@ -237,7 +237,7 @@ def _maybe_keys(bits: bytes) -> Memo:
         at = key % FILTER_BITS
         return key if bits[at >> 3] >> (at & 7) & 1 else None
 
-    return Memo(lambda words: [one(w) for w in words], most=300_000)
+    return Memo(lambda words: [one(w) for w in words])
 
 
 def evidence(texts: DataFrame, excess: DataFrame) -> DataFrame:
