@@ -47,6 +47,61 @@ def test_every_dataset_reads(spark, tmp_path, name):
     assert df.count() == 1 and set(d.key) <= set(df.columns)
 
 
+BAD_LINES = ['{"trip_id": "t3", "trip_seconds": ', "no json at all", '[{"trip_id": "t4"}]', "7"]
+
+
+def test_malformed_lines_are_set_apart(spark, tmp_path):
+    lines = [json.dumps(TRIP), BAD_LINES[0], "", json.dumps({**TRIP, "trip_id": "t2"}), BAD_LINES[1]]
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    dump(tmp_path / "b.json", [{**TRIP, "trip_id": "t5"}])
+    rows = landing.read(spark, str(tmp_path), landing.TAXI)
+    assert sorted(r["trip_id"] for r in rows.collect()) == ["t1", "t2", "t5"] and rows.count() == 3
+    assert rows.filter("trip_id IS NULL").count() == 0 and landing.MALFORMED not in rows.columns
+    bad = landing.malformed(spark, str(tmp_path), landing.TAXI)
+    assert bad.columns == list(landing.QUARANTINE)
+    got = [(r["dataset"], r["file_uri"].rsplit("/", 1)[1], r["reason"], r["record"]) for r in bad.collect()]
+    assert sorted(got) == sorted(("taxi", "a.json", "malformed line", x) for x in BAD_LINES[:2])
+    counts = landing.quarantine_counts(bad).collect()
+    assert [(r["dataset"], r["reason"], r["records"]) for r in counts] == [("taxi", "malformed line", 2)]
+
+
+def test_the_stream_sets_bad_records_apart_once(spark, tmp_path, monkeypatch):
+    folder, path = tmp_path / "in", str(tmp_path / "table")
+    folder.mkdir()
+    nobody = {k: v for k, v in TRIP.items() if k != "trip_id"}
+    (folder / "a.json").write_text("\n".join([json.dumps(TRIP), *BAD_LINES, json.dumps(nobody)]))
+    run = lambda: landing_stream.load_new(spark, str(folder), landing.TAXI, path, str(tmp_path / "check"))
+
+    def lost(*_, **__):
+        raise RuntimeError("lost")
+
+    # The first run stops after it has written the quarantine; its batch comes again.
+    monkeypatch.setattr(landing_stream, "insert_new", lost)
+    with pytest.raises(Exception, match="lost"):
+        run().awaitTermination()
+    monkeypatch.undo()
+    run().awaitTermination()
+    dump(folder / "b.json", [TRIP, {**TRIP, "trip_id": "t9"}])
+    (folder / "c.json").write_text("broken")
+    run().awaitTermination()
+    assert sorted(r["trip_id"] for r in spark.read.parquet(path).collect()) == ["t1", "t9"]
+    bad = spark.read.parquet(f"{path}_quarantine").collect()
+    want = [("malformed line", x) for x in [*BAD_LINES, "broken"]]
+    assert sorted((r["reason"], r["record"]) for r in bad if r["reason"] != "missing key") == sorted(want)
+    (lacking,) = [json.loads(r["record"]) for r in bad if r["reason"] == "missing key"]
+    assert lacking["fare"] == 12.5 and "trip_id" not in lacking
+    assert {r["file_uri"].rsplit("/", 1)[1] for r in bad} == {"a.json", "c.json"}
+
+
+def test_an_updating_stream_keeps_rows_without_a_key(spark, tmp_path):
+    folder, path = tmp_path / "in", str(tmp_path / "table")
+    nobody = {k: v for k, v in TRIP.items() if k != "trip_id"}
+    dump(folder / "a.json", [TRIP, nobody, nobody])
+    landing_stream.load_new(spark, str(folder), landing.TAXI, path, str(tmp_path / "check"), update=True).awaitTermination()
+    assert [r["trip_id"] for r in spark.read.parquet(path).orderBy("trip_id").collect()] == [None, None, "t1"]
+    assert spark.read.parquet(f"{path}_quarantine").count() == 0
+
+
 def test_new_rows_keep_one_per_key(spark):
     old = spark.createDataFrame([("a", 1)], "k string, v int")
     new = spark.createDataFrame([("a", 9), ("b", 2), ("b", 5), (None, 3)], "k string, v int")
@@ -81,6 +136,28 @@ def test_geojson_reads_and_locates(spark, tmp_path):
     assert [r["n"] for r in found.orderBy("lon").collect()] == ["both", None, "both"]
 
 
+def test_lines_of_features_are_split_over_tasks(spark, tmp_path):
+    rows = [feature(f"n{i}", {"type": "Polygon", "coordinates": SQUARE}) for i in range(400)]
+    dump(tmp_path / "lines.json", rows)
+    (tmp_path / "commas.json").write_text('\n'.join(json.dumps(r) + " , " for r in rows))
+    (tmp_path / "whole.json").write_text(json.dumps({"type": "FeatureCollection", "features": rows}, indent=1))
+    (tmp_path / "line.json").write_text(json.dumps({"type": "FeatureCollection", "features": rows}))
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in keep:
+            spark.conf.set(k, "4096")
+        found = {n: boundaries.read(spark, str(tmp_path / f"{n}.json"), {"name": "string", "zip": "int"}) for n in ("lines", "commas", "whole", "line")}
+        tasks = {n: df.rdd.getNumPartitions() for n, df in found.items()}
+        got = {n: sorted((r["name"], r["zip"], len(r["rings"][0][0])) for r in df.collect()) for n, df in found.items()}
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    assert all(n > 1 for n in tasks.values()) and tasks["lines"] > 8
+    assert all(g == sorted((f"n{i}", 60601, 5) for i in range(400)) for g in got.values())
+    assert boundaries.layout_of(spark, str(tmp_path / "commas.json")) == "lines"
+    assert boundaries.layout_of(spark, str(tmp_path / "line.json")) == "collection"
+
+
 def test_geometry_verdicts(spark, tmp_path):
     cases = {
         "ok": {"type": "Polygon", "coordinates": SQUARE},
@@ -88,6 +165,7 @@ def test_geometry_verdicts(spark, tmp_path):
         "null": None,
         "no type": {"coordinates": SQUARE},
         "no coordinates": {"type": "Polygon"},
+        "null coordinates": {"type": "Polygon", "coordinates": None},
         "text": {"type": "Polygon", "coordinates": "x"},
         "empty": {"type": "Polygon", "coordinates": []},
         "flat": {"type": "MultiPolygon", "coordinates": [[]]},
@@ -99,7 +177,7 @@ def test_geometry_verdicts(spark, tmp_path):
     got = {r["name"]: r["reason"] for r in verdicts.collect()}
     assert got == {
         "ok": "Valid", "missing": "Missing geometry field", "null": "Geometry is null", "no type": "Missing geometry type",
-        "no coordinates": "Missing coordinates", "text": "Coordinates are not a list", "empty": "Coordinates array is empty",
+        "no coordinates": "Missing coordinates", "null coordinates": "Coordinates are null", "text": "Coordinates are not a list", "empty": "Coordinates array is empty",
         "flat": "Malformed MultiPolygon structure", "short": "First ring has only 2 points (minimum 3 required)", "point": "Valid",
     }
     assert {r["name"]: r["points"] for r in verdicts.collect()}["ok"] == 5
@@ -250,3 +328,107 @@ def test_manifest_feeds_the_reports_about_it(spark, tmp_path):
     assert lineage.freshness(files, datetime(2030, 1, 1)).first()["total_files"] == 1
     missing = lineage.missing_dates(files, "taxi", date(2024, 1, 4), date(2024, 1, 6))
     assert sorted(r[0] for r in missing.collect()) == [date(2024, 1, 4), date(2024, 1, 6)]
+
+
+def test_rows_without_a_key_are_kept_apart_and_repeat_safely(spark, tmp_path):
+    """No row is lost, repeated or invented: NULL equals nothing, and a second run adds nothing."""
+    source = table(spark, [(None, D1, 1), (None, D1, 1), (None, D2, 5), ("a", D1, 1), ("a", D1, 2), (None, None, 7)])
+    want = sorted([(None, D1, 1), (None, D1, 1), (None, D2, 5), ("a", D1, 2), (None, None, 7)], key=str)
+    path = str(tmp_path / "t")
+    for _ in range(3):
+        incremental.apply_upsert(source, path, ["id"], "day", version="v")
+        stored = spark.read.schema("id string, v int, day date").parquet(path)
+        assert sorted(((r["id"], r["day"], r["v"]) for r in stored.collect()), key=str) == want
+    # One more of the same, and a new one: as often as the source has them.
+    more = table(spark, [(None, D1, 1), (None, D1, 1), (None, D1, 1), (None, D4, 1)])
+    incremental.apply_upsert(more, path, ["id"], "day")
+    assert spark.read.parquet(path).count() == len(want) + 2
+    again = spark.read.schema("id string, v int, day date").parquet(path).select("id", "day", "v")
+    lazy = incremental.upsert(again, more, ["id"]).collect()
+    assert sum(r["id"] is None and r["day"] == D1 for r in lazy) == 3
+
+
+class Lost(BaseException):
+    """The driver is gone."""
+
+
+@pytest.mark.parametrize("step", ["overwrite_days", "drop_days"])
+def test_a_change_cut_short_is_finished_by_the_next_run(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "t")
+    incremental.apply_upsert(table(spark, [("a", D1, 1), ("b", D2, 1), ("c", D2, 1)]), path, ["id"], "day")
+
+    def lost(*_):
+        raise Lost
+
+    monkeypatch.setattr(tables, step, lost)
+    with pytest.raises(Lost):
+        incremental.apply_upsert(table(spark, [("a", D3, 2)]), path, ["id"], "day")
+    monkeypatch.undo()
+    if step == "drop_days":  # the moved row is there twice until the change is finished
+        assert [r[0] for r in content(spark, path)].count("a") == 2
+    incremental.apply_upsert(table(spark, [("d", D4, 3)]), path, ["id"], "day")
+    assert content(spark, path) == [("a", D3, 2), ("b", D2, 1), ("c", D2, 1), ("d", D4, 3)]
+    assert not tables.recover(spark, path) and not list((tmp_path / "t").glob("_change*"))
+    monkeypatch.setattr(tables, step, lost)
+    with pytest.raises(Lost):
+        tables.replace_range(spark, table(spark, [("e", D2, 4)]), path, "day", D1, D3)
+    monkeypatch.undo()
+    assert tables.recover(spark, path)
+    assert content(spark, path) == [("d", D4, 3), ("e", D2, 4)]
+
+
+def rows_scanned(df):
+    """Rows that the scans of a query gave, by what it measured itself."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "AdaptiveSparkPlan" in plan.nodeName() else plan
+    leaves, out = plan.collectLeaves(), 0
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        leaf = leaf.plan() if "QueryStage" in leaf.nodeName() else leaf
+        inner = leaf.collectLeaves()
+        for k in range(inner.size()):
+            if "Scan parquet" in inner.apply(k).nodeName():
+                out += inner.apply(k).metrics().apply("numOutputRows").value()
+    return out
+
+
+def test_few_keys_are_looked_up_where_files_may_hold_them(spark, tmp_path):
+    """Ten keys over 200 files of mixed keys: the files' own filters rule nearly all of them out."""
+    path = str(tmp_path / "t")
+    stored = spark.range(200_000).selectExpr("sha2(string(id), 256) AS id", "date_add(DATE'2024-01-01', int(id % 50)) AS day", "int(id) AS v")
+    tables.write(stored.repartition(4), path, "day", keys=("id",))
+    target = spark.read.parquet(path)
+    asked = spark.range(0, 200_000, 20_000).selectExpr("sha2(string(id), 256) AS id")
+    found = tables.probe(target.select("id", "day"), asked, ["id"])
+    assert found.count() == 10 and rows_scanned(found) <= 60_000 and rows_scanned(target.select("id")) == 200_000
+    many = spark.range(5000).selectExpr("sha2(string(id), 256) AS id")
+    assert tables.probe(target, many, ["id"]).count() == 200_000
+    assert tables.probe(target, asked.limit(0), ["id"]).count() == 0
+    change = asked.selectExpr("id", "DATE'2024-03-01' AS day", "-1 AS v")
+    done = incremental.apply_upsert(change, path, ["id"], "day")
+    after = spark.read.parquet(path)
+    assert after.count() == 200_000 and after.filter("v = -1").count() == 10 and date(2024, 3, 1) in done.written
+
+
+def test_an_altered_archive_keeps_the_table(spark, tmp_path, monkeypatch):
+    path, archive = str(tmp_path / "t"), str(tmp_path / "a")
+    rows = [("a", D1, 1), ("b", D2, 2), ("b", D2, 2), ("c", D3, None), (None, D3, 3)]
+    tables.write(table(spark, rows), path, "day")
+    own, calls = tables.content, []
+
+    def altered(df, partition):
+        calls.append(1)
+        return own(df if len(calls) == 1 else df.withColumn("v", F.when(F.col("id") == "a", 9).otherwise(F.col("v"))), partition)
+
+    monkeypatch.setattr(tables, "content", altered)
+    with pytest.raises(RuntimeError, match="2024-01-01"):
+        tables.archive_quarter(spark, path, "day", 2024, 1, archive, delete=True)
+    monkeypatch.undo()
+    assert spark.read.parquet(path).count() == 5
+    swapped = table(spark, [("c", D3, 3), (None, D3, None)])
+    assert own(swapped, "day") != own(table(spark, rows[3:]), "day")
+    assert own(table(spark, rows[:3]), "day") != own(table(spark, rows[:2]), "day")
+    assert own(table(spark, rows).repartition(3), "day") == own(table(spark, rows[::-1]), "day")
+    assert tables.archive_quarter(spark, path, "day", 2024, 1, archive, delete=True) == 5
+    assert not tables.exists(spark, path) and spark.read.parquet(f"{archive}/2024-Q1").count() == 5

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.config import Settings
@@ -24,29 +25,47 @@ def increment(source: DataFrame, target: DataFrame, day: str, cfg: Settings) ->
     return source.filter(F.col(day) >= F.lit(cfg.as_of - timedelta(days=cfg.increment_days)))
 
 
+def _keyed(keys: list[str]) -> Column:
+    return reduce(Column.__and__, (F.col(k).isNotNull() for k in keys))
+
+
 def latest_per_key(source: DataFrame, keys: list[str], version: str | None = None) -> DataFrame:
-    """One row per key: the latest ``version``, then the largest row hash.
+    """One row per key: the latest ``version``, then the largest row hash. Rows without a full key stay as they are.
 
     A maximum over a struct combines before the shuffle, so a key with very many
     versions costs no more than any other.
     """
     others = [c for c in source.columns if c not in keys]
-    if not others:
-        return source.distinct()
-    order = [F.col(version)] if version else []
-    choice = F.struct(*order, F.xxhash64(*others))
-    return (
-        source.groupBy(*keys)
-        .agg(F.max_by(F.struct(*others), choice).alias("_row"))
-        .select(*keys, "_row.*")
-        .select(*source.columns)
-    )
+    keyed = source.filter(_keyed(keys))
+    if others:
+        order = [F.col(version)] if version else []
+        choice = F.struct(*order, F.xxhash64(*others))
+        one = keyed.groupBy(*keys).agg(F.max_by(F.struct(*others), choice).alias("_row"))
+        keyed = one.select(*keys, "_row.*").select(*source.columns)
+    else:
+        keyed = keyed.distinct()
+    return keyed.unionByName(source.filter(~_keyed(keys)))
+
+
+def keyless(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Source rows without a full key that the target lacks, compared as whole rows.
+
+    NULL equals nothing, so such rows match no key and none replaces another. To let a job run twice, a row goes in only
+    as often as the source has it beyond the target's equal rows.
+    """
+    names = source.columns
+    rows = source.filter(~_keyed(keys)).select(*names, F.lit(1).alias("_n"))
+    there = target.filter(~_keyed(keys)).select(*names, F.lit(-1).alias("_n"))
+    counted = rows.unionByName(there).groupBy(*names).agg(F.sum("_n").cast("int").alias("_n")).filter("_n > 0")
+    return counted.withColumn("_n", F.explode(F.sequence(F.lit(1), "_n"))).select(*names)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], version: str | None = None) -> DataFrame:
-    """Target rows without a match in the source, and all source rows, one per key."""
-    fresh = latest_per_key(source, keys, version).select(*target.columns)
-    return target.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
+    """Target rows without a match in the source, and all source rows, one per key; for those without one see ``keyless``."""
+    source = source.select(*target.columns)
+    fresh = latest_per_key(source.filter(_keyed(keys)), keys, version)
+    kept = target.join(fresh.select(*keys), keys, "left_anti")
+    return kept.unionByName(fresh).unionByName(keyless(target, source, keys))
 
 
 @dataclass(frozen=True)
@@ -64,7 +83,8 @@ def apply_upsert(
 
     Touched days are those of the source and those that matched rows are in now,
     because an update can move a row to another day. Rows without a day have a
-    folder of their own and are merged like any other day's.
+    folder of their own and are merged like any other day's. A change that an
+    earlier driver left half-done is finished first.
     """
     with tables.staged(latest_per_key(source, keys, version)) as fresh:
         return _merge(fresh, path, keys, partition)
@@ -72,21 +92,25 @@ def apply_upsert(
 
 def _merge(fresh: DataFrame, path: str, keys: list[str], partition: str) -> Applied:
     spark = fresh.sparkSession
+    tables.recover(spark, path)
     if not tables.exists(spark, path):
-        tables.overwrite_days(fresh, path, partition)
+        tables.overwrite_days(fresh, path, partition, keys)
         return Applied(tables.days_in(fresh, partition), [])
     target = tables.read_or_empty(spark, path, fresh)
-    moved = tables.days_in(target.select(*keys, partition).join(fresh.select(*keys), keys, "left_semi"), partition)
+    known = fresh.filter(_keyed(keys)).select(*keys)
+    # Only the keys are read, and few keys only where files may hold them.
+    now = tables.probe(target.select(*keys, partition), known, keys)
+    moved = tables.days_in(now.join(known, keys, "left_semi"), partition)
     touched = tables.in_order([*moved, *tables.days_in(fresh, partition)])
     # The list of days goes into the filter as literals: only these folders are read.
-    kept = target.filter(tables.on_days(partition, touched)).join(fresh.select(*keys), keys, "left_anti")
-    with tables.staged(kept.unionByName(fresh.select(*kept.columns))) as merged:
-        written = tables.days_in(merged, partition)
-        if written:
-            tables.overwrite_days(merged, path, partition)
-    emptied = [d for d in touched if d not in set(written)]
-    tables.drop_days(spark, path, partition, emptied)
-    return Applied(written, emptied)
+    here = target.filter(tables.on_days(partition, touched))
+    names = here.columns
+    merged = (
+        here.join(known, keys, "left_anti")
+        .unionByName(fresh.filter(_keyed(keys)).select(*names))
+        .unionByName(keyless(here, fresh.select(*names), keys))
+    )
+    return Applied(*tables.change_days(spark, merged, path, partition, touched, keys))
 
 
 def replace_days(

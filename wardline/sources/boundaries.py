@@ -10,27 +10,47 @@ from wardline.functions import geometry as G
 
 _POINT = T.ArrayType(T.DoubleType())
 _RINGS = T.ArrayType(_POINT)
+#: A comma that parts features which stand on lines of their own.
+_COMMA = r",\s*$"
 _POLYGON, _MULTI = T.ArrayType(_RINGS), T.ArrayType(T.ArrayType(_RINGS))
 
 
-def features(spark: SparkSession, path: str) -> DataFrame:
+def layout_of(spark: SparkSession, path: str) -> str:
+    """``lines`` if the first line that is not blank is a whole feature, else ``collection``. Reads the head of one file."""
+    head = spark.read.text(path).filter("trim(value) != ''").take(1)
+    kind = F.get_json_object(F.regexp_replace("value", _COMMA, ""), "$.type")
+    found = spark.createDataFrame(head, "value string").select(kind.alias("kind")).first() if head else None
+    return "lines" if found and found["kind"] == "Feature" else "collection"
+
+
+def features(spark: SparkSession, path: str, layout: str | None = None) -> DataFrame:
     """One row per GeoJSON feature: its properties as a map and its geometry text.
 
-    Reads a feature collection as well as one feature per line. Property names
-    lose a leading colon.
+    Reads one feature per line, where Spark splits a large file over tasks, as well as feature collections, where
+    a file is one row until its features are taken apart; these are then dealt over tasks before anything in them is
+    parsed. ``layout`` is ``lines`` or ``collection``; left out, the head of the first file decides for all. Lines may
+    end in a comma, and a whole collection on one line is taken apart in either layout. Property names lose a
+    leading colon.
     """
-    lines = spark.read.text(path, wholetext=True).withColumnRenamed("value", "text")
+    layout = layout or layout_of(spark, path)
+    if layout == "lines":
+        text = spark.read.text(path).select(F.regexp_replace("value", _COMMA, "").alias("text")).filter("trim(text) != ''")
+    else:
+        text = spark.read.text(path, wholetext=True).select(F.col("value").alias("text"))
     whole = F.get_json_object("text", "$.features")
     parsed = F.from_json(whole, T.ArrayType(T.StringType()))
-    per_line = F.filter(F.split("text", "\n"), lambda s: F.length(F.trim(s)) > 0)
+    own = F.filter(F.split("text", "\n"), lambda s: F.length(F.trim(s)) > 0)
+    taken = text.select(F.explode(F.when(whole.isNotNull(), parsed).otherwise(own)).alias("feature"))
+    if layout != "lines":
+        taken = taken.repartition(spark.sparkContext.defaultParallelism)
     return (
-        lines.select(F.explode(F.when(whole.isNotNull(), parsed).otherwise(per_line)).alias("feature"))
-        .select(
+        taken.select(
             F.from_json(
                 F.get_json_object("feature", "$.properties"), T.MapType(T.StringType(), T.StringType())
             ).alias("raw_properties"),
-            # A JSON null reads as a missing value; the word tells the two apart.
+            # A JSON null reads as a missing value; the words tell the two apart.
             F.col("feature").rlike(r'"geometry"\s*:').alias("has_geometry"),
+            F.col("feature").rlike(r'"coordinates"\s*:\s*null').alias("null_coordinates"),
             F.get_json_object("feature", "$.geometry").alias("geometry"),
         )
         .withColumn(
@@ -73,6 +93,7 @@ def points_in(rings: Column) -> Column:
 
 def validate(found: DataFrame, name: str) -> DataFrame:
     """One row per feature: verdict, geometry type, polygons and points."""
+    # The texts of the verdicts are fixed values.
     g = F.col("geometry")
     kind, text = F.get_json_object(g, "$.type"), _coordinates(g)
     rings = F.col("rings")
@@ -82,6 +103,7 @@ def validate(found: DataFrame, name: str) -> DataFrame:
         F.when(~F.col("has_geometry"), "Missing geometry field")
         .when(g.isNull(), "Geometry is null")
         .when(kind.isNull(), "Missing geometry type")
+        .when(text.isNull() & F.col("null_coordinates"), "Coordinates are null")
         .when(text.isNull(), "Missing coordinates")
         .when(~F.substring(F.ltrim(text), 1, 1).eqNullSafe("["), "Coordinates are not a list")
         .when(F.regexp_replace(text, r"\s", "") == "[]", "Coordinates array is empty")
@@ -106,7 +128,7 @@ def validate(found: DataFrame, name: str) -> DataFrame:
 
 
 def validate_rings(boundaries: DataFrame, name: str) -> DataFrame:
-    """The same verdict for boundaries that are already in ring form."""
+    """The same verdict for boundaries that are already in ring form; texts are fixed values."""
     rings = F.col("rings")
     first = F.size(F.get(F.get(rings, 0), 0))
     reason = (

@@ -1,18 +1,23 @@
 """Landing files: newline-delimited JSON, one folder per data set and date.
 
 Numbers arrive as text, so every field is read as a string and cast afterwards; a
-value that does not parse becomes NULL instead of failing the load.
+value that does not parse becomes NULL instead of failing the load. A line that is
+no JSON object is no row: it goes to the quarantine with its file, as do rows that
+a keyed load cannot take.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from wardline.functions.columns import dated
+from wardline.sources import tables
 
 
 def _fields(text: str, kind: str) -> dict[str, str]:
@@ -158,8 +163,8 @@ def _cast(name: str, kind: str, zero_is_null: bool) -> Column:
     return value if keeps_zero or not zero_is_null else F.nullif(value, F.lit(0).cast(kind))
 
 
-def typed(raw: DataFrame, dataset: Dataset, zero_is_null: bool = False) -> DataFrame:
-    """Text fields to their types.
+def typed(raw: DataFrame, dataset: Dataset, zero_is_null: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Text fields to their types; ``keep`` names further columns that stay as they are.
 
     ``zero_is_null`` reproduces the published extractors, whose writer leaves out
     zero numbers: a true 0 then arrives as NULL, except in coordinates. A missing
@@ -171,12 +176,61 @@ def typed(raw: DataFrame, dataset: Dataset, zero_is_null: bool = False) -> DataF
         if zero_is_null and name.endswith(("latitude", "longitude")) and dataset.name != "tnp":
             value = F.coalesce(value, F.lit(0.0))
         cols.append(value.alias(name))
-    return raw.select(*cols)
+    return raw.select(*cols, *keep)
+
+
+#: The column of a raw row that holds its line where that is no JSON object.
+MALFORMED = "_malformed"
+#: Columns of the quarantine: which data set and file, why, and the record as it came.
+QUARANTINE = ("dataset", "file_uri", "reason", "record")
+
+
+def raw(reader: DataFrameReader | DataStreamReader, path: str, dataset: Dataset) -> DataFrame:
+    """Landing lines with text fields, their line where it is malformed, and ``file_uri``. Blank lines are none.
+
+    The schema is declared, so no inference pass runs, and a line is parsed once. A line has to begin with an object;
+    what stands behind it is not looked at.
+    """
+    schema = T.StructType([*dataset.read_schema, T.StructField(MALFORMED, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+    lines = reader.text(path).select("value", F.col("_metadata.file_path").alias("file_uri")).filter("trim(value) != ''")
+    return lines.select(F.inline(F.array(F.from_json("value", schema, options))), "file_uri")
+
+
+def is_malformed() -> Column:
+    return F.col(MALFORMED).isNotNull()
 
 
 def read(spark: SparkSession, path: str, dataset: Dataset, zero_is_null: bool = False) -> DataFrame:
-    """A landing folder as typed rows; the schema is declared, so no inference pass runs."""
-    return typed(spark.read.schema(dataset.read_schema).json(path), dataset, zero_is_null)
+    """A landing folder as typed rows, without malformed lines, which ``malformed`` returns."""
+    return typed(raw(spark.read, path, dataset).filter(~is_malformed()), dataset, zero_is_null)
+
+
+def set_apart(rows: DataFrame, dataset: Dataset, reason: str, record: Column, file_uri: Column) -> DataFrame:
+    """Rows in the columns of the quarantine."""
+    values = (F.lit(dataset.name), file_uri.cast("string"), F.lit(reason), record)
+    return rows.select(*(v.alias(n) for n, v in zip(QUARANTINE, values)))
+
+
+def malformed(spark: SparkSession, path: str, dataset: Dataset) -> DataFrame:
+    """The lines of a landing folder that are no JSON objects, for the quarantine."""
+    return malformed_of(raw(spark.read, path, dataset), dataset)
+
+
+def malformed_of(lines: DataFrame, dataset: Dataset) -> DataFrame:
+    return set_apart(lines.filter(is_malformed()), dataset, "malformed line", F.col(MALFORMED), F.col("file_uri"))
+
+
+def without_key(rows: DataFrame, dataset: Dataset, file_uri: Column | None = None) -> DataFrame:
+    """Rows that lack a part of their key, which ``new_rows`` cannot load, for the quarantine."""
+    lacking = reduce(Column.__or__, (F.col(k).isNull() for k in dataset.key))
+    uri = F.lit(None) if file_uri is None else file_uri
+    return set_apart(rows.filter(lacking), dataset, "missing key", F.to_json(F.struct(*dataset.types)), uri)
+
+
+def quarantine_counts(found: DataFrame) -> DataFrame:
+    """Records by data set, file and reason."""
+    return found.groupBy("dataset", "file_uri", "reason").agg(F.count("*").alias("records"))
 
 
 def read_csv(spark: SparkSession, path: str, headers: dict[str, str], numbers: tuple[str, ...] = ()) -> DataFrame:
@@ -195,8 +249,8 @@ def new_rows(target: DataFrame, source: DataFrame, key: tuple[str, ...] | list[s
     """Rows of ``source`` whose key the target does not hold, one per key.
 
     Which of several equal keys stays is decided by the largest row value, so a
-    rerun keeps the same one. Rows without a full key are dropped, as a key
-    constraint would reject them.
+    rerun keeps the same one. Rows without a full key are no part of it, as a key
+    constraint would reject them; ``without_key`` returns those.
     """
     key = list(key)
     others = [c for c in source.columns if c not in key]
@@ -206,6 +260,14 @@ def new_rows(target: DataFrame, source: DataFrame, key: tuple[str, ...] | list[s
     return flat.join(target.select(*key), key, "left_anti").select(*source.columns)
 
 
+def load_new(spark: SparkSession, rows: DataFrame, dataset: Dataset, path: str, partition: str) -> None:
+    """Append the rows whose key the stored table does not hold yet; few keys are looked up only where files may hold them."""
+    with tables.staged(rows) as ready:
+        target = tables.probe(tables.read_or_empty(spark, path, ready).select(*dataset.key), ready, list(dataset.key))
+        with tables.staged(new_rows(target, ready, dataset.key)) as fresh:
+            tables.write(fresh, path, partition, mode="append", keys=dataset.key)
+
+
 def load_profile(df: DataFrame, day: str) -> DataFrame:
     """Rows, first and last day of a load, and its rows per day, in one table."""
     per_day = df.groupBy(F.to_date(day).alias("day")).agg(F.count(F.lit(1)).alias("rows"))

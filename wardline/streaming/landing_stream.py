@@ -12,17 +12,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wardline.operators.incremental import apply_upsert
 from wardline.sources import tables
-from wardline.sources.landing import Dataset, new_rows, typed
+from wardline.sources.landing import Dataset, is_malformed, malformed_of, raw, typed, without_key
+from wardline.sources.landing import load_new as insert_new
 
 
 def stream(spark: SparkSession, folder: str, dataset: Dataset, files_per_batch: int = 1000) -> DataFrame:
-    raw = (
-        spark.readStream.schema(dataset.read_schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("recursiveFileLookup", True)
-        .json(folder)
-    )
-    return typed(raw, dataset)
+    """Lines of new files: the text fields, the line where it is malformed, and the file."""
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", True)
+    return raw(reader, folder, dataset)
 
 
 def _with_day(batch: DataFrame, dataset: Dataset) -> DataFrame:
@@ -30,22 +27,39 @@ def _with_day(batch: DataFrame, dataset: Dataset) -> DataFrame:
     return batch.withColumn("load_day", F.to_date(dataset.day))
 
 
+def _set_apart(lines: DataFrame, dataset: Dataset, quarantine: str, batch: int, keyless: bool) -> None:
+    """Bad records of a batch, in a folder of its own: a batch that runs twice overwrites what it wrote."""
+    bad = malformed_of(lines, dataset)
+    if keyless:
+        rows = typed(lines.filter(~is_malformed()), dataset, keep=("file_uri",))
+        bad = bad.unionByName(without_key(rows, dataset, F.col("file_uri")))
+    bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch}")
+
+
 def load_new(
-    spark: SparkSession, folder: str, dataset: Dataset, path: str, checkpoint: str, update: bool = False
+    spark: SparkSession,
+    folder: str,
+    dataset: Dataset,
+    path: str,
+    checkpoint: str,
+    update: bool = False,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
     """Load all waiting files and stop.
 
-    ``update`` replaces rows that exist already; otherwise they are left alone.
+    ``update`` replaces rows that exist already; otherwise they are left alone. Malformed lines, and rows without a key
+    unless ``update`` takes them, go to the ``quarantine``, a folder beside the table by default.
     """
+    aside = quarantine or f"{path}_quarantine"
 
-    def merge(batch: DataFrame, _: int) -> None:
-        rows = _with_day(batch, dataset)
-        if update:
-            apply_upsert(rows, path, list(dataset.key), "load_day")
-            return
-        target = tables.read_or_empty(spark, path, rows)
-        with tables.staged(new_rows(target, rows, dataset.key)) as fresh:
-            fresh.write.mode("append").partitionBy("load_day").parquet(path)
+    def merge(batch: DataFrame, number: int) -> None:
+        with tables.staged(batch) as lines:
+            _set_apart(lines, dataset, aside, number, keyless=not update)
+            rows = _with_day(typed(lines.filter(~is_malformed()), dataset), dataset)
+            if update:
+                apply_upsert(rows, path, list(dataset.key), "load_day")
+            else:
+                insert_new(spark, rows, dataset, path, "load_day")
 
     return (
         stream(spark, folder, dataset)
