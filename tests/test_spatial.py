@@ -176,15 +176,77 @@ def test_overlap_of_shapes(spark, layer_df):
         [("low", -1.0, 0.0, 2.0, 0.45), ("hole", 2.2, 0.2, 2.8, 0.8), ("far", 8.0, 8.0, 9.0, 9.0)],
         "box string, x0 double, y0 double, x1 double, y1 double",
     )
-    a = spatial.spans(layer_df, ["id"], 0.001)
-    b = spatial.spans(boundaries.from_boxes(boxes), ["box"], 0.001)
-    got = {(r["id"], r["box"]): r["intersection_area"] for r in spatial.overlap_area([(a, ["id"]), (b, ["box"])], 0.001).collect()}
+    a = spatial.cover(layer_df, ["id"], 0.1)
+    b = spatial.cover(boundaries.from_boxes(boxes), ["box"], 0.1)
+    got = {(r["id"], r["box"]): r["intersection_area"] for r in spatial.overlap_area([(a, ["id"]), (b, ["box"])], 0.1).collect()}
     # The lower half of the triangle holds three quarters of it.
     assert got["triangle", "low"] == pytest.approx(_m2(0.45 * 0.75, 0.2), rel=2e-3)
     assert got["ring", "hole"] == pytest.approx(_m2(0.36 - 0.16, 0.5), rel=2e-3)
     assert not [k for k in got if k[1] == "far"]
 
 
+NODES = [(0.0, 0.5688888888888889), *((s * x, w) for s in (1, -1) for x, w in ((0.538469310105683, 0.478628670499366), (0.906179845938664, 0.236926885056189)))]
+
+
+def sphere_m2(ring):
+    """Area of a ring whose edges are straight in longitude and latitude, by quadrature along its edges."""
+    total, east = 0.0, ring[0][0]
+    for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+        at = [((1 + n) / 2, w / 2) for n, w in NODES]
+        total += math.radians(y2 - y1) * sum(w * math.radians(x1 + (x2 - x1) * t - east) * math.cos(math.radians(y1 + (y2 - y1) * t)) for t, w in at)
+    return abs(total) * G.EARTH_RADIUS_M**2
+
+
+def clipped(ring, by):
+    """The part of a ring inside a convex, counter-clockwise one."""
+    for (x1, y1), (x2, y2) in zip(by, by[1:] + by[:1]):
+        side = lambda p: (x2 - x1) * (p[1] - y1) - (y2 - y1) * (p[0] - x1)
+        out = []
+        for p, q in zip(ring, ring[1:] + ring[:1]):
+            if side(p) >= 0:
+                out.append(p)
+            if side(p) * side(q) < 0:
+                t = side(p) / (side(p) - side(q))
+                out.append((p[0] + t * (q[0] - p[0]), p[1] + t * (q[1] - p[1])))
+        ring = out
+    return ring
+
+
+def test_overlap_is_exact_for_slanted_borders(spark):
+    rnd = random.Random(21)
+
+    def triangle():
+        p = [(rnd.uniform(-88, -87), rnd.uniform(41, 42)) for _ in range(3)]
+        turn = (p[1][0] - p[0][0]) * (p[2][1] - p[0][1]) - (p[1][1] - p[0][1]) * (p[2][0] - p[0][0])
+        return p if turn > 0 else p[::-1]
+
+    sets = [[(f"{n}{i}", triangle()) for i in range(12)] for n in "abc"]
+    frames = [spark.createDataFrame([(k, shape([r])) for k, r in part], f"{n} string, rings array<array<array<struct<x:double,y:double>>>>") for n, part in zip("abc", sets)]
+    want, three = {}, {}
+    for k, r in sets[0]:
+        for m, q in sets[1]:
+            common = clipped(r, q)
+            if len(common) > 2:
+                want[k, m] = sphere_m2(common)
+                three |= {(k, m, o): sphere_m2(c) for o, w in sets[2] if len(c := clipped(common, w)) > 2}
+    for size in (0.05, 0.7):
+        a, b, c = ((spatial.cover(df, [n], size), [n]) for n, df in zip("abc", frames))
+        got = {(r["a"], r["b"]): r["intersection_area"] for r in spatial.overlap_area([a, b], size).collect()}
+        assert set(got) == set(want) and all(got[k] == pytest.approx(want[k], rel=1e-9, abs=1e-3) for k in want)
+        got = {(r["a"], r["b"], r["c"]): r["intersection_area"] for r in spatial.overlap_area([a, b, c], size).collect()}
+        assert set(got) == set(three) and all(got[k] == pytest.approx(three[k], rel=1e-9, abs=1e-3) for k in three)
+    own = {r["a"]: r["m2"] for r in frames[0].selectExpr("a", f"{G.area_m2('rings')} AS m2").collect()}
+    assert all(own[k] == pytest.approx(sphere_m2(r), rel=1e-6) for k, r in sets[0])
+
+
+def test_neighbours_only_touch(spark):
+    """Two parts of a square along a slanted border, against themselves: no row for the border."""
+    halves = spark.createDataFrame([("low", shape([[(0.0, 0.0), (1.0, 0.0), (1.0, 0.7)]])), ("up", shape([[(0.0, 0.0), (1.0, 0.7), (0.3, 1.0)]]))], SCHEMA)
+    a = spatial.cover(halves, ["id"], 0.1)
+    got = spatial.overlap_area([(a, ["id"]), (a.withColumnRenamed("id", "other"), ["other"])], 0.1)
+    assert sorted((r["id"], r["other"]) for r in got.collect()) == [("low", "low"), ("up", "up")]
+
+
 def test_shares_never_pass_the_whole(spark, small):
     from wardline.plans.lake import Lake
 

@@ -60,8 +60,5 @@ class Settings:
     increment_days: int = 30
     # Side length, in degrees, of the grid cells that points and polygons meet in.
     cell_degrees: float = 0.02
-    # Height, in degrees, of the scanlines that polygon overlap is integrated on:
-    # about 11 metres, fine enough to tell slivers of 1000 square metres.
-    scan_degrees: float = 0.0001
     # A spatial index above this many bytes is joined by shuffle instead.
     broadcast_bytes: int = 64 * 1024 * 1024

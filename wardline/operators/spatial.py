@@ -6,9 +6,9 @@ between two heights and two lines, so that being inside is four comparisons.
 Points join the pieces on the cell number: one pass over the rows, in generated
 code, and without a shuffle while the layer is small.
 
-Overlap. Each polygon is cut into horizontal spans, one scanline at a time, and
-spans of different layers meet on (scanline, column cell). No pair of polygons is
-formed that does not share such a cell, and the area follows by summing strips.
+Overlap. The same pieces of different layers meet in their cell. No pair of polygons
+is formed that does not share one, and the common area of two pieces is summed over
+the parts between the heights at which their lines cross, in closed form.
 """
 
 from __future__ import annotations
@@ -258,60 +258,81 @@ def located_points(points: DataFrame, lon: str, lat: str, layers: list[tuple[Lay
 # ---------------------------------------------------------------- overlap
 
 
-def spans(boundaries: DataFrame, keys: list[str], scan: float, rings: str = "rings") -> DataFrame:
-    """Horizontal pieces of each polygon: (keys, row, column, x0, x1).
+#: Overlaps below this many square metres are rounding, where borders only touch.
+_TOUCHING_M2 = 1e-6
 
-    One scanline per ``scan`` degrees, taken at its middle. Pieces are cut at
-    column borders ``512 * scan`` wide, so a join on (row, column) only brings
-    near neighbours together.
+
+def cover(boundaries: DataFrame, keys: list[str], size: float, rings: str = "rings") -> DataFrame:
+    """The pieces of each polygon inside the cells of the grid: (keys, cell_i, cell_j, y0, y1, west, east).
+
+    ``west`` and ``east`` are the lines a piece lies between, without those that no point is beyond.
     """
-    column = f"{scan * 512!r}D"
-    step = f"{scan!r}D"
-    # Scanlines whose middle lies in [low, high) of the edge.
-    first = f"ceil(least(e.y1, e.y2) / {step} - 0.5D)"
-    last = f"ceil(greatest(e.y1, e.y2) / {step} - 0.5D) - 1"
-    crossings = (
-        boundaries.selectExpr(*keys, f"explode({G.edges(rings)}) AS e")
-        .filter(f"{last} >= {first}")
-        .selectExpr(*keys, "e", f"explode(sequence({first}, {last})) AS row")
-        .selectExpr(
-            *keys, "row", f"e.x1 + (e.x2 - e.x1) * ((row + 0.5D) * {step} - e.y1) / (e.y2 - e.y1) AS x"
-        )
-        .groupBy(*keys, "row")
-        .agg(F.sort_array(F.collect_list("x")).alias("xs"))
-    )
-    pairs = "transform(sequence(0, CAST(size(xs) / 2 AS INT) - 1), k -> named_struct('a', xs[2 * k], 'b', xs[2 * k + 1]))"
+    line = lambda e: f"IF(abs({e}x) >= {_FAR}, array(), array(named_struct('x', {e}x, 'y', {e}y, 's', {e}s)))"
     return (
-        crossings.filter("size(xs) >= 2")
-        .selectExpr(*keys, "row", f"inline({pairs})")
-        .selectExpr("*", f"explode(sequence(floor(a / {column}), floor(b / {column}))) AS col")
+        _pieces(boundaries, tuple(keys), size, rings)
         .selectExpr(
-            *keys, "row", "col", f"greatest(a, col * {column}) AS x0", f"least(b, (col + 1) * {column}) AS x1"
+            *keys,
+            "cell_i",
+            "cell_j",
+            f"greatest(y0, cell_j * {size!r}D) AS y0",
+            f"least(y1, (cell_j + 1) * {size!r}D) AS y1",
+            f"{line('l')} AS west",
+            f"{line('r')} AS east",
         )
-        .filter("x1 > x0")
+        .filter("y1 > y0")
     )
 
 
-def _strip_area(scan: float, width: str) -> str:
-    """Area on the sphere, in square metres, of a strip ``width`` degrees long at its row."""
-    band = f"(sin(radians((row + 1) * {scan!r}D)) - sin(radians(row * {scan!r}D)))"
-    return f"{G.EARTH_RADIUS_M**2!r}D * radians({width}) * {band}"
+def _piece_area(size: float) -> tuple[str, ...]:
+    """Steps to the area on the sphere, in square metres, between all lines of a piece and the sides of its cell.
+
+    Lines are taken by their places ``p`` and ``q`` at the ends of the piece, with ``t`` running from 0 to 1 between
+    them. Where two lines cross, the piece is cut; in each part the width changes linearly with the height, and the
+    integral of width times the cosine of the latitude has a closed form. Nothing is sampled.
+    """
+    ends = "transform({lines}, l -> named_struct('p', l.x + l.s * (y0 - l.y), 'q', l.x + l.s * (y1 - l.y)))"
+    side = "array(named_struct('p', {x}, 'q', {x}))"
+    lines = lambda of, cell: f"concat({ends.format(lines=of)}, {side.format(x=f'{cell} * {size!r}D')}) AS {of}"
+    places = "array_{f}(transform({lines}, l -> l.p + (l.q - l.p) * t))"
+    crossing = "(a.p - b.p) / ((a.p - b.p) - (a.q - b.q))"
+    crossings = (
+        "flatten(transform(both, (a, i) -> transform(filter(slice(both, i + 2, size(both)), "
+        f"b -> (a.p - b.p) * (a.q - b.q) < 0), b -> {crossing})))"
+    )
+    high, mid = "radians((ts[k + 1] - ts[k]) * (y1 - y0))", "radians(y0 + (ts[k] + ts[k + 1]) / 2 * (y1 - y0))"
+    strip = (
+        f"radians(w[k] + w[k + 1]) * cos({mid}) * sin({high} / 2) - "
+        f"radians(w[k + 1] - w[k]) / {high} * sin({mid}) * (2 * sin({high} / 2) - {high} * cos({high} / 2))"
+    )
+    return (
+        lines("west", "cell_i"),
+        lines("east", "(cell_i + 1)"),
+        "concat(west, east) AS both",
+        f"array_sort(array_distinct(concat(array(0D, 1D), {crossings}))) AS ts",
+        f"transform(ts, t -> greatest({places.format(f='min', lines='east')} - {places.format(f='max', lines='west')}, 0D)) AS w",
+        f"{G.EARTH_RADIUS_M**2!r}D * aggregate(sequence(0, size(ts) - 2), 0D, (s, k) -> s + {strip}) AS area",
+    )
 
 
-def overlap_area(layers: list[tuple[DataFrame, list[str]]], scan: float) -> DataFrame:
-    """Common area of every combination of polygons, one from each layer, that overlap."""
+def overlap_area(layers: list[tuple[DataFrame, list[str]]], size: float) -> DataFrame:
+    """Common area of every combination of covered polygons, one from each layer, that overlap.
+
+    Pieces meet in their cell, where their heights overlap; only neighbours are compared.
+    """
     joined, keys = layers[0][0], list(layers[0][1])
+    at = ["cell_i", "cell_j"]
     for pieces, more in layers[1:]:
-        other = pieces.withColumnsRenamed({"x0": "_x0", "x1": "_x1"})
-        joined = (
-            joined.join(other, ["row", "col"])
-            .selectExpr(*keys, *more, "row", "col", "greatest(x0, _x0) AS x0", "least(x1, _x1) AS x1")
-            .filter("x1 > x0")
-        )
+        other = pieces.withColumnsRenamed({c: f"_{c}" for c in (*at, "y0", "y1", "west", "east")})
+        meet = F.expr("cell_i = _cell_i AND cell_j = _cell_j AND y0 < _y1 AND _y0 < y1")
+        both = ["greatest(y0, _y0) AS y0", "least(y1, _y1) AS y1", "concat(west, _west) AS west", "concat(east, _east) AS east"]
+        joined = joined.join(other, meet).selectExpr(*keys, *more, *at, *both)
         keys += more
-    return joined.groupBy(*keys).agg(
-        F.expr(f"sum({_strip_area(scan, 'x1 - x0')})").alias("intersection_area")
-    )
+    west, east, *steps, area = _piece_area(size)
+    parts = joined.selectExpr(*keys, "y0", "y1", west, east)
+    for step in steps:
+        parts = parts.selectExpr("*", step)
+    summed = parts.selectExpr(*keys, area).groupBy(*keys).agg(F.sum("area").alias("intersection_area"))
+    return summed.filter(F.col("intersection_area") > _TOUCHING_M2)
 
 
 def _sized(boundaries: DataFrame, name: str) -> DataFrame:
@@ -328,7 +349,7 @@ def pairwise_crosswalk(
     right: DataFrame,
     left_keys: list[str],
     right_keys: list[str],
-    scan: float,
+    size: float,
     left_pct: str,
     right_pct: str,
     primary: str,
@@ -341,7 +362,7 @@ def pairwise_crosswalk(
     """
     a, b = [*left_keys, "_left"], [*right_keys, "_right"]
     both = overlap_area(
-        [(spans(_sized(left, "_left"), a, scan), a), (spans(_sized(right, "_right"), b, scan), b)], scan
+        [(cover(_sized(left, "_left"), a, size), a), (cover(_sized(right, "_right"), b, size), b)], size
     )
     return both.select(
         *left_keys,
@@ -353,19 +374,19 @@ def pairwise_crosswalk(
     )
 
 
-def community_zip_crosswalk(areas: DataFrame, zips: DataFrame, scan: float) -> DataFrame:
+def community_zip_crosswalk(areas: DataFrame, zips: DataFrame, size: float) -> DataFrame:
     return pairwise_crosswalk(
-        _areas(areas), _zips(zips), _AREA, _ZIP, scan, "pct_of_community_area", "pct_of_zip", "is_primary_zip"
+        _areas(areas), _zips(zips), _AREA, _ZIP, size, "pct_of_community_area", "pct_of_zip", "is_primary_zip"
     )
 
 
-def community_neighborhood_crosswalk(areas: DataFrame, hoods: DataFrame, scan: float) -> DataFrame:
+def community_neighborhood_crosswalk(areas: DataFrame, hoods: DataFrame, size: float) -> DataFrame:
     return pairwise_crosswalk(
         _areas(areas),
         _hoods(hoods),
         _AREA,
         _HOOD,
-        scan,
+        size,
         "pct_of_community_area",
         "pct_of_neighborhood",
         "is_primary_community_area",
@@ -373,9 +394,9 @@ def community_neighborhood_crosswalk(areas: DataFrame, hoods: DataFrame, scan: f
     )
 
 
-def zip_neighborhood_crosswalk(zips: DataFrame, hoods: DataFrame, scan: float) -> DataFrame:
+def zip_neighborhood_crosswalk(zips: DataFrame, hoods: DataFrame, size: float) -> DataFrame:
     return pairwise_crosswalk(
-        _zips(zips), _hoods(hoods), _ZIP, _HOOD, scan, "pct_of_zip", "pct_of_neighborhood", "is_primary_neighborhood"
+        _zips(zips), _hoods(hoods), _ZIP, _HOOD, size, "pct_of_zip", "pct_of_neighborhood", "is_primary_neighborhood"
     )
 
 
@@ -399,12 +420,12 @@ def _hoods(df: DataFrame) -> DataFrame:
 
 
 def three_way_crosswalk(
-    areas: DataFrame, zips: DataFrame, hoods: DataFrame, scan: float, sliver_m2: float = 1000.0
+    areas: DataFrame, zips: DataFrame, hoods: DataFrame, size: float, sliver_m2: float = 1000.0
 ) -> DataFrame:
     """Overlap of all three layers at once, without slivers of ``sliver_m2`` or less."""
     parts = [(_areas(areas), _AREA, "_area"), (_zips(zips), _ZIP, "_zip"), (_hoods(hoods), _HOOD, "_hood")]
-    cut = [(spans(_sized(df, own), [*keys, own], scan), [*keys, own]) for df, keys, own in parts]
-    out = overlap_area(cut, scan).filter(F.col("intersection_area") > sliver_m2)
+    cut = [(cover(_sized(df, own), [*keys, own], size), [*keys, own]) for df, keys, own in parts]
+    out = overlap_area(cut, size).filter(F.col("intersection_area") > sliver_m2)
     return out.select(
         *_AREA,
         *_ZIP,

@@ -33,7 +33,7 @@ from wardline.plans.lake import FORECASTS, HISTORY, PERMITS, TRIPS, Lake
 from wardline.session import computed_once
 from wardline.sources import boundaries, landing
 
-SCAN = TRIPS.scan_degrees
+CELL = TRIPS.cell_degrees
 YEARS = (2001, 2000, 1999, 1998, 1997, 1996)
 REPLACED = (date(2024, 1, 10), date(2024, 1, 20))
 NOW = datetime(2024, 2, 1)
@@ -200,10 +200,10 @@ ENTRIES: dict[str, Callable[[Lake], DataFrame]] = {
     # polygons
     "crosswalk_community_zip": lambda l: _square_metres(l.community_zip),
     "crosswalk_community_neighborhood": lambda l: _square_metres(
-        spatial.community_neighborhood_crosswalk(l.areas, l.hoods, SCAN)
+        spatial.community_neighborhood_crosswalk(l.areas, l.hoods, CELL)
     ),
     "crosswalk_zip_neighborhood": lambda l: _square_metres(l.zip_hood),
-    "crosswalk_complete": lambda l: _square_metres(spatial.three_way_crosswalk(l.areas, l.zips, l.hoods, SCAN)),
+    "crosswalk_complete": lambda l: _square_metres(spatial.three_way_crosswalk(l.areas, l.zips, l.hoods, CELL)),
     "crosswalk_summary": lambda l: spatial.crosswalk_summary(l.community_zip),
     # maintenance
     "permits_upsert": _upserted,

@@ -146,11 +146,11 @@ def load_boundaries(spark: SparkSession, sources: dict[str, tuple[str, dict[str,
 
 
 def build_crosswalks(areas: DataFrame, zips: DataFrame, hoods: DataFrame, root: str, cfg: Settings) -> None:
-    at, scan = Folders(root), cfg.scan_degrees
-    tables.write(spatial.community_zip_crosswalk(areas, zips, scan), at.crosswalk_community_zip)
-    tables.write(spatial.community_neighborhood_crosswalk(areas, hoods, scan), at.crosswalk_community_neighborhood)
-    tables.write(spatial.zip_neighborhood_crosswalk(zips, hoods, scan), at.crosswalk_zip_neighborhood)
-    tables.write(spatial.three_way_crosswalk(areas, zips, hoods, scan), at.crosswalk_complete)
+    at, size = Folders(root), cfg.cell_degrees
+    tables.write(spatial.community_zip_crosswalk(areas, zips, size), at.crosswalk_community_zip)
+    tables.write(spatial.community_neighborhood_crosswalk(areas, hoods, size), at.crosswalk_community_neighborhood)
+    tables.write(spatial.zip_neighborhood_crosswalk(zips, hoods, size), at.crosswalk_zip_neighborhood)
+    tables.write(spatial.three_way_crosswalk(areas, zips, hoods, size), at.crosswalk_complete)
 
 
 def run_health(

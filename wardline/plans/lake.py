@@ -54,11 +54,11 @@ class Lake:
 
     @cached_property
     def community_zip(self) -> DataFrame:
-        return spatial.community_zip_crosswalk(self.areas, self.zips, TRIPS.scan_degrees)
+        return spatial.community_zip_crosswalk(self.areas, self.zips, TRIPS.cell_degrees)
 
     @cached_property
     def zip_hood(self) -> DataFrame:
-        return spatial.zip_neighborhood_crosswalk(self.zips, self.hoods, TRIPS.scan_degrees)
+        return spatial.zip_neighborhood_crosswalk(self.zips, self.hoods, TRIPS.cell_degrees)
 
     # trips
 

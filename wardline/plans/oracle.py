@@ -1,7 +1,7 @@
 """Plain SQL for each catalog query, for an independent engine over the same files.
 
 Polygons are rectangles in the derived data, so containment is four comparisons
-here and overlap is one product, where the library casts rays and sums scanlines.
+here and overlap is one product, where the library joins pieces of polygons in grid cells.
 Texts share named sub-queries; ``texts`` puts in front of each query the ones it uses.
 """
 
