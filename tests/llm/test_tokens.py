@@ -141,17 +141,22 @@ def test_plain_tokens_have_the_librarys_ids():
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
     with open(path, encoding="utf-8") as f:
-        memo = packing._ids(f.read())
+        spec = f.read()
+    whole, parts = packing._ids(spec), packing._plain_ids(spec)
+    assert packing.splits_plainly(spec)
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        assert not packing.splits_plainly(f.read())
     r = random.Random(1)
     odd = [chr(c) for c in (0x85, 0xA0, 0xAD, 0x2003, 0x200B, 0x300, 0x301, 0x1E9E, 0x130, 0x131, 0x17F, 0x212A, 0x3A3, 0x3C2, 0x6771, 0x661, 0xBD)]
     chars = [chr(c) for c in range(0x20, 0x250)] + list("'''sstrevemlld  \n\t\r..,!?<|>") + odd + [chr(c) for c in range(0x2010, 0x2060)]
     plain = [c for c in chars if not packing._NOT_PLAIN.search(c)]
     texts = ["".join(r.choice(kind) for _ in range(r.randrange(1, 60))) for kind in (chars, plain, "' srtevmlldSTREVMLLD.a1") for _ in range(3000)]
     texts += ["it's <|endoftext|> a|", "<|startoftext|>", "", " "]
-    cut = [packing.plain_tokens(t) for t in texts]
-    memo.learn(set().union(*cut))
-    for t, parts in zip(texts, cut):
-        got = np.frombuffer(b"".join(map(memo.__getitem__, parts)), "<u4").tolist()
+    assert sum(map(packing.is_plain, texts)) > 5000
+    for t in texts:
+        memo, cut = (parts, packing.plain_tokens(t)) if packing.is_plain(t) else (whole, text.words(t))
+        memo.learn(set(cut))
+        got = np.frombuffer(b"".join(map(memo.__getitem__, cut)), "<u4").tolist()
         assert got == library.encode(t, add_special_tokens=False).ids, t
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -19,10 +20,23 @@ SIZE = 2048
 #: Lengths are rounded up to multiples of this for the patterns, so the linear program has SIZE / GRAIN rows.
 GRAIN = 8
 
+#: Fixed value: the pattern of the word tokenizer, whose normaliser composes and lowers letters.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _NOT_PLAIN = re.compile("[^ -~\n\t\r\xa1-\xac\xae-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e\u20ac]")
-# The tokenizer's own pattern, its classes spelled out for these characters.
+# The same pattern, its classes spelled out for plain characters.
 _LETTERS, _NUMBERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe"
 _PLAIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
+#: Bytes as byte-level models spell them: printable ones as they are, the others from U+0100 on, in order.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SPELLED = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
+def splits_plainly(spec: str) -> bool:
+    """True if ``plain_tokens`` cuts texts as the tokenizer does whose JSON this is."""
+    made = json.loads(spec)
+    kinds = [n["type"] for n in (made.get("normalizer") or {}).get("normalizers", [])]
+    cuts = (made.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+    return kinds == ["NFC", "Replace", "Lowercase"] and (cuts[0].get("pattern") or {}).get("Regex") == PATTERN and cuts[-1].get("type") == "ByteLevel"
 
 
 def _ids(spec: str) -> Memo:
@@ -40,14 +54,29 @@ def _ids(spec: str) -> Memo:
     return Memo(encode)
 
 
-def plain_tokens(text: str) -> list[str]:
-    """Parts of a text whose ids one after the other are the text's, for the word tokenizer.
+def _plain_ids(spec: str) -> Memo:
+    """The same for plain tokens. Each is what the model sees, so its merges are all there is to do."""
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_str(spec).model
+
+    def encode(batch: list[str]) -> list[bytes]:
+        spelled = (p if p.isascii() else p.encode().decode("latin-1").translate(_SPELLED) for p in batch)
+        return [array("I", [t.id for t in model.tokenize(p)]).tobytes() for p in spelled]
 
-    In plain Latin text these are what its pattern finds once letters are lowered: few distinct ones. Composed letters
-    up to U+017F are as the tokenizer normalises them, but for U+0130. Any other text is cut at white space only.
+    return Memo(encode, 192 << 20)
+
+
+def is_plain(text: str) -> bool:
+    """Whether ``plain_tokens`` can cut a text: Latin letters that the tokenizer leaves composed, common marks.
+
+    Letters up to U+017F are as the tokenizer normalises them, but for U+0130.
     """
-    if _NOT_PLAIN.search(text) or "<|" in text:
-        return words(text)
+    return not (_NOT_PLAIN.search(text) or "<|" in text)
+
+
+def plain_tokens(text: str) -> list[str]:
+    """What the word tokenizer's pattern finds in a plain text once letters are lowered: few distinct parts."""
     return _PLAIN.findall(text.lower())
 
 
@@ -72,15 +101,19 @@ def token_pieces(
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
     last = np.array([end], "<u4").tobytes()
+    plainly = splits_plainly(spec)
 
     def run(batches):
-        memo = held(("ids", spec), lambda: _ids(spec))
+        whole, parts = held(("ids", spec), lambda: (_ids(spec), _plain_ids(spec)))
         for batch in slices(batches):
-            cut = [plain_tokens(t or "") for t in batch.column("text").to_pylist()]
-            memo.learn(set().union(*cut))
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            plain = [plainly and is_plain(t) for t in texts]
+            cut = [plain_tokens(t) if p else words(t) for t, p in zip(texts, plain)]
+            for memo, kind in ((parts, True), (whole, False)):
+                memo.learn(set().union(*(c for c, p in zip(cut, plain) if p == kind)))
             out = []
-            for doc, parts in zip(batch.column("doc_id").to_pylist(), cut):
-                ids = b"".join(map(memo.__getitem__, parts)) + last
+            for doc, own, p in zip(batch.column("doc_id").to_pylist(), cut, plain):
+                ids = b"".join(map((parts if p else whole).__getitem__, own)) + last
                 for at in range(0, len(ids), 4 * size):
                     own = ids[at : at + 4 * size]
                     out.append((doc, at // 4, len(own) // 4, zlib.crc32(own), len(ids) // 4) + (own,) * with_ids)
