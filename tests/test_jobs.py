@@ -154,3 +154,46 @@ def test_neighborhood_forecasts_start_from_trips(spark, lake, tmp_path):
     assert len(rows) == 90 and {r["neighborhood"] for r in rows} == {"LOOP"}
     daily = spark.read.parquet(f"{root}/gold_taxi_daily_by_neighborhood")
     assert daily.agg({"trip_count": "sum"}).first()[0] == trips.count()
+
+
+def test_gates_are_measured_by_the_write(spark, lake, tmp_path):
+    from wardline.operators import quality
+
+    raw = lake.raw_permits
+    loaded = []
+    verdicts = quality.load_gated(raw, PERMITS, lambda df: loaded.append(df.count()))
+    assert rows(verdicts) == rows(quality.gates(raw, PERMITS)) and loaded == [raw.count()]
+    plan = raw.observe("o", F.count("*").alias("n"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    nameless = raw.withColumn("permit_", F.lit(None).cast("string"))
+    with pytest.raises(quality.GateFailed, match="permit_number_not_null"):
+        quality.load_gated(nameless, PERMITS, lambda df: loaded.append("never"))
+    assert loaded == [raw.count()]
+
+
+def test_checks_are_measured_by_the_write(spark, lake, tmp_path):
+    from wardline.operators import quality
+
+    path, raw = str(tmp_path / "t"), lake.raw_permits
+    checks = quality.permit_checks(PERMITS.bounds, PERMITS.max_fee)
+    made = quality.write_checked(
+        raw, lambda df: df.write.parquet(path), lambda: spark.read.parquet(path), checks, "permits", PERMITS.as_of
+    )
+    assert rows(made) == rows(quality.check_table(raw, checks, "permits", PERMITS.as_of)) and made.count() == len(checks)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "permit_type" not in plan  # only the unique key is read again
+
+
+def test_gated_permits_change_nothing_when_a_gate_fails(spark, lake, tmp_path):
+    from wardline.operators import quality
+
+    root = str(tmp_path)
+    bad = lake.raw_permits.withColumn("permit_", F.lit(""))
+    run = lambda raw: jobs.run_permits(
+        spark, raw, lake.places, lake.covid_history, lake.community_zip, lake.health, root, PERMITS, gated=True
+    )
+    with pytest.raises(quality.GateFailed):
+        run(bad)
+    assert not (tmp_path / "bronze_permits").exists()
+    run(lake.raw_permits)
+    assert rows(spark.read.parquet(f"{root}/silver_permits").select("id")) == rows(lake.silver_permits.select("id"))

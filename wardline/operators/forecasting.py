@@ -46,6 +46,8 @@ class ModelSpec:
     cap: float = 0.0
     changepoint_scale: float = 0.05
     seasonality_scale: float = 10.0
+    # Stated in the metrics, as published; no holiday terms are fitted.
+    holidays_scale: float = 10.0
     regressor_scales: dict[str, float] = field(default_factory=dict)
     refit_on_all: bool = True
     start: date | None = None
@@ -263,8 +265,13 @@ def _trained(spec: ModelSpec) -> Column:
     return F.floor(F.col("n") * spec.train_share).cast("long")
 
 
-def model_metrics(series: DataFrame, fitted: DataFrame, spec: ModelSpec, cfg: Settings, notes: str = "") -> DataFrame:
-    """Holdout errors of each area's model."""
+def model_metrics(
+    series: DataFrame, fitted: DataFrame, spec: ModelSpec, cfg: Settings, notes: str = "", area: str = "zip_code"
+) -> DataFrame:
+    """Holdout errors of each area's model; ``area`` is the column that names it, ``zip_code`` or ``neighborhood``.
+
+    ``created_at`` is the day of the run, as no operator reads the clock.
+    """
     scored = fitted.filter("part = 'holdout'").groupBy("area").agg(
         *[c.alias(n) for n, c in error_metrics("y", "yhat", spec.mape_mode).items()]
     )
@@ -282,9 +289,12 @@ def model_metrics(series: DataFrame, fitted: DataFrame, spec: ModelSpec, cfg: Se
         "r_squared",
         F.lit(spec.changepoint_scale).alias("changepoint_prior_scale"),
         F.lit(spec.seasonality_scale).alias("seasonality_prior_scale"),
+        F.lit(spec.holidays_scale).alias("holidays_prior_scale"),
         F.lit(spec.seasonality_mode).alias("seasonality_mode"),
-        F.col("area").alias("zip_code"),
+        F.col("area").alias("zip_code") if area == "zip_code" else F.lit(None).cast("string").alias("zip_code"),
+        F.col("area").alias("neighborhood") if area == "neighborhood" else F.lit(None).cast("string").alias("neighborhood"),
         F.lit(notes).alias("notes"),
+        F.lit(cfg.as_of).cast("timestamp").alias("created_at"),
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardline.config import Settings
 from wardline.functions.columns import percent, tally
+from wardline.sources import landing
 
 
 # The columns of the manifest table.
@@ -62,14 +63,13 @@ def manifest(
     ``broken_row`` marks bad rows, by the name of the check where there are several; a file that fails a check is
     quarantined, with the failed checks as the reason. ``checks`` holds checksums by ``file_uri``. ``loads`` says
     what reached bronze: ``file_uri, bronze_table, bronze_partition, bronze_loaded_at, bronze_load_job_id,
-    bronze_rows_loaded``. ``now`` is the time of validation.
+    bronze_rows_loaded``. ``now`` is the time of validation. Rows either come straight from files or carry the columns of
+    ``landing.FILE``.
     """
     broken = broken_row if isinstance(broken_row, dict) else {"row_check": broken_row}
-    meta = F.col("_metadata")
+    told_of = [F.col(n) if n in landed.columns else F.col(f"_metadata.{c}").alias(n) for n, c in landing.FILE.items()]
     per_file = landed.select(
-        meta["file_path"].alias("file_uri"),
-        meta["file_size"].alias("size_bytes"),
-        meta["file_modification_time"].alias("created_at"),
+        *told_of,
         F.to_date(day).alias("d"),
         *[bad.alias(f"bad_{n}") for n, bad in broken.items()],
     ).groupBy("file_uri", "size_bytes", "created_at")

@@ -6,16 +6,17 @@ into rows afterwards.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wardline.config import Bounds, Settings
 from wardline.functions.columns import all_of, dated, exact_mean, half_up, percent, ratio, tally, uncut_mean, within
+from wardline.sources import tables
 
 
 def rows() -> Column:
@@ -119,24 +120,39 @@ def check_table(
     plain = [c for c in checks if c.unique_key is None]
     unique = [c for c in checks if c.unique_key is not None]
     counted = df.agg(
-        *[
-            F.struct(
-                tally(c.good if c.considered is None else c.considered & c.good).alias("good"),
-                (rows() if c.considered is None else tally(c.considered)).alias("seen"),
-            ).alias(c.name)
-            for c in plain
-        ]
+        *[F.struct(good.alias("good"), seen.alias("seen")).alias(n) for n, (good, seen) in check_measures(plain).items()]
     )
     parts = [counted.unpivot([], [c.name for c in plain], "check_name", "v").select("check_name", "v.good", "v.seen")]
-    for c in unique:
-        keys = df.groupBy(c.unique_key).agg(rows().alias("n"))
-        parts.append(
-            keys.agg(
-                F.lit(c.name).alias("check_name"),
-                F.count(c.unique_key).alias("good"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("seen"),
-            )
+    return _check_rows(parts + _unique_checks(df, unique), checks, dataset, check_date)
+
+
+def check_measures(checks: Sequence[Check]) -> dict[str, tuple[Column, Column]]:
+    """Rows that hold and rows that count, for checks that one pass can measure."""
+    return {
+        c.name: (
+            tally(c.good if c.considered is None else c.considered & c.good),
+            rows() if c.considered is None else tally(c.considered),
+        )
+        for c in checks
+        if c.unique_key is None
+    }
+
+
+def _unique_checks(df: DataFrame, checks: Sequence[Check]) -> list[DataFrame]:
+    return [
+        df.groupBy(c.unique_key)
+        .agg(rows().alias("n"))
+        .agg(
+            F.lit(c.name).alias("check_name"),
+            F.count(c.unique_key).alias("good"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("seen"),
         )
+        for c in checks
+        if c.unique_key is not None
+    ]
+
+
+def _check_rows(parts: list[DataFrame], checks: Sequence[Check], dataset: str, check_date: date) -> DataFrame:
     results = reduce(DataFrame.unionByName, parts)
     by_name = lambda value: F.create_map(*[x for c in checks for x in (F.lit(c.name), F.lit(value(c)))])[
         F.col("check_name")
@@ -172,19 +188,21 @@ class GateFailed(RuntimeError):
     """A critical gate did not hold; nothing may be loaded."""
 
 
-def gates(df: DataFrame, cfg: Settings, key: str = "permit_", day: str = "issue_date") -> DataFrame:
-    """Gates before a load, as (name, severity, threshold, actual_value, passed)."""
+def _gate_spec(cfg: Settings, key: str, day: str) -> dict[str, tuple[str, float, Column]]:
+    """Severity, threshold and measure of each gate; names and thresholds are fixed values."""
     missing_key = F.col(key).isNull() | (F.col(key) == "")
     far = F.col(day) > F.add_months(F.lit(cfg.as_of), 12)
     no_place = F.coalesce((F.col("latitude") == 0) | (F.col("longitude") == 0), F.lit(True))
     share = lambda bad: F.coalesce(ratio(tally(bad), rows(), 100.0), F.lit(0.0))
-    spec = {
+    return {
         "non_zero_record_count": ("CRITICAL", 1.0, rows().cast("double")),
         "permit_number_not_null": ("CRITICAL", 5.0, share(missing_key)),
         "issue_date_not_future": ("WARNING", 10.0, share(far)),
         "coordinates_present": ("INFO", 20.0, share(no_place)),
     }
-    long = df.agg(*[v.alias(n) for n, (_, _, v) in spec.items()]).unpivot([], list(spec), "name", "actual_value")
+
+
+def _gate_rows(long: DataFrame, spec: dict[str, tuple[str, float, Column]]) -> DataFrame:
     pick = lambda i: F.create_map(*[x for n, v in spec.items() for x in (F.lit(n), F.lit(v[i]))])[F.col("name")]
     actual, threshold = F.col("actual_value"), F.col("threshold")
     return (
@@ -197,6 +215,49 @@ def gates(df: DataFrame, cfg: Settings, key: str = "permit_", day: str = "issue_
     )
 
 
+def gates(df: DataFrame, cfg: Settings, key: str = "permit_", day: str = "issue_date") -> DataFrame:
+    """Gates before a load, as (name, severity, threshold, actual_value, passed)."""
+    spec = _gate_spec(cfg, key, day)
+    long = df.agg(*[v.alias(n) for n, (_, _, v) in spec.items()]).unpivot([], list(spec), "name", "actual_value")
+    return _gate_rows(long, spec)
+
+
+def load_gated(
+    df: DataFrame, cfg: Settings, load: Callable[[DataFrame], object], key: str = "permit_", day: str = "issue_date"
+) -> DataFrame:
+    """Gates measured while the rows are written to a copy: the input is read once. Returns the verdicts.
+
+    ``load`` gets the copy. It is not called when a critical gate fails, which raises.
+    """
+    spec = _gate_spec(cfg, key, day)
+    watch = Observation("gates")
+    with tables.staged(df.observe(watch, *[v.alias(n) for n, (_, _, v) in spec.items()])) as copy:
+        verdicts = _gate_rows(df.sparkSession.createDataFrame(list(watch.get.items()), "name string, actual_value double"), spec)
+        enforce(verdicts)
+        load(copy)
+    return verdicts
+
+
+def write_checked(
+    df: DataFrame,
+    write: Callable[[DataFrame], object],
+    stored: Callable[[], DataFrame],
+    checks: Sequence[Check],
+    dataset: str,
+    check_date: date,
+) -> DataFrame:
+    """``check_table`` of rows as they are written: plain checks are measured by the write, with no scan of their own.
+
+    ``write`` writes the rows it is given in one job; ``stored`` reads them back, where only a uniqueness check reads its
+    key.
+    """
+    watch, measures = Observation("checks"), check_measures(checks)
+    write(df.observe(watch, *[c.alias(f"{n}_{k}") for n, both in measures.items() for k, c in zip(("good", "seen"), both)]))
+    found = [(n, watch.get[f"{n}_good"], watch.get[f"{n}_seen"]) for n in measures]
+    measured = df.sparkSession.createDataFrame(found, "check_name string, good long, seen long")
+    return _check_rows([measured, *_unique_checks(stored(), checks)], checks, dataset, check_date)
+
+
 def enforce(gate_rows: DataFrame) -> None:
     """Raise when a critical gate failed. Reads at most one row per gate."""
     failed = [r["name"] for r in gate_rows.filter("NOT passed AND severity = 'CRITICAL'").collect()]

@@ -29,6 +29,7 @@ from wardline.operators import (
     traffic_queries,
     vulnerability_views,
 )
+from wardline.plans import stored
 from wardline.plans.lake import FORECASTS, HISTORY, PERMITS, TRIPS, Lake
 from wardline.session import computed_once
 from wardline.sources import boundaries, landing
@@ -364,4 +365,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn: Callable[[Lake], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, folder: fn(Lake(spark, folder))
 
-    return {name: bind(fn) for name, fn in ENTRIES.items()}
+    return {name: bind(fn) for name, fn in (ENTRIES | stored.ENTRIES).items()}

@@ -9,14 +9,24 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.config import Settings
-from wardline.operators import bronze, clean, enrich, forecasting, gold, incremental, reports, spatial
+from wardline.operators import bronze, clean, enrich, forecasting, gold, incremental, quality, reports, spatial
 from wardline.sources import boundaries, tables
 
 
+def _by_areas() -> tuple[Column, ...]:
+    """Trips lie near each other in files by both ends at once."""
+    return (tables.interleaved(F.col("pickup_community_area"), F.col("dropoff_community_area")),)
+
+
+def _by_zips() -> tuple[Column, ...]:
+    ends = (F.col(f"{e}_zip").try_cast("long") % 1024 for e in ("pickup", "dropoff"))
+    return (tables.interleaved(*ends, bits=10),)
+
+
 @dataclass(frozen=True)
 class Folders:
     """Where each table of a lake is kept."""
@@ -37,17 +47,22 @@ def run_permits(
     root: str,
     cfg: Settings,
     loan_version: int = 2,
+    gated: bool = False,
 ) -> DataFrame:
     """Permits from raw to gold: two keyed upserts, then a full rebuild of the gold tables.
 
-    Only the increment is enriched. Returns the layer statistics.
+    Only the increment is enriched. ``gated`` measures the load gates as the increment is written, and stops before
+    any table changes if a critical one fails. Returns the layer statistics.
     """
     at = Folders(root)
     shaped = bronze.building_permits(raw, cfg)
     known = tables.read_or_empty(spark, at.bronze_permits, shaped)
-    incremental.apply_upsert(
-        incremental.increment(shaped, known, "issue_date", cfg), at.bronze_permits, ["id"], "issue_date"
-    )
+    fresh = incremental.increment(shaped, known, "issue_date", cfg)
+    load = lambda rows: incremental.apply_upsert(rows, at.bronze_permits, ["id"], "issue_date")
+    if gated:
+        quality.load_gated(fresh, cfg, load)
+    else:
+        load(fresh)
     stored = spark.read.schema(shaped.schema).parquet(at.bronze_permits)
     like = enrich.silver_permits(stored, places, cfg)
     known = tables.read_or_empty(spark, at.silver_permits, like)
@@ -71,21 +86,17 @@ def run_trips(
     at = Folders(root)
     for kind, raw in (("taxi", raw_taxi), ("tnp", raw_tnp)):
         rows = bronze.trips(raw, cfg, kind).withColumn("trip_date", F.to_date("trip_start_timestamp"))
-        tables.write(
-            rows, f"{at.root}/bronze_{kind}", "trip_date", ("pickup_community_area", "dropoff_community_area")
-        )
+        tables.write(rows, f"{at.root}/bronze_{kind}", "trip_date", _by_areas())
     taxi, tnp = (spark.read.parquet(f"{at.root}/bronze_{k}").drop("trip_date") for k in ("taxi", "tnp"))
     silver = enrich.silver_trips(taxi, tnp, places, cfg)
-    tables.write(
-        silver, at.silver_trips, "trip_date", ("source_dataset", "pickup_community_area", "dropoff_community_area")
-    )
+    tables.write(silver, at.silver_trips, "trip_date", ("source_dataset", *_by_areas()))
     _build_trip_gold(spark, at)
 
 
 def _build_trip_gold(spark: SparkSession, at: Folders) -> None:
     stored = spark.read.parquet(at.silver_trips)
-    tables.write(gold.trips_by_zip(stored, "hour"), at.hourly, "trip_date", ("pickup_zip", "dropoff_zip"))
-    tables.write(gold.trips_by_zip(stored, "day"), at.daily, "trip_date", ("pickup_zip", "dropoff_zip"))
+    tables.write(gold.trips_by_zip(stored, "hour"), at.hourly, "trip_date", _by_zips())
+    tables.write(gold.trips_by_zip(stored, "day"), at.daily, "trip_date", _by_zips())
     tables.write(gold.route_pairs(stored), at.routes)
 
 
@@ -133,7 +144,7 @@ def refilter_trips(spark: SparkSession, root: str, kind: str, cfg: Settings) ->
     """Narrow a stored bronze trip table to the coordinate window."""
     path = f"{root}/bronze_{kind}"
     with tables.staged(bronze.refilter_trips(spark.read.parquet(path), cfg)) as ready:
-        tables.write(ready, path, "trip_date", ("pickup_community_area", "dropoff_community_area"))
+        tables.write(ready, path, "trip_date", _by_areas())
 
 
 def load_boundaries(spark: SparkSession, sources: dict[str, tuple[str, dict[str, str]]], root: str) -> None:

@@ -1052,6 +1052,46 @@ WHERE CAST(d AS DATE) NOT IN (SELECT partition_date FROM file_manifest WHERE dat
     "forecast_metrics_plain": _errors("avg(abs(actual - predicted) / abs(actual)) * 100"),
     "forecast_metrics_positive": _errors("avg(CASE WHEN actual > 0 THEN abs(actual - predicted) / actual END) * 100"),
     "forecast_metrics_floored": _errors("avg(abs(actual - predicted) / greatest(actual, 1e0)) * 100"),
+    "landing_lines_read": """
+SELECT trip_id, trip_start_timestamp, trip_seconds, trips_pooled, trip_miles, fare, trip_total, shared_trip_authorized,
+  pickup_community_area, dropoff_community_area, pickup_centroid_latitude, dropoff_centroid_longitude
+FROM raw_trips WHERE source_dataset = 'tnp' AND trip_seconds % 97 <> 0""",
+    "landing_malformed_lines": """
+SELECT 'tnp' AS dataset, 'malformed line' AS reason, count(*) AS records
+FROM raw_trips WHERE source_dataset = 'tnp' AND trip_seconds % 97 = 0 HAVING count(*) > 0""",
+    "lineage_manifest_of_files": """
+WITH d AS (SELECT CAST(trip_start_timestamp AS DATE) AS day, count(*) AS n, count(*) FILTER (WHERE trip_seconds % 97 = 0) AS bad
+  FROM raw_trips WHERE source_dataset = 'tnp' GROUP BY 1)
+SELECT 'tnp' AS dataset, CASE WHEN n > bad THEN day END AS partition_date, n AS row_count,
+  CAST(bad > 0 AS BIGINT) AS validation_checks_failed, CASE WHEN bad > 0 THEN 'failed' ELSE 'passed' END AS validation_status,
+  CASE WHEN bad > 0 THEN 'quarantined' ELSE 'validated' END AS processing_stage, bad > 0 AS quarantined,
+  CASE WHEN bad > 0 THEN 'malformed_line: ' || bad || ' rows' END AS quarantine_reason FROM d""",
+    "boundary_geojson_read": """
+SELECT CAST(zip AS INTEGER) AS zip, 1 AS polygons, 5 AS points, round(x0, 6) AS west, round(x1, 6) AS east,
+  round(y0, 6) AS south, round(y1, 6) AS north FROM zip_boxes""",
+    "landing_spaced_headers": """
+SELECT geography_type, community_area_or_zip, round(ccvi_score, 6) AS ccvi_score, ccvi_category FROM raw_ccvi""",
+    "tables_write_modes": """
+SELECT mode, source_dataset, count(*) AS rows FROM raw_trips,
+  (VALUES ('replaced', 'tnp'), ('if missing', 'taxi'), ('view', 'taxi'), ('view', 'tnp')) v(mode, kind)
+WHERE source_dataset = kind GROUP BY ALL""",
+    "tables_quarter_archive": """
+WITH d AS (SELECT CAST(trip_start_timestamp AS DATE) + INTERVAL 1 MONTH * CASE
+    WHEN CAST(substr(trip_id, 2) AS BIGINT) % 5 = 0 THEN 3 ELSE 0 END AS t FROM raw_trips)
+SELECT CASE WHEN t >= DATE '2024-01-01' AND t < DATE '2024-04-01' THEN 'archive' ELSE 'table' END AS place,
+  CAST(t AS DATE) AS day, count(*) AS rows FROM d GROUP BY 1, 2""",
+    "permits_silver_upsert": "SELECT * FROM silver_permits",
+    "permits_gold_refresh": "SELECT * FROM roi",
+    "permits_increment_window": f"""
+SELECT target, CAST(date_trunc('month', issue_date) AS DATE) AS month, count(*) AS rows
+FROM bronze_permits, (VALUES ('empty'), ('filled')) v(target)
+WHERE target = 'empty' OR issue_date >= {P_AS_OF} - 30 GROUP BY 1, 2""",
+    "forecast_job_sinks": """
+WITH d AS (SELECT zip_code, count(*) AS n, min(trip_date) AS a, max(trip_date) AS b FROM daily_history
+  WHERE trip_date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31' GROUP BY 1)
+SELECT zip_code, CAST(90 AS BIGINT) AS forecasts, CAST(b + 1 AS DATE) AS first_date, CAST(b + 90 AS DATE) AS last_date,
+  'traffic_forecast_zip_' || zip_code AS model_name, n AS training_records, a AS train_start_date, b AS train_end_date,
+  DATE '2001-12-31' AS trained_date FROM d WHERE n >= 365""",
     "traffic_model_skipped": """
 SELECT pickup_zip AS area, count(DISTINCT trip_date) AS points, 365 AS needed FROM daily
 GROUP BY 1 HAVING count(DISTINCT trip_date) < 365""",

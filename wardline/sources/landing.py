@@ -181,20 +181,23 @@ def typed(raw: DataFrame, dataset: Dataset, zero_is_null: bool = False, keep: tu
 
 #: The column of a raw row that holds its line where that is no JSON object.
 MALFORMED = "_malformed"
+#: What a raw row knows of its file.
+FILE = {"file_uri": "file_path", "size_bytes": "file_size", "created_at": "file_modification_time"}
 #: Columns of the quarantine: which data set and file, why, and the record as it came.
 QUARANTINE = ("dataset", "file_uri", "reason", "record")
 
 
 def raw(reader: DataFrameReader | DataStreamReader, path: str, dataset: Dataset) -> DataFrame:
-    """Landing lines with text fields, their line where it is malformed, and ``file_uri``. Blank lines are none.
+    """Landing lines with text fields, their line where it is malformed, and their file. Blank lines are none.
 
     The schema is declared, so no inference pass runs, and a line is parsed once. A line has to begin with an object;
     what stands behind it is not looked at.
     """
     schema = T.StructType([*dataset.read_schema, T.StructField(MALFORMED, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
-    lines = reader.text(path).select("value", F.col("_metadata.file_path").alias("file_uri")).filter("trim(value) != ''")
-    return lines.select(F.inline(F.array(F.from_json("value", schema, options))), "file_uri")
+    file = [F.col(f"_metadata.{c}").alias(n) for n, c in FILE.items()]
+    lines = reader.text(path).select("value", *file).filter("trim(value) != ''")
+    return lines.select(F.inline(F.array(F.from_json("value", schema, options))), *FILE)
 
 
 def is_malformed() -> Column:

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wardline.operators import lineage
 from wardline.operators.incremental import apply_upsert
 from wardline.sources import tables
-from wardline.sources.landing import Dataset, is_malformed, malformed_of, raw, typed, without_key
+from wardline.sources.landing import FILE, MALFORMED, Dataset, is_malformed, malformed_of, raw, typed, without_key
 from wardline.sources.landing import load_new as insert_new
 
 
@@ -36,6 +37,20 @@ def _set_apart(lines: DataFrame, dataset: Dataset, quarantine: str, batch: int,
     bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch}")
 
 
+def _note_files(lines: DataFrame, dataset: Dataset, table: str, manifest: str, batch: int) -> None:
+    """Merges a row for each file of the batch into the manifest, by uri: a batch that runs twice counts once."""
+    rows = typed(lines, dataset, keep=(*FILE, MALFORMED))
+    per_file = lines.filter(~is_malformed()).groupBy("file_uri").agg(
+        F.lit(table).alias("bronze_table"),
+        F.max("created_at").alias("bronze_loaded_at"),
+        F.lit(f"{dataset.name}-{batch}").alias("bronze_load_job_id"),
+        F.count("*").alias("bronze_rows_loaded"),
+    )
+    broken = {"malformed_line": is_malformed()}
+    files = lineage.manifest(rows, dataset.name, dataset.day, broken, loads=per_file)
+    apply_upsert(files, manifest, ["file_uri"], "partition_date")
+
+
 def load_new(
     spark: SparkSession,
     folder: str,
@@ -44,11 +59,13 @@ def load_new(
     checkpoint: str,
     update: bool = False,
     quarantine: str | None = None,
+    manifest: str | None = None,
 ) -> StreamingQuery:
     """Load all waiting files and stop.
 
     ``update`` replaces rows that exist already; otherwise they are left alone. Malformed lines, and rows without a key
-    unless ``update`` takes them, go to the ``quarantine``, a folder beside the table by default.
+    unless ``update`` takes them, go to the ``quarantine``, a folder beside the table by default. ``manifest`` names a
+    table that keeps a row for each file (``lineage.MANIFEST``).
     """
     aside = quarantine or f"{path}_quarantine"
 
@@ -60,6 +77,8 @@ def load_new(
                 apply_upsert(rows, path, list(dataset.key), "load_day")
             else:
                 insert_new(spark, rows, dataset, path, "load_day")
+            if manifest:
+                _note_files(lines, dataset, path, manifest, number)
 
     return (
         stream(spark, folder, dataset)
