@@ -8,6 +8,8 @@ from oracle_check import compare, connect
 from wardline.plans import catalog, oracle
 
 QUERIES, SQL = catalog.queries(), oracle.texts()
+#: The smallest tables hold no row for these; any other query without rows is a fault.
+EMPTY_WHEN_SMALL = {"top_hotspots", "traffic_airport"}
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +35,7 @@ def test_plan_and_rows(spark, engine, small, name):
     df = QUERIES[name](spark, small)
     no_pairing_without_a_key(df)
     if name in SQL:
-        assert compare(engine, df, SQL[name]) is None
+        assert compare(engine, df, SQL[name]) in (None, "no rows" if name in EMPTY_WHEN_SMALL else None)
     else:
         assert set(df.columns) & {"zip_code", "neighborhood"}
 
