@@ -195,3 +195,10 @@ def test_partial_quotes_hide_no_repeat(spark, words):
             k = 10 * i + j
             rows.append((k, " ".join([words(30_000 + k, 30), *part, words(40_000 + k, 30)])))
     _same_as_all_windows(spark, rows)
+
+
+def test_odd_column_names_pass(spark, words):
+    rows = [(1, words(1, 90), "x", 1), (2, words(1, 90), "y", 2)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "my col", "a.b"])
+    got = {r["doc_id"]: r for r in line_dedup.deduped(docs).collect()}
+    assert got[2]["text"] == "" and got[1]["text"] and (got[2]["my col"], got[2]["a.b"]) == ("y", 2)

@@ -1,7 +1,9 @@
 """Fingerprints, quality rules and secret scans against direct computation."""
 
 import hashlib
+import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -122,3 +124,33 @@ def test_masked_documents_keep_their_columns(edges, edge_rows):
     assert done.columns == edges.columns and done.count() == len(edge_rows)
     row = done.where("doc_id = 9").first()
     assert row.text == "[SECRET]' [SECRET] [SECRET]" and row.n_chars == len(row.text) and row.row == "x"
+
+
+def _candidates_one_by_one(text, reach, taken):
+    """For each sensitive word the strings that start behind it within reach, searched anew from there."""
+    out, last = [], -1
+    for hint in secret_scan.CONTEXT.finditer(text):
+        for m in secret_scan.CANDIDATE.finditer(text, max(hint.end(), last)):
+            if m.start() > hint.end() + reach:
+                break
+            last = m.end()
+            if not any(s < m.end() and m.start() < e for s, e in taken):
+                out.append(m.span())
+    return out
+
+
+def test_candidates_are_those_of_a_search_from_each_word():
+    r = random.Random(6)
+    parts = ["key", "secret", "token_", " ", "  ", ".", "= ", "abcdefgh1234567890", "Q" * 15, "z9" * 20, "keykeykeykeykeykeykey", "x"]
+    for _ in range(3000):
+        text = "".join(r.choice(parts) for _ in range(r.randrange(1, 40)))
+        taken = secret_scan._merged((s, s + r.randrange(1, 30)) for s in (r.randrange(len(text)) for _ in range(r.randrange(4))))
+        for reach in (0, 3, 40):
+            assert list(secret_scan._candidates(text, reach, taken)) == _candidates_one_by_one(text, reach, taken), text
+
+
+def test_hostile_texts_take_linear_work():
+    for text in ("key " * 2_500_000, "key=" * 300_000, "secret " * 100_000 + "a1" * 500_000, ("deadbeef" * 2 + " key ") * 60_000):
+        start = time.process_time()
+        secret_scan.scan(text)
+        assert time.process_time() - start < 8

@@ -85,8 +85,9 @@ def test_a_rare_gram_keeps_its_own_ratio(spark, words):
 def test_a_word_has_the_sum_of_its_grams(spark):
     seen = {"\x02b": 0.5, "\x02ba": -1.0, "ban": 2.0, "ana": 0.25}
     contexts = {"na": 3.0, "an": -7.5}
-    tables = (spark.createDataFrame(list(x.items()), "text string, ratio double") for x in (seen, contexts))
-    got = toxicity.word_ratios(spark.createDataFrame([("banana",), ("q",)], "word string"), *tables, order=3).collect()
+    tables = (spark.createDataFrame([(k, v, 1) for k, v in x.items()], "text string, ratio double, ordinary long") for x in (seen, contexts))
+    ratios = toxicity.keyed(*tables).cache()
+    got = toxicity.word_ratios(spark.createDataFrame([("banana",), ("q",)], "word string"), ratios, order=3).collect()
     # Neither nan nor na with the end mark is seen: both fall back on na.
     assert {r.word_key: r.ratio for r in got} == {
         toxicity.key_of("banana"): 0.5 - 1.0 + 2.0 + 0.25 + 3.0 + 0.25 + 3.0,
@@ -94,6 +95,36 @@ def test_a_word_has_the_sum_of_its_grams(spark):
     }
 
 
+def test_bounds_leave_no_word_out(spark, words):
+    """Words that pass the bound hold every word whose ratio, summed directly, exceeds the level; grams are spelled out."""
+    r = random.Random(4)
+    counts = [(w, r.randrange(5), r.randrange(9)) for w in {w for w in words(7, 400).replace("\n", " ").split()}]
+    counts += [("grimvex", 9, 0), ("vexgrim", 7, 0)]
+    top = toxicity.grams(spark.createDataFrame(counts, "word string, toxic long, ordinary long")).cache()
+    of_grams, of_contexts = toxicity.log_ratios(top, toxicity.shared_backoff(top))
+    seen, backoff = ({x.text: x.ratio for x in df.collect()} for df in (of_grams, of_contexts))
+    ratios = toxicity.keyed(of_grams, of_contexts).cache()
+
+    def direct(word):
+        whole = "\x02" + word + "\x03"
+        grams = [whole[max(0, i - 6) : i] for i in range(2, len(whole) + 1)]
+        return sum(seen.get(g, backoff.get(g[:-1], 0.0)) for g in grams)
+
+    asked = sorted({w for w, _, _ in counts} | {w for w in words(8, 300).replace("\n", " ").replace(".", " ").split()} | {"grimvexed", "o", "éa"})
+    got = {x.word_key: x.ratio for x in toxicity.word_ratios(spark.createDataFrame([(w,) for w in asked], "word string"), ratios).collect()}
+    assert all(abs(got[toxicity.key_of(w)] - direct(w)) < 1e-9 for w in asked)
+    texts = spark.createDataFrame([(" ".join(asked),), (None,), ("",)], "text string")
+    bounds = toxicity.bounds_of(ratios)
+    for least in (-1.0, 0.5, 2.0, 5.0):
+        kept = {x.word for x in toxicity.candidates(texts, bounds, least).collect()}
+        plain = {x for w in asked for x in toxicity.words_of(w)}
+        assert {w for w in plain if direct(w) > least} <= kept <= plain
+    said = sum(o for _, _, o in counts)
+    level = sum(o * direct(w) for w, _, o in counts) / said
+    frame = spark.createDataFrame(counts, "word string, toxic long, ordinary long")
+    assert abs(toxicity.ordinary_level(ratios, frame) - level) < 1e-9
+
+
 def test_wholly_toxic_texts_are_found(spark, corpus):
     docs, labels = corpus
     texts = ["grimwort", "vexling " * 30, "grimwort vexura", " ".join(BAD * 4)]

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardline.llm.hashing import mixed, run_hashes
 from wardline.llm.text import flagged, slices, staged
@@ -252,8 +253,9 @@ def deduped(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str
                 ["row", "text", "spans", "n"],
             )
 
-    kept = rows.schema["row"].dataType.simpleString()
-    changed = hit.mapInArrow(run, f"row {kept}, text string, spans array<struct<start:bigint,end:bigint>>, n long")
+    span = T.StructType().add("start", T.LongType()).add("end", T.LongType())
+    shape = T.StructType().add("row", rows.schema["row"].dataType).add("text", T.StringType())
+    changed = hit.mapInArrow(run, shape.add("spans", T.ArrayType(span)).add("n", T.LongType()))
     empty = F.lit(None).cast("array<struct<start:bigint,end:bigint>>")
     same = rest.select("row", "text", F.coalesce(empty, F.array()).alias("spans"), F.lit(0).cast("long").alias("n"))
     both = changed.unionByName(same)

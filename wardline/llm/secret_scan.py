@@ -26,7 +26,8 @@ _CONTEXT_HINTS = ("key", "secret", "token", "passw", "pwd", "credential", "auth"
 #: Words that make what follows sensitive.
 CONTEXT = re.compile(r"key|secret|token|passw|pwd|credential|auth|bearer|private|signature|access", re.ASCII | re.IGNORECASE)
 #: A string that may be a secret.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+SHORTEST = 16
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % SHORTEST)
 #: Names that occur in code and configuration, which prime the compressor beside the surrounding text.
 IDENTIFIERS = (
     "password passwd secret token api_key apikey access_key secret_key private_key public_key client_secret client_id "
@@ -46,6 +47,42 @@ def _novelty(value: str, around: bytes) -> float:
     return (len(press.compress(around[-64:] + raw)) - len(press.compress(around[-64:]))) / len(raw)
 
 
+def _merged(spans) -> list[tuple[int, int]]:
+    """Disjoint spans, in order, that cover the same places."""
+    out = []
+    for s, e in sorted(spans):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
+def _candidates(text: str, reach: int, taken: list[tuple[int, int]]):
+    """Strings that start within ``reach`` behind a sensitive word and touch no span that is ``taken``, each once.
+
+    Strings, sensitive words and taken spans are walked side by side, so the work grows with the text. A string
+    that holds the sensitive word itself counts from behind it.
+    """
+    strings = [m.span() for m in CANDIDATE.finditer(text)]
+    i = j = last = 0
+    for hint in CONTEXT.finditer(text):
+        while True:
+            at = max(hint.end(), last)
+            while i < len(strings) and strings[i][1] - max(strings[i][0], at) < SHORTEST:
+                i += 1
+            if i == len(strings):
+                return
+            start, end = max(strings[i][0], at), strings[i][1]
+            if start > hint.end() + reach:
+                break
+            last = end
+            while j < len(taken) and taken[j][1] <= start:
+                j += 1
+            if j == len(taken) or taken[j][0] >= end:
+                yield start, end
+
+
 def scan(text: str, least: float = 0.6, reach: int = 40, around: int = 400) -> list[tuple[int, int, int]]:
     """Spans (start, kind, end) of one text, ordered; ends are exclusive."""
     found = []
@@ -55,22 +92,14 @@ def scan(text: str, least: float = 0.6, reach: int = 40, around: int = 400) -> l
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LENGTH]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    taken = sorted((s, e) for s, _, e in found)
-    last = -1
-    for hint in CONTEXT.finditer(text) if any(map(lower.__contains__, _CONTEXT_HINTS)) else ():
-        # What starts within reach of a sensitive word; each candidate is looked at once.
-        for m in CANDIDATE.finditer(text, max(hint.end(), last)):
-            if m.start() > hint.end() + reach:
-                break
-            last = m.end()
-            value = m[0]
+    if any(map(lower.__contains__, _CONTEXT_HINTS)):
+        for start, end in _candidates(text, reach, _merged((s, e) for s, _, e in found)):
+            value = text[start:end]
             if not (re.search("[0-9]", value) and re.search("[A-Za-z]", value)):
                 continue
-            if any(s < m.end() and m.start() < e for s, e in taken):
-                continue
-            near = text[max(0, m.start() - around) : m.start()] + text[m.end() : m.end() + around]
+            near = text[max(0, start - around) : start] + text[end : end + around]
             if _novelty(value, near.encode()) >= least:
-                found.append((m.start(), 3, m.end()))
+                found.append((start, 3, end))
     return sorted(found)
 
 

@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.text import FILTER_BITS, Memo, flagged, held, slices, staged
+from wardline.llm.hashing import run_hashes
+from wardline.llm.text import FILTER_BITS, Memo, dropped, flagged, held, made, slices, staged
 
 #: Characters a gram has at most, the predicted one included.
 ORDER = 6
@@ -20,8 +21,10 @@ ORDER = 6
 DISCOUNT = 0.75
 #: Labelled rows at most that the final curve is fitted on.
 CURVE_ROWS = 20_000
-#: Log ratio over the median word of ordinary texts from which a word counts as evidence: e to this power times likelier.
+#: Log ratio over the mean word of ordinary texts from which a word counts as evidence: e to this power times likelier.
 MARGIN = 3.0
+#: Slots of the table that bounds what a gram can count.
+SLOTS = 1 << 20
 #: Marks of a word's two ends.
 BEGIN, END = "\x02", "\x03"
 _WORDS = re.compile(r"[^\W_]+")
@@ -129,7 +132,8 @@ def shared_backoff(top: DataFrame, order: int = ORDER, discount: float = DISCOUN
 def log_ratios(top: DataFrame, shared: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame, DataFrame]:
     """Log of toxic over ordinary probability for every seen gram, and for a context's unseen grams.
 
-    Returns ``text, ratio, weight`` twice. A class that never saw a context takes the shared probability.
+    Returns ``text, ratio, ordinary`` twice, the last the count in ordinary texts. A class that never saw a context
+    takes the shared probability.
     """
     top = top.withColumn("context", _context("gram"))
     classes = ("toxic", "ordinary")
@@ -148,25 +152,81 @@ def log_ratios(top: DataFrame, shared: DataFrame, discount: float = DISCOUNT) ->
     seen = top.join(sums, "context").withColumn("short", _shorter("gram"))
     seen = seen.join(shared.select(F.col("gram").alias("short"), "shared"), "short", "left")
     seen = seen.withColumn("shared", F.coalesce("shared", F.lit(1e-6)))
-    weight = sum(F.col(c) for c in classes)
-    of_grams = seen.select(
-        F.col("gram").alias("text"), F.log(probability("toxic") / probability("ordinary")).alias("ratio"), weight.alias("weight")
-    )
+    of_grams = seen.select(F.col("gram").alias("text"), F.log(probability("toxic") / probability("ordinary")).alias("ratio"), "ordinary")
     of_contexts = sums.select(
         F.col("context").alias("text"),
         F.log(passed("toxic") / passed("ordinary")).alias("ratio"),
-        sum(F.col(f"{c}_all") for c in classes).alias("weight"),
+        F.col("ordinary_all").alias("ordinary"),
     )
     return of_grams, of_contexts
 
 
-def vocabulary(texts: DataFrame) -> DataFrame:
-    """The distinct words of all texts: ``word``."""
+def text_keys(joined: str, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64 bits that stand for each part [start, end) of a text, counted in characters, wherever it stands."""
+    points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+    return run_hashes(points, starts, ends).view(np.int64)
+
+
+def keyed(of_grams: DataFrame, of_contexts: DataFrame) -> DataFrame:
+    """Both tables of log ratios as one: ``key, context, ratio, ordinary``, with 64 bits for each text."""
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+            starts = np.r_[0, ends[:-1]].astype(np.int64)[: len(texts)]
+            keys = pa.array(text_keys("".join(texts), starts, ends))
+            yield pa.RecordBatch.from_arrays([keys, *(batch.column(c) for c in names)], ["key", *names])
+
+    names = ["context", "ratio", "ordinary"]
+    both = [df.select("text", F.lit(c).alias("context"), "ratio", "ordinary") for df, c in ((of_grams, False), (of_contexts, True))]
+    return both[0].unionByName(both[1]).mapInArrow(run, "key long, context boolean, ratio double, ordinary long")
+
+
+def word_grams(words: list[str], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the grams that end at each character of each word, of their contexts, and each word's first gram."""
+    whole = [BEGIN + w + END for w in words]
+    sizes = np.array([len(w) for w in whole], np.int64)
+    first = np.cumsum(sizes) - sizes
+    begins = np.repeat(first, sizes - 1)
+    heads = np.cumsum(sizes - 1) - (sizes - 1)
+    # Ends run from the second character of a word to its last.
+    ends = np.arange(len(begins)) - np.repeat(heads, sizes - 1) + begins + 2
+    starts = np.maximum(begins, ends - order)
+    joined = "".join(whole)
+    return text_keys(joined, starts, ends), text_keys(joined, starts, ends - 1), heads
+
+
+def bounds_of(ratios: DataFrame) -> bytes:
+    """The largest positive ratio in each of SLOTS slots, of grams and of contexts: what a gram may count at most.
+
+    Its size is fixed. More grams only let more words pass.
+    """
+    slot = F.expr(f"pmod(key, {SLOTS}L)")
+    rows = ratios.where("ratio > 0").groupBy("context", slot.alias("slot")).agg(F.max("ratio").cast("float").alias("most")).toArrow()
+    table = np.zeros((2, SLOTS), np.float32)
+    # Rounded up, so that the bound stays one.
+    most = np.nextafter(rows.column("most").to_numpy().astype(np.float32), np.float32(np.inf))
+    table[rows.column("context").to_numpy().astype(int), rows.column("slot").to_numpy()] = most
+    return table.tobytes()
+
+
+def candidates(texts: DataFrame, bounds: bytes, least: float, order: int = ORDER) -> DataFrame:
+    """The distinct words of all texts whose ratio may exceed ``least``: ``word``.
+
+    A gram counts at most the larger of its own slot and its context's. The sum of these bounds a word's ratio from
+    above, so no word that does exceed it is left out, and most others never leave their task.
+    """
 
     def run(batches):
+        table = np.frombuffer(bounds, np.float32).reshape(2, SLOTS)
         for batch in slices(batches):
-            found = set().union(*(words_of(t or "") for t in batch.column("text").to_pylist()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], ["word"])
+            words = list(set().union(*(words_of(t or "") for t in batch.column("text").to_pylist())))
+            grams_, contexts, heads = word_grams(words, order)
+            most = np.maximum(table[0][grams_ % SLOTS], table[1][contexts % SLOTS])
+            bound = np.add.reduceat(most.astype(np.float64), heads) if len(words) else np.zeros(0)
+            kept = [words[i] for i in np.flatnonzero(bound > least).tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string())], ["word"])
 
     return texts.select("text").mapInArrow(run, "word string").distinct()
 
@@ -176,47 +236,34 @@ def key_of(word: str) -> int:
     return int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def word_ratios(words: DataFrame, seen: DataFrame, contexts: DataFrame, order: int = ORDER) -> DataFrame:
-    """Log of toxic over ordinary probability of every word, the sum over its grams: ``word_key, ratio``.
+def word_ratios(words: DataFrame, ratios: DataFrame, order: int = ORDER) -> DataFrame:
+    """Log of toxic over ordinary probability of distinct words, the sum over their grams: ``word_key, ratio``.
 
     A gram that was not seen takes the ratio of its context, 0 if that was not seen either.
     """
 
     def run(batches):
-        for batch in slices(batches, "word"):
-            keys, found = [], []
-            for word in batch.column("word").to_pylist():
-                whole, key = BEGIN + word + END, key_of(word)
-                found += [whole[max(0, i - order) : i] for i in range(2, len(whole) + 1)]
-                keys += [key] * (len(whole) - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.string())], ["word_key", "gram"])
-
-    places = staged(words.mapInArrow(run, "word_key long, gram string").groupBy("word_key", "gram").agg(F.count("*").alias("n")))
-    needed = places.select("gram").distinct().withColumn("context", _context("gram"))
-    found = needed.join(seen.select(F.col("text").alias("gram"), "ratio"), "gram", "left")
-    found = found.join(contexts.select(F.col("text").alias("context"), F.col("ratio").alias("backoff")), "context", "left")
-    found = found.select("gram", F.coalesce("ratio", "backoff", F.lit(0.0)).alias("ratio"))
-    return places.join(found, "gram").groupBy("word_key").agg(F.sum(F.col("n") * F.col("ratio")).alias("ratio"))
+        for batch in slices(batches, "word", most=SLOTS):
+            own = batch.column("word").to_pylist()
+            grams_, contexts, heads = word_grams(own, order)
+            keys = np.repeat(np.array([key_of(w) for w in own], np.int64), np.diff(np.r_[heads, len(grams_)]))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(grams_), pa.array(contexts)], ["word_key", "gram", "short"])
 
+    places = words.mapInArrow(run, "word_key long, gram long, short long")
+    seen = ratios.where("NOT context").select(F.col("key").alias("gram"), "ratio")
+    backoff = ratios.where("context").select(F.col("key").alias("short"), F.col("ratio").alias("backoff"))
+    found = places.join(seen, "gram", "left").join(backoff, "short", "left")
+    return found.groupBy("word_key").agg(F.sum(F.coalesce("ratio", "backoff", F.lit(0.0))).alias("ratio"))
 
-def ordinary_level(ratios: DataFrame, counts: DataFrame) -> float:
-    """The median log ratio, to a hundredth, over all words of the ordinary training texts; 0 if there are none."""
 
-    def run(batches):
-        for batch in batches:
-            keys = [key_of(w) for w in batch.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column("ordinary")], ["word_key", "ordinary"])
+def ordinary_level(ratios: DataFrame, counts: DataFrame) -> float:
+    """The mean log ratio over all words of the ordinary training texts; 0 if there are none.
 
-    used = counts.where("ordinary > 0").select("word", "ordinary").mapInArrow(run, "word_key long, ordinary long")
-    # At most 20,001 steps, whatever the number of words.
-    step = F.round(F.greatest(F.least("ratio", F.lit(100.0)), F.lit(-100.0)) * 100).cast("int")
-    found = ratios.join(used, "word_key").groupBy(step.alias("step")).agg(F.sum("ordinary").alias("n")).toArrow().to_pylist()
-    half, total = sum(r["n"] for r in found) / 2, 0
-    for r in sorted(found, key=lambda r: r["step"]):
-        total += r["n"]
-        if total >= half:
-            return r["step"] / 100
-    return 0.0
+    All their grams were seen, so the sum over words is one over grams.
+    """
+    total = ratios.where("NOT context AND ordinary > 0").agg(F.sum(F.col("ratio") * F.col("ordinary")).alias("x")).first().x
+    n = counts.agg(F.sum("ordinary").alias("n")).first().n
+    return total / n if n and total is not None else 0.0
 
 
 def _filter_of(keys: DataFrame) -> bytes:
@@ -317,19 +364,22 @@ def learned(
     """Learns both class models from all labelled texts that are not held out, and weighs all texts by them.
 
     Seven eighths of them are counted, word by word and gram by gram, in distributed aggregates over all such
-    texts. The log ratios stay a distributed table; every distinct word of the texts gets the sum of its own grams'
-    ratios in a join. A word's ratio is taken against the median word of the ordinary training texts. On the other
+    texts. The log ratios stay a distributed table; every word of the texts that may count as evidence gets the sum of
+    its own grams' ratios in a join. A word's ratio is taken against the mean of the ordinary training texts' words. On the other
     eighth, evidence and label of at most ``curve_rows`` texts chosen by hash, a logistic curve is fitted. Without
     labels of both classes every text gets the same score. Null labels and null keys are not learned from.
     """
+    before = made()
     counts = staged(word_counts(labelled(docs, labels, key, text, label)))
     top = staged(grams(counts, order))
-    seen, contexts = log_ratios(top, shared_backoff(top, order))
-    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), _version(key, text).alias("u"))
-    ratios = staged(word_ratios(vocabulary(texts), seen, contexts, order))
+    ratios = staged(keyed(*log_ratios(top, shared_backoff(top, order))))
     least = ordinary_level(ratios, counts) + margin
-    excess = staged(ratios.where(F.col("ratio") > least).select("word_key", (F.col("ratio") - least).alias("excess")))
+    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), _version(key, text).alias("u"))
+    of_words = word_ratios(candidates(texts, bounds_of(ratios), least, order), ratios, order)
+    excess = staged(of_words.where(F.col("ratio") > least).select("word_key", (F.col("ratio") - least).alias("excess")))
     found = staged(evidence(texts, excess))
+    # What was learned stands in the evidence now.
+    dropped(docs.sparkSession, [t for t in made() if t not in before], kept=found)
     marks = marked(labels, key, label).where(_for_curve("doc_id"))
     curve = texts.select("doc_id", "u").join(marks, "doc_id").join(found, "u", "left")
     curve = curve.orderBy(F.xxhash64("doc_id"), "doc_id", "u").select(F.coalesce("x", F.lit(0.0)).alias("x"), "toxic").limit(curve_rows).toArrow()
