@@ -235,7 +235,8 @@ def pack(cut: DataFrame, size: int = SIZE, grain: int = GRAIN) -> DataFrame:
     Ranks count within hash parts of a length and add up over the parts, so a length that a third of all pieces
     have is spread over tasks. Pieces are ranked by part, document and start; equal rows are interchangeable.
 
-    The input is read several times and should be a stored table; see ``packed``. All its columns are kept.
+    The input is read several times and should be a stored table; see ``packed``. All its columns are kept. Null keys
+    and repeated rows are pieces like others; no pieces give no rows.
     """
     spark, room = cut.sparkSession, size // grain
     own = cut.withColumn("_class", F.ceil(F.col("length") / grain).cast("int")).withColumn(
@@ -265,7 +266,10 @@ def pack(cut: DataFrame, size: int = SIZE, grain: int = GRAIN) -> DataFrame:
 
 
 def packed(docs: DataFrame, tokenizer: str, end: int = 1, size: int = SIZE, grain: int = GRAIN, with_ids: bool = False) -> DataFrame:
-    """Tokenises the documents once, stores the pieces in the shared folder and packs them."""
+    """Tokenises the documents once, stores the pieces in the shared folder and packs them.
+
+    Nulls, repeated rows and empty tables as in ``token_pieces``: a null text is one piece that holds the end id.
+    """
     return pack(staged(token_pieces(docs, tokenizer, end, size, with_ids)), size, grain)
 
 

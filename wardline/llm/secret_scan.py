@@ -154,7 +154,11 @@ def secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
 
 
 def masked_documents(docs: DataFrame, text: str = "text", chars: str = "n_chars", least: float = 0.6) -> DataFrame:
-    """The documents, all their columns, with secrets masked in the text and the count of characters renewed."""
+    """The documents, all their columns, with secrets masked in the text and the count of characters renewed.
+
+    A null text stays null, as does its count. Keys are not looked at; repeated rows are masked each; an empty table
+    gives no rows.
+    """
     names = docs.columns
     rows = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"))
 

@@ -404,7 +404,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.7) -> DataFrame:
-    """The documents, all their columns, whose score lies below the threshold."""
+    """The documents, all their columns, whose score lies below the threshold.
+
+    A null or empty text has no evidence and stays where no evidence does. Rows without a key are scored as others;
+    repeated rows share their score and stay or go together. An empty table gives no rows.
+    """
     scores = learned(docs, labels, key, text)
     toxic = staged(scores.evidence.where(scores.of(F.col("x")) >= threshold).select("u"))
     # The score never falls with the evidence: what holds for a text without any holds for all if it is toxic.
