@@ -1,4 +1,9 @@
-"""The corpus pipeline: documents pass five stages, each stored before the next one reads it."""
+"""The corpus pipeline: documents pass five stages, each stored before the next one reads it.
+
+Every stage takes null and empty texts, null keys and repeated rows as they come: a null text is never toxic, never a copy
+and packs as an empty one. Rows equal in all columns are treated alike; of rows that share a key the Jaccard stage keeps one,
+and rows without a key stay. An empty table passes as an empty table. Columns beside those of documents stay.
+"""
 
 from __future__ import annotations
 
@@ -66,7 +71,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: No stage but the scan has an equivalent in SQL; tests/llm/test_pipeline.py checks each against brute force.
+#: No stage but the scan has an equivalent in SQL. The operators are checked by brute force in tests/llm; the pipeline's tests
+#: check that each stage takes effect on all rows of the one before.
 ORACLE_SQL = None
 
 
