@@ -87,6 +87,7 @@ class Check:
     unique_key: str | None = None
 
 
+# Names, kinds, expected percentages and thresholds of the documented checks.
 def permit_checks(b: Bounds, max_fee: float) -> list[Check]:
     has = lambda *cs: all_of(F.col(c).isNotNull() for c in cs)
     return [

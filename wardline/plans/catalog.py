@@ -111,6 +111,25 @@ def _traffic_model(lake: Lake, part: str) -> DataFrame:
     return forecasting.traffic_forecast(ys, fitted, HISTORY)
 
 
+def _model_facts(df: DataFrame, area: str, trained: str, low: str, score: str, high: str, top: float, *more: str) -> DataFrame:
+    """What a fitted forecast has to hold whatever its numbers are: areas, dates, training counts, limits in order."""
+    return df.select(
+        area, "forecast_date", "model_trained_date", trained, "model_version",
+        *(half_up(F.col(c), 6).alias(c) for c in more),
+        (F.col(low) <= F.col(high)).alias("in_order"),
+        F.col(score).between(0.0, top).alias("in_bounds"),
+    )
+
+
+def _traffic_facts(lake: Lake) -> DataFrame:
+    return _model_facts(_traffic_model(lake, "forecast"), "zip_code", "training_days", "yhat_lower", "yhat", "yhat_upper", float("inf"))
+
+
+def _risk_facts(spec: forecasting.ModelSpec, scale: forecasting.RiskScale, *more: str) -> Callable[[Lake], DataFrame]:
+    limits = ("risk_score_lower", "predicted_risk_score", "risk_score_upper")
+    return lambda lake: _model_facts(_risk_model(spec, scale)(lake), "zip_code", "training_weeks", *limits, scale.top, *more)
+
+
 def _neighborhood_model(lake: Lake) -> DataFrame:
     """Daily trips per neighborhood (five ZIPs each) through the traffic model."""
     daily = lake.derived("daily_history").withColumn(
@@ -345,6 +364,14 @@ ENTRIES: dict[str, Callable[[Lake], DataFrame]] = {
     "covid_model_simple": _risk_model(forecasting.COVID_SIMPLE, forecasting.SCALE_100),
     "covid_model_regressors": _risk_model(forecasting.COVID_REGRESSORS, forecasting.SCALE_100_TREND),
     "covid_model_retrospective": _risk_model(forecasting.COVID_RETROSPECTIVE, forecasting.SCALE_3),
+    "traffic_model_facts": _traffic_facts,
+    "covid_model_simple_facts": _risk_facts(
+        forecasting.COVID_SIMPLE, forecasting.SCALE_100, "predicted_case_rate", "predicted_mobility_index"
+    ),
+    "covid_model_regressors_facts": _risk_facts(forecasting.COVID_REGRESSORS, forecasting.SCALE_100_TREND),
+    "covid_model_retrospective_facts": _risk_facts(
+        forecasting.COVID_RETROSPECTIVE, forecasting.SCALE_3, "predicted_case_rate", "predicted_mobility_index"
+    ),
 }
 
 

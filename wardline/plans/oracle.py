@@ -545,6 +545,19 @@ SELECT area, ccvi_score, count(*) AS trips, count(*) FILTER (WHERE trips_pooled
 FROM silver_trips JOIN risky_areas ON area = {side}_community_area GROUP BY area, ccvi_score"""
 
 
+def _risk_facts(version: str, least: int, dates: str, recent: bool) -> str:
+    """Facts of a weekly model: its dates by ZIP (Mondays; the weeks begin on Sundays), training weeks and, where they are plain means, what it carries along."""
+    means = f", {rnd('r.rate', 6)} AS predicted_case_rate, {rnd('r.mobility', 6)} AS predicted_mobility_index" if recent else ""
+    return f"""
+WITH h AS (SELECT * FROM weekly_history WHERE week_start BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'),
+s AS (SELECT zip_code, count(DISTINCT week_start) AS n, max(week_start) AS b FROM h GROUP BY 1),
+r AS (SELECT zip_code, avg(case_rate_weekly) AS rate, avg(total_trips_from_zip + total_trips_to_zip) AS mobility
+  FROM (SELECT *, row_number() OVER (PARTITION BY zip_code ORDER BY week_start DESC) AS k FROM h) WHERE k <= 4 GROUP BY 1)
+SELECT zip_code, CAST({dates} AS DATE) AS forecast_date, DATE '2001-12-31' AS model_trained_date,
+  CAST(floor(n * 0.8e0) AS BIGINT) AS training_weeks, '{version}' AS model_version{means}, TRUE AS in_order, TRUE AS in_bounds
+FROM s JOIN r USING (zip_code) WHERE n >= {least}"""
+
+
 QUERIES: dict[str, str] = {
     "landing_rows_on_date": "SELECT count(*) AS rows FROM raw_trips WHERE CAST(trip_start_timestamp AS DATE) = DATE '2024-01-07'",
     "landing_insert_ignore": """
@@ -1052,6 +1065,17 @@ WHERE CAST(d AS DATE) NOT IN (SELECT partition_date FROM file_manifest WHERE dat
     "forecast_metrics_plain": _errors("avg(abs(actual - predicted) / abs(actual)) * 100"),
     "forecast_metrics_positive": _errors("avg(CASE WHEN actual > 0 THEN abs(actual - predicted) / actual END) * 100"),
     "forecast_metrics_floored": _errors("avg(abs(actual - predicted) / greatest(actual, 1e0)) * 100"),
+    "traffic_model_facts": """
+WITH s AS (SELECT zip_code, count(*) AS n, max(trip_date) AS b FROM daily_history
+  WHERE trip_date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31' GROUP BY 1)
+SELECT zip_code, CAST(b + unnest(range(1, 91))::INT AS DATE) AS forecast_date, DATE '2001-12-31' AS model_trained_date,
+  CAST(floor(n * 0.8e0) AS BIGINT) AS training_days, 'ridge-v1' AS model_version, TRUE AS in_order, TRUE AS in_bounds
+FROM s WHERE n >= 365""",
+    "covid_model_simple_facts": _risk_facts("ridge-simple-v1", 52, "b + 1 + 7 * unnest(range(1, 13))::INT", True),
+    "covid_model_regressors_facts": _risk_facts("ridge-regressors-v1", 52, "b + 1 + 7 * unnest(range(1, 13))::INT", False),
+    "covid_model_retrospective_facts": _risk_facts(
+        "ridge-logistic-v2", 40, "DATE '2021-06-07' + 7 * unnest(range(0, 156))::INT", True
+    ),
     "landing_lines_read": """
 SELECT trip_id, trip_start_timestamp, trip_seconds, trips_pooled, trip_miles, fare, trip_total, shared_trip_authorized,
   pickup_community_area, dropoff_community_area, pickup_centroid_latitude, dropoff_centroid_longitude
