@@ -116,6 +116,22 @@ def test_components_are_those_of_all_pairs(spark, near_copies, size, percent):
     assert kept == {c for _, c in wanted.values()}
 
 
+def test_copies_that_miss_the_smallest_cost_few_comparisons(spark, words, monkeypatch):
+    """Near copies link with each other, not with the smallest text of their lists."""
+    base, r, tried = words(1, 250).split(), random.Random(1), []
+    # The start is frequent, so the rarest grams of the copies are those that the smallest text has.
+    rows = [(1000, " ".join(base[-208:]))] + [(2000 + i, " ".join(base[:45]) + " " + words(3000 + i, 260)) for i in range(80)]
+    for i in range(60):
+        text = list(base)
+        text[r.randrange(len(text))] = f"other{i}"
+        rows.append((i, " ".join(text)))
+    plain = jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *a: tried.append(pairs.count()) or plain(pairs, *a))
+    got = {r.doc_id: r.component_id for r in jaccard_join.linked(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()}
+    assert got == {k: c for k, (_, c) in _brute(rows, 4, 85).items()} and set(map(got.get, range(60))) == {0} and got[1000] == 1000
+    assert sum(tried) < 6 * len(rows)
+
+
 def test_subset_keys_are_all_that_a_link_can_share():
     for n in range(1, 24):
         least = jaccard_join.least_common(n, 85)

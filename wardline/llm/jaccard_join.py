@@ -24,6 +24,9 @@ LIST_COST = 4
 #: Bits by which two sets are held against each other before they are compared.
 PARITY = 1024
 
+#: Times at most that the sets on a key are compared with another one of them before all of different components are.
+ROUNDS = 3
+
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -220,6 +223,38 @@ def _verified(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> Dat
     return both.mapInArrow(compare, "a long, b long")
 
 
+def _placed(more: DataFrame, found: DataFrame) -> DataFrame:
+    """Adds the component ``c`` that each set is in so far."""
+    return more.join(found.withColumnRenamed("node", "doc"), "doc", "left").select("*", F.coalesce("component", "doc").alias("c")).drop("component")
+
+
+def _late_links(more: DataFrame, found: DataFrame, links: DataFrame, tried: DataFrame, rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Components, links and tried pairs after each key's sets were held against one of them, chosen anew each time.
+
+    What the smallest set of a group missed, any other of the group is likely to link, so groups of near copies
+    grow together by one comparison a member. The choice is by document: sets that share many keys meet one leader.
+    """
+    for turn in range(ROUNDS):
+        leader = F.min_by(F.struct("doc", "n", "rest", "bits", "c"), F.xxhash64("doc", F.lit(turn)))
+        here = _placed(more, found)
+        leaders = here.groupBy("k").agg(F.min("c").alias("x"), F.max("c").alias("y"), leader.alias("r")).where("x <> y").select("k", "r")
+        near = here.alias("l").join(leaders, "k").where(
+            (F.col("l.c") != F.col("r.c"))
+            & _may_link(percent, F.col("l.n"), F.col("l.rest"), F.col("r.n"), F.col("r.rest"))
+            & _bits_allow(percent)
+        )
+        near = near.select(F.least("l.doc", "r.doc").alias("a"), F.greatest("l.doc", "r.doc").alias("b")).distinct()
+        near = staged(near.join(tried, ["a", "b"], "left_anti"))
+        if near.isEmpty():
+            continue
+        late = staged(_verified(near, rows, size, percent))
+        tried = tried.unionByName(near)
+        if not late.isEmpty():
+            links = links.unionByName(late)
+            found = components(links)
+    return found, links, tried
+
+
 def linked(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Components of texts whose sets of word grams are alike: ``doc_id, n_shingles, component_id``.
 
@@ -230,9 +265,10 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id
     and not results.
 
     On each key, every set is compared with the smallest set there. Under a subset key that finds all components. In
-    a list, sets that stay in different components are then compared with each other where the grams left behind the
-    key and the sets' parity bits allow a link; so a group of near copies costs one comparison a member, and no link
-    between components is lost. Candidates are verified on their whole sets.
+    a list, sets that stay in different components are compared with another set of the list, ROUNDS times at most,
+    and what is left then with each other, where the grams left behind the key and the sets' parity bits allow a
+    link; so a group of near copies costs a few comparisons a member, and no link between components is lost.
+    Candidates are verified on their whole sets.
 
     A null text has no words. A text without words links with nothing. Rows that share a key are one document,
     linked through any of its texts; rows without a key link with nothing and have no component. Other columns are
@@ -258,12 +294,14 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id
     links = staged(_verified(star, rows, size, percent))
     found = components(links)
 
-    more = shared.where(F.col("members") > 2).select("k", "doc", "n", "rest")
-    more = more.join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("c", F.coalesce("component", "doc"))
+    more = _placed(shared.where(F.col("members") > 2).select("k", "doc", "n", "rest"), found)
     mixed_keys = more.groupBy("k").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("k")
     bits = known.groupBy("one", "two", "n").agg(F.min("doc_id").alias("doc"), F.first("bits").alias("bits"))
-    more = more.join(mixed_keys, "k").select("k", "doc", "n", "rest", "c")
+    more = more.join(mixed_keys, "k").select("k", "doc", "n", "rest")
     more = staged(more.join(bits.select("doc", "n", "bits"), ["doc", "n"]))
+    tried = star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    found, links, tried = _late_links(more, found, links, tried, rows, size, percent)
+    more = staged(_placed(more, found))
     left, right = more.alias("l"), more.alias("r")
     across = left.join(
         right,
@@ -272,8 +310,7 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id
         & _may_link(percent, F.col("l.n"), F.col("l.rest"), F.col("r.n"), F.col("r.rest"))
         & _bits_allow(percent),
     ).select(F.col("l.doc").alias("a"), F.col("r.doc").alias("b"))
-    across = across.distinct()
-    tried = star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     across = staged(across.join(tried, ["a", "b"], "left_anti"))
     if not across.isEmpty():
         late = staged(_verified(across, rows, size, percent))
