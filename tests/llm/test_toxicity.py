@@ -125,6 +125,17 @@ def test_bounds_leave_no_word_out(spark, words):
     assert abs(toxicity.ordinary_level(ratios, frame) - level) < 1e-9
 
 
+def test_ordinary_words_stay_with_their_tasks(spark, words):
+    """Words of ordinary texts pass no bound, though what is unseen behind their contexts has a positive ratio."""
+    plain = sorted({w for w in words(7, 3000).replace("\n", " ").replace(".", " ").split() if len(w) > 4})
+    counts = [(w, 0, 9) for w in plain] + [("grimvex", 9, 0), ("vexgrim", 7, 0)]
+    top = toxicity.grams(spark.createDataFrame(counts, "word string, toxic long, ordinary long")).cache()
+    ratios = toxicity.keyed(*toxicity.log_ratios(top, toxicity.shared_backoff(top))).cache()
+    texts = spark.createDataFrame([(" ".join([*plain, "grimvex"]),)], "text string")
+    kept = {x.word for x in toxicity.candidates(texts, toxicity.bounds_of(ratios), 3.0).collect()}
+    assert "grimvex" in kept and len(kept) < 0.05 * len(plain)
+
+
 def test_wholly_toxic_texts_are_found(spark, corpus):
     docs, labels = corpus
     texts = ["grimwort", "vexling " * 30, "grimwort vexura", " ".join(BAD * 4)]

@@ -23,7 +23,7 @@ DISCOUNT = 0.75
 CURVE_ROWS = 20_000
 #: Log ratio over the mean word of ordinary texts from which a word counts as evidence: e to this power times likelier.
 MARGIN = 3.0
-#: Slots of the table that bounds what a gram can count.
+#: Slots of the tables that hold or bound what a gram counts.
 SLOTS = 1 << 20
 #: Marks of a word's two ends.
 BEGIN, END = "\x02", "\x03"
@@ -197,35 +197,74 @@ def word_grams(words: list[str], order: int) -> tuple[np.ndarray, np.ndarray, np
     return text_keys(joined, starts, ends), text_keys(joined, starts, ends - 1), heads
 
 
+#: Words that a task remembers to have looked at.
+LATELY = 1 << 17
+
+
+class Bounds:
+    """By kind (grams, contexts) and slot: a key in it, the largest ratio, and how many keys it has, up to two."""
+
+    def __init__(self, raw: bytes | bytearray):
+        at = [np.frombuffer(raw, kind, 2 * SLOTS, start * 2 * SLOTS) for kind, start in (("<i8", 0), ("<f4", 8), ("i1", 12))]
+        self.key, self.most, self.n = (x.reshape(2, SLOTS) for x in at)
+
+
 def bounds_of(ratios: DataFrame) -> bytes:
-    """The largest positive ratio in each of SLOTS slots, of grams and of contexts: what a gram may count at most.
+    """For each of SLOTS slots, of grams and of contexts, its key with the largest ratio and whether it has others.
 
     Its size is fixed. More grams only let more words pass.
     """
-    slot = F.expr(f"pmod(key, {SLOTS}L)")
-    rows = ratios.where("ratio > 0").groupBy("context", slot.alias("slot")).agg(F.max("ratio").cast("float").alias("most")).toArrow()
-    table = np.zeros((2, SLOTS), np.float32)
+    slot = F.expr(f"int(pmod(key, {SLOTS}L))")
+    rows = ratios.groupBy("context", slot.alias("slot")).agg(
+        F.max_by("key", "ratio").alias("key"), F.max("ratio").cast("float").alias("most"), F.least(F.count("*"), F.lit(2)).cast("byte").alias("n")
+    )
+    rows = rows.toArrow()
+    raw = bytearray(2 * SLOTS * 13)
+    table = Bounds(raw)
+    at = rows.column("context").to_numpy().astype(int), rows.column("slot").to_numpy()
+    table.key[at], table.n[at] = rows.column("key").to_numpy(), rows.column("n").to_numpy()
     # Rounded up, so that the bound stays one.
-    most = np.nextafter(rows.column("most").to_numpy().astype(np.float32), np.float32(np.inf))
-    table[rows.column("context").to_numpy().astype(int), rows.column("slot").to_numpy()] = most
-    return table.tobytes()
+    table.most[at] = np.nextafter(rows.column("most").to_numpy().astype(np.float32), np.float32(np.inf))
+    return bytes(raw)
+
+
+def most_of(words: list[str], table: Bounds, order: int) -> np.ndarray:
+    """What the ratio of each word is at most, by the slots of its grams and their contexts.
+
+    The key that a slot holds is known exactly, as is that any other was not seen if the slot has no second one.
+    Else the slot's largest ratio bounds it. A context that was not seen has no seen grams.
+    """
+    if not words:
+        return np.zeros(0)
+    grams_, contexts, heads = word_grams(words, order)
+    found = np.zeros(len(grams_))
+    at = contexts % SLOTS
+    known, several = (table.key[1][at] == contexts) & (table.n[1][at] > 0), table.n[1][at] > 1
+    some = np.flatnonzero(known | several)
+    backoff = table.most[1][at[some]].astype(np.float64)
+    backoff[~known[some]] = np.maximum(backoff[~known[some]], 0.0)
+    at = grams_[some] % SLOTS
+    own, n = table.most[0][at].astype(np.float64), table.n[0][at]
+    seen = (table.key[0][at] == grams_[some]) & (n > 0)
+    found[some] = np.where(seen, own, np.where(n > 1, np.maximum(own, backoff), backoff))
+    return np.add.reduceat(found, heads)
 
 
 def candidates(texts: DataFrame, bounds: bytes, least: float, order: int = ORDER) -> DataFrame:
     """The distinct words of all texts whose ratio may exceed ``least``: ``word``.
 
-    A gram counts at most the larger of its own slot and its context's. The sum of these bounds a word's ratio from
-    above, so no word that does exceed it is left out, and most others never leave their task.
+    ``most_of`` bounds a word's ratio from above, so no word that does exceed it is left out, and most others never
+    leave their task.
     """
 
     def run(batches):
-        table = np.frombuffer(bounds, np.float32).reshape(2, SLOTS)
-        for batch in slices(batches):
-            words = list(set().union(*(words_of(t or "") for t in batch.column("text").to_pylist())))
-            grams_, contexts, heads = word_grams(words, order)
-            most = np.maximum(table[0][grams_ % SLOTS], table[1][contexts % SLOTS])
-            bound = np.add.reduceat(most.astype(np.float64), heads) if len(words) else np.zeros(0)
-            kept = [words[i] for i in np.flatnonzero(bound > least).tolist()]
+        table, lately = Bounds(bounds), set()
+        for batch in slices(batches, most=SLOTS):
+            words = list(set().union(*(words_of(t or "") for t in batch.column("text").to_pylist())) - lately)
+            if len(lately) + len(words) > LATELY:
+                lately = set()
+            lately.update(words[:LATELY])
+            kept = [words[i] for i in np.flatnonzero(most_of(words, table, order) > least).tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string())], ["word"])
 
     return texts.select("text").mapInArrow(run, "word string").distinct()
