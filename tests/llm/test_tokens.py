@@ -160,6 +160,27 @@ def test_plain_tokens_have_the_librarys_ids():
         assert got == library.encode(t, add_special_tokens=False).ids, t
 
 
+def test_workers_let_go_of_what_other_operators_held():
+    import pyarrow as pa
+
+    from wardline.llm import text
+
+    def task(key=None):
+        for _ in text.slices(iter([pa.RecordBatch.from_pydict({"text": ["a", None]})])):
+            if key:
+                text.held(key, object)
+
+    for _ in range(3):
+        task("one")
+        first = text.held("one", object)
+    task("one")
+    list(text.slices(iter([])))
+    assert text.held("one", object) is first
+    for _ in range(2):
+        task()
+    assert not text._HELD
+
+
 def test_memo_stays_within_its_bytes():
     """50,000 distinct texts that are one long piece each leave nothing behind; short ones come back."""
     asked = Counter()

@@ -97,8 +97,15 @@ def flagged(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut so that each holds about ``most`` text bytes, one row at least."""
+    """Arrow batches cut so that each holds about ``most`` text bytes, one row at least.
+
+    A task that slices its rows without asking for what is ``held`` lets it go when the next such task begins.
+    """
+    begun = False
     for batch in batches:
+        if batch.num_rows and not begun:
+            begun = True
+            _let_go()
         lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start = held = 0
         for i, n in enumerate(lengths):
@@ -108,6 +115,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             held += n
         if start < batch.num_rows:
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()
 
 
 def pieces(text: str, long: int = 20_000) -> list[str]:
@@ -133,13 +141,23 @@ def words(text: str) -> list[str]:
 
 
 _HELD: dict = {}
+#: Whether a task asked for it since the last one began.
+_ASKED = [False]
+
+
+def _let_go() -> None:
+    if not _ASKED[0]:
+        _HELD.clear()
+    _ASKED[0] = False
 
 
 def held(key, build):
     """What ``build`` makes for ``key``, once per worker process, which holds one such thing at a time.
 
-    Workers serve one operator after the other; what the last one needed goes when the next one asks for its own.
+    Workers serve one operator after the other; what the last one needed goes when the next one asks for its own, or
+    has worked on a task without.
     """
+    _ASKED[0] = True
     if key not in _HELD:
         _HELD.clear()
         _HELD[key] = build()
